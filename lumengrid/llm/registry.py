@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from . import secrets, token_counts
+from . import fingerprints, secrets, token_counts, token_files
 
 QUERIES = {
+    "op1_token_files": token_files.query,
     "op3_secret_scan": secrets.query,
     "op9_token_counts": token_counts.query,
+    "op10_fingerprints": fingerprints.query,
 }
 
 ORACLES = {"op3_secret_scan": secrets.oracle()}
