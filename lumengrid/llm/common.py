@@ -178,3 +178,41 @@ def shingle_sets(col: pa.Array, k: int = 5) -> list[np.ndarray]:
         else:
             out.append(np.zeros(0, U64))
     return out
+
+
+#: Characters below U+0100 of which `re` and every Unicode regex library think alike: no control characters but \t \n \r, no U+0085 or U+00A0.
+_PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
+
+
+def plain(text: str) -> bool:
+    """Whether text has only characters of _PLAIN."""
+    try:
+        return not text.encode("latin-1").translate(None, _PLAIN)
+    except UnicodeEncodeError:
+        return False
+
+
+def spelt(pattern: str, names: dict[str, str]) -> str:
+    """The pattern with named classes written out as their characters, within brackets or, elsewhere, in new ones."""
+    out, inside, i = [], False, 0
+    while i < len(pattern):
+        name = next((n for n in names if pattern.startswith(n, i)), None)
+        if name:
+            out.append(names[name] if inside else f"[{names[name]}]")
+            i += len(name)
+        elif pattern[i] == "\\":
+            out.append(pattern[i : i + 2])
+            i += 2
+        else:
+            inside = pattern[i] == "[" or inside and pattern[i] != "]"
+            out.append(pattern[i])
+            i += 1
+    return "".join(out)
+
+
+def plain_pattern(pattern: str) -> str:
+    """The pattern with \\p{L} and \\p{N} written out for plain texts, so that the faster `re` takes it."""
+    import unicodedata
+
+    chars = {k: "".join(chr(c) for c in range(0x100) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
+    return spelt(pattern, {f"\\p{{{k}}}": v for k, v in chars.items()})

@@ -31,20 +31,18 @@ from . import common
 
 END_ID = 0
 SAMPLE, DICT_BYTES, SAMPLE_IDS, BLOCK = 1000, 64 << 10, 20_000, 1 << 20
-#: Characters for which the pre-tokenizer's pattern is the same in `regex` and in the tokenizers library, whatever their Unicode versions.
-_ODD = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]")
-_CACHE_BYTES = 24 << 20
+_CACHE_BYTES = 160 << 20
 
 
 class Encoder:
-    """Texts to ids, by the tokenizers library. Pieces of the pre-tokenizer's pattern are encoded once and kept."""
+    """Texts to ids, by the tokenizers library. Pieces of the pre-tokenizer's pattern are encoded once and kept; a
+    text whose characters not all regex engines take alike goes to the library whole."""
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import public_tokenizers
-        import regex
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -55,7 +53,7 @@ class Encoder:
         # Splitting ahead is right only for plain byte-level BPE, whose pieces don't depend on each other.
         plain = type(self.tok.model).__name__ == "BPE" and self.tok.normalizer is None
         level = str(self.tok.pre_tokenizer)
-        self.split = regex.compile(public_tokenizers.PATTERN).findall if plain and level.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in level else None
+        self.split = re.compile(common.plain_pattern(public_tokenizers.PATTERN)).findall if plain and level.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in level else None
         self.known: dict[str, bytes] = {}
         self.held = 0
 
@@ -67,7 +65,7 @@ class Encoder:
         pieces: dict[int, list[str]] = {}
         whole = []
         for i, x in enumerate(texts):
-            if self.split and not _ODD.search(x) and not any(a in x for a in self.added):
+            if self.split and common.plain(x) and not any(a in x for a in self.added):
                 pieces[i] = self.split(x)
             else:
                 whole.append(i)
