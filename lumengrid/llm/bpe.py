@@ -20,14 +20,13 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import struct
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common
+from . import common, pieces
 
 #: White space as Unicode's White_Space property has it.
 _WS = r"\t-\r\x20\x85\xa0  -     　"
@@ -288,43 +287,37 @@ class StreamDecoder:
 class Codec:
     """Encode texts piece by piece (each distinct piece goes through the transducer once while it is kept) and decode ids."""
 
-    KEEP_BYTES = 160 << 20
-
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        import re
-
+        import public_tokenizers
         import regex
 
-        self.split_plain = re.compile(common.plain_pattern(pattern)).findall
-        self.split_any = regex.compile(piece_pattern(pattern)).findall
+        self.split = regex.compile(piece_pattern(pattern)).findall
         self.transducer = Transducer(ranks)
         names = [b""] * (max(ranks.values()) + 1)
         for b, r in ranks.items():
             names[r] = b
         self.decoder = StreamDecoder(names)
         self.decimal = [str(i) for i in range(len(names))]
-        self.known: dict[str, bytes] = {}
-        self.written: dict[str, str] = {}
-        self.held = 0
-
-    def pieces(self, text: str) -> list[str]:
-        """The pieces of the pattern, each of them encoded and kept in `known`."""
-        pieces = self.split_plain(text) if common.plain(text) else self.split_any(text)
-        new = set(pieces).difference(self.known)
-        if new:
-            if self.held > self.KEEP_BYTES:
-                self.known.clear()
-                self.written.clear()
-                self.held, new = 0, set(pieces)
-            for p in new:
-                ids = self.transducer.encode(p.encode())
-                self.known[p] = struct.pack(f"<{len(ids)}I", *ids)
-                self.written[p] = ",".join([self.decimal[i] for i in ids])
-                self.held += 2 * len(p) + 8 * len(ids) + 260
-        return pieces
+        # Array operations know one pattern; texts go through the general one for any other.
+        self.encode_all = pieces.PieceEncoder(self._pieces, self._texts).encode if pattern == public_tokenizers.PATTERN else self._texts
+
+    def _pieces(self, new: list[str]) -> list[list[int]]:
+        return [self.transducer.encode(p.encode()) for p in new]
+
+    def _texts(self, texts: list[str]) -> list[np.ndarray]:
+        seen: dict[str, list[int]] = {}
+        out = []
+        for x in texts:
+            ids: list[int] = []
+            for p in self.split(x):
+                if (got := seen.get(p)) is None:
+                    got = seen[p] = self.transducer.encode(p.encode())
+                ids += got
+            out.append(np.array(ids, "<u4"))
+        return out
 
     def encode(self, text: str) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.known.__getitem__, self.pieces(text))), "<u4")
+        return self.encode_all([text])[0]
 
     def decode(self, ids: np.ndarray, chunk: int = 65_536) -> bytes:
         self.decoder.clear()
@@ -338,10 +331,8 @@ def codec(path: str, pattern: str) -> Codec:
 
 
 def _digests(c: Codec, texts: list[str]):
-    for x in texts:
-        pieces = c.pieces(x)
-        ids = np.frombuffer(b"".join(map(c.known.__getitem__, pieces)), "<u4")
-        joined = ",".join(map(c.written.__getitem__, pieces))
+    for ids in c.encode_all(texts):
+        joined = ",".join(map(c.decimal.__getitem__, ids.tolist()))
         yield len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()
 
 
@@ -353,7 +344,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         c = codec(path, pattern)
         for batch in batches:
             for part in common.slices(batch):
-                got = [c.encode(x or "").astype(np.int32) for x in part.column(1).to_pylist()]
+                got = [x.astype(np.int32) for x in c.encode_all([x or "" for x in part.column(1).to_pylist()])]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.list_(pa.int32()))], names=["doc_id", "ids"])
 
     return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")

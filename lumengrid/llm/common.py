@@ -107,6 +107,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 #: A random 64-bit value for each byte, so that the polynomial below has no structure of its own.
 _BYTE = mix(_LOWER.astype(U64) * GOLDEN + U64(12345))
+#: The same with case kept.
+EXACT = mix(np.arange(256, dtype=U64) * GOLDEN + U64(54321))
 _R = U64(0xD6E8FEB86659FD93)
 _RINV = U64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 _POW: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
@@ -139,8 +141,8 @@ def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, off)
 
 
-def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20) -> np.ndarray:
-    """A 64-bit hash of each word, with A-Z lower-cased; bounded scratch memory however long the texts are."""
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20, values: np.ndarray = _BYTE) -> np.ndarray:
+    """A 64-bit hash of each word, with A-Z lower-cased by default; bounded scratch memory however long the texts are."""
     out = np.empty(len(start), U64)
     lo = 0
     while lo < len(start):
@@ -148,7 +150,7 @@ def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int
         a, b = int(start[lo]), int(end[hi - 1])
         p, q = _powers(b - a + 1)
         h = np.zeros(b - a + 1, U64)
-        np.cumsum(_BYTE[raw[a:b]] * p[: b - a], out=h[1:])
+        np.cumsum(values[raw[a:b]] * p[: b - a], out=h[1:])
         s, e = start[lo:hi] - a, end[lo:hi] - a
         out[lo:hi] = mix((h[e] - h[s]) * q[s] + (e - s).astype(U64) * GOLDEN)
         lo = hi
@@ -184,12 +186,13 @@ def shingle_sets(col: pa.Array, k: int = 5) -> list[np.ndarray]:
 _PLAIN = bytes([9, 10, 13, *range(0x20, 0x7F), *range(0xA1, 0x100)])
 
 
-def plain(text: str) -> bool:
-    """Whether text has only characters of _PLAIN."""
+def plain(text: str) -> bytes | None:
+    """The text's Latin-1 bytes if it has only characters of _PLAIN, else None."""
     try:
-        return not text.encode("latin-1").translate(None, _PLAIN)
+        raw = text.encode("latin-1")
     except UnicodeEncodeError:
-        return False
+        return None
+    return None if raw.translate(None, _PLAIN) else raw
 
 
 def spelt(pattern: str, names: dict[str, str]) -> str:
@@ -208,11 +211,3 @@ def spelt(pattern: str, names: dict[str, str]) -> str:
             out.append(pattern[i])
             i += 1
     return "".join(out)
-
-
-def plain_pattern(pattern: str) -> str:
-    """The pattern with \\p{L} and \\p{N} written out for plain texts, so that the faster `re` takes it."""
-    import unicodedata
-
-    chars = {k: "".join(chr(c) for c in range(0x100) if unicodedata.category(chr(c))[0] == k) for k in "LN"}
-    return spelt(pattern, {f"\\p{{{k}}}": v for k, v in chars.items()})

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import fingerprints, secrets, token_counts, token_files
+from . import bpe, fingerprints, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
     "op3_secret_scan": secrets.query,
+    "op4_byte_bpe": bpe.query,
     "op9_token_counts": token_counts.query,
     "op10_fingerprints": fingerprints.query,
 }

@@ -17,7 +17,6 @@ of a hash of their text; an empty table gives an empty data set; other columns a
 from __future__ import annotations
 
 import hashlib
-import re
 import zlib
 from functools import lru_cache
 
@@ -27,59 +26,37 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import common
+from . import common, pieces
 
 END_ID = 0
 SAMPLE, DICT_BYTES, SAMPLE_IDS, BLOCK = 1000, 64 << 10, 20_000, 1 << 20
-_CACHE_BYTES = 160 << 20
 
 
 class Encoder:
-    """Texts to ids, by the tokenizers library. Pieces of the pre-tokenizer's pattern are encoded once and kept; a
-    text whose characters not all regex engines take alike goes to the library whole."""
+    """Texts to ids, by the tokenizers library. Plain texts go to it in distinct pieces (see `pieces`), others whole."""
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import public_tokenizers
         from tokenizers import Tokenizer
 
-        self.tok = Tokenizer.from_file(path)
-        self.tok.no_truncation()
-        self.tok.no_padding()
-        self.vocab = self.tok.get_vocab_size(with_added_tokens=True)
-        self.added = [t.content for t in self.tok.get_added_tokens_decoder().values()]
-        # Splitting ahead is right only for plain byte-level BPE, whose pieces don't depend on each other.
-        plain = type(self.tok.model).__name__ == "BPE" and self.tok.normalizer is None
-        level = str(self.tok.pre_tokenizer)
-        self.split = re.compile(common.plain_pattern(public_tokenizers.PATTERN)).findall if plain and level.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in level else None
-        self.known: dict[str, bytes] = {}
-        self.held = 0
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        return [np.array(x.ids, "<u4").tobytes() for x in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
-        out: list[bytes | None] = [None] * len(texts)
-        pieces: dict[int, list[str]] = {}
-        whole = []
-        for i, x in enumerate(texts):
-            if self.split and common.plain(x) and not any(a in x for a in self.added):
-                pieces[i] = self.split(x)
-            else:
-                whole.append(i)
-        if self.held > _CACHE_BYTES:
-            self.known, self.held = {}, 0
-        new = list(set().union(*pieces.values()) - self.known.keys()) if pieces else []
-        for p, b in zip(new, self._library(new), strict=True):
-            self.known[p] = b
-            self.held += len(p) + len(b) + 150
-        for i, ps in pieces.items():
-            out[i] = b"".join(map(self.known.__getitem__, ps))
-        for i, b in zip(whole, self._library([texts[i] for i in whole]), strict=True):
-            out[i] = b
-        return [np.frombuffer(b, "<u4") for b in out]
+        tok = Tokenizer.from_file(path)
+        tok.no_truncation()
+        tok.no_padding()
+        self.vocab = tok.get_vocab_size(with_added_tokens=True)
+        added = tuple(t.content for t in tok.get_added_tokens_decoder().values())
+
+        def ids(texts: list[str]) -> list[list[int]]:
+            return [x.ids for x in tok.encode_batch_fast(texts, add_special_tokens=False)]
+
+        def whole(texts: list[str]) -> list[np.ndarray]:
+            return [np.array(x, "<u4") for x in ids(texts)]
+
+        # Pieces stand alone only in plain byte-level BPE.
+        level = str(tok.pre_tokenizer)
+        own = type(tok.model).__name__ == "BPE" and tok.normalizer is None and level.startswith("ByteLevel(add_prefix_space=False") and "use_regex=True" in level
+        self.encode = pieces.PieceEncoder(ids, whole, added).encode if own else whole
 
 
 @lru_cache(maxsize=2)
