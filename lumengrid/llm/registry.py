@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from . import bpe, fingerprints, secrets, token_counts, token_files
+from . import bpe, decontam, fingerprints, language, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
     "op3_secret_scan": secrets.query,
     "op4_byte_bpe": bpe.query,
+    "op7_decontamination": decontam.query,
+    "op8_language_id": language.query,
     "op9_token_counts": token_counts.query,
     "op10_fingerprints": fingerprints.query,
 }
 
-ORACLES = {"op3_secret_scan": secrets.oracle()}
+ORACLES = {"op3_secret_scan": secrets.oracle(), "op7_decontamination": decontam.ORACLE}
