@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from . import bpe, decontam, fingerprints, language, secrets, token_counts, token_files
+from . import bpe, ctw, decontam, fingerprints, html_text, language, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
     "op3_secret_scan": secrets.query,
     "op4_byte_bpe": bpe.query,
+    "op5_ctw_scores": ctw.query,
+    "op6_html_text": html_text.query,
     "op7_decontamination": decontam.query,
     "op8_language_id": language.query,
     "op9_token_counts": token_counts.query,
