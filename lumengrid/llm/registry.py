@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from . import bpe, ctw, decontam, fingerprints, html_text, language, secrets, token_counts, token_files
+from . import bpe, ctw, decontam, fingerprints, html_text, language, near_dup, secrets, token_counts, token_files
 
 QUERIES = {
     "op1_token_files": token_files.query,
+    "op2_near_duplicates": near_dup.query,
     "op3_secret_scan": secrets.query,
     "op4_byte_bpe": bpe.query,
     "op5_ctw_scores": ctw.query,
