@@ -330,24 +330,37 @@ def codec(path: str, pattern: str) -> Codec:
     return Codec(load_ranks(path), pattern)
 
 
+def _digest(c: Codec, ids: np.ndarray) -> tuple[str, str]:
+    """SHA-256 of the decimal ids, joined by commas, and of the bytes that they decode to."""
+    joined = ",".join(map(c.decimal.__getitem__, ids.tolist()))
+    return hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()
+
+
 def _digests(c: Codec, texts: list[str]):
     for ids in c.encode_all(texts):
-        joined = ",".join(map(c.decimal.__getitem__, ids.tolist()))
-        yield len(ids), hashlib.sha256(joined.encode()).hexdigest(), hashlib.sha256(c.decode(ids)).hexdigest()
+        yield len(ids), *_digest(c, ids)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id and ids (array<int>) of every row."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
+    """doc_id, n_tokens and ids (array<int>) of every row; with digests also ids_sha256 and decoded_sha256, of the ids decoded again."""
     rows = common.pick(docs, doc_id=id_col, text=text_col)
+    more = ["ids_sha256", "decoded_sha256"] if digests else []
 
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            for part in common.slices(batch):
-                got = [x.astype(np.int32) for x in c.encode_all([x or "" for x in part.column(1).to_pylist()])]
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(got, pa.list_(pa.int32()))], names=["doc_id", "ids"])
+            for part in common.slices(batch, most=1 << 20):
+                got = c.encode_all([x or "" for x in part.column(1).to_pylist()])
+                size = np.array([len(x) for x in got], np.int64)
+                flat = np.concatenate([*got, np.zeros(0, "<u4")]).astype(np.int32)
+                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(size)]).astype(np.int32)), pa.array(flat))
+                cols = [part.column(0), pa.array(size), ids]
+                if digests:
+                    cols += [pa.array(x) for x in zip(*(_digest(c, x) for x in got), strict=True)]
+                yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *more])
 
-    return rows.mapInArrow(run, f"doc_id {rows.schema['doc_id'].dataType.simpleString()}, ids array<int>")
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + "".join(f", {x} string" for x in more))
 
 
 def decode(encoded: DataFrame, path: str, pattern: str) -> DataFrame:
