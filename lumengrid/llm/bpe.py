@@ -63,6 +63,7 @@ class Transducer:
         self.number: dict[tuple, int] = {}
         self.moves: list[dict[int, tuple[int, tuple[int, ...]]]] = []
         self.last: list[tuple[int, ...]] = []
+        self.seen: set[int] = set()
         self._state((-1, (((), b""),)))
 
     def merged(self, piece: bytes) -> list[int]:
@@ -167,39 +168,69 @@ class Transducer:
         move = self.moves[state][byte[0]] = (self._state(key), emitted)
         return move
 
-    def _end(self, state: int, byte: bytes) -> tuple[int, ...]:
-        """What is left to emit if the piece ends with this byte; the state after it is not needed, nor made."""
+    def _rest(self, state: int, piece: bytes, at: int) -> list[int]:
+        """What is left to emit when the piece goes on from byte `at`: all hypotheses are followed, but no states made."""
         before, hyps = self.states[state]
-        ranks, follows = self.ranks, self.follows
+        prefix, ranks, follows = self.prefix, self.ranks, self.follows
+        out: list[int] = []
+        for j in range(at, len(piece) - 1):
+            byte, new = piece[j : j + 1], []
+            for pending, part in hyps:
+                part += byte
+                if (found := prefix.get(part)) is None:
+                    continue
+                t, more = found
+                if more:
+                    new.append((pending, part))
+                if t >= 0:
+                    a = pending[-1] if pending else before
+                    ok = follows.get((a, t))
+                    if self.may_follow(a, t) if ok is None else ok:
+                        new.append(((*pending, t), b""))
+            hyps = new
+            if len(new[-1][0]) > 24:
+                first, n = new[0][0], 0
+                most = min(len(p) for p, _ in new)
+                while n < most and all(p[n] == first[n] for p, _ in new):
+                    n += 1
+                if n:
+                    out.extend(first[:n])
+                    before, hyps = first[n - 1], [(p[n:], q) for p, q in new]
         for pending, part in hyps:
-            if (t := ranks.get(part + byte)) is not None:
+            if (t := ranks.get(part + piece[-1:])) is not None:
                 a = pending[-1] if pending else before
                 ok = follows.get((a, t))
                 if self.may_follow(a, t) if ok is None else ok:
-                    return (*pending, t)
+                    out.extend(pending)
+                    out.append(t)
+                    return out
         raise ValueError("no token for a byte")
 
     def encode(self, piece: bytes) -> list[int]:
+        """A transition is kept when it is needed for the second time; most pieces end in ones that never are."""
         if not piece:
             return []
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.states) > self.most:
+        if len(self.states) > self.most or len(self.seen) > 8 * self.most:
             self.reset()
         out: list[int] = []
         state, moves = 0, self.moves
-        for b in piece[:-1]:
-            move = moves[state].get(b) or self._move(state, bytes((b,)))
+        for i, b in enumerate(piece[:-1]):
+            move = moves[state].get(b)
+            if move is None:
+                key = state << 8 | b
+                if key not in self.seen:
+                    self.seen.add(key)
+                    return out + self._rest(state, piece, i)
+                move = self._move(state, bytes((b,)))
             state = move[0]
             if move[1]:
-                out.extend(move[1])
+                out += move[1]
         end = moves[state].get(piece[-1])
         if end is None:
-            out.extend(self._end(state, piece[-1:]))
-        else:
-            out.extend(end[1])
-            out.extend(self.last[end[0]])
-        return out
+            return out + self._rest(state, piece, len(piece) - 1)
+        return [*out, *end[1], *self.last[end[0]]]
 
 
 class Utf8Machine:
