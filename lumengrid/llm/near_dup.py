@@ -32,7 +32,7 @@ from .components import connected
 
 REGISTERS, MANTISSA, ROWS, WORDS = 128, 10, 5, 5
 BANDS = REGISTERS // ROWS
-SIGMAS, FEW, LEADERS, BLOCK, UNIT, HUBS = 5.0, 8, 4, 64, 128, 4
+SIGMAS, FEW, LEADERS, BLOCK, WIDE, UNIT, HUBS = 5.0, 8, 4, 64, 256, 128, 4
 #: Distance from its leader within which a class is settled, and the standard deviations by which it must surely be so.
 SETTLED, SURE = 0.35, 4.0
 
@@ -151,6 +151,37 @@ def _all_pairs(groups: DataFrame, by: list[str]) -> DataFrame:
     return one.distinct()
 
 
+def _in_blocks(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
+    """Links (a, b) that span the possible pairs of large buckets: blocks of about WIDE classes, each with itself and
+    with every other one; of a pair of blocks no more links come out than it has classes."""
+    of = F.ceil(F.col("size") / WIDE).cast("int")
+    blocks = members.select("bk", "cid", of.alias("of"), F.pmod(F.xxhash64("cid", F.lit("block")), of).cast("int").alias("i"))
+    dealt = blocks.select("bk", "cid", "i", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("j"))
+    dealt = dealt.select("bk", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"), "i", "cid").join(classes.select("cid", "n", "sig"), "cid")
+    threshold = num / den
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.drop_duplicates("cid").sort_values("cid")
+        regs = np.frombuffer(b"".join(pdf["sig"]), np.uint16).reshape(-1, REGISTERS)
+        n, block, cid = pdf["n"].to_numpy(), pdf["i"].to_numpy(), pdf["cid"].tolist()
+        root = np.arange(len(cid))
+        out = []
+        for k in range(len(cid)):
+            # Later classes that the block pair is to compare with this one and that no link has joined to it yet.
+            rest = np.flatnonzero(root[k + 1 :] != root[k]) + k + 1
+            rest = rest[(block[rest] != block[k]) | (pdf["x"].iat[0] == pdf["y"].iat[0])]
+            rest = rest[den * np.minimum(n[rest], n[k]) >= num * np.maximum(n[rest], n[k])]
+            if len(rest):
+                j, used = estimate(np.broadcast_to(regs[k], (len(rest), REGISTERS)), regs[rest], np.full(len(rest), n[k]), n[rest])
+                for m in rest[j >= threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) / np.maximum(used, 1))].tolist():
+                    if root[m] != root[k]:
+                        out.append((cid[k], cid[m]))
+                        root[root == root[m]] = root[k]
+        return pd.DataFrame(out, columns=["a", "b"])
+
+    return dealt.groupBy("bk", "x", "y").applyInPandas(run, "a long, b long")
+
+
 def possible_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) that span the clusters of classes that could be linked."""
     rows, found = _bands(classes), []
@@ -169,10 +200,7 @@ def possible_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
             rows = many.where("cid <> leader").join(settled, ["cid", "leader"], "left_anti").select("bk", "cid")
             continue
         if left:
-            # What no leader settles: blocks of about BLOCK classes, each block with itself and with every other one.
-            blocks = many.withColumn("of", F.ceil(F.col("size") / BLOCK).cast("int")).withColumn("i", F.pmod(F.xxhash64("cid", F.lit("block")), F.col("of")).cast("int"))
-            dealt = blocks.select("bk", "cid", "i", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("j")).select("bk", "cid", F.least("i", "j").alias("x"), F.greatest("i", "j").alias("y"))
-            pairs = pairs.union(_all_pairs(dealt, ["bk", "x", "y"])).distinct()
+            found.append(_in_blocks(many, classes, num, den))
         found.append(_estimated(pairs, classes, num, den).where("possible").select("a", "b"))
         break
     out = found[0]
