@@ -2,6 +2,6 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
-FLAGSHIP = None
+from . import catalog
+
+QUERIES, ORACLES, FLAGSHIP = catalog.QUERIES, catalog.ORACLES, catalog.flagship
