@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 U64 = np.uint64
+BATCH_ROWS = 2000
 GOLDEN = U64(0x9E3779B97F4A7C15)
 
 
@@ -42,9 +43,15 @@ def scratch(spark: SparkSession, name: str) -> str:
 
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    path = scratch(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
+    path, before = scratch(spark, name), spark.conf.get(rows)
+    # Python workers hold a batch at a time: texts can be long.
+    spark.conf.set(rows, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(rows, before)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
@@ -57,7 +64,7 @@ def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def slices(batch: pa.RecordBatch, text: str = "text", most: int = 4 << 20):
+def slices(batch: pa.RecordBatch, text: str = "text", most: int = 2 << 20):
     """Cut an Arrow batch into slices of about `most` text bytes (one row at least)."""
     n = batch.num_rows
     if n == 0:
