@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 from ..functions import fields
-from ..operators import batch, camera, geometry, grid, histogram, normalize, qc, sampling, transfer, wavelet
+from ..operators import batch, camera, geometry, grid, histogram, normalize, qc, render, sampling, transfer, wavelet
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -489,6 +489,20 @@ def rnd04(spark, d):
     return camera.frame_manifest(tfs, camera.split_frames(spark.range(64).select(F.col("id").cast("int").alias("pose_id")), 64, 10, 0))
 
 
+@query("rnd01_composite", f"""{NORM}, {_bake_sql('norm', TFS)}, b as (select *, coalesce(exp(sum(ln(greatest(1 - a, 1e-300))) over (partition by volume_id, tf_name, y, x order by z rows between unbounded preceding and 1 preceding)), 1.0) as before from rgba)
+select volume_id, tf_name, y as row, x as col, {', '.join(f'round(sum(a * before * {c}), 6) + 0.0 as {c}' for c in 'rgb')}, round(sum(a * before), 6) + 0.0 as a from b group by all""")
+def rnd01(spark, d):
+    return r6(render.composite(transfer.bake(norm_emb(spark, d), TFS)), *"rgba")
+
+
+@query("snk06_transforms_json", None)
+def snk06(spark, d):
+    cams = camera.split_frames(camera.camera_to_world(poses(spark)), 64, 10, 5)
+    m = F.array(*[F.array(*[F.col(f"m{i}{k}") for k in range(4)]) for i in range(3)], F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))
+    one = F.struct(F.col("pose_id"), F.format_string("./%s/r_%04d", "split", "pose_id").alias("file_path"), m.alias("transform_matrix"))
+    return cams.groupBy("split").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("frames"))  # a few hundred cameras
+
+
 @query("pipe03_tf_fanout", f"{EMB} select volume_id, 'TF' || lpad(k::varchar, 2, '0') as tf_name, 'out/' || volume_id || '/TF' || lpad(k::varchar, 2, '0') || '/points.ply' as path from (select distinct volume_id from emb), range(1, 4) t(k)")
 def pipe03(spark, d):
     tfs = spark.createDataFrame([(f"TF{i:02d}",) for i in range(1, 4)], "tf_name string")
