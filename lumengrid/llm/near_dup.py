@@ -32,7 +32,9 @@ from .components import connected
 
 REGISTERS, MANTISSA, ROWS, WORDS = 128, 10, 5, 5
 BANDS = REGISTERS // ROWS
-SIGMAS, FEW, LEADERS, BLOCK, WIDE, UNIT, HUBS = 5.0, 8, 4, 64, 256, 128, 4
+SIGMAS, FEW, LEADERS, WIDE, UNIT, HUBS = 5.0, 8, 1, 1024, 1024, 4
+#: Shingles of a unit of confirmation (8 bytes each), and registers of the finer sketches that spare it most intersections.
+UNIT_SHINGLES, FINE = 4_000_000, 512
 #: Distance from its leader within which a class is settled, and the standard deviations by which it must surely be so.
 SETTLED, SURE = 0.35, 4.0
 
@@ -66,9 +68,9 @@ def band_keys(registers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, key[row, band].view(np.int64)
 
 
-def chance(n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+def chance(n_a: np.ndarray, n_b: np.ndarray, registers: int = REGISTERS) -> np.ndarray:
     """Probability that the registers of a bucket agree though their least hashes differ, for sets of these sizes."""
-    la, lb = np.maximum(n_a, 1)[:, None] / REGISTERS, np.maximum(n_b, 1)[:, None] / REGISTERS
+    la, lb = np.maximum(n_a, 1)[:, None] / registers, np.maximum(n_b, 1)[:, None] / registers
     k = np.arange(40)[None, :]
     at = lambda x: np.exp(-x * 2.0 ** (-k - 1)) - np.exp(-x * 2.0**-k)
     full = lambda x: 1 - np.exp(-x[:, 0])
@@ -79,7 +81,7 @@ def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) ->
     """Collision-corrected Jaccard estimate of sketches (rows) and the number of buckets it rests on."""
     used = ((a != 0) | (b != 0)).sum(axis=1)
     same = ((a == b) & (a != 0)).sum(axis=1)
-    c = chance(n_a, n_b)
+    c = chance(n_a, n_b, a.shape[1])
     return np.clip((same / np.maximum(used, 1) - c) / (1 - c), 0, 1), used
 
 
@@ -210,31 +212,31 @@ def possible_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
 
 
 def _linked(cids: list[int], sets: list[np.ndarray], labels: list[int], num: int, den: int) -> list[tuple[int, int]]:
-    """Links that join the given labels, each confirmed on the full sets; pairs already joined are passed over."""
-    root = {x: x for x in labels}
-
-    def find(x: int) -> int:
-        while root[x] != x:
-            root[x] = root[root[x]]
-            x = root[x]
-        return x
-
-    order = sorted(range(len(cids)), key=lambda i: len(sets[i]))
-    sizes = [len(sets[i]) for i in order]
+    """Links that join the given labels, each confirmed on the full sets; pairs already joined are passed over, and, in
+    larger units, pairs whose finer sketches are SIGMAS deviations from the threshold."""
+    order = np.argsort([len(x) for x in sets], kind="stable")
+    sizes = np.array([len(sets[i]) for i in order], np.int64)
+    root = np.unique([labels[i] for i in order], return_inverse=True)[1].copy()
+    fine = np.stack([sketch(sets[i], FINE) for i in order]) if len(order) > 64 else None
+    threshold = num / den
     out = []
-    for k, i in enumerate(order):
-        for m in range(k - 1, -1, -1):
-            if den * sizes[m] < num * sizes[k]:
-                break
-            j = order[m]
-            a, b = find(labels[i]), find(labels[j])
-            if a == b:
+    for k in range(1, len(order)):
+        first = int(np.searchsorted(sizes[:k] * den, num * sizes[k]))  # shorter ones are too short
+        rest = np.arange(first, k)[root[first:k] != root[k]]
+        if fine is not None and len(rest):
+            mine = fine[k]
+            used = ((fine[rest] != 0) | (mine != 0)).sum(axis=1)
+            same = ((fine[rest] == mine) & (mine != 0)).sum(axis=1)  # chance agreement only raises it
+            rest = rest[same >= used * threshold - SIGMAS * np.sqrt(threshold * (1 - threshold) * used)]
+        big = sets[order[k]]
+        for m in rest.tolist():
+            if root[m] == root[k]:
                 continue
-            at = np.searchsorted(sets[i], sets[j])
-            both = int((sets[i][np.minimum(at, sizes[k] - 1)] == sets[j]).sum())
-            if den * both >= num * (sizes[k] + sizes[m] - both):
-                out.append((cids[i], cids[j]))
-                root[a] = b
+            small = sets[order[m]]
+            both = int((big[np.minimum(np.searchsorted(big, small), len(big) - 1)] == small).sum())
+            if den * both >= num * (len(big) + len(small) - both):
+                out.append((cids[order[k]], cids[order[m]]))
+                root[root == root[m]] = root[k]
     return out
 
 
@@ -266,33 +268,30 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 def link_classes(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(node, label) of the classes that are linked with others."""
     clusters = connected(possible_pairs(classes, num, den))
-    sizes = clusters.groupBy("label").count()
-    placed = clusters.join(sizes, "label").select(F.col("node").alias("cid"), F.col("label").alias("cluster"), "count").join(classes.select("cid", "doc_id"), "cid")
-    placed = common.written(placed, "clusters")
+    placed = clusters.select(F.col("node").alias("cid"), F.col("label").alias("cluster")).join(classes.select("cid", "doc_id", "n"), "cid")
+    sizes = placed.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / (UNIT - HUBS)), F.ceil(F.sum("n") / UNIT_SHINGLES)).cast("int").alias("of"))
+    placed = common.written(placed.join(sizes, "cluster"), "clusters")
     bodies = _bodies(docs, placed.select("doc_id", "cid"))
-    full = common.written(placed.join(bodies, "cid").select("cid", "cluster", "count", F.col("cid").alias("label"), "body"), "sets")
-    links = _confirm(full.where(F.col("count") <= UNIT), ["cluster"], num, den)
-    large = full.where(F.col("count") > UNIT)
+    full = common.written(placed.join(bodies, "cid").select("cid", "cluster", "of", F.col("cid").alias("label"), "body"), "sets")
+    links = _confirm(full.where("of = 1"), ["cluster"], num, den)
+    large = full.where("of > 1")
     if not large.isEmpty():
         rank = Window.partitionBy("cluster").orderBy(F.xxhash64("cid"), "cid")
-        hubs = placed.where(F.col("count") > UNIT).withColumn("r", F.row_number().over(rank)).where(F.col("r") <= HUBS).select("cid")
-        of = F.ceil(F.col("count") / (UNIT - HUBS)).cast("int")
-        block = F.pmod(F.xxhash64("cid", F.lit("unit")), of).cast("int")
-        hub_rows = large.join(hubs, "cid", "left_semi").select("*", F.explode(F.sequence(F.lit(0), of - 1)).alias("block"))
+        hubs = placed.where("of > 1").withColumn("r", F.row_number().over(rank)).where(F.col("r") <= HUBS).select("cid")
+        block = F.pmod(F.xxhash64("cid", F.lit("unit")), F.col("of")).cast("int")
+        hub_rows = large.join(hubs, "cid", "left_semi").select("*", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("block"))
         first = common.written(_confirm(large.withColumn("block", block).unionByName(hub_rows), ["cluster", "block"], num, den), "links")
         joined = connected(first)
         state = large.drop("label").join(joined.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
         state = common.written(state, "labelled")
         parts = state.groupBy("cluster", "label").count().groupBy("cluster").agg(F.max(F.struct("count", "label"))["label"].alias("main"), F.count("*").alias("labels"), F.sum("count").alias("all"), F.max("count").alias("most"))
         open_ = state.join(common.written(parts.where("labels > 1"), "open"), "cluster")
-        loose = F.ceil((F.col("all") - F.col("most")) / BLOCK).cast("int")
-        ofs = F.ceil(F.col("all") / BLOCK).cast("int")
+        loose = F.ceil((F.col("all") - F.col("most")) * F.col("of") / F.col("all")).cast("int")
         i = F.pmod(F.xxhash64("cid", F.lit("loose")), loose).cast("int")
-        j = F.pmod(F.xxhash64("cid", F.lit("unit")), ofs).cast("int")
         cols = ["cluster", "cid", "label", "body"]
         # Every class outside its cluster's main component meets every block.
-        outside = open_.where("label <> main").select(*cols, i.alias("i"), F.explode(F.sequence(F.lit(0), ofs - 1)).alias("j"))
-        inside = open_.select(*cols, j.alias("j"), loose.alias("n")).select(*cols, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), "j")
+        outside = open_.where("label <> main").select(*cols, i.alias("i"), F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("j"))
+        inside = open_.select(*cols, block.alias("j"), loose.alias("n")).select(*cols, F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("i"), "j")
         more = _confirm(outside.unionByName(inside), ["cluster", "i", "j"], num, den)
         links = links.union(first).union(more)
     return connected(links)
