@@ -164,13 +164,13 @@ def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
                 break
             c = cols[step, :n]
             s = table[state[:n] * model.width + c]
-            # No way on, and not at a phrase's start: a new phrase starts with this character. A character that the
-            # language does not have at all is a phrase of its own (state 0 after it).
+            # No way on: a new phrase starts with this character. A character that the language does not have at all is
+            # a phrase of its own (state 0 after it), so what follows starts another one.
             stuck = np.flatnonzero(s == 0)
+            if step:
+                made[:n] += (s == 0) | (state[:n] == 0)
             if len(stuck):
                 s[stuck] = table[c[stuck]]
-                if step:
-                    made[stuck] += 1
             state[:n] = s
         np.add.at(out[:, k], owner[order], made)
     return out
@@ -199,7 +199,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row: doc_id, text, the columns of keep, lang_pred, score. The score is 1 for the certain, and near 0 where the
+    """Per row: doc_id, text, the columns of keep (as keep_<name>, so that none clashes), lang_pred, score. The score is 1 for the certain, and near 0 where the
     two best languages need equally many phrases: 1 - (fewest phrases / second fewest), scaled by 4 and cut at 1."""
     spark = docs.sparkSession
     held = spark.sparkContext.broadcast(model)  # size bounded by the number of languages times CHARS
@@ -220,12 +220,11 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
-    out = rows.mapInArrow(run, schema)
-    return out.select("doc_id", "text", *[F.col(f"keep_{c}").alias(c) for c in keep], "lang_pred", "score")
+    return rows.mapInArrow(run, schema)
 
 
 def identify(docs: DataFrame, held_mod: int = 4, held_is: int = 2, keep: tuple[str, ...] = ()) -> DataFrame:
-    """Fit on the labelled documents that aren't held out, predict all: doc_id, text, keep..., held_out, lang_pred, score."""
+    """Fit on the labelled documents that aren't held out, predict all: doc_id, text, keep_<name>..., held_out, lang_pred, score."""
     held_out = _hash_mod(F.col("doc_id"), held_mod) == held_is
     model = fit(docs.where(~F.coalesce(held_out, F.lit(False))))
     return predict(docs, model, keep=keep).withColumn("held_out", F.coalesce(held_out, F.lit(False)))

@@ -180,7 +180,7 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row of docs: doc_id, text, the columns of `keep`, and found: array of (start, ord, end, kind), by start and rule."""
+    """Per row of docs: doc_id, text, the columns of `keep` (as keep_<name>, so that none clashes), and found: array of (start, ord, end, kind), by start and rule."""
     cand = candidates(postings(docs, rules, id_col, text_col), rules).withColumnRenamed("doc_id", "cand_id")
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
     both = rows.join(cand, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left")
@@ -193,7 +193,7 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id
         else:
             may = (F.coalesce(F.col("rules"), F.lit(0)).bitwiseAND(F.lit(1 << i)) != 0) & text.rlike(r.regex)
         found.append(F.when(may, _spans(text, r, i)).otherwise(empty))
-    return both.select("doc_id", "text", *[F.col(f"keep_{c}").alias(c) for c in keep], F.sort_array(F.concat(*found)).alias("found"))
+    return both.select("doc_id", "text", *[f"keep_{c}" for c in keep], F.sort_array(F.concat(*found)).alias("found"))
 
 
 def _joined(spans: Column) -> Column:
