@@ -17,25 +17,30 @@ SIMILAR = (80, 100)
 MASK = "[SECRET]"
 
 
+def _back(docs: DataFrame) -> list:
+    """The columns of docs, from an operator's result that keeps them as keep_<name>."""
+    return [F.col("doc_id" if c == "doc_id" else "text" if c == "text" else f"keep_{c}").alias(c) for c in docs.columns]
+
+
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language can be told (their text has letters); a missing label is filled in."""
     keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     known = language.identify(docs, keep=keep).where(F.col("lang_pred") != language.UNKNOWN)
-    return known.withColumn("lang", F.coalesce("lang", "lang_pred")).select(*docs.columns)
+    return known.withColumn("keep_lang", F.coalesce("keep_lang", "lang_pred")).select(*_back(docs))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id; of rows that repeat id and text one."""
-    kept = near_dup.near_duplicates(docs, *SIMILAR).where("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    h = "text hash of near_dedup"
-    one = docs.join(common.written(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("kept_id")), "left_semi").withColumn(h, F.xxhash64("text"))
+    kept = near_dup.near_duplicates(docs, *SIMILAR).where("kept").select(F.col("doc_id").alias("id that is kept")).distinct()
+    h = "hash of the text"
+    one = docs.join(common.written(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("id that is kept")), "left_semi").withColumn(h, F.xxhash64("text"))
     return one.dropDuplicates(["doc_id", h]).select(*docs.columns)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no benchmark item."""
-    leaks = common.written(decontam.search(docs, common.table(spark, sf_dir, "benchmark")).select("rid").distinct(), "leaks")
-    return docs.join(leaks, F.xxhash64("doc_id", "text") == F.col("rid"), "left_anti").select(*docs.columns)
+    leaks = common.written(decontam.search(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("rid").alias("hash of a leak")).distinct(), "leaks")
+    return docs.join(leaks, F.xxhash64("doc_id", "text") == F.col("hash of a leak"), "left_anti").select(*docs.columns)
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -53,8 +58,8 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     text = F.when(F.size("found") > 0, F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))).otherwise(F.col("text"))
     out = found.withColumn("text", text)
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
-    return out.select(*docs.columns)
+        out = out.withColumn("keep_n_chars", F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("keep_n_chars")))
+    return out.select(*_back(docs))
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
