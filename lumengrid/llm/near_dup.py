@@ -35,6 +35,8 @@ BANDS = REGISTERS // ROWS
 SIGMAS, FEW, LEADERS, WIDE, UNIT, HUBS = 5.0, 8, 1, 1024, 1024, 4
 #: Shingles of a unit of confirmation (8 bytes each), and registers of the finer sketches that spare it most intersections.
 UNIT_SHINGLES, FINE = 4_000_000, 512
+#: Classes in clusters (two numbers each) up to which their ids are broadcast to find their texts.
+BROADCAST_ROWS = 1_000_000
 #: Distance from its leader within which a class is settled, and the standard deviations by which it must surely be so.
 SETTLED, SURE = 0.35, 4.0
 
@@ -262,6 +264,8 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["cid", "body"])
 
     want = wanted.select(F.col("doc_id").alias("want_id"), "cid")
+    if want.count() <= BROADCAST_ROWS:
+        want = F.broadcast(want)  # else Spark's own choice, which shuffles the texts
     return docs.join(want, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "cid").mapInArrow(run, "cid long, body binary")
 
 
