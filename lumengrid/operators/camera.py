@@ -27,6 +27,12 @@ def fibonacci(spark: SparkSession, n: int, centre: tuple[float, float, float] =
     return with_up(eyes, up)
 
 
+def focused(spark: SparkSession, n: int, centre: tuple[float, float, float], radius: float, extent: tuple[float, float, float], vfov: float, scale: float = 1.0) -> DataFrame:
+    """Poses around a part of the volume, such as a band's bounding sphere (not under 5 % of the longest side); the distance fits the vertical view."""
+    r = max(radius, 0.05 * max(extent))
+    return fibonacci(spark, n, centre, scale * r / max(math.sin(vfov / 2), 1e-6))
+
+
 def with_up(poses: DataFrame, up: tuple[float, float, float]) -> DataFrame:
     """An up vector at right angles to the view; another axis stands in where the hint is nearly parallel to it."""
     f = C.unit([F.col(f"f{c}") - F.col(f"e{c}") for c in "xyz"], 1e-12)

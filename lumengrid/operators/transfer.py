@@ -88,6 +88,11 @@ def band_points(index: int, edges: list[float], lo: float, hi: float, mode: str
     return ascending([(lo, 0.0), *before, *body, *after, (hi, 0.0)])
 
 
+def grouped_points(indices: list[int], edges: list[float], lo: float, hi: float, mode: str = "linear") -> list[tuple[float, float]]:
+    """The points of several bands in one list, in order of x."""
+    return sorted((p for i in indices for p in band_points(i, edges, lo, hi, mode)), key=lambda p: p[0])
+
+
 def flat_points(points: list[tuple[float, float]]) -> list[float]:
     """x, opacity, midpoint 0.5 and sharpness 0 of each point, end to end."""
     return [y for x, a in points for y in (x, a, 0.5, 0.0)]

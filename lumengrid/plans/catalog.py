@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fields
 from ..operators import batch, camera, geometry, grid, histogram, normalize, qc, render, sampling, transfer, wavelet
+from ..sources import readers
+from ..streaming import cases as events
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -359,6 +361,36 @@ def grd14(spark, d):
     return r6(grid.lookup(pts, li(spark, d), LI_SHAPE), "pz", "py", "px")
 
 
+@query("grd13_rgba_lookup", f"{NORM}, {_bake_sql('norm', [TF_DEMO])}, p as (select distinct volume_id, 1.4::double as pz, 2.6::double as py, 9.0::double as px from norm) select p.volume_id, {s6(*'rgba')} from p join rgba q on q.volume_id = p.volume_id and q.z = 1 and q.y = 3 and q.x = 3")
+def grd13(spark, d):
+    v = norm_emb(spark, d)
+    pts = v.select("volume_id").distinct().withColumns({"pz": F.lit(1.4), "py": F.lit(2.6), "px": F.lit(9.0)})
+    return r6(grid.lookup(pts, transfer.bake(v, [TF_DEMO]), (4, 4, 4), values=tuple("rgba")), *"rgba").select("volume_id", *"rgba")
+
+
+@query("prj09_linear_index", f"{LI} select volume_id, (z * 11 + y) * 50 + x as i, z, y, x from li")
+def prj09(spark, d):
+    return li(spark, d).select("volume_id", geometry.linear_index(11, 50).alias("i")).select("volume_id", "i", *geometry.from_linear(F.col("i"), 11, 50))
+
+
+@query("prj11_gray", "select vec_id, round((embedding[1]::double + embedding[2]::double + embedding[3]::double) / 3.0, 6) + 0.0 as gray from embeddings")
+def prj11(spark, d):
+    e = spark.read.parquet(f"{d}/embeddings.parquet")
+    return r6(e.select("vec_id", qc.gray(*[F.get("embedding", i).cast("double") for i in range(3)]).alias("gray")), "gray")
+
+
+@query("src15_cell_to_point", f"{RAMP}, c as (select volume_id, z + a as z, y + b as y, x + c as x, v from ramp, range(0, 2) ta(a), range(0, 2) tb(b), range(0, 2) tc(c)) select volume_id, z::int as z, y::int as y, x::int as x, round(avg(v), 6) + 0.0 as v from c group by all")
+def src15(spark, d):
+    return r6(readers.cell_to_point(fields.ramp_volume(spark)), "v")
+
+
+@query("stream_event_windows", "select time_bucket(interval 60 minutes, ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
+def stream_windows(spark, d):
+    """The windowed aggregate of the event stream, over the whole table as one batch."""
+    e = events.event_windows(spark.read.parquet(f"{d}/events.parquet"))
+    return e.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
 def U(seed: int, key: str) -> str:
     return f"((('0x' || substr(md5('{seed}:' || {key}), 1, 13))::bigint + 0.5) / {float(1 << 52)}::double)"
 
@@ -459,6 +491,11 @@ def cam01(spark, d):
     return r6(poses(spark), *cols).select("pose_id", *cols)
 
 
+@query("cam02_focused", f"with p as (select i::int as pose_id, 2.0 * ((i + 0.5) / 16.0::double) - 1.0 as z, i * {2 * math.pi * (1 - 2 / (1 + math.sqrt(5)))!r}::double as t from range(0, 16) r(i)), d as (select greatest(0.01, 0.05 * 4.0::double) / sin({VF!r}::double / 2) as d) select pose_id, round(1.0 + d * sqrt(greatest(0.0, 1 - z * z)) * cos(t), 6) + 0.0 as ex, round(2.0 + d * sqrt(greatest(0.0, 1 - z * z)) * sin(t), 6) + 0.0 as ey, round(3.0 + d * z, 6) + 0.0 as ez from p, d")
+def cam02(spark, d):
+    return r6(camera.focused(spark, 16, (1.0, 2.0, 3.0), 0.01, (4.0, 1.0, 1.0), VF), "ex", "ey", "ez").select("pose_id", "ex", "ey", "ez")
+
+
 @query("cam03_c2w", f"{POSES}, w as (select *, fy * uz - fz * uy as rx, fz * ux - fx * uz as ry, fx * uy - fy * ux as rz from v) select pose_id, {', '.join(f'round({e}, 6) + 0.0 as m{i}{k}' for i, c in enumerate('xyz') for k, e in enumerate((f'r{c}', f'u{c}', f'-f{c}', f'e{c}')))} from w")
 def cam03(spark, d):
     cols = [f"m{i}{k}" for i in range(3) for k in range(4)]

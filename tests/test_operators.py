@@ -213,3 +213,13 @@ def test_batches(spark):
     assert [got[i][1] for i in (0, 99, 100, 204)] == ["batch_0001", "batch_0001", "batch_0002", "batch_0003"]
     rows = batch.assign(spark.range(205).withColumnRenamed("id", "case_id"), 100, True, 7).groupBy("batch_id").count().collect()
     assert sorted(r["count"] for r in rows) == [5, 100, 100]
+
+
+def test_small_parsers():
+    from lumengrid.functions import text
+
+    assert text.vec3("1, 2 3", (0, 0, 0)) == (1.0, 2.0, 3.0) and text.vec3("1 2", (0, 1, 0)) == (0, 1, 0)
+    assert text.safe_name(" A / b(c) ") == "A_b_c" and text.safe_name("//") == "cmap"
+    assert text.has_sha256(b"", "E3B0C44298FC1C149AFBF4C8996FB92427AE41E4649B934CA495991B7852B855") and not text.has_sha256(b"a", "00")
+    pts = transfer.grouped_points([1, 2], [0.0, 0.5, 1.0], 0.0, 1.0)
+    assert pts == sorted(pts, key=lambda p: p[0])
