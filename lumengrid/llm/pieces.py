@@ -7,8 +7,10 @@ that the caller gives for them.
 
 from __future__ import annotations
 
+import struct
 import unicodedata
 from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 
@@ -49,6 +51,11 @@ def boundaries(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+@lru_cache(maxsize=4096)
+def pack(n: int) -> struct.Struct:
+    return struct.Struct(f"<{n}I")
+
+
 class PieceEncoder:
     """new: ids of each of many pieces; odd: ids of each of many texts that are not plain; special: substrings that make a text odd."""
 
@@ -87,7 +94,7 @@ class PieceEncoder:
             whole = raw.tobytes()
             a, b = start[first].tolist(), end[first].tolist()
             for i, ids in zip(lack, self.new([whole[a[i] : b[i]].decode("latin-1") for i in lack]), strict=True):
-                got[i] = self.known[keys[i]] = np.array(ids, "<u4").tobytes()
+                got[i] = self.known[keys[i]] = pack(len(ids)).pack(*ids)
                 self.held += 4 * len(ids) + 160
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids = np.frombuffer(b"".join(got), "<u4")
