@@ -45,7 +45,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 class Transducer:
     """Bytes of one piece to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 150_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000):
         self.ranks, self.most = ranks, most_states
         self.name = {r: b for b, r in ranks.items()}
         #: Every prefix of a token: (its rank or -1, whether a longer token has it as a prefix).
@@ -80,6 +80,8 @@ class Transducer:
         """Parts that stand at the right and at the left edge while the token is merged: (part, its rank, rank of the
         merge that ends it). Empty lists if merging its bytes doesn't give the token."""
         if (got := self.edges.get(token)) is None:
+            if len(self.edges) > self.most // 4:
+                self.edges.clear()
             ranks, piece = self.ranks, self.name[token]
             parts = [piece[i : i + 1] for i in range(len(piece))]
             right, left = [[parts[-1], -1]], [[parts[0], -1]]
@@ -111,7 +113,7 @@ class Transducer:
         if a < 0:
             return bool(self._edges(b)[0])
         if (ok := self.follows.get((a, b))) is None:
-            if len(self.follows) > 1_000_000:
+            if len(self.follows) > 5 * self.most:
                 self.follows.clear()
             right, left = self._edges(a)[0], self._edges(b)[1]
             ok = bool(left)
@@ -212,7 +214,7 @@ class Transducer:
             return []
         if (whole := self.ranks.get(piece)) is not None:
             return [whole]
-        if len(self.states) > self.most or len(self.seen) > 8 * self.most:
+        if len(self.states) > self.most or len(self.seen) > 5 * self.most:
             self.reset()
         out: list[int] = []
         state, moves = 0, self.moves
@@ -414,7 +416,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     def run(batches):
         c = codec(path, pattern)
         for batch in batches:
-            for part in common.slices(batch):
+            for part in common.slices(batch, most=1 << 20):
                 n, a, b = zip(*_digests(c, [x or "" for x in part.column(1).to_pylist()]), strict=True)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(n, pa.int64()), pa.array(a), pa.array(b)], names=["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 

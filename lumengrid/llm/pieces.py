@@ -59,7 +59,7 @@ def pack(n: int) -> struct.Struct:
 class PieceEncoder:
     """new: ids of each of many pieces; odd: ids of each of many texts that are not plain; special: substrings that make a text odd."""
 
-    KEEP_BYTES = 128 << 20
+    KEEP_BYTES = 64 << 20
 
     def __init__(self, new: Callable[[list[str]], list[list[int]]], odd: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = ()):
         self.new, self.odd, self.special = new, odd, special
