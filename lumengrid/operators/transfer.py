@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import columns as C
 
+#: Default colour maps: fixed names of presets.
 MAPS = ("Viridis (matplotlib)", "Inferno (matplotlib)", "Plasma (matplotlib)", "Magma (matplotlib)", "Turbo")
 
 
