@@ -19,6 +19,7 @@ an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import base64
+import gc
 import hashlib
 from functools import lru_cache
 
@@ -374,8 +375,11 @@ def _digests(c: Codec, texts: list[str]):
         yield len(ids), *_digest(c, ids)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False) -> DataFrame:
-    """doc_id, n_tokens and ids (array<int>) of every row; with digests also ids_sha256 and decoded_sha256, of the ids decoded again."""
+def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, keep: bool = True) -> DataFrame:
+    """doc_id, n_tokens and ids (array<int>) of every row; with digests also ids_sha256 and decoded_sha256, of the ids decoded again.
+
+    Workers keep what they have learned of pieces from task to task; with keep=False they let go of it at a task's end, which
+    leaves their memory to the stages that follow in the same workers."""
     rows = common.pick(docs, doc_id=id_col, text=text_col)
     more = ["ids_sha256", "decoded_sha256"] if digests else []
 
@@ -391,6 +395,10 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
                 if digests:
                     cols += [pa.array(x) for x in zip(*(_digest(c, x) for x in got), strict=True)]
                 yield pa.RecordBatch.from_arrays(cols, names=["doc_id", "n_tokens", "ids", *more])
+        if not keep:
+            del c
+            codec.cache_clear()
+            gc.collect()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + "".join(f", {x} string" for x in more))
