@@ -19,7 +19,6 @@ an empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 from functools import lru_cache
 
@@ -398,7 +397,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
         if not keep:
             del c
             codec.cache_clear()
-            gc.collect()
+            common.release()
 
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(run, f"doc_id {kind}, n_tokens long, ids array<int>" + "".join(f", {x} string" for x in more))

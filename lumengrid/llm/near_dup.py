@@ -109,6 +109,7 @@ def sketches(docs: DataFrame) -> DataFrame:
                 sets, ids = _sets(part.column(1))
                 sig = [sketch(s).tobytes() if len(s) else None for s in sets]
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array([len(s) for s in sets], pa.int64()), pa.array(ids, pa.int64()), pa.array(sig, pa.binary())], names=["doc_id", "n", "cid", "sig"])
+        common.release()
 
     return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n long, cid long, sig binary")
 
