@@ -2,11 +2,13 @@
 
 Pages are dealt by ranges of (host, path) and sorted, so that each meets the pages of its host whose paths are nearest: the
 one before it and the one after it (at the ends of a host or of a partition, one of them). The pages' text lines (blocks)
-are aligned by a longest common subsequence, and shared lines are deleted. What differencing can't know the structure check mends:
-an article's own lines come back where a neighbour repeats them (copies, licence lines), and lines go that no neighbour
-shares but that are not the article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments). A page
-without <article> or <main> keeps its lines outside such parts as far as differencing leaves them; all of them if it
-would leave none.
+are aligned by a longest common subsequence, and shared lines are deleted, inside <article> and <main> too. What differencing
+can't know the structure check mends: lines of the article come back where the neighbour is a copy (it repeats at least half
+of the article's characters) or where the line is the page's <title> and not the neighbour's, and lines go that no neighbour
+shares but that are not the article (menus, headers, footers, sidebars, notices, adverts, forms, reader comments, articles
+inside such parts). Lines outside both are kept as far as differencing leaves them; without a neighbour only if there is no
+article. All lines of the article come back if differencing would leave none of them, and of a page without one, all lines
+outside such parts.
 
 Edge cases: null html gives an empty text; a null url is a host of its own; pages without a neighbour are not differenced;
 broken or unclosed markup is read as far as it goes; repeated rows and null ids are kept, one output row per input row; an
@@ -61,8 +63,9 @@ def _marked(attrs: str) -> bool:
     return False
 
 
-#: What a line is: the article's, of no known part, or of a part that is not the article.
-ARTICLE, LOOSE, OTHER = range(3)
+#: What a line is: the article's, of no known part, of a part that is not the article, of an article inside such a part (only
+#: while a page is read), or the article's and the page's title.
+ARTICLE, LOOSE, OTHER, NESTED, TITLE = range(5)
 
 
 def page_lines(html: str) -> list[tuple[str, int]]:
@@ -71,6 +74,7 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     text: list[str] = []
     stack: list[tuple[str, int]] = []  # element and the kind of what stands in it
     kind = LOOSE
+    title = ""
 
     def end_line() -> None:
         if text:
@@ -109,6 +113,8 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             if attrs.rstrip().endswith("/") and name not in ("script", "style"):
                 continue
             end = re.compile(rf"</{name}\s*>", re.I).search(html, at)
+            if name == "title" and not title:
+                title = " ".join(unescape(html[at : end.start() if end else n]).split())
             at = end.end() if end else n
             continue
         if name in VOID or attrs.endswith("/") and name not in BLOCK:
@@ -121,7 +127,10 @@ def page_lines(html: str) -> list[tuple[str, int]]:
                 break
         outer = stack[-1][1] if stack else LOOSE
         if name in ("article", "main"):
-            inner = OTHER if _marked(attrs) and outer == ARTICLE or outer == OTHER and any(s[0] in OUT for s in stack) else ARTICLE
+            if outer == OTHER and any(s[0] in OUT for s in stack) or outer != LOOSE and _marked(attrs):
+                inner = OTHER
+            else:
+                inner = NESTED if outer in (OTHER, NESTED) else ARTICLE
         elif name in OUT or name not in ("html", "body") and _marked(attrs):
             inner = OTHER
         else:
@@ -131,7 +140,11 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         stack.append((name, inner))
         kind = inner
     end_line()
-    return lines
+    # An article in a marked part is a teaser, unless the page has no other article and most of its text there (the mark is of the layout).
+    size = lambda what: sum(len(x) for x, k in lines if k == what)
+    nested = ARTICLE if not size(ARTICLE) and size(NESTED) > size(LOOSE) else OTHER
+    lines = [(x, nested if k == NESTED else k) for x, k in lines]
+    return [(x, TITLE if k == ARTICLE and x == title else k) for x, k in lines]
 
 
 def common_lines(a: list[str], b: list[str]) -> set[int]:
@@ -160,12 +173,20 @@ def common_lines(a: list[str], b: list[str]) -> set[int]:
 
 def main_text(lines: list[tuple[str, int]], *neighbours: list[tuple[str, int]]) -> str:
     """The page's text after differencing from each neighbour and the structure check."""
-    shared = set().union(*(common_lines([x for x, _ in lines], [x for x, _ in other]) for other in neighbours))
-    article = [i for i, (_, kind) in enumerate(lines) if kind == ARTICLE]
+    texts = [x for x, _ in lines]
+    article = [i for i, (_, kind) in enumerate(lines) if kind in (ARTICLE, TITLE)]
     loose = [i for i, (_, kind) in enumerate(lines) if kind == LOOSE]
-    # The check: an article's lines stay, shared or not; of other lines only those that differencing leaves.
-    keep = article or [i for i in loose if i not in shared] or loose
-    return " ".join(lines[i][0] for i in keep)
+    size = sum(len(texts[i]) for i in article)
+    gone: set[int] = set()
+    for other in neighbours:
+        shared = common_lines(texts, [x for x, _ in other])
+        again = shared.intersection(article)
+        # The check: what a copy repeats and the page's own title stay in the article.
+        copied = 2 * sum(len(texts[i]) for i in again) >= size
+        gone |= shared - {i for i in again if copied or lines[i][1] == TITLE and lines[i] not in other}
+    own = [i for i in article if i not in gone] or article
+    rest = [i for i in loose if i not in gone] if neighbours or not article else []
+    return " ".join(texts[i] for i in sorted(own + rest) or loose)
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

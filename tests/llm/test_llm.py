@@ -308,6 +308,27 @@ def test_html(spark):
     assert html_text.extract(df.where("false")).count() == 0
 
 
+def test_differencing_decides_in_articles(spark):
+    page = lambda title, body: f"<title>{title}</title><nav>n</nav><p>Skip</p>{body}"
+    article = lambda *ps: "<article>" + "".join(f"<p>{p}</p>" for p in ps) + "</article>"
+    teaser = "<div class='related'><article><p>Read this too, it is a longer text than the page's own</p></article></div>"
+    rows = [
+        # A line that the neighbour's article has too goes, a loose line of this page only stays.
+        (1, "http://a.x/1", page("One", article("One", "First text of some length", "All rights reserved.") + "<p>Dated Monday</p>")),
+        (2, "http://a.x/2", page("Two", article("One", "Two", "Second text of some length", "All rights reserved."))),
+        # Copies keep their lines.
+        (3, "http://b.x/1", page("C", article("C", "Copied text", "All rights reserved."))),
+        (4, "http://b.x/2", page("C", article("C", "Copied text", "All rights reserved."))),
+        # An article in a marked part is not the page's, unless there is nothing else.
+        (5, "http://c.x/1", page("D", article("D", "Own text") + teaser)),
+        (6, "http://d.x/1", f"<div class='layout has-sidebar'>{article('Only text')}</div>"),
+        # Without a neighbour structure alone decides.
+        (7, "http://e.x/1", page("E", article("E"))),
+    ]
+    got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1)).collect()}
+    assert got == {1: "One First text of some length Dated Monday", 2: "Two Second text of some length", 3: "C Copied text All rights reserved.", 4: "C Copied text All rights reserved.", 5: "D Own text", 6: "Only text", 7: "E"}
+
+
 def test_common_lines():
     rng = np.random.default_rng(1)
     for _ in range(100):
