@@ -166,8 +166,8 @@ def needs_tiles(shape, tile, max_voxels: int | None = None, max_dim: int | None
     return any(limits) if limits else any(n > t for n, t in zip(shape, tile, strict=True))
 
 
-def lookup(points: DataFrame, voxels: DataFrame, shape, cols: tuple[str, str, str] = ("pz", "py", "px"), values: tuple[str, ...] = ("v",)) -> DataFrame:
-    """points with the values (v, or r, g, b, a) of the nearest voxel (half to even, cut to the grid)."""
+def lookup(points: DataFrame, voxels: DataFrame, shape, cols: tuple[str, str, str] = ("pz", "py", "px"), values: tuple[str, ...] = ("v",), by: tuple[str, ...] = ("volume_id",)) -> DataFrame:
+    """points with the values (v, or r, g, b, a) of the nearest voxel (half to even, cut to the grid) of the same `by`."""
     at = {f"_{c}": F.least(F.greatest(F.bround(F.col(p)), F.lit(0.0)), F.lit(float(n - 1))).cast("int") for c, p, n in zip("zyx", cols, shape, strict=True)}
-    v = voxels.select("volume_id", *[F.col(c).alias(f"_{c}") for c in "zyx"], *values)
-    return points.withColumns(at).join(v, ["volume_id", "_z", "_y", "_x"], "left").drop("_z", "_y", "_x")
+    v = voxels.select(*by, *[F.col(c).alias(f"_{c}") for c in "zyx"], *values)
+    return points.withColumns(at).join(v, [*by, "_z", "_y", "_x"], "left").drop("_z", "_y", "_x")

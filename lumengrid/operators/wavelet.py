@@ -11,6 +11,8 @@ from itertools import product
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from . import grid
+
 BANDS = ["".join(b) for b in product("ad", repeat=3)]
 SCALE = 0.5**1.5
 
@@ -53,9 +55,10 @@ def transform_rgba(rgba: DataFrame, shape: tuple[int, int, int], levels: int = 1
     return out.select("volume_id.*", "j", "band", "z", "y", "x", "r", "g", "b", "a", norm.alias("c"))
 
 
-def budgets(coeffs: DataFrame, n: int, alpha: float = 1.0, beta: float = 1.0, gamma: float = 1.2, least: int = 100, by: tuple[str, ...] = ("volume_id",), smooth: bool = True) -> DataFrame:
-    """(by, j, band, energy, size, k): points for each band, by its energy, size and level; at least `least`."""
-    bands = coeffs.groupBy(*by, "j", "band").agg(F.sum(F.col("c") * F.col("c")).alias("energy"), F.count("*").alias("size"))
+def budgets(coeffs: DataFrame, n: int, alpha: float = 1.0, beta: float = 1.0, gamma: float = 1.2, least: int = 100, by: tuple[str, ...] = ("volume_id",), smooth: bool = True, channels: int = 1) -> DataFrame:
+    """(by, j, band, energy, size, k): points for each band, by its energy, size and level; at least `least`. With c the norm
+    of several channels, energy and size are sums over these."""
+    bands = coeffs.groupBy(*by, "j", "band").agg(F.sum(F.col("c") * F.col("c")).alias("energy"), (F.count("*") * channels).alias("size"))
     e = F.log1p("energy") if smooth else F.col("energy")
     score = F.pow(e, F.lit(alpha)) * F.pow(F.col("size").cast("double"), F.lit(beta))
     if smooth:
@@ -84,8 +87,18 @@ def centres(points: DataFrame, shape: tuple[int, int, int], levels: int, centred
 
 def sample(voxels: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False) -> DataFrame:
     """Points at the largest coefficients: (volume_id, point_id, px, py, pz, coeff_abs, level, band), n at most per volume."""
-    coeffs = transform(voxels, shape, levels)
-    top = band_top(coeffs, budgets(coeffs, n, least=least))
-    rank = F.row_number().over(Window.partitionBy("volume_id").orderBy(F.abs("c").desc(), "j", "band", "z", "y", "x"))
+    return _best(transform(voxels, shape, levels), shape, n, levels, least, centred, ("volume_id",), 1)
+
+
+def sample_rgba(rgba: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False) -> DataFrame:
+    """The same for each volume and transfer function, by the norm of the four channels' coefficients: (volume_id, tf_name,
+    point_id, px, py, pz, coeff_abs, level, band, r, g, b, a), the colours those of the nearest voxel."""
+    by = ("volume_id", "tf_name")
+    return grid.lookup(_best(transform_rgba(rgba, shape, levels), shape, n, levels, least, centred, by, 4), rgba, shape, values=tuple("rgba"), by=by)
+
+
+def _best(coeffs: DataFrame, shape: tuple[int, int, int], n: int, levels: int, least: int, centred: bool, by: tuple[str, ...], channels: int) -> DataFrame:
+    top = band_top(coeffs, budgets(coeffs, n, least=least, by=by, channels=channels), by)
+    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.abs("c").desc(), "j", "band", "z", "y", "x"))
     best = top.withColumn("point_id", (rank - 1).cast("int")).where(F.col("point_id") < n)
-    return centres(best, shape, levels, centred).select("volume_id", "point_id", "px", "py", "pz", F.abs("c").alias("coeff_abs"), F.col("j").alias("level"), "band")
+    return centres(best, shape, levels, centred).select(*by, "point_id", "px", "py", "pz", F.abs("c").alias("coeff_abs"), F.col("j").alias("level"), "band")

@@ -423,14 +423,14 @@ def smp05(spark, d):
     return sampling.even_subsample(frames_px(spark, d).select("tf_name", "frame").distinct(), ["tf_name"], ["frame"], 12)
 
 
-def _haar_sql(src: str, dst: str) -> str:
+def _haar_sql(src: str, dst: str, keys: str = "volume_id") -> str:
     sign = lambda b: " * ".join(["1"] + [f"(1 - 2 * ({c} % 2))" for k, c in zip(b, "zyx", strict=True) if k == "d"])
     bands = ", ".join(f"sum(v * {sign(b)}) * {wavelet.SCALE!r}::double as {b}" for b in wavelet.BANDS)
-    return f"{dst} as (select volume_id, (z // 2)::int as z, (y // 2)::int as y, (x // 2)::int as x, {bands} from {src} group by all)"
+    return f"{dst} as (select {keys}, (z // 2)::int as z, (y // 2)::int as y, (x // 2)::int as x, {bands} from {src} group by all)"
 
 
-def _detail_sql(src: str, j: int) -> str:
-    return " union all ".join(f"select volume_id, {j} as j, '{b}' as band, z, y, x, {b} as c from {src}" for b in wavelet.BANDS[1:])
+def _detail_sql(src: str, j: int, keys: str = "volume_id") -> str:
+    return " union all ".join(f"select {keys}, {j} as j, '{b}' as band, z, y, x, {b} as c from {src}" for b in wavelet.BANDS[1:])
 
 
 HAAR1 = f"{EMB}, {_haar_sql('emb', 'h1')}, co as (select volume_id, 0 as j, 'aaa' as band, z, y, x, aaa as c from h1 union all {_detail_sql('h1', 1)})"
@@ -471,6 +471,22 @@ def wavs(spark, d):
     return r6(wavelet.sample(emb(spark, d), (4, 4, 4), 40, 2, least=2), "px", "py", "pz", "coeff_abs")
 
 
+CHANNELS = "volume_id, tf_name, ch"
+
+
+@query("wav_sampler_rgba", f"""{NORM}, {_bake_sql('norm', TFS)}, lc as (select volume_id, tf_name, z, y, x, unnest(['r', 'g', 'b', 'a']) as ch, unnest([r, g, b, a]) as v from rgba),
+{_haar_sql('lc', 'h1', CHANNELS)}, a1 as (select {CHANNELS}, z, y, x, aaa as v from h1), {_haar_sql('a1', 'h2', CHANNELS)},
+cc as (select {CHANNELS}, 0 as j, 'aaa' as band, z, y, x, aaa as c from h2 union all {_detail_sql('h1', 1, CHANNELS)} union all {_detail_sql('h2', 2, CHANNELS)}),
+co as (select volume_id, tf_name, j, band, z, y, x, sqrt(sum(c * c)) as c from cc group by all), e as (select volume_id, tf_name, j, band, sum(c * c) as energy, count(*) as size from cc group by all),
+sc as (select *, ln(1 + energy) * size * power(j + 1.0, -1.2) as score from e), bu as (select *, greatest(floor(score / (sum(score) over (partition by volume_id, tf_name) + 1e-12) * 40), 2)::int as k from sc),
+rk as (select co.*, k, row_number() over (partition by volume_id, tf_name, j, band order by c desc, z, y, x) as r from co join bu using (volume_id, tf_name, j, band)),
+fin as (select *, (row_number() over (partition by volume_id, tf_name order by c desc, j, band, z, y, x) - 1)::int as point_id, power(2.0, case when j = 0 then 2 else j end) as st from rk where r <= k),
+p as (select volume_id, tf_name, point_id, {', '.join(f'1.5 + ({c} - floor(4 / st) * 0.5) * st as p{c}' for c in 'xyz')}, c as coeff_abs, j as level, band from fin where point_id < 40)
+select p.volume_id, p.tf_name, point_id, {s6('px', 'py', 'pz', 'coeff_abs')}, level, band, {s6(*'rgba')} from p join rgba q on q.volume_id = p.volume_id and q.tf_name = p.tf_name and {' and '.join(f'q.{c} = least(greatest(round_even(p{c}, 0), 0), 3)::int' for c in 'zyx')}""")
+def wavs_rgba(spark, d):
+    return r6(wavelet.sample_rgba(transfer.bake(norm_emb(spark, d), TFS), (4, 4, 4), 40, 2, least=2), "px", "py", "pz", "coeff_abs", *"rgba")
+
+
 VF, HF = math.radians(45), 2 * math.atan(math.tan(math.radians(22.5)))
 DIST = camera.fit_distance((2.6, 1.3, 1.3), VF, HF, 0.8)
 POSES = f"""with p as (select i::int as pose_id, 2.0 * ((i + 0.5) / 64.0::double) - 1.0 as z, i * {2 * math.pi * (1 - 2 / (1 + math.sqrt(5)))!r}::double as t from range(0, 64) r(i)),

@@ -141,8 +141,13 @@ def _uniform(s: State, params):
 def _wavelet(s: State, params):
     if params.get("wavelet", "haar") not in ("haar", "db1"):
         raise ValueError("the Haar wavelet is the one there is")
-    drawn = wavelet.sample(s.voxels, s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False)))
-    return geometry.index_to_world(drawn, s.geometry, ("px", "py", "pz"), ("x", "y", "z")).select("volume_id", F.lit(None).cast("string").alias("tf_name"), "point_id", "x", "y", "z", "coeff_abs", "level")
+    how = s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False))
+    if s.rgba is None:
+        drawn, tf, colours = wavelet.sample(s.voxels, *how), F.lit(None).cast("string").alias("tf_name"), []
+    else:
+        drawn, tf = wavelet.sample_rgba(s.rgba, *how), F.col("tf_name")
+        colours = [F.col(c[0]).alias(c) for c in ("red", "green", "blue", "alpha")]
+    return geometry.index_to_world(drawn, s.geometry, ("px", "py", "pz"), ("x", "y", "z")).select("volume_id", tf, "point_id", "x", "y", "z", "coeff_abs", "level", *colours)
 
 
 @register("renderer", "composite")
@@ -194,10 +199,9 @@ def run_volume(spark: SparkSession, cfg: C.Config, state: State, tile: str | Non
             params["vti_path"] = export_path(params["vti_path"], "vti", tile=tile)
         state = find("stage", part.name)(state, params)
     result: dict = {"outputs": [], "qc": None, "canonical_vti_path": state.notes.get("canonical_vti_path")}
-    verdicts, many = None, False
+    verdicts = None
     if cfg.render:
         frames, tfs = find("renderer", cfg.render.name)(state, cfg.render.params)
-        many = len(tfs) > 1
         state.tfs = state.tfs or tfs
         if cfg.qc is not None and cfg.qc.get("enabled", True):
             px = frames.withColumn("gray", qc.gray(F.col("r"), F.col("g"), F.col("b")))
@@ -218,7 +222,7 @@ def run_volume(spark: SparkSession, cfg: C.Config, state: State, tile: str | Non
         kept = [r[0] for r in points.select("tf_name").distinct().orderBy("tf_name").collect()]  # one for each transfer function
         for name in kept:
             one = points.where(F.col("tf_name").eqNullSafe(name)).drop("tf_name", "volume_id")
-            path = export_path(cfg.export_path, cfg.export.name, name, many and len(kept) > 1, tile)
+            path = export_path(cfg.export_path, cfg.export.name, name, len(kept) > 1, tile)
             find("exporter", cfg.export.name)(one, path)
             result["outputs"].append(path)
     return result

@@ -160,6 +160,26 @@ def test_wavelet_sample(spark):
     assert wavelet.transform_rgba(rgba, (4, 4, 4), 2).count() == 64
 
 
+def test_wavelet_sampler_takes_rgba(spark):
+    from lumengrid.plans import pipeline
+
+    tfs = [transfer.TransferFunction(n, ((0, 0, 0, 0, 0), (64, *top))) for n, top in (("T", (1, 0.5, 0.25, 1)), ("U", (1, 1, 1, 0)))]
+    v = fields.ramp_volume(spark)
+    s = pipeline.State(v, (4, 4, 4), tfs=tfs, rgba=transfer.bake(v, tfs))
+    got = pipeline.find("sampler", "wavelet")(s, {"n_points": 8, "k_min": 1, "centered": True}).toPandas()
+    assert set(got["tf_name"]) == {"T", "U"} and (got.groupby("tf_name").size() <= 8).all()
+    for t in got.itertuples():
+        at = lambda c: int(min(max(np.round(c), 0), 3))
+        value = (at(t.z) * 16 + at(t.y) * 4 + at(t.x)) / 64
+        assert np.allclose([t.red, t.green, t.blue, t.alpha], np.multiply(value, tfs["TU".index(t.tf_name)].points[1][1:]))
+    # The largest coefficient is the mean of the last block, in the norm over the channels.
+    block = np.arange(64).reshape(4, 4, 4)[2:, 2:, 2:].sum() * wavelet.SCALE / 64
+    top = got.groupby("tf_name")["coeff_abs"].max()
+    assert math.isclose(top["T"], block * math.sqrt(2.3125), rel_tol=1e-9) and math.isclose(top["U"], block * math.sqrt(3), rel_tol=1e-9)
+    sizes = wavelet.budgets(wavelet.transform_rgba(s.rgba, (4, 4, 4), 1), 8, by=("volume_id", "tf_name"), channels=4)
+    assert {r["size"] for r in sizes.collect()} == {32}
+
+
 def test_geometry_round_trip(spark):
     g = geometry.Geometry((0.5, 2.0, 3.0), (1.0, 2.0, 3.0), ((0.0, -1.0, 0.0), (1.0, 0.0, 0.0), (0.0, 0.0, 1.0)))
     df = geometry.world_to_index(geometry.index_to_world(fields.ramp_volume(spark), g), g)
