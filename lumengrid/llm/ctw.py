@@ -222,8 +222,8 @@ def train(counts: DataFrame) -> tuple[tuple[np.ndarray, np.ndarray], DataFrame]:
                     done, left, found = done[at], left[at], found[at]
                 p, w = (n1 + 0.5) / (n0 + n1 + 1), weights[d][1]
                 m = done + left * p
-                # A context seen once, or one that predicts as those above it, is not worth a row.
-                worth = (n0 + n1 > 1) & ((np.abs(np.log(m / found)) > ALIKE) | (np.abs(np.log((1 - m) / (1 - found))) > ALIKE))
+                # A context that predicts as those above it is not worth a row.
+                worth = (np.abs(np.log(m / found)) > ALIKE) | (np.abs(np.log((1 - m) / (1 - found))) > ALIKE)
                 frames.append(pd.DataFrame({"before": pdf["before"].iat[0], "depth": np.int32(d), "key": keys[worth].view(np.int64), "m": m[worth].astype(np.float32)}))
                 found = np.where(worth, m, found)
                 done, left = done + left * w * p, left * (1 - w)

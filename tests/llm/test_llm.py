@@ -280,6 +280,22 @@ def test_ctw_is_a_distribution(spark):
         assert math.isclose((10 ** mix.log10(code)).sum(), 1.0, rel_tol=1e-9)
 
 
+def test_ctw_keeps_contexts_seen_once(spark, monkeypatch):
+    d = table(spark, ["ab " * 60 + "Qz"])  # z comes once, after the only Q
+    counts = common.written(d.select("text").mapInArrow(ctw._count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts").where("kind = 1").select("key", "n")
+    alike = ctw.ALIKE
+
+    def mixture(least):
+        monkeypatch.setattr(ctw, "ALIKE", least)
+        root, nodes = ctw.train(counts)
+        assert nodes.where(f"before = {ord('Q')} and depth = 1").count() > 0
+        return ctw.Mixture(root, ctw._load(nodes))
+
+    code = np.sort(np.array([r["key"] for r in counts.collect()]).view(np.uint64))
+    off = np.abs(mixture(alike).log10(code) - mixture(-1.0).log10(code))  # against the trees with every node
+    assert off.max() <= 8 * alike / math.log(10) + 1e-5
+
+
 def test_kt_block():
     assert math.isclose(ctw.kt_block(np.array([2]), np.array([1]))[0], math.log(0.5 * 0.75 * (0.5 / 3)))
     assert np.allclose(ctw.kt_block(np.array([5000]), np.array([7000])), math.lgamma(5000.5) + math.lgamma(7000.5) - math.lgamma(12001) - math.log(math.pi))
