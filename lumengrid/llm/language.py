@@ -4,7 +4,7 @@ From labelled text of each language a suffix automaton is built. A text is parse
 phrases that occur in that language's text; the language that needs the fewest phrases per character wins. Text is parsed
 in segments of SEGMENT code points (a phrase ends with its segment, for every language alike), so that many segments move
 through the automata together, with one array operation for each character of a segment. White space runs count as one
-space, digits and other characters without a letter as one class; letters are lower-cased.
+space, digits and other characters without a letter as one class; letters are lower-cased, those beyond the basic plane one class.
 
 Fitting takes a bounded sample: for each language the ROWS labelled documents with the smallest hashes of their text, and
 CHARS characters of these (at most CHARS // 40 of one document, so that one odd document weighs little). Prediction reads
@@ -82,7 +82,11 @@ def normal(codes: np.ndarray) -> np.ndarray:
     """Code points to classes, with runs of spaces and runs of '#' as one."""
     if not _TABLE:
         _TABLE.append(_class_table())
-    out = np.where(codes < 1 << 16, _TABLE[0][np.minimum(codes, (1 << 16) - 1)], 0xFFFD).astype(np.uint16)
+    out = _TABLE[0][np.minimum(codes, (1 << 16) - 1)]
+    astral = codes >= 1 << 16
+    if astral.any():  # letters beyond the basic plane are one class, others are like its others
+        distinct, back = np.unique(codes[astral], return_inverse=True)
+        out[astral] = np.array([0xFFFD if chr(c).isalpha() else ord("#") for c in distinct.tolist()], np.uint16)[back]
     keep = np.ones(len(out), bool)
     keep[1:] = (out[1:] != out[:-1]) | ((out[1:] != 32) & (out[1:] != 35))
     return out[keep]

@@ -384,6 +384,13 @@ def test_decontamination(spark, docs, empty):
 # op8
 
 
+def test_astral_symbols_are_no_letters(spark):
+    model = language.fit_texts({"en": ["the cat sat on the mat"], "de": ["der Hund und die Katze"]})
+    got = {r.doc_id: (r.lang_pred, r.score > 0) for r in language.predict(table(spark, ["\U0001f600 123", "\U0001f600", "the cat \U0001f600", "\U00010400"]), model).collect()}
+    assert got[0] == got[1] == ("und", False) and got[2] == ("en", True) and got[3][0] != "und"
+
+
+
 def test_language(spark, empty):
     alphabets = {"aa": "abcde", "bb": "defgh", "cc": "hijka"}
     rng = np.random.default_rng(0)
