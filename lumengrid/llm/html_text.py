@@ -1,7 +1,8 @@
 """Main text of web pages: nearest-URL page differencing, then a check by the page's structure.
 
 Pages are dealt by ranges of (host, path) and sorted, so that each meets the pages of its host whose paths are nearest: the
-one before it and the one after it (at the ends of a host or of a partition, one of them). The pages' text lines (blocks)
+one before it and the one after it (at the ends of a host, one of them). Each range also gets the last page of the range
+before it and the first of the one after, so results don't depend on the ranges. The pages' text lines (blocks)
 are aligned by a longest common subsequence, and shared lines are deleted, inside <article> and <main> too. What differencing
 can't know the structure check mends: lines of the article come back where the neighbour is a copy (it repeats at least half
 of the article's characters) or where the line is the page's <title> and not the neighbour's, and lines go that no neighbour
@@ -26,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import common
+from .fingerprints import _bucket
 
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -189,16 +191,41 @@ def main_text(lines: list[tuple[str, int]], *neighbours: list[tuple[str, int]])
     return " ".join(texts[i] for i in sorted(own + rest) or loose)
 
 
+#: Pages' keys drawn for each range's bounds.
+DRAWN = 50
+
+
+def _ranges(rows: DataFrame) -> DataFrame:
+    """rows (with key) dealt by ranges of key and sorted, with bucket, side (1: own; 0 and 2: the page before the range and the one after it) and h."""
+    spark = rows.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    buckets, n = 2 * parts, rows.count()
+    drawn = sorted({r[0] for r in rows.select("key").sample(min(1.0, DRAWN * buckets / max(n, 1)), 1).limit(2 * DRAWN * buckets).collect()})
+    bounds = sorted({drawn[len(drawn) * i // buckets] for i in range(1, buckets)}) if drawn else []
+    own = rows.withColumns({"bucket": _bucket(F.col("key"), bounds), "side": F.lit(1), "h": F.xxhash64("html")})
+    # One row for each bucket: the number of buckets is set above.
+    ends = own.groupBy("bucket").agg(F.min("key"), F.max("key")).orderBy("bucket").collect()
+    both = own
+    for side, at, of, pick in ((0, 1, 2, F.max), (2, -1, 1, F.min)):
+        to = {ends[i][of]: ends[i + at][0] for i in range(len(ends)) if 0 <= i + at < len(ends)}
+        if to:
+            place = F.create_map(*[F.lit(v) for kv in to.items() for v in kv])[F.col("key")]
+            halo = own.where(F.col("key").isin(list(to))).groupBy("key").agg(pick(F.struct("h", *rows.drop("key").columns)).alias("m"))
+            both = both.unionByName(halo.select(place.alias("bucket"), F.lit(side).alias("side"), "key", "m.*"))
+    return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "side", "key", "h")
+
+
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """Per row of pages: page_id, url, text, n_chars."""
     url = F.coalesce(F.col("url"), F.lit(""))
     rows = common.pick(pages, page_id=id_col, url=url_col, html=html_col).select(
         "page_id", "url", "html", F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.\-]*://([^/?#]*)", 1)).alias("host"), F.regexp_extract(url, r"://[^/?#]*([^?#]*)", 1).alias("path")
     )
-    order = ["host", "path", "page_id", F.xxhash64("html")]
-    ordered = rows.repartitionByRange(*order).sortWithinPartitions(*order)
+    number = F.lpad(F.coalesce(F.col("page_id").cast("string"), F.lit("")), 20, "0")
+    ordered = _ranges(rows.withColumn("key", F.concat_ws("\0", "host", "path", number)))
 
     def run(batches):
+        place = None  # the bucket
         before: tuple | None = None  # the page before the waiting one: host, lines
         waiting: tuple | None = None  # the last page so far: id, url, host, lines
 
@@ -218,18 +245,22 @@ def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", htm
             kind = batch.schema.field(0).type
             for part in common.slices(batch, "html"):
                 done = []
-                for page, u, html, host in zip(*(part.column(i).to_pylist() for i in range(4)), strict=True):
+                for page, u, html, host, bucket, side in zip(*(part.column(i).to_pylist() for i in range(6)), strict=True):
                     lines = page_lines(html or "")
                     if waiting:
-                        done.append(finish((host, lines)))
+                        done.append(finish((host, lines) if bucket == place else None))
                         before = waiting[2], waiting[3]
-                    waiting = page, u, host, lines
+                    if bucket != place:
+                        place, before = bucket, None
+                    if side == 0:
+                        before = host, lines
+                    waiting = (page, u, host, lines) if side == 1 else None
                 if done:
                     yield out(kind, done)
         if waiting:
             yield out(kind, [finish(None)])
 
-    return ordered.select("page_id", "url", "html", "host").mapInArrow(run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
+    return ordered.select("page_id", "url", "html", "host", "bucket", "side").mapInArrow(run, f"page_id {rows.schema['page_id'].dataType.simpleString()}, url string, text string, n_chars long")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -345,6 +345,21 @@ def test_differencing_decides_in_articles(spark):
     assert got == {1: "One First text of some length Dated Monday", 2: "Two Second text of some length", 3: "C Copied text All rights reserved.", 4: "C Copied text All rights reserved.", 5: "D Own text", 6: "Only text", 7: "E"}
 
 
+def test_ranges_do_not_matter(spark):
+    # Each page shares a line with the one before it and another with the one after it.
+    rows = [(i, f"http://a.x/{i:03}", f"<p>s{i - 1}</p><p>s{i}</p><p>own {i}</p>") for i in range(40)]
+    names = {"spark.sql.shuffle.partitions": "7", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    was = {k: spark.conf.get(k) for k in names}
+    try:
+        for k, v in names.items():
+            spark.conf.set(k, v)
+        got = {r.page_id: r.text for r in html_text.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    finally:
+        for k, v in was.items():
+            spark.conf.set(k, v)
+    assert got == {0: "s-1 own 0", **{i: f"own {i}" for i in range(1, 39)}, 39: "s39 own 39"}
+
+
 def test_common_lines():
     rng = np.random.default_rng(1)
     for _ in range(100):
