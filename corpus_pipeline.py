@@ -17,9 +17,14 @@ SIMILAR = (80, 100)
 MASK = "[SECRET]"
 
 
+def _own(docs: DataFrame) -> list:
+    """The columns of docs, however named."""
+    return [F.col(f"`{c}`") for c in docs.columns]
+
+
 def _back(docs: DataFrame) -> list:
     """The columns of docs, from an operator's result that keeps them as keep_<name>."""
-    return [F.col("doc_id" if c == "doc_id" else "text" if c == "text" else f"keep_{c}").alias(c) for c in docs.columns]
+    return [F.col("doc_id" if c == "doc_id" else "text" if c == "text" else f"`keep_{c}`").alias(c) for c in docs.columns]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -31,16 +36,23 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the document with the least id; of rows that repeat id and text one."""
-    kept = near_dup.near_duplicates(docs, *SIMILAR).where("kept").select(F.col("doc_id").alias("id that is kept")).distinct()
-    h = "hash of the text"
-    one = docs.join(common.written(kept, "kept"), F.col("doc_id").eqNullSafe(F.col("id that is kept")), "left_semi").withColumn(h, F.xxhash64("text"))
-    return one.dropDuplicates(["doc_id", h]).select(*docs.columns)
+    key, times, h = "id that is kept", "rows of the id", "hash of the text"
+    with common.tables(spark) as keep:
+        kept = near_dup.near_duplicates(docs, *SIMILAR).where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(times))
+        kept = common.written(kept, "kept")
+        keep(kept)
+    one = docs.join(common.bounded(kept), F.col("doc_id").eqNullSafe(F.col(key)))
+    again = one.where(F.col(times) > 1).withColumn(h, F.xxhash64("text")).dropDuplicates(["doc_id", h])
+    return one.where(F.col(times) == 1).select(*_own(docs)).union(again.select(*_own(docs)))
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    leaks = common.written(decontam.search(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("rid").alias("hash of a leak")).distinct(), "leaks")
-    return docs.join(leaks, F.xxhash64("doc_id", "text") == F.col("hash of a leak"), "left_anti").select(*docs.columns)
+    """Documents that hold no benchmark item; a row is known by its id and text, so rows that repeat both go or stay together."""
+    leak = "hash of a leak"
+    with common.tables(spark) as keep:
+        leaks = common.written(decontam.search(docs, common.table(spark, sf_dir, "benchmark")).select(F.col("rid").alias(leak)).distinct(), "leaks")
+        keep(leaks)
+    return docs.join(common.bounded(leaks), F.xxhash64("doc_id", "text") == F.col(leak), "left_anti").select(*_own(docs))
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -80,7 +92,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = common.table(spark, sf_dir, "documents")
+    docs, before = common.table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
-        docs = common.written(stage(spark, docs, sf_dir), name)
+        with common.tables(spark) as keep:
+            docs = common.written(stage(spark, docs, sf_dir), name)
+            keep(docs)
+        if before is not None:
+            common.discard(before)
+        before = docs
     return docs

@@ -42,10 +42,15 @@ def load_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
 
 
+#: States of a transducer and bytes of known pieces that a worker keeps; the second pair where other stages need the memory.
+STATES, PIECES = 150_000, 160 << 20
+FEW_STATES, FEW_PIECES = 60_000, 64 << 20
+
+
 class Transducer:
     """Bytes of one piece to token ids."""
 
-    def __init__(self, ranks: dict[bytes, int], most_states: int = 60_000):
+    def __init__(self, ranks: dict[bytes, int], most_states: int = STATES):
         self.ranks, self.most = ranks, most_states
         self.name = {r: b for b, r in ranks.items()}
         #: Every prefix of a token: (its rank or -1, whether a longer token has it as a prefix).
@@ -320,19 +325,19 @@ class StreamDecoder:
 class Codec:
     """Encode texts piece by piece (each distinct piece goes through the transducer once while it is kept) and decode ids."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, states: int = STATES, keep_bytes: int = PIECES):
         import public_tokenizers
         import regex
 
         self.split = regex.compile(piece_pattern(pattern)).findall
-        self.transducer = Transducer(ranks)
+        self.transducer = Transducer(ranks, states)
         names = [b""] * (max(ranks.values()) + 1)
         for b, r in ranks.items():
             names[r] = b
         self.decoder = StreamDecoder(names)
         self.decimal = [str(i) for i in range(len(names))]
         # Array operations know one pattern; texts go through the general one for any other.
-        self.encode_all = pieces.PieceEncoder(self._pieces, self._texts).encode if pattern == public_tokenizers.PATTERN else self._texts
+        self.encode_all = pieces.PieceEncoder(self._pieces, self._texts, keep_bytes=keep_bytes).encode if pattern == public_tokenizers.PATTERN else self._texts
 
     def _pieces(self, new: list[str]) -> list[list[int]]:
         return [self.transducer.encode(p.encode()) for p in new]
@@ -359,8 +364,8 @@ class Codec:
 
 
 @lru_cache(maxsize=2)
-def codec(path: str, pattern: str) -> Codec:
-    return Codec(load_ranks(path), pattern)
+def codec(path: str, pattern: str, states: int = STATES, keep_bytes: int = PIECES) -> Codec:
+    return Codec(load_ranks(path), pattern, states, keep_bytes)
 
 
 def _digest(c: Codec, ids: np.ndarray) -> tuple[str, str]:
@@ -377,13 +382,13 @@ def _digests(c: Codec, texts: list[str]):
 def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", digests: bool = False, keep: bool = True) -> DataFrame:
     """doc_id, n_tokens and ids (array<int>) of every row; with digests also ids_sha256 and decoded_sha256, of the ids decoded again.
 
-    Workers keep what they have learned of pieces from task to task; with keep=False they let go of it at a task's end, which
-    leaves their memory to the stages that follow in the same workers."""
+    Workers keep what they have learned of pieces from task to task; with keep=False they keep less of it and let go of it
+    at a task's end, which leaves their memory to the other stages in the same workers."""
     rows = common.pick(docs, doc_id=id_col, text=text_col)
     more = ["ids_sha256", "decoded_sha256"] if digests else []
 
     def run(batches):
-        c = codec(path, pattern)
+        c = codec(path, pattern) if keep else codec(path, pattern, FEW_STATES, FEW_PIECES)
         for batch in batches:
             for part in common.slices(batch, most=1 << 20):
                 got = c.encode_all([x or "" for x in part.column(1).to_pylist()])

@@ -7,6 +7,7 @@ import gc
 import re
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -46,24 +47,73 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/lumengrid/{name}-{uuid.uuid4().hex}"
 
 
+#: Settings that hold while a table is written: Python workers hold a batch at a time (texts can be long), and a table's
+#: shuffle files go as soon as it is there.
+_ROWS, _FILES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Paths of the tables written within each open tables() block, innermost last.
+_open: list[set[str]] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
-    spark, rows = df.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch"
-    path, before = scratch(spark, name), spark.conf.get(rows)
-    # Python workers hold a batch at a time: texts can be long.
-    spark.conf.set(rows, min(int(before), BATCH_ROWS) if int(before) > 0 else BATCH_ROWS)
+    spark = df.sparkSession
+    path, before = scratch(spark, name), {k: spark.conf.get(k) for k in (_ROWS, _FILES)}
+    rows = int(before[_ROWS])
+    spark.conf.set(_ROWS, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
+    spark.conf.set(_FILES, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", "zstd").parquet(path)
     finally:
-        spark.conf.set(rows, before)
-    return spark.read.schema(df.schema).parquet(path)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    if _open:
+        _open[-1].add(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by written() that nothing reads any more."""
+    for t in tables:
+        _delete(t.sparkSession, t.scratch_path)
+        for held in _open:
+            held.discard(t.scratch_path)
+
+
+@contextmanager
+def tables(spark: SparkSession):
+    """Tables written within the block are deleted at its end, but for those given to the function that it yields."""
+    mine: set[str] = set()
+    kept: set[str] = set()
+    _open.append(mine)
+    try:
+        yield lambda *keep: kept.update(t.scratch_path for t in keep)
+    finally:
+        _open.remove(mine)
+        if _open:
+            _open[-1].update(mine & kept)
+        for path in mine - kept:
+            _delete(spark, path)
 
 
 def clean(spark: SparkSession) -> None:
     """Delete all tables that operators have written to the shared folder; results that read them must be saved first."""
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark).rstrip('/')}/lumengrid")
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _delete(spark, f"{shared_dir(spark).rstrip('/')}/lumengrid")
+
+
+#: Rows of a table of numbers up to which it is broadcast; larger ones are shuffled.
+BROADCAST_ROWS = 1_000_000
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """Broadcast if it has been counted to be small; else Spark's own choice, which for large tables is to shuffle both sides."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
 
 
 def release() -> None:

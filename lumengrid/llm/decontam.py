@@ -22,8 +22,6 @@ from pyspark.sql import functions as F
 from . import common
 
 WORDS, THRESHOLD, SMALL, PER_CLASS, NEED = 5, 0.8, 32, 8, 0.3
-#: Rows of a table of item shingles up to which it is broadcast (16 bytes and an id each); larger ones are shuffled.
-BROADCAST_ROWS = 1_000_000
 
 
 def _word_hashes(text: Column) -> Column:
@@ -65,11 +63,6 @@ def minima(shingles: DataFrame) -> DataFrame:
     return out
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """Broadcast if it has been counted to be small; else Spark's own choice, which for large tables is to shuffle both sides."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def _document_shingles(docs: DataFrame, lengths: list[int]) -> DataFrame:
     """(rid, doc_id, h): the distinct shingles of each document, for the given lengths."""
     w = docs.select("rid", "doc_id", _word_hashes(F.col("text")).alias("w"))
@@ -87,10 +80,10 @@ def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_c
     index = common.written(item_shingles(items, item_id), "item-shingles")
     lengths = [r[0] for r in index.select("words").distinct().orderBy("words").collect()] or [WORDS]  # five values at most
     mins = common.written(minima(index), "item-minima")
-    pairs = _document_shingles(rows, lengths).join(_bounded(mins), "h").groupBy("rid", "item_id").agg(F.sum("weight").alias("hits"), F.max("k").alias("k"))
+    pairs = _document_shingles(rows, lengths).join(common.bounded(mins), "h").groupBy("rid", "item_id").agg(F.sum("weight").alias("hits"), F.max("k").alias("k"))
     found = common.written(pairs.where(F.col("hits") >= F.ceil(F.col("k") * (NEED * threshold / THRESHOLD))).select("rid", "item_id"), "candidates")
     few = rows.join(found.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"])
-    shared = _document_shingles(few, lengths).join(_bounded(index), "h").groupBy("rid", "doc_id", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
+    shared = _document_shingles(few, lengths).join(common.bounded(index), "h").groupBy("rid", "doc_id", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
     # Only pairs that the search has found.
     return shared.join(found, ["rid", "item_id"], "left_semi").withColumn("containment", F.col("n_shared") / F.col("n_shingles")).where(
         F.col("containment") >= threshold

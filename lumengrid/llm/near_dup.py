@@ -10,7 +10,8 @@ are confirmed on full sets.
 No bucket or cluster of unbounded size is collected or paired off:
 - In a bucket of more than FEW classes only pairs with a leader are estimated. A class close to the leader is settled in
   this bucket: by the triangle inequality of the Jaccard distance, whatever it could be linked with is possible for the
-  leader too, and so in one cluster with it. The rest gets new leaders; what is left after LEADERS rounds is paired in blocks.
+  leader too, and so in one cluster with it. The rest is paired off if it is WIDE classes at most, else it gets another
+  leader; what is still larger after ROUNDS of this is paired in blocks.
 - Clusters of more than UNIT classes are confirmed in blocks that share some hub classes. Classes outside the largest
   component found so are then compared with every block, so that no link between components is lost.
 
@@ -32,11 +33,9 @@ from .components import connected
 
 REGISTERS, MANTISSA, ROWS, WORDS = 128, 10, 5, 5
 BANDS = REGISTERS // ROWS
-SIGMAS, FEW, LEADERS, WIDE, UNIT, HUBS = 5.0, 8, 1, 1024, 1024, 4
+SIGMAS, FEW, ROUNDS, WIDE, UNIT, HUBS = 5.0, 8, 3, 512, 1024, 4
 #: Shingles of a unit of confirmation (8 bytes each), and registers of the finer sketches that spare it most intersections.
 UNIT_SHINGLES, FINE = 4_000_000, 512
-#: Classes in clusters (two numbers each) up to which their ids are broadcast to find their texts.
-BROADCAST_ROWS = 1_000_000
 #: Distance from its leader within which a class is settled, and the standard deviations by which it must surely be so.
 SETTLED, SURE = 0.35, 4.0
 
@@ -157,8 +156,8 @@ def _all_pairs(groups: DataFrame, by: list[str]) -> DataFrame:
 
 
 def _in_blocks(members: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
-    """Links (a, b) that span the possible pairs of large buckets: blocks of about WIDE classes, each with itself and
-    with every other one; of a pair of blocks no more links come out than it has classes."""
+    """Links (a, b) that span the possible pairs of buckets; one of more than WIDE classes in blocks of about as many, each
+    with itself and with every other one. Of a pair of blocks no more links come out than it has classes."""
     of = F.ceil(F.col("size") / WIDE).cast("int")
     blocks = members.select("bk", "cid", of.alias("of"), F.pmod(F.xxhash64("cid", F.lit("block")), of).cast("int").alias("i"))
     dealt = blocks.select("bk", "cid", "i", F.explode(F.sequence(F.lit(0), F.col("of") - 1)).alias("j"))
@@ -190,24 +189,32 @@ def _in_blocks(members: DataFrame, classes: DataFrame, num: int, den: int) -> Da
 def possible_pairs(classes: DataFrame, num: int, den: int) -> DataFrame:
     """Pairs (a, b) that span the clusters of classes that could be linked."""
     rows, found = _bands(classes), []
-    for turn in range(LEADERS + 1):
-        heads = common.written(rows.groupBy("bk").agg(F.count("*").alias("size"), F.min(F.struct(F.xxhash64("cid", F.lit(turn)), F.col("cid").alias("id")))["id"].alias("leader")).where("size > 1"), "buckets")
+    for turn in range(ROUNDS + 1):
+        mask = F.lit(int(common.mix(np.array([turn], np.uint64)).view(np.int64)[0]))  # class ids are hashes: each turn has its own order of them
+        heads = rows.groupBy("bk").agg(F.count("*").alias("size"), F.min(F.col("cid").bitwiseXOR(mask)).bitwiseXOR(mask).alias("leader")).where("size > 1")
+        heads = common.written(heads, "buckets")
         members = common.written(rows.join(heads, "bk").select("bk", "cid", "size", "leader"), "members")
-        few, many = members.where(F.col("size") <= FEW), members.where(F.col("size") > FEW)
-        pairs = _all_pairs(few, ["bk"])
-        last = turn == LEADERS
-        left = not many.isEmpty()
-        if left and not last:
-            led = many.where("cid <> leader").select(F.col("leader").alias("b"), F.col("cid").alias("a")).distinct().select("a", "b")
-            got = _estimated(pairs.withColumn("led", F.lit(False)).select("a", "b").union(led).distinct(), classes, num, den)
-            found.append(got.where("possible or wide").select("a", "b"))
-            settled = got.where("near").select(F.col("a").alias("cid"), F.col("b").alias("leader"))
-            rows = many.where("cid <> leader").join(settled, ["cid", "leader"], "left_anti").select("bk", "cid")
-            continue
-        if left:
-            found.append(_in_blocks(many, classes, num, den))
-        found.append(_estimated(pairs, classes, num, den).where("possible").select("a", "b"))
-        break
+        common.discard(heads)
+        if turn:
+            common.discard(rows)
+        pairs = _all_pairs(members.where(F.col("size") <= FEW), ["bk"])
+        # A leader first; after that only in buckets that are too large to be paired off.
+        few_enough = FEW if turn == 0 else WIDE if turn < ROUNDS else None
+        many = members.where(F.col("size") > few_enough) if few_enough else members.limit(0)
+        blocks = members.where(F.col("size") > FEW) if not few_enough else members.where((F.col("size") > FEW) & (F.col("size") <= few_enough))
+        if turn and not blocks.isEmpty():
+            found.append(common.written(_in_blocks(blocks, classes, num, den), "block-links"))
+        if many.isEmpty():
+            found.append(_estimated(pairs, classes, num, den).where("possible").select("a", "b"))
+            common.discard(members)
+            break
+        led = many.where("cid <> leader").select(F.col("leader").alias("b"), F.col("cid").alias("a")).distinct().select("a", "b")
+        got = _estimated(pairs.union(led).distinct(), classes, num, den)
+        found.append(got.where("possible or wide").select("a", "b"))
+        settled = got.where("near").select(F.col("a").alias("cid"), F.col("b").alias("leader"))
+        rest = many.where("cid <> leader").join(settled, ["cid", "leader"], "left_anti").select("bk", "cid")
+        rows = common.written(rest, "unsettled")
+        common.discard(members)
     out = found[0]
     for x in found[1:]:
         out = out.union(x)
@@ -264,18 +271,19 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 keep = [i for i, (got, want) in enumerate(zip(ids, part.column(1).to_pylist(), strict=True)) if got == want]
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["cid", "body"])
 
-    want = wanted.select(F.col("doc_id").alias("want_id"), "cid")
-    if want.count() <= BROADCAST_ROWS:
-        want = F.broadcast(want)  # else Spark's own choice, which shuffles the texts
+    want = common.bounded(wanted.select(F.col("doc_id").alias("want_id"), "cid"))
     return docs.join(want, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "cid").mapInArrow(run, "cid long, body binary")
 
 
 def link_classes(docs: DataFrame, classes: DataFrame, num: int, den: int) -> DataFrame:
     """(node, label) of the classes that are linked with others."""
-    clusters = connected(possible_pairs(classes, num, den))
+    with common.tables(docs.sparkSession) as keep:
+        clusters = connected(possible_pairs(classes, num, den))
+        keep(clusters)
     placed = clusters.select(F.col("node").alias("cid"), F.col("label").alias("cluster")).join(classes.select("cid", "doc_id", "n"), "cid")
     sizes = placed.groupBy("cluster").agg(F.greatest(F.ceil(F.count("*") / (UNIT - HUBS)), F.ceil(F.sum("n") / UNIT_SHINGLES)).cast("int").alias("of"))
     placed = common.written(placed.join(sizes, "cluster"), "clusters")
+    common.discard(clusters)
     bodies = _bodies(docs, placed.select("doc_id", "cid"))
     full = common.written(placed.join(bodies, "cid").select("cid", "cluster", "of", F.col("cid").alias("label"), "body"), "sets")
     links = _confirm(full.where("of = 1"), ["cluster"], num, den)
@@ -305,12 +313,17 @@ def link_classes(docs: DataFrame, classes: DataFrame, num: int, den: int) -> Dat
 def near_duplicates(docs: DataFrame, num: int = 85, den: int = 100, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, kept. Documents are linked if den * intersection >= num * union of their sets."""
     rows = common.pick(docs, doc_id=id_col, text=text_col)
-    marks = common.written(sketches(rows), "sketches")
-    classes = common.written(marks.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
-    labels = common.written(link_classes(rows, classes, num, den), "labels")
-    placed = classes.select("cid", "doc_id").join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
-    least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    final = common.written(placed.join(least, "label").select(F.col("cid").alias("class_id"), "component_id"), "components")
+    with common.tables(docs.sparkSession) as keep:
+        marks = common.written(sketches(rows), "sketches")
+        classes = common.written(marks.where("cid is not null").groupBy("cid").agg(F.min("doc_id").alias("doc_id"), F.max("n").alias("n"), F.max("sig").alias("sig")), "classes")
+        slim = common.written(marks.drop("sig"), "marks")
+        common.discard(marks)
+        marks = slim
+        labels = link_classes(rows, classes, num, den)
+        placed = classes.select("cid", "doc_id").join(labels.withColumnRenamed("node", "cid"), "cid", "left").withColumn("label", F.coalesce("label", "cid"))
+        least = placed.groupBy("label").agg(F.min("doc_id").alias("component_id"))
+        final = common.written(placed.join(least, "label").select(F.col("cid").alias("class_id"), "component_id"), "components")
+        keep(marks, final)
     out = marks.select("doc_id", "n", "cid").join(final, F.col("cid") == F.col("class_id"), "left")
     component = F.when(F.col("cid").isNull(), F.col("doc_id")).otherwise(F.col("component_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("doc_id").eqNullSafe(component).alias("kept"))

@@ -11,6 +11,7 @@ import struct
 import unicodedata
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import islice
 
 import numpy as np
 
@@ -59,10 +60,11 @@ def pack(n: int) -> struct.Struct:
 class PieceEncoder:
     """new: ids of each of many pieces; odd: ids of each of many texts that are not plain; special: substrings that make a text odd."""
 
-    KEEP_BYTES = 64 << 20
+    #: Memory for known pieces; beyond it the older half of them goes.
+    KEEP_BYTES = 128 << 20
 
-    def __init__(self, new: Callable[[list[str]], list[list[int]]], odd: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = ()):
-        self.new, self.odd, self.special = new, odd, special
+    def __init__(self, new: Callable[[list[str]], list[list[int]]], odd: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = (), keep_bytes: int = KEEP_BYTES):
+        self.new, self.odd, self.special, self.keep_bytes = new, odd, special, keep_bytes
         self.known: dict[int, bytes] = {}
         self.held = 0
 
@@ -85,9 +87,11 @@ class PieceEncoder:
         start = boundaries(raw, off[:-1][np.diff(off) > 0].tolist() + [len(raw)] if len(raw) else off)
         end = np.append(start[1:], len(raw)) if len(start) else start
         key, first, back = np.unique(common.word_hashes(raw, start, end, values=common.EXACT), return_index=True, return_inverse=True)
-        if self.held > self.KEEP_BYTES:
-            self.known.clear()
-            self.held = 0
+        if self.held > self.keep_bytes:
+            old = list(islice(self.known.items(), len(self.known) // 2))
+            for k, ids in old:
+                del self.known[k]
+                self.held -= len(ids) + 160
         got = list(map(self.known.get, keys := key.tolist()))
         lack = [i for i, x in enumerate(got) if x is None]
         if lack:

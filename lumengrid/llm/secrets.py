@@ -127,10 +127,20 @@ def vocabulary(rules: tuple[Rule, ...]) -> list[str]:
     return sorted({t for r in rules for c in trigram_query(r.regex) for t in c})
 
 
+def _any_of(trigrams: list[str]) -> str:
+    """A regex that finds each of the trigrams wherever it starts, group 1; alternatives share what they start with."""
+    tree: dict[str, dict[str, list[str]]] = {}
+    for t in trigrams:
+        tree.setdefault(t[0], {}).setdefault(t[1], []).append(t[2])
+    quoted = lambda c: c if c.isalnum() else f"\\x{{{ord(c):x}}}"
+    return "(?=(" + "|".join(quoted(a) + "(?:" + "|".join(f"{quoted(b)}[{''.join(map(quoted, cs))}]" for b, cs in more.items()) + ")" for a, more in tree.items()) + "))"
+
+
 def postings(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The inverted index: (trigram, doc_id), one row for each trigram of the rules' queries and document that has it."""
-    low = F.lower(F.col("text"))
-    has = F.array_compact(F.array(*[F.when(F.contains(low, F.lit(t)), F.lit(t)) for t in vocabulary(rules)]))
+    """The inverted index: (trigram, doc_id), one row for each trigram of the rules' queries and document that has it.
+    It can be kept, and given to scan() again for the same documents."""
+    vocab = vocabulary(rules)
+    has = F.array_distinct(F.regexp_extract_all(F.lower(F.col("text")), F.lit(_any_of(vocab)), F.lit(1))) if vocab else F.array().cast("array<string>")
     return common.pick(docs, doc_id=id_col, text=text_col).select(F.explode(has).alias("trigram"), "doc_id")
 
 
@@ -179,9 +189,14 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
     return F.aggregate(lens, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step)["out"]
 
 
-def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
-    """Per row of docs: doc_id, text, the columns of `keep` (as keep_<name>, so that none clashes), and found: array of (start, ord, end, kind), by start and rule."""
-    cand = candidates(postings(docs, rules, id_col, text_col), rules).withColumnRenamed("doc_id", "cand_id")
+def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), index: DataFrame | None = None) -> DataFrame:
+    """Per row of docs: doc_id, text, the columns of `keep` (as keep_<name>, so that none clashes), and found: array of (start, ord, end, kind), by start and rule.
+    index: postings() of these documents, if they have been kept. Only ids and rules of candidates are joined with the texts."""
+    with common.tables(docs.sparkSession) as kept:
+        index = index or common.written(postings(docs, rules, id_col, text_col), "postings")
+        cand = common.written(candidates(index, rules).withColumnRenamed("doc_id", "cand_id"), "secret-candidates")
+        kept(cand)
+    cand = common.bounded(cand)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
     both = rows.join(cand, F.col("doc_id").eqNullSafe(F.col("cand_id")), "left")
     empty = F.array().cast("array<struct<start:int,ord:int,end:int,kind:string>>")
