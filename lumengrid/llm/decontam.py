@@ -5,7 +5,7 @@ Words are runs of letters and digits, lower-cased; an item's shingles are its di
 as one where it has fewer). A MinHash of a whole long document says nothing of a short item in it, and of every window of
 the item's length would be costly; but an item's smallest hash under a permutation is the smallest of the window that
 holds the item, so the test "is it the minimum of some window" becomes "does the document have the shingle". Items are
-partitioned by size, and each class has its own number of permutations (small items keep all shingles). The share of the
+partitioned by size, and each class has its own number of permutations. The share of the
 minima that a document has estimates the containment, and pairs of at least NEED (far below THRESHOLD, so that a pair
 above it is not lost) are candidates. For these the shingles of the item that the document has are counted.
 
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from . import common
 
-WORDS, THRESHOLD, SMALL, PER_CLASS, NEED = 5, 0.8, 32, 8, 0.3
+WORDS, THRESHOLD, PER_CLASS, NEED = 5, 0.8, 8, 0.3
 
 
 def _word_hashes(text: Column) -> Column:
@@ -49,18 +49,18 @@ def minima(shingles: DataFrame) -> DataFrame:
     """(item_id, n_shingles, h, weight, k): each item's minima; weight: permutations whose minimum h is, of k.
 
     Size classes go from a power of two to the next; the larger the class, the more permutations (PER_CLASS for each
-    doubling), as one miss of a long passage weighs more. Items of at most SMALL shingles keep all of them."""
-    small = shingles.where(F.col("n_shingles") <= SMALL).select("item_id", "n_shingles", "h", F.lit(1).alias("weight"), F.col("n_shingles").alias("k"))
-    large = shingles.where(F.col("n_shingles") > SMALL).withColumn("size_class", F.ceil(F.log2("n_shingles")).cast("int"))
-    out = small
-    for (size_class,) in sorted(large.select("size_class").distinct().collect()):  # one for each power of two at most
+    doubling), as one miss of a long passage weighs more."""
+    sized = shingles.withColumn("size_class", F.greatest(F.lit(1), F.ceil(F.log2("n_shingles")).cast("int")))
+    out = None
+    for (size_class,) in sorted(sized.select("size_class").distinct().collect()):  # one for each power of two at most
         k = PER_CLASS * size_class
-        picks = large.where(F.col("size_class") == size_class).groupBy("item_id", "n_shingles").agg(
+        picks = sized.where(F.col("size_class") == size_class).groupBy("item_id", "n_shingles").agg(
             F.array(*[F.min_by("h", F.xxhash64("h", F.lit(j))) for j in range(k)]).alias("m")
         )
         of = picks.select("item_id", "n_shingles", F.explode("m").alias("h")).groupBy("item_id", "n_shingles", "h").agg(F.count("*").cast("int").alias("weight"))
-        out = out.unionByName(of.withColumn("k", F.lit(k)))
-    return out
+        of = of.withColumn("k", F.lit(k))
+        out = of if out is None else out.unionByName(of)
+    return sized.select("item_id", "n_shingles", "h", F.lit(0).alias("weight"), F.lit(0).alias("k")).limit(0) if out is None else out
 
 
 def _document_shingles(docs: DataFrame, lengths: list[int]) -> DataFrame:
@@ -77,11 +77,13 @@ def keyed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
 def search(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", item_id: str = "item_id") -> DataFrame:
     """(rid, doc_id, item_id, n_shared, n_shingles, containment) of each pair with at least the threshold."""
     rows = keyed(docs, id_col, text_col)
-    index = common.written(item_shingles(items, item_id), "item-shingles")
-    lengths = [r[0] for r in index.select("words").distinct().orderBy("words").collect()] or [WORDS]  # five values at most
-    mins = common.written(minima(index), "item-minima")
-    pairs = _document_shingles(rows, lengths).join(common.bounded(mins), "h").groupBy("rid", "item_id").agg(F.sum("weight").alias("hits"), F.max("k").alias("k"))
-    found = common.written(pairs.where(F.col("hits") >= F.ceil(F.col("k") * (NEED * threshold / THRESHOLD))).select("rid", "item_id"), "candidates")
+    with common.tables(docs.sparkSession) as keep:
+        index = common.written(item_shingles(items, item_id), "item-shingles")
+        lengths = [r[0] for r in index.select("words").distinct().orderBy("words").collect()] or [WORDS]  # five values at most
+        mins = common.written(minima(index), "item-minima")
+        pairs = _document_shingles(rows, lengths).join(common.bounded(mins), "h").groupBy("rid", "item_id").agg(F.sum("weight").alias("hits"), F.max("k").alias("k"))
+        found = common.written(pairs.where(F.col("hits") >= F.ceil(F.col("k") * (NEED * threshold / THRESHOLD))).select("rid", "item_id"), "candidates")
+        keep(index, found)
     few = rows.join(found.select("rid").distinct(), "rid", "left_semi").dropDuplicates(["rid"])
     shared = _document_shingles(few, lengths).join(common.bounded(index), "h").groupBy("rid", "doc_id", "item_id", "n_shingles").agg(F.count("*").alias("n_shared"))
     # Only pairs that the search has found.

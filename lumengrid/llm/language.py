@@ -7,8 +7,7 @@ through the automata together, with one array operation for each character of a
 space, digits and other characters without a letter as one class; letters are lower-cased, those beyond the basic plane one class.
 
 Fitting takes a bounded sample: for each language the ROWS labelled documents with the smallest hashes of their text, and
-CHARS characters of these (at most CHARS // 40 of one document, so that one odd document weighs little). Prediction reads
-whole texts.
+of each a window of WINDOW code points at a hashed place (the whole text where it is shorter). Prediction reads whole texts.
 
 Edge cases: null text or text without a letter: `und`, score 0; ties go to the first language in sorted order; with no
 labelled text at all every document is `und`; labels that are null are not learned from; null ids and repeated rows are
@@ -27,7 +26,7 @@ from pyspark.sql import types as T
 
 from . import common
 
-ROWS, CHARS, SEGMENT = 400, 60_000, 256
+ROWS, WINDOW, SEGMENT, SALTS = 100, 600, 256, 16
 UNKNOWN = "und"
 
 
@@ -110,19 +109,16 @@ class Model:
     tables: list[np.ndarray]
 
 
-def fit_texts(texts: dict[str, list[str]], chars: int = CHARS) -> Model:
-    """Automata of the languages' texts, of at most `chars` characters each."""
+def fit_texts(texts: dict[str, list[str]]) -> Model:
+    """Automata of the languages' texts."""
     langs = sorted(texts)
     joined = {}
     for lang in langs:
-        parts, left = [], chars
+        parts = []
         for x in texts[lang]:
-            c = normal(code_points(x))[: min(left, max(200, chars // 40))]
+            c = normal(code_points(x))
             if len(c) and has_letter(c):
                 parts += [c, np.array([0], np.uint16)]  # nothing runs on from one document into the next
-                left -= len(c)
-            if left <= 0:
-                break
         joined[lang] = np.concatenate(parts) if parts else np.zeros(0, np.uint16)
     used = np.unique(np.concatenate([*joined.values(), np.zeros(0, np.uint16)])) if joined else np.zeros(0, np.uint16)
     used = used[used != 0]
@@ -184,29 +180,30 @@ def _hash_mod(id_col: Column, mod: int) -> Column:
     return F.pmod(F.crc32(id_col.cast("string").cast("binary")), F.lit(mod))
 
 
-def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, chars: int = CHARS) -> Model:
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rows: int = ROWS, window: int = WINDOW) -> Model:
     """Fit on the given labelled rows; see the module's text for the sample."""
     d = common.pick(docs, doc_id=id_col, text=text_col, lang=lang_col).where("lang is not null and text is not null")
-    keys = d.select("lang", F.xxhash64("text").alias("h"))
-    # Ranks within a language and salt first (each task keeps `rows` of them), then within the language over what is left.
-    salted = Window.partitionBy("lang", F.pmod("h", F.lit(256))).orderBy("h")
-    some = keys.distinct().withColumn("r", F.row_number().over(salted)).where(f"r <= {rows}")
+    keys = d.select("lang", F.xxhash64("text").alias("h")).distinct()
+    # Ranks within a language and salt first, then within the language over at most SALTS times `rows`.
+    salted = Window.partitionBy("lang", F.pmod("h", F.lit(SALTS))).orderBy("h")
+    some = keys.withColumn("r", F.row_number().over(salted)).where(f"r <= {rows}")
     best = some.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy("h"))).where(f"r <= {rows}").select("lang", "h").collect()
     # At most `rows` hashes for each language, broadcast.
     want = docs.sparkSession.createDataFrame([(r[0], r[1]) for r in best], "lang string, h long")
     found = d.withColumn("h", F.xxhash64("text")).join(F.broadcast(want), ["lang", "h"])
-    kept = found.groupBy("lang", "h").agg(F.min(F.substring("text", 1, 4 * max(200, chars // 40))).alias("text")).orderBy("lang", "h").collect()
+    place = F.pmod(F.xxhash64("h"), F.greatest(F.length("text") - window, F.lit(0)) + 1) + 1
+    kept = found.groupBy("lang", "h").agg(F.min(F.substring(F.col("text"), place.cast("int"), F.lit(window))).alias("text")).orderBy("lang", "h").collect()
     texts: dict[str, list[str]] = {}
     for r in kept:
         texts.setdefault(r["lang"], []).append(r["text"])
-    return fit_texts(texts, chars)
+    return fit_texts(texts)
 
 
 def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
     """Per row: doc_id, text, the columns of keep (as keep_<name>, so that none clashes), lang_pred, score. The score is 1 for the certain, and near 0 where the
     two best languages need equally many phrases: 1 - (fewest phrases / second fewest), scaled by 4 and cut at 1."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)  # size bounded by the number of languages times CHARS
+    held = spark.sparkContext.broadcast(model)  # size bounded by the number of languages times ROWS and WINDOW
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
 
     def run(batches):
