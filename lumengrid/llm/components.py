@@ -36,8 +36,7 @@ def connected(edges: DataFrame, rounds: int = 60) -> DataFrame:
     few = now.count() <= BROADCAST_LINKS  # a round never adds links
     for _ in range(rounds):
         with common.tables(edges.sparkSession) as keep:
-            far = common.written(_large(now, few), "stars")
-            new = common.written(_small(far, few), "links")
+            new = common.written(_small(_large(now, few), few), "links")
             keep(new)
         common.discard(now)
         now = new

@@ -120,6 +120,7 @@ def _bands(classes: DataFrame) -> DataFrame:
                 regs = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint16).reshape(-1, REGISTERS)
                 row, key = band_keys(regs)
                 yield pa.RecordBatch.from_arrays([pa.array(key), batch.column(0).take(pa.array(row))], names=["bk", "cid"])
+        common.release()
 
     return classes.select("cid", "sig").mapInArrow(run, "bk long, cid long")
 
@@ -144,6 +145,7 @@ def _estimated(pairs: DataFrame, classes: DataFrame, num: int, den: int) -> Data
             near = j >= 1 - SETTLED + SURE * np.sqrt(SETTLED * (1 - SETTLED)) * one
             wide = j >= threshold - SETTLED - SURE * 0.5 * one
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(possible), pa.array(near), pa.array(wide)], names=["a", "b", "possible", "near", "wide"])
+        common.release()
 
     return common.written(both.mapInArrow(run, "a long, b long, possible boolean, near boolean, wide boolean"), "estimates")
 
@@ -256,7 +258,11 @@ def _confirm(units: DataFrame, by: list[str], num: int, den: int) -> DataFrame:
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.drop_duplicates("cid")
         sets = [np.frombuffer(x, np.uint64) for x in pdf["body"]]
-        return pd.DataFrame(_linked(pdf["cid"].tolist(), sets, pdf["label"].tolist(), num, den), columns=["a", "b"])
+        out = pd.DataFrame(_linked(pdf["cid"].tolist(), sets, pdf["label"].tolist(), num, den), columns=["a", "b"])
+        if len(pdf) > 256:
+            del sets
+            common.release()
+        return out
 
     return units.groupBy(*by).applyInPandas(run, "a long, b long")
 
@@ -270,6 +276,7 @@ def _bodies(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                 sets, ids = _sets(part.column(0))
                 keep = [i for i, (got, want) in enumerate(zip(ids, part.column(1).to_pylist(), strict=True)) if got == want]
                 yield pa.RecordBatch.from_arrays([pa.array([ids[i] for i in keep], pa.int64()), pa.array([sets[i].tobytes() for i in keep], pa.binary())], names=["cid", "body"])
+        common.release()
 
     want = common.bounded(wanted.select(F.col("doc_id").alias("want_id"), "cid"))
     return docs.join(want, F.col("doc_id").eqNullSafe(F.col("want_id"))).select("text", "cid").mapInArrow(run, "cid long, body binary")
