@@ -6,9 +6,10 @@ import json
 import math
 import re
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -264,36 +265,78 @@ def test_ctw(spark, docs, empty, monkeypatch):
         assert (r.n_tokens, r.n_known, r.train_tokens, r.held_out) == (len(each), sum(c > 0 for c in each), total, i % 5 == 1)
         assert math.isclose(r.base_score, sum(math.log10((c + 0.5) / (total + 0.5 * (kinds + 1))) for c in each), rel_tol=1e-9)
         assert r.score < 0
-    split = run(NODES=200, FREQUENT=10)
+    split = run(CHUNK=300, MERGE=10, SPREAD=20)
     assert all(math.isclose(got[i].score, split[i].score, rel_tol=1e-9) and math.isclose(got[i].base_score, split[i].base_score, rel_tol=1e-9) and got[i].n_known == split[i].n_known for i in got)
     assert ctw.score(empty, F.lit(True)).count() == 0
     assert ctw.score(docs, F.lit(False)).where("held_out").count() == len(TEXTS)
 
 
-def test_ctw_is_a_distribution(spark):
-    d = table(spark, [prose(i, 200) for i in range(20)])
-    counts = d.select("text").mapInArrow(ctw._count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n"))
-    root, nodes = ctw.train(common.written(counts, "counts").where("kind = 1").select("key", "n"))
-    mix = ctw.Mixture(root, ctw._load(nodes))
+def brute_ctw(train, depth=5):
+    """log10 P(text) by trees in dictionaries, node by node, as the definition has it."""
+    count = defaultdict(lambda: [0, 0])
+
+    def steps(text):
+        raw = b"\0" * depth + (text or "").encode() + b"\xff"
+        for i in range(depth, len(raw)):
+            for b in range(8):
+                yield raw[i - depth : i], (raw[i] | 256) >> (8 - b), raw[i] >> (7 - b) & 1
+
+    for x in train:
+        for ctx, prefix, bit in steps(x):
+            for d in range(depth + 1):
+                count[ctx[depth - d :], prefix][bit] += 1
+    kt = lambda a, b: math.lgamma(a + 0.5) + math.lgamma(b + 0.5) - math.lgamma(a + b + 1) - math.log(math.pi)
+    kids = defaultdict(float)
+    weight = {}
+    for d in range(depth, -1, -1):
+        for (ctx, prefix), (a, b) in [x for x in count.items() if len(x[0][0]) == d]:
+            pe, below = kt(a, b), kids[ctx, prefix]
+            pw = pe if d == depth else math.log(0.5) + max(pe, below) + math.log1p(math.exp(-abs(pe - below)))
+            weight[ctx, prefix] = 1.0 if d == depth else math.exp(math.log(0.5) + pe - pw)
+            if d:
+                kids[ctx[1:], prefix] += pw
+
+    def predict(ctx, prefix, bit):
+        mixed, left, found = 0.0, 1.0, 0.5
+        for d in range(depth + 1):
+            node = ctx[depth - d :], prefix
+            if node not in weight:
+                break
+            p = (count[node][bit] + 0.5) / (sum(count[node]) + 1)
+            found, mixed, left = mixed + left * p, mixed + left * weight[node] * p, left * (1 - weight[node])
+        return found
+
+    return lambda text: sum(math.log10(predict(*x)) for x in steps(text))
+
+
+def test_ctw_against_brute_force(spark):
+    texts = [prose(i, 40) for i in range(12)] + ["ab " * 60 + "Qz", None, "", "Qzé中", "x", prose(3, 40)]
+    score = brute_ctw([x for i, x in enumerate(texts) if i % 3])
+    got = {r.doc_id: r.score for r in ctw.score(table(spark, texts).repartition(3), F.col("doc_id") % 3 != 0).collect()}
+    assert all(math.isclose(got[i], score(x), rel_tol=1e-6) for i, x in enumerate(texts))
+    blank = brute_ctw([])
+    none = {r.doc_id: r.score for r in ctw.score(table(spark, texts), F.lit(False)).collect()}
+    assert all(math.isclose(none[i], blank(x), rel_tol=1e-6) for i, x in enumerate(texts))
+
+
+def test_ctw_is_a_distribution():
+    raw, off = common.text_bytes(pa.array([prose(i, 200) for i in range(20)]))
+    keys, n = ctw._merge(*zip(*(ctw._tally(c, np.zeros(len(c), bool)) for c, _ in ctw.pieces(raw, off)), strict=True))
     for context in (b"\0\0\0\0\0", b"at th", b"zzzzz"):
-        code = np.array([int.from_bytes(context + bytes([s]), "big") for s in range(256)], np.uint64)
-        assert math.isclose((10 ** mix.log10(code)).sum(), 1.0, rel_tol=1e-9)
-
-
-def test_ctw_keeps_contexts_seen_once(spark, monkeypatch):
-    d = table(spark, ["ab " * 60 + "Qz"])  # z comes once, after the only Q
-    counts = common.written(d.select("text").mapInArrow(ctw._count, "kind byte, key long, n long").groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts").where("kind = 1").select("key", "n")
-    alike = ctw.ALIKE
-
-    def mixture(least):
-        monkeypatch.setattr(ctw, "ALIKE", least)
-        root, nodes = ctw.train(counts)
-        assert nodes.where(f"before = {ord('Q')} and depth = 1").count() > 0
-        return ctw.Mixture(root, ctw._load(nodes))
-
-    code = np.sort(np.array([r["key"] for r in counts.collect()]).view(np.uint64))
-    off = np.abs(mixture(alike).log10(code) - mixture(-1.0).log10(code))  # against the trees with every node
-    assert off.max() <= 8 * alike / math.log(10) + 1e-5
+        code = np.array([int.from_bytes(context[::-1] + bytes([s]), "big") for s in range(256)], np.uint64)
+        every, count = ctw._merge([keys, code], [n, np.zeros(256, np.int64)])
+        below, top = ctw.subtrees(every, count)
+        p = 10 ** ctw.Top(*(x.astype(np.uint64) if i == 0 else x for i, x in enumerate(top))).log10(every, below)
+        assert math.isclose(p[np.searchsorted(every, code)].sum(), 1.0, rel_tol=1e-5)
+
+
+def test_gram_pieces(monkeypatch):
+    raw, off = common.text_bytes(pa.array(["", "abcdefghij", None, "é", "xy" * 9]))
+    whole = [np.concatenate(x) for x in zip(*ctw.pieces(raw, off), strict=True)]
+    monkeypatch.setattr(ctw, "PIECE", 3)
+    cut = [np.concatenate(x) for x in zip(*ctw.pieces(raw, off), strict=True)]
+    assert all(np.array_equal(x, y) for x, y in zip(whole, cut, strict=True))
+    assert int(whole[0][3]) == int.from_bytes(b"cba\0\0d", "big") and len(whole[0]) == len(raw) + 5
 
 
 def test_kt_block():
