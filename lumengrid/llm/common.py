@@ -54,7 +54,7 @@ _ROWS, _FILES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.class
 _open: list[set[str]] = []
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
     path, before = scratch(spark, name), {k: spark.conf.get(k) for k in (_ROWS, _FILES)}
@@ -62,7 +62,7 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark.conf.set(_ROWS, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
     spark.conf.set(_FILES, "true")
     try:
-        df.write.parquet(path)
+        (df.write.option("compression", compression) if compression else df.write).parquet(path)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)

@@ -26,9 +26,11 @@ whole, a piece at a time.
 from __future__ import annotations
 
 import math
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -117,13 +119,19 @@ def _tally(keys: np.ndarray, held: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return x[at] >> U64(1), np.add.reduceat((x & U64(1) == 0).astype(np.int64), at) if len(at) else np.zeros(0, np.int64)
 
 
+@lru_cache(maxsize=1)
+def _zstd() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def _pack(x: np.ndarray) -> bytes:
-    """64-bit numbers as planes of bytes, which compress where numbers are small."""
-    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
+    """Numbers as planes of bytes (the high ones are mostly alike), compressed."""
+    return _zstd()[0].compress(np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.itemsize).T.tobytes())
 
 
-def _unpack(b: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(U64).ravel()
+def _unpack(b: bytes, kind=np.int64) -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(_zstd()[1].decompress(b), np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _pack_keys(k: np.ndarray) -> bytes:
@@ -131,7 +139,7 @@ def _pack_keys(k: np.ndarray) -> bytes:
 
 
 def _unpack_keys(b: bytes) -> np.ndarray:
-    return np.cumsum(_unpack(b), dtype=U64)
+    return np.cumsum(_unpack(b, U64), dtype=U64)
 
 
 def _words(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -292,7 +300,7 @@ def _summed(buckets: int):
     def done(slot: int, keys: list, counts: list):
         k, n = _merge(keys, counts)
         body, top = (_pack(n), None) if slot < buckets else subtrees(k, n)
-        one = [pa.array([slot], pa.int32()), pa.array([_pack_keys(k)], pa.binary()), pa.array([body if top is None else body.tobytes()], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])]
+        one = [pa.array([slot], pa.int32()), pa.array([_pack_keys(k)], pa.binary()), pa.array([body if top is None else _pack(body.ravel())], pa.binary()), pa.array([int(n.sum())]), pa.array([int((n > 0).sum())])]
         yield pa.RecordBatch.from_arrays([*one, pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.int64()), pa.nulls(1, pa.float64())], names=names)
         if top is not None and len(top[0]):
             node, n0, n1, pw = top
@@ -308,7 +316,7 @@ def _summed(buckets: int):
                         yield from done(place, keys, counts)
                     place, keys, counts, held = slot, [], [], 0
                 keys.append(_unpack_keys(k))
-                counts.append(_unpack(c).view(np.int64))
+                counts.append(_unpack(c))
                 held += len(keys[-1])
                 if held > max(MERGE, 2 * len(keys[0])):
                     k, n = _merge(keys, counts)
@@ -331,10 +339,10 @@ def _answered(buckets: int, top):
                 keys = _unpack_keys(k)
                 if chunk is None:
                     known = keys
-                    value = _unpack(body).view(np.int64) if slot < buckets else top.value.log10(keys, np.frombuffer(body, np.float32).reshape(-1, 8)).astype(np.float32)
+                    value = _unpack(body) if slot < buckets else top.value.log10(keys, _unpack(body, np.float32).reshape(-1, 8)).astype(np.float32)
                     continue
                 got = value[np.searchsorted(known, keys)]
-                out.append((slot, chunk, _pack(got) if slot < buckets else got.tobytes()))
+                out.append((slot, chunk, _pack(got)))
             if out:
                 slot, chunk, body = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(chunk, pa.int64()), pa.array(slot, pa.int32()), pa.array(body, pa.binary())], names=["chunk", "slot", "body"])
@@ -354,7 +362,7 @@ def _scored(buckets: int, log_denominator: float, n_docs: int):
         word, owner = _words(raw, off)
         keys, back = np.unique(word, return_inverse=True)
         count = np.zeros(len(keys), np.int64)
-        count[_by_bucket(WORD, keys, buckets)[0]] = np.concatenate([*map(_unpack, answers[WORD]), np.zeros(0, U64)]).view(np.int64)
+        count[_by_bucket(WORD, keys, buckets)[0]] = np.concatenate([*map(_unpack, answers[WORD]), np.zeros(0, np.int64)])
         logs, size = np.log10(count + 0.5) - log_denominator, np.bincount(owner, minlength=n)
         base = np.bincount(owner, weights=logs[back], minlength=n) + end_log
         known = np.bincount(owner, weights=(count > 0)[back], minlength=n).astype(np.int64) + end_known
@@ -365,7 +373,7 @@ def _scored(buckets: int, log_denominator: float, n_docs: int):
             parts.append((x[at] >> U64(16), np.diff(np.append(at, len(x))), (x & U64(0xFFFF)).astype(np.uint16)))
         keys = np.unique(np.concatenate([x[0] for x in parts]))
         value = np.zeros(len(keys))
-        value[_by_bucket(GRAM, keys, buckets)[0]] = np.concatenate([np.frombuffer(x, np.float32) for x in answers[GRAM]])
+        value[_by_bucket(GRAM, keys, buckets)[0]] = np.concatenate([_unpack(x, np.float32) for x in answers[GRAM]])
         score = np.zeros(n)
         for code, times, who in parts:
             score += np.bincount(who, weights=np.repeat(value[np.searchsorted(keys, code)], times), minlength=n)
@@ -403,7 +411,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     dealt = lambda df, by, *order: df.repartitionById(parts, F.pmod(F.col(by), F.lit(parts)).cast("int")).sortWithinPartitions(*order)
     with common.tables(spark) as keep:
         listed = common.written(
-            rows.select("doc_id", "text", "learn").mapInArrow(_listed(buckets), f"kind byte, chunk long, slot int, doc_id {kind}, learn boolean, text string, keys binary, counts binary"), "ctw-chunks"
+            rows.select("doc_id", "text", "learn").mapInArrow(_listed(buckets), f"kind byte, chunk long, slot int, doc_id {kind}, learn boolean, text string, keys binary, counts binary"), "ctw-chunks", compression="zstd"
         )
         lists = listed.where(F.col("kind") != DOC)
         summed = common.written(
