@@ -54,15 +54,17 @@ _ROWS, _FILES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.class
 _open: list[set[str]] = []
 
 
-def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
-    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors."""
+def written(df: DataFrame, name: str, compression: str | None = None, by: str | None = None) -> DataFrame:
+    """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. by: a column whose
+    values have folders of their own, which discard() can delete one by one."""
     spark = df.sparkSession
     path, before = scratch(spark, name), {k: spark.conf.get(k) for k in (_ROWS, _FILES)}
     rows = int(before[_ROWS])
     spark.conf.set(_ROWS, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
     spark.conf.set(_FILES, "true")
     try:
-        (df.write.option("compression", compression) if compression else df.write).parquet(path)
+        to = df.write.option("compression", compression) if compression else df.write
+        (to.partitionBy(by) if by else to).parquet(path)
     finally:
         for k, v in before.items():
             spark.conf.set(k, v)
@@ -78,9 +80,12 @@ def _delete(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
-def discard(*tables: DataFrame) -> None:
-    """Delete tables made by written() that nothing reads any more."""
+def discard(*tables: DataFrame, only: str | None = None) -> None:
+    """Delete tables made by written() that nothing reads any more, or only a folder of theirs (column=value)."""
     for t in tables:
+        if only:
+            _delete(t.sparkSession, f"{t.scratch_path}/{only}")
+            continue
         _delete(t.sparkSession, t.scratch_path)
         for held in _open:
             held.discard(t.scratch_path)

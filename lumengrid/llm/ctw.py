@@ -411,7 +411,7 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
     dealt = lambda df, by, *order: df.repartitionById(parts, F.pmod(F.col(by), F.lit(parts)).cast("int")).sortWithinPartitions(*order)
     with common.tables(spark) as keep:
         listed = common.written(
-            rows.select("doc_id", "text", "learn").mapInArrow(_listed(buckets), f"kind byte, chunk long, slot int, doc_id {kind}, learn boolean, text string, keys binary, counts binary"), "ctw-chunks", compression="zstd"
+            rows.select("doc_id", "text", "learn").mapInArrow(_listed(buckets), f"kind byte, chunk long, slot int, doc_id {kind}, learn boolean, text string, keys binary, counts binary"), "ctw-chunks", compression="zstd", by="kind"
         )
         lists = listed.where(F.col("kind") != DOC)
         summed = common.written(
@@ -428,6 +428,8 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         asked = own.union(lists.select("slot", "chunk", "keys", F.lit(None).cast("binary")))
         answers = common.written(dealt(asked, "slot", "slot", F.col("chunk").asc_nulls_first()).mapInArrow(_answered(buckets, top), "chunk long, slot int, body binary"), "ctw-answers")
         common.discard(summed)
+        for x in (WORD, GRAM):
+            common.discard(listed, only=f"kind={x}")
         both = answers.select("chunk", F.when(F.col("slot") < buckets, F.lit(WORD)).otherwise(F.lit(GRAM)).cast("byte").alias("kind"), F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("boolean").alias("learn"), F.lit(None).cast("string").alias("text"), "body", "slot")
         both = both.union(listed.where(F.col("kind") == DOC).select("chunk", "kind", "doc_id", "learn", "text", F.lit(None).cast("binary"), "slot"))
         log_denominator = math.log10(total + 0.5 * (distinct + 1))
