@@ -75,8 +75,9 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids (array<int>) and the digests of ids and decoded bytes; decoding gives the text back."""
-    return bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True, keep=False)
+    """doc_id, n_tokens, ids (array<int>) and the digests of ids and decoded bytes; decoding gives the text back. Rows that
+    repeat stay, null text has no ids, an empty table gives an empty one; written here, so that workers get small batches."""
+    return common.written(bpe.encode(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, digests=True, keep=False), "ids")
 
 
 STAGES = [

@@ -44,7 +44,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 #: States of a transducer and bytes of known pieces that a worker keeps; the second pair where other stages need the memory.
 STATES, PIECES = 150_000, 160 << 20
-FEW_STATES, FEW_PIECES = 40_000, 32 << 20
+FEW_STATES, FEW_PIECES = 15_000, 16 << 20
 
 
 class Transducer:
@@ -390,7 +390,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         c = codec(path, pattern) if keep else codec(path, pattern, FEW_STATES, FEW_PIECES)
         for batch in batches:
-            for part in common.slices(batch, most=1 << 20):
+            for part in common.slices(batch, most=1 << 20 if keep else 1 << 19):
                 got = c.encode_all([x or "" for x in part.column(1).to_pylist()])
                 size = np.array([len(x) for x in got], np.int64)
                 flat = np.concatenate([*got, np.zeros(0, "<u4")]).astype(np.int32)

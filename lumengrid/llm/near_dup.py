@@ -35,7 +35,7 @@ REGISTERS, MANTISSA, ROWS, WORDS = 128, 10, 5, 5
 BANDS = REGISTERS // ROWS
 SIGMAS, FEW, ROUNDS, WIDE, UNIT, HUBS = 5.0, 8, 3, 512, 1024, 4
 #: Shingles of a unit of confirmation (8 bytes each), and registers of the finer sketches that spare it most intersections.
-UNIT_SHINGLES, FINE = 4_000_000, 512
+UNIT_SHINGLES, FINE = 2_000_000, 512
 #: Distance from its leader within which a class is settled, and the standard deviations by which it must surely be so.
 SETTLED, SURE = 0.35, 4.0
 
