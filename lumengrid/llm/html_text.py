@@ -19,9 +19,10 @@ empty table gives an empty table; other columns are ignored.
 from __future__ import annotations
 
 import re
-from bisect import bisect_left
+from bisect import bisect_right
 from html import unescape
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,7 +50,10 @@ MARKS = frozenset(
     "header masthead topbar toolbar footer comment comments disqus respond replies share sharing social related recommended complementary contentinfo search".split()
 )
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-_TOKEN = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>""", re.S)
+#: A tag's attributes end at the next tag, if it isn't in quotes; what is in quotes is bounded, so that broken markup is read in linear time.
+_TOKEN = re.compile(
+    r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/><]*)((?:"[^"]{0,4000}"|'[^']{0,4000}'|[^'"<>]){0,8000}+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>""", re.S
+)
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/]|$))""", re.I)
 _WORD = re.compile(r"[^a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -75,6 +79,9 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     lines: list[tuple[str, int]] = []
     text: list[str] = []
     stack: list[tuple[str, int]] = []  # element and the kind of what stands in it
+    places: dict[str, list[int]] = {}  # where in the stack the elements of a name are
+    scopes: list[int] = []
+    n_out = 0
     kind = LOOSE
     title = ""
 
@@ -85,6 +92,18 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             if line:
                 lines.append((line, kind))
 
+    def cut(to: int, line: bool = True) -> None:
+        """Close the elements from this place of the stack on."""
+        nonlocal n_out
+        if line and any(x[1] != stack[to][1] for x in stack[to:]):
+            end_line()
+        for x, _ in stack[to:]:
+            places[x].pop()
+            n_out -= x in OUT
+        del stack[to:]
+        while scopes and scopes[-1] >= to:
+            scopes.pop()
+
     at, n = 0, len(html)
     while at < n:
         m = _TOKEN.search(html, at)
@@ -101,14 +120,9 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         if name in BLOCK:
             end_line()
         if closing:
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    if any(s[1] != (stack[k][1]) for s in stack[k:]):
-                        end_line()
-                    del stack[k:]
-                    break
-                if stack[k][0] in SCOPE and name not in SCOPE:
-                    break
+            # The innermost open element of the name, if no scope that it doesn't reach through lies inside of it.
+            if (own := places.get(name)) and (name in SCOPE or not scopes or scopes[-1] <= own[-1]):
+                cut(own[-1])
             kind = stack[-1][1] if stack else LOOSE
             continue
         if name in RAW:
@@ -122,14 +136,14 @@ def page_lines(html: str) -> list[tuple[str, int]]:
         if name in VOID or attrs.endswith("/") and name not in BLOCK:
             continue
         closes = _CLOSES.get(name) or ({"p"} if name in BLOCK and name != "br" else None)
-        while closes and stack and stack[-1][0] not in SCOPE:
-            if any(s[0] in closes for s in stack[next((i + 1 for i in range(len(stack) - 1, -1, -1) if stack[i][0] in SCOPE), 0) :]):
-                stack.pop()
-            else:
-                break
+        if closes:
+            base = scopes[-1] if scopes else -1
+            ends = [own[i] for c in closes if (own := places.get(c)) and (i := bisect_right(own, base)) < len(own)]
+            if ends:
+                cut(min(ends), False)
         outer = stack[-1][1] if stack else LOOSE
         if name in ("article", "main"):
-            if outer == OTHER and any(s[0] in OUT for s in stack) or outer != LOOSE and _marked(attrs):
+            if outer == OTHER and n_out or outer != LOOSE and _marked(attrs):
                 inner = OTHER
             else:
                 inner = NESTED if outer in (OTHER, NESTED) else ARTICLE
@@ -139,6 +153,10 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             inner = outer
         if inner != kind:
             end_line()
+        places.setdefault(name, []).append(len(stack))
+        if name in SCOPE:
+            scopes.append(len(stack))
+        n_out += name in OUT
         stack.append((name, inner))
         kind = inner
     end_line()
@@ -149,28 +167,69 @@ def page_lines(html: str) -> list[tuple[str, int]]:
     return [(x, TITLE if k == ARTICLE and x == title else k) for x, k in lines]
 
 
-def common_lines(a: list[str], b: list[str]) -> set[int]:
-    """Indices in a of a longest common subsequence of a and b (Hunt and Szymanski)."""
-    where: dict[str, list[int]] = {}
+def _rows(a: list[int], b: list[int], keep: bool) -> list[int]:
+    """Rows of the table of longest common subsequences of a's prefixes and b, as bits: 0 where a prefix of b has one line more in
+    common than the next shorter one. All rows, or the last."""
+    where: dict[int, int] = {}
     for j, x in enumerate(b):
-        where.setdefault(x, []).append(j)
-    ends: list[int] = []  # least end in b of a common subsequence of each length
-    links: list[tuple] = []
-    for i, x in enumerate(a):
-        for j in reversed(where.get(x, ())):
-            k = bisect_left(ends, j)
-            node = (i, links[k - 1] if k else None)
-            if k == len(ends):
-                ends.append(j)
-                links.append(node)
-            else:
-                ends[k], links[k] = j, node
-    out: set[int] = set()
-    node = links[-1] if links else None
-    while node:
-        out.add(node[0])
-        node = node[1]
-    return out
+        where[x] = where.get(x, 0) | 1 << j
+    full = (1 << len(b)) - 1
+    v, out = full, []
+    for x in a:
+        u = v & where.get(x, 0)
+        v = (v + u | v - u) & full
+        if keep:
+            out.append(v)
+    return out if keep else [v]
+
+
+def _lengths(row: int, n: int) -> np.ndarray:
+    """Of each prefix of n lines how many it has in common, from a row."""
+    bits = np.unpackbits(np.frombuffer(row.to_bytes(n // 8 + 1, "little"), np.uint8), bitorder="little")[:n]
+    return np.concatenate([[0], np.cumsum(bits == 0)])
+
+
+#: Bits of a table of rows that is kept; larger ones are halved (Hirschberg), so memory is linear.
+TABLE = 1 << 28
+
+
+def _aligned(a: list[int], b: list[int]) -> list[int]:
+    """Indices in a of a longest common subsequence of a and b."""
+    if not a or not b:
+        return []
+    if len(a) * len(b) > TABLE and len(a) > 1:
+        mid = len(a) // 2
+        upper = _lengths(_rows(a[:mid], b, False)[0], len(b))
+        lower = _lengths(_rows(a[mid:][::-1], b[::-1], False)[0], len(b))[::-1]
+        j = int((upper + lower).argmax())
+        return _aligned(a[:mid], b[:j]) + [mid + i for i in _aligned(a[mid:], b[j:])]
+    rows, out, i, j = _rows(a, b, True), [], len(a), len(b)
+    while i and j:
+        if rows[i - 1] >> j - 1 & 1:
+            j -= 1
+            continue
+        i -= 1
+        if not (i and not rows[i - 1] >> j - 1 & 1):
+            j -= 1
+            out.append(i)
+    return out[::-1]
+
+
+def common_lines(a: list[str], b: list[str]) -> set[int]:
+    """Indices in a of a longest common subsequence of a and b: equal ends, then bit-parallel rows for what is between."""
+    lo, most = 0, min(len(a), len(b))
+    while lo < most and a[lo] == b[lo]:
+        lo += 1
+    hi = 0
+    while hi < most - lo and a[-1 - hi] == b[-1 - hi]:
+        hi += 1
+    number: dict[str, int] = {}
+    x, y = ([number.setdefault(t, len(number)) for t in part[lo : len(part) - hi]] for part in (a, b))
+    # Lines that the other page doesn't have can't be aligned.
+    both = set(x) & set(y)
+    at = [i for i, t in enumerate(x) if t in both]
+    inner = _aligned([x[i] for i in at], [t for t in y if t in both])
+    return {*range(lo), *(lo + at[i] for i in inner), *range(len(a) - hi, len(a))}
 
 
 def main_text(lines: list[tuple[str, int]], *neighbours: list[tuple[str, int]]) -> str:
@@ -212,7 +271,7 @@ def _ranges(rows: DataFrame) -> DataFrame:
             place = F.create_map(*[F.lit(v) for kv in to.items() for v in kv])[F.col("key")]
             halo = own.where(F.col("key").isin(list(to))).groupBy("key").agg(pick(F.struct("h", *rows.drop("key").columns)).alias("m"))
             both = both.unionByName(halo.select(place.alias("bucket"), F.lit(side).alias("side"), "key", "m.*"))
-    return both.repartition(parts, "bucket").sortWithinPartitions("bucket", "side", "key", "h")
+    return both.repartitionById(buckets, "bucket").sortWithinPartitions("bucket", "side", "key", "h")
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

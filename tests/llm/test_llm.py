@@ -5,6 +5,7 @@ import importlib
 import json
 import math
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -403,6 +404,20 @@ def test_ranges_do_not_matter(spark):
     assert got == {0: "s-1 own 0", **{i: f"own {i}" for i in range(1, 39)}, 39: "s39 own 39"}
 
 
+def test_broken_pages_are_read_in_linear_time():
+    n = 100_000
+    for html in ("<a " * n, '<a "' * n, "<b>" * n + "</i>" * n, "<p>" + "<b>" * n + "<div>" * n, "<x><div>" + "<b>" * n + "</x>" * n, "<b>" * n + "<p>" * n):
+        began = time.perf_counter()
+        html_text.page_lines(html)
+        assert time.perf_counter() - began < 10
+    assert html_text.common_lines(["a"] * 4000 + ["b"], ["c"] + ["a"] * 4000) == set(range(4000))
+
+
+def test_common_lines_halved(monkeypatch):
+    monkeypatch.setattr(html_text, "TABLE", 4)
+    test_common_lines()
+
+
 def test_common_lines():
     rng = np.random.default_rng(1)
     for _ in range(100):
