@@ -8,11 +8,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def assign(cases: DataFrame, size: int = 100, shuffle: bool = True, seed: int = 0) -> DataFrame:
-    """cases (case_id) with batch_index, batch_id, batch_case_index: chunks of `size` in a hashed order (or by id).
+def _width(batches: int) -> int:
+    return max(4, len(str(max(batches, 1))))
+
+
+def assign(cases: DataFrame, size: int = 100, shuffle: bool = True, seed: int = 0, prefix: str = "batch_") -> DataFrame:
+    """cases (case_id) with batch_index, batch_id and batch_case_index (both from 1), batch_size, batch_shuffle and batch_seed:
+    chunks of `size` in a hashed order (or by id).
 
     Places come from a range-partitioned sort and the partitions' sizes, so no task sees all cases.
     """
+    if size < 1:
+        raise ValueError("batch size must be positive")
     spark = cases.sparkSession
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("case_id").cast("string"))) if shuffle else F.lit("")
     ordered = cases.withColumn("_key", key).repartitionByRange("_key", "case_id").sortWithinPartitions("_key", "case_id")
@@ -27,14 +34,18 @@ def assign(cases: DataFrame, size: int = 100, shuffle: bool = True, seed: int =
     place = F.col("_first") + rank
     out = placed.join(F.broadcast(base), "_part").withColumn("_i", place)
     index = F.floor(F.col("_i") / size).cast("int") + 1
-    return out.select(*cases.columns, index.alias("batch_index"), F.format_string("batch_%04d", index).alias("batch_id"), (F.col("_i") % size).cast("int").alias("batch_case_index"))
+    return out.select(
+        *cases.columns, index.alias("batch_index"), F.format_string(f"{prefix.replace('%', '%%')}%0{_width(-(-at // size))}d", index).alias("batch_id"),
+        (F.col("_i") % size + 1).cast("int").alias("batch_case_index"), F.lit(size).alias("batch_size"), F.lit(shuffle).alias("batch_shuffle"), F.lit(seed).cast("long").alias("batch_seed"),
+    )
 
 
-def assign_list(cases: list[str], size: int = 100, shuffle: bool = True, seed: int = 0) -> list[tuple[int, str, int, str]]:
-    """(batch_index, batch_id, batch_case_index, case) of a list of names, with Python's seeded shuffle."""
+def assign_list(cases: list[str], size: int = 100, shuffle: bool = True, seed: int | None = 0, prefix: str = "batch_") -> list[tuple[int, str, int, str]]:
+    """(batch_index, batch_id, batch_case_index, case) of a list of names, with Python's seeded shuffle; places count from 1."""
     if size < 1:
         raise ValueError("batch size must be positive")
     order = list(cases)
     if shuffle:
         random.Random(seed).shuffle(order)
-    return [(i // size + 1, f"batch_{i // size + 1:04d}", i % size, c) for i, c in enumerate(order)]
+    width = _width(-(-len(order) // size))
+    return [(i // size + 1, f"{prefix}{i // size + 1:0{width}d}", i % size + 1, c) for i, c in enumerate(order)]

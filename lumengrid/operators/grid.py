@@ -59,8 +59,9 @@ def nearest(voxels: DataFrame, shape: tuple[int, ...], to: tuple[int, ...], ends
     out = voxels
     for axis, n, m in zip("zyx", shape, to, strict=True):
         if n != m:
-            pick = [(min(n - 1, round(o * (n - 1) / (m - 1)) if ends and m > 1 else 0 if ends else o * n // m), o, 1.0) for o in range(m)]
-            out = _axis_map(out, axis, pick)
+            pick = [(min(n - 1, round(o * (n - 1) / (m - 1)) if ends and m > 1 else 0 if ends else o * n // m), o) for o in range(m)]
+            table = voxels.sparkSession.createDataFrame(pick, "src int, dst int")  # as many rows as the axis has cells
+            out = out.join(F.broadcast(table), F.col(axis) == F.col("src")).drop(axis, "src").withColumnRenamed("dst", axis)
     return out.select(*CELL, "v")
 
 

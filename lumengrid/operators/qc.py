@@ -12,7 +12,7 @@ def gray(r: Column, g: Column, b: Column) -> Column:
     return (r + g + b) / 3.0
 
 
-def frame_metrics(pixels: DataFrame, threshold: float = 0.05) -> DataFrame:
+def frame_metrics(pixels: DataFrame, threshold: float = 0.02) -> DataFrame:
     """Per frame of pixels (tf_name, split, frame, row, col, gray): mean, share above the threshold, population deviation."""
     return pixels.groupBy(*FRAME).agg(F.avg("gray").alias("mean"), F.avg(F.when(F.col("gray") > threshold, 1.0).otherwise(0.0)).alias("nonzero"), F.stddev_pop("gray").alias("std"))
 
@@ -22,8 +22,8 @@ def tf_metrics(frames: DataFrame) -> DataFrame:
     return frames.groupBy("tf_name").agg(F.count("*").alias("images"), *[F.avg(c).alias(c) for c in ("mean", "nonzero", "std")])
 
 
-def verdict(tfs: DataFrame, metrics: DataFrame, mean: float = 0.05, nonzero: float = 0.05, std: float = 0.001, segmentation: DataFrame | None = None) -> DataFrame:
-    """Per TF of the list: status and reasons, in the order sparse, dark, flat, segmentation; without images that alone."""
+def verdict(tfs: DataFrame, metrics: DataFrame, mean: float = 0.01, nonzero: float = 0.01, std: float = 0.005, segmentation: DataFrame | None = None) -> DataFrame:
+    """Per TF of the list: status and reasons, in the order sparse, dark, flat, segmentation; without images that alone, and metrics of 0."""
     rows = tfs.select("tf_name").join(metrics, "tf_name", "left")
     failed = F.lit(False)
     if segmentation is not None:
@@ -33,7 +33,7 @@ def verdict(tfs: DataFrame, metrics: DataFrame, mean: float = 0.05, nonzero: flo
     none = F.coalesce("images", F.lit(0)) == 0
     reasons = F.when(none, F.array(F.lit("no_images"))).otherwise(F.array_compact(F.array(*[F.when(c, F.lit(n)) for c, n in tests])))
     out = rows.withColumn("reasons", reasons).withColumn("status", F.when(F.size("reasons") > 0, "fail").otherwise("pass"))
-    return out.select("tf_name", "status", "reasons", F.coalesce("images", F.lit(0)).alias("images"), "mean", "nonzero", "std")
+    return out.select("tf_name", "status", "reasons", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("images", "mean", "nonzero", "std")])
 
 
 def totals(verdicts: DataFrame) -> DataFrame:
@@ -41,15 +41,17 @@ def totals(verdicts: DataFrame) -> DataFrame:
     return verdicts.agg(F.count("*").alias("total"), F.count_if(F.col("status") == "pass").alias("passed"), F.count_if(F.col("status") == "fail").alias("failed"), names("pass").alias("passed_names"), names("fail").alias("failed_names"))
 
 
-def segmentation_frames(probs: DataFrame, threshold: float = 0.5, least_ratio: float = 0.0) -> DataFrame:
+def segmentation_frames(probs: DataFrame, threshold: float = 0.5, least_ratio: float = 0.001, least_confidence: float = 0.5) -> DataFrame:
     """Per frame of (tf_name, split, frame, row, col, p): share of foreground, mean p there (0 without any), detected."""
     fg = F.col("p") >= threshold
     out = probs.groupBy(*FRAME).agg(F.avg(F.when(fg, 1.0).otherwise(0.0)).alias("ratio"), F.coalesce(F.avg(F.when(fg, F.col("p"))), F.lit(0.0)).alias("confidence"))
-    return out.withColumn("detected", F.col("ratio") > least_ratio)
+    return out.withColumn("detected", (F.col("ratio") >= least_ratio) & (F.col("confidence") >= least_confidence))
 
 
-def segmentation_verdict(frames: DataFrame, min_frames: int = 1, min_ratio: float = 0.5) -> DataFrame:
-    out = frames.groupBy("tf_name").agg(F.count("*").alias("total"), F.count_if("detected").alias("detected_frames"))
+def segmentation_verdict(frames: DataFrame, min_frames: int = 1, min_ratio: float = 0.1) -> DataFrame:
+    """Per TF: frames, frames detected and their share, means of the frames' foreground ratio and confidence, passed."""
+    means = [F.avg(c).alias(f"mean_{n}") for c, n in (("ratio", "foreground_ratio"), ("confidence", "confidence"))]
+    out = frames.groupBy("tf_name").agg(F.count("*").alias("total"), F.count_if("detected").alias("detected_frames"), *means)
     share = F.col("detected_frames") / F.col("total")
     return out.withColumn("ratio", share).withColumn("passed", (F.col("total") > 0) & (F.col("detected_frames") >= min_frames) & (share >= min_ratio))
 

@@ -21,18 +21,47 @@ def opacity(rgba: DataFrame, n: int = 50_000, seed: int = 0, strict: bool = Fals
     even = F.col("sum_w") <= 1e-12
     key = -F.log(C.uniform(seed, *[F.col(c) for c in ("volume_id", "z", "y", "x")])) / F.when(even, 1.0).otherwise(F.col("w"))
     drawn = weighed.join(sums, GROUP).where(even | (F.col("w") > 0)).withColumn("key", key)
-    rank = F.row_number().over(Window.partitionBy(*GROUP).orderBy("key", "z", "y", "x"))
-    return drawn.withColumn("point_id", (rank - 1).cast("int")).where(F.col("point_id") < n).drop("w", "sum_w", "usable", "all", "key")
+    return top(drawn, GROUP, ["key", "z", "y", "x"], n, "point_id").drop("w", "sum_w", "usable", "all", "key")
+
+
+#: Parts of a group that are ranked by themselves before the group is.
+PARTS = 32
+
+
+def top(rows: DataFrame, by: list[str], order: list, n, rank: str, cells: tuple[str, ...] = ("z", "y", "x")) -> DataFrame:
+    """The first n rows (a number or a column) of each group with their place from 0. Parts of a group are cut to n rows first, so
+    that the last sort sees PARTS * n rows of a group at most, however large it is."""
+    limit = F.lit(n) if isinstance(n, int) else n
+    part = Window.partitionBy(*by, F.pmod(F.xxhash64(*cells), F.lit(PARTS))).orderBy(*order)
+    some = rows.withColumn(rank, F.row_number().over(part)).where(F.col(rank) <= limit)
+    return some.withColumn(rank, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("int")).where(F.col(rank) < limit)
+
+
+def running(rows: DataFrame, col: str, to: str) -> DataFrame:
+    """The running sum of col over each (volume_id, tf_name) in the order z, y, x: sums of planes, of rows of cells and of cells, so
+    that no window is longer than a side of the grid."""
+    planes = rows.groupBy(*GROUP, "z").agg(F.sum(col).alias("_s"))
+    lines = rows.groupBy(*GROUP, "z", "y").agg(F.sum(col).alias("_s"))
+    before = lambda by, order: F.sum("_s").over(Window.partitionBy(*by).orderBy(order)) - F.col("_s")
+    planes = planes.select(*GROUP, "z", before(GROUP, "z").alias("_plane"))
+    lines = lines.select(*GROUP, "z", "y", before([*GROUP, "z"], "y").alias("_line"))
+    within = rows.withColumn("_cell", F.sum(col).over(Window.partitionBy(*GROUP, "z", "y").orderBy("x")))
+    placed = within.join(lines, [*GROUP, "z", "y"]).join(planes, [*GROUP, "z"])
+    return placed.withColumn(to, F.col("_plane") + F.col("_line") + F.col("_cell")).drop("_plane", "_line", "_cell")
 
 
 def opacity_with_replacement(rgba: DataFrame, n: int, seed: int = 0) -> DataFrame:
-    """n draws with replacement (more points than voxels): the voxel whose running weight first exceeds u * total."""
-    run = Window.partitionBy(*GROUP).orderBy("z", "y", "x")
-    w = F.greatest(F.col("a"), F.lit(0.0))
-    upto = rgba.withColumn("to", F.sum(w).over(run)).withColumn("from", F.col("to") - w)
-    total = upto.groupBy(*GROUP).agg(F.max("to").alias("total"))
+    """n draws with replacement (more points than voxels): the voxel whose running weight first exceeds u * total. Draws and
+    voxels meet by equal shares of the total, of which there are as many as draws."""
+    weighed = rgba.withColumn("_w", F.greatest(F.col("a"), F.lit(0.0)))
+    total = weighed.groupBy(*GROUP).agg(F.sum("_w").alias("total"))
+    upto = running(weighed.where("_w > 0"), "_w", "to").withColumn("from", F.col("to") - F.col("_w")).join(total, GROUP)
+    share = lambda x: F.floor(x / F.col("total") * n)
+    # One share more on either side: sums in another order differ in their last bits.
+    upto = upto.withColumn("_share", F.explode(F.sequence(share(F.col("from")) - 1, share(F.col("to")) + 1))).drop("total", "_w")
     draws = total.select(*GROUP, "total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point_id")).withColumn("at", C.uniform(seed, F.col("volume_id"), F.col("point_id")) * F.col("total"))
-    return draws.join(upto, GROUP).where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("to"))).drop("at", "total", "from", "to")
+    draws = draws.withColumn("_share", share(F.col("at"))).drop("total")
+    return draws.join(upto, [*GROUP, "_share"]).where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("to"))).drop("at", "from", "to", "_share")
 
 
 def uniform(voxels: DataFrame, shape: tuple[int, int, int], n: int = 1000, seed: int = 0) -> DataFrame:

@@ -11,14 +11,14 @@ from itertools import product
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from . import grid
+from . import grid, sampling
 
 BANDS = ["".join(b) for b in product("ad", repeat=3)]
 SCALE = 0.5**1.5
 
 
-def level(voxels: DataFrame, shape: tuple[int, int, int]) -> tuple[DataFrame, tuple[int, ...]]:
-    """One level: columns volume_id, z, y, x and one for each band; and the new size."""
+def level(voxels: DataFrame, shape: tuple[int, int, int], values: tuple[str, ...] = ("v",)) -> tuple[DataFrame, tuple[int, ...]]:
+    """One level: columns volume_id, z, y, x and one for each band (of several values: <band>_<value>); and the new size."""
     v = voxels
     for axis, n in zip("zyx", shape, strict=True):
         if n % 2:  # the missing neighbour of the last cell is the first one
@@ -27,8 +27,9 @@ def level(voxels: DataFrame, shape: tuple[int, int, int]) -> tuple[DataFrame, tu
         sum(((F.col(c) % 2) for k, c in zip(b, "zyx", strict=True) if k == "d"), F.lit(0)) % 2 == 0, 1.0
     ).otherwise(-1.0)
     half = [F.floor(F.col(c) / 2).cast("int").alias(c) for c in "zyx"]
-    signed = v.select("volume_id", *half, *[(F.col("v") * sign(b)).alias(b) for b in BANDS])
-    return signed.groupBy("volume_id", "z", "y", "x").agg(*[(F.sum(b) * SCALE).alias(b) for b in BANDS]), tuple((n + 1) // 2 for n in shape)
+    name = {(b, c): b if values == ("v",) else f"{b}_{c}" for b in BANDS for c in values}
+    signed = v.select("volume_id", *half, *[(F.col(c) * sign(b)).alias(x) for (b, c), x in name.items()])
+    return signed.groupBy("volume_id", "z", "y", "x").agg(*[(F.sum(x) * SCALE).alias(x) for x in name.values()]), tuple((n + 1) // 2 for n in shape)
 
 
 def transform(voxels: DataFrame, shape: tuple[int, int, int], levels: int = 1) -> DataFrame:
@@ -46,13 +47,18 @@ def transform(voxels: DataFrame, shape: tuple[int, int, int], levels: int = 1) -
 
 
 def transform_rgba(rgba: DataFrame, shape: tuple[int, int, int], levels: int = 1) -> DataFrame:
-    """(volume_id, tf_name, j, band, z, y, x, r, g, b, a, c): channels transformed together; c is their Euclidean norm."""
-    out = None
-    for ch in "rgba":
-        one = transform(rgba.select(F.struct("volume_id", "tf_name").alias("volume_id"), "z", "y", "x", F.col(ch).alias("v")), shape, levels).withColumnRenamed("c", ch)
-        out = one if out is None else out.join(one, ["volume_id", "j", "band", "z", "y", "x"])
+    """(volume_id, tf_name, j, band, z, y, x, r, g, b, a, c): channels transformed together, a level by one aggregate of all bands'
+    and channels' sums; c is their Euclidean norm."""
+    out, now = None, rgba.select(F.struct("volume_id", "tf_name").alias("volume_id"), "z", "y", "x", *"rgba")
+    for j in range(1, levels + 1):
+        wide, shape = level(now, shape, tuple("rgba"))
+        bands = BANDS[1:] if j < levels else BANDS
+        each = F.explode(F.array(*[F.struct(F.lit(0 if b == "aaa" else j).alias("j"), F.lit(b).alias("band"), *[F.col(f"{b}_{ch}").alias(ch) for ch in "rgba"]) for b in bands])).alias("e")
+        one = wide.select("volume_id", "z", "y", "x", each).select("volume_id", "e.j", "e.band", "z", "y", "x", *[f"e.{ch}" for ch in "rgba"])
+        out = one if out is None else out.unionByName(one)
+        now = wide.select("volume_id", "z", "y", "x", *[F.col(f"aaa_{ch}").alias(ch) for ch in "rgba"])
     norm = F.sqrt(sum((F.col(ch) * F.col(ch) for ch in "gba"), F.col("r") * F.col("r")))
-    return out.select("volume_id.*", "j", "band", "z", "y", "x", "r", "g", "b", "a", norm.alias("c"))
+    return out.select("volume_id.*", "j", "band", "z", "y", "x", *"rgba", norm.alias("c"))
 
 
 def budgets(coeffs: DataFrame, n: int, alpha: float = 1.0, beta: float = 1.0, gamma: float = 1.2, least: int = 100, by: tuple[str, ...] = ("volume_id",), smooth: bool = True, channels: int = 1) -> DataFrame:
@@ -72,8 +78,7 @@ def budgets(coeffs: DataFrame, n: int, alpha: float = 1.0, beta: float = 1.0, ga
 def band_top(coeffs: DataFrame, budget: DataFrame, by: tuple[str, ...] = ("volume_id",)) -> DataFrame:
     """The k largest |c| of each band; ties by z, y, x."""
     keys = [*by, "j", "band"]
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(F.abs("c").desc(), "z", "y", "x"))
-    return coeffs.join(budget.select(*keys, "k"), keys).withColumn("_r", rank).where(F.col("_r") <= F.col("k")).drop("_r", "k")
+    return sampling.top(coeffs.join(budget.select(*keys, "k"), keys), keys, [F.abs("c").desc(), "z", "y", "x"], F.col("k"), "_r").drop("_r", "k")
 
 
 def centres(points: DataFrame, shape: tuple[int, int, int], levels: int, centred: bool = False) -> DataFrame:
@@ -99,6 +104,5 @@ def sample_rgba(rgba: DataFrame, shape: tuple[int, int, int], n: int = 10_000, l
 
 def _best(coeffs: DataFrame, shape: tuple[int, int, int], n: int, levels: int, least: int, centred: bool, by: tuple[str, ...], channels: int) -> DataFrame:
     top = band_top(coeffs, budgets(coeffs, n, least=least, by=by, channels=channels), by)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy(F.abs("c").desc(), "j", "band", "z", "y", "x"))
-    best = top.withColumn("point_id", (rank - 1).cast("int")).where(F.col("point_id") < n)
+    best = sampling.top(top, list(by), [F.abs("c").desc(), "j", "band", "z", "y", "x"], n, "point_id", ("j", "band", "z", "y", "x"))
     return centres(best, shape, levels, centred).select(*by, "point_id", "px", "py", "pz", F.abs("c").alias("coeff_abs"), F.col("j").alias("level"), "band")

@@ -134,21 +134,21 @@ TM = f"{FM}, tm as (select tf_name, count(*) as images, avg(mean) as mean, avg(n
 
 @query("agg08_frame_metrics", f"{FM} select tf_name, split, frame, {s6('mean', 'nonzero', 'std')} from fm")
 def agg08(spark, d):
-    return r6(qc.frame_metrics(frames_px(spark, d)), "mean", "nonzero", "std")
+    return r6(qc.frame_metrics(frames_px(spark, d), 0.05), "mean", "nonzero", "std")
 
 
 @query("agg09_tf_metrics", f"{TM} select tf_name, images, {s6('mean', 'nonzero', 'std')} from tm")
 def agg09(spark, d):
-    return r6(qc.tf_metrics(qc.frame_metrics(frames_px(spark, d))), "mean", "nonzero", "std")
+    return r6(qc.tf_metrics(qc.frame_metrics(frames_px(spark, d), 0.05)), "mean", "nonzero", "std")
 
 
 VERDICT = f"""{TM}, tfs as (select 'TF' || lpad(i::varchar, 2, '0') as tf_name from range(0, 12) t(i)),
-vd as (select tf_name, coalesce(images, 0) as images, case when coalesce(images, 0) = 0 then 'no_images' else concat_ws(',', case when nonzero < 0.4 then 'too_sparse' end, case when mean < 0.05 then 'too_dark' end, case when std < 0.05 then 'low_contrast' end) end as reasons from tfs left join tm using (tf_name))"""
+vd as (select tf_name, coalesce(images, 0) as images, case when coalesce(images, 0) = 0 then 'no_images' else concat_ws(',', case when nonzero < 0.34 then 'too_sparse' end, case when mean < 0.045 then 'too_dark' end, case when std < 0.05 then 'low_contrast' end) end as reasons from tfs left join tm using (tf_name))"""
 
 
 def verdicts(spark: SparkSession, d: str) -> DataFrame:
     tfs = spark.range(12).select(F.format_string("TF%02d", "id").alias("tf_name"))
-    return qc.verdict(tfs, qc.tf_metrics(qc.frame_metrics(frames_px(spark, d))), 0.05, 0.4, 0.05)
+    return qc.verdict(tfs, qc.tf_metrics(qc.frame_metrics(frames_px(spark, d), 0.05)), 0.045, 0.34, 0.05)
 
 
 @query("agg10_qc_verdict", f"{VERDICT} select tf_name, case when reasons = '' then 'pass' else 'fail' end as status, reasons, images from vd")
@@ -164,14 +164,15 @@ def agg11(spark, d):
 SEG = f"{PX}, sf as (select tf_name, split, frame, avg((gray >= 0.1)::int::double) as ratio, coalesce(avg(gray) filter (gray >= 0.1), 0.0) as confidence from px group by all)"
 
 
-@query("agg12_seg_frames", f"{SEG} select tf_name, split, frame, {s6('ratio', 'confidence')}, ratio > 0.2 as detected from sf")
+@query("agg12_seg_frames", f"{SEG} select tf_name, split, frame, {s6('ratio', 'confidence')}, ratio >= 0.25 and confidence >= 0.15 as detected from sf")
 def agg12(spark, d):
-    return r6(qc.segmentation_frames(frames_px(spark, d).withColumnRenamed("gray", "p"), 0.1, 0.2), "ratio", "confidence")
+    return r6(qc.segmentation_frames(frames_px(spark, d).withColumnRenamed("gray", "p"), 0.1, 0.25, 0.15), "ratio", "confidence")
 
 
-@query("agg13_seg_verdict", f"{SEG} select tf_name, count(*) as total, count(*) filter (ratio > 0.2) as detected_frames, round(avg((ratio > 0.2)::int::double), 6) + 0.0 as ratio, count(*) filter (ratio > 0.2) >= 3 and avg((ratio > 0.2)::int::double) >= 0.5 as passed from sf group by 1")
+@query("agg13_seg_verdict", f"{SEG}, dt as (select *, ratio >= 0.25 and confidence >= 0.15 as detected from sf) select tf_name, count(*) as total, count(*) filter (detected) as detected_frames, round(avg(detected::int::double), 6) + 0.0 as ratio, round(avg(ratio), 6) + 0.0 as mean_foreground_ratio, round(avg(confidence), 6) + 0.0 as mean_confidence, count(*) filter (detected) >= 3 and avg(detected::int::double) >= 0.1 as passed from dt group by 1")
 def agg13(spark, d):
-    return r6(qc.segmentation_verdict(qc.segmentation_frames(frames_px(spark, d).withColumnRenamed("gray", "p"), 0.1, 0.2), 3, 0.5), "ratio")
+    frames = qc.segmentation_frames(frames_px(spark, d).withColumnRenamed("gray", "p"), 0.1, 0.25, 0.15)
+    return r6(qc.segmentation_verdict(frames, 3), "ratio", "mean_foreground_ratio", "mean_confidence")
 
 
 @query("agg16_mad", f"{EMB}, m as (select volume_id, quantile_disc(v, 0.5) as mid from emb group by 1), o as (select volume_id, abs(v - mid) as off from emb join m using (volume_id)) select volume_id, round(1.5 * greatest(quantile_disc(off, 0.5) / 0.6745, 1e-12), 6) + 0.0 as threshold from o group by 1")
@@ -373,10 +374,10 @@ def prj09(spark, d):
     return li(spark, d).select("volume_id", geometry.linear_index(11, 50).alias("i")).select("volume_id", "i", *geometry.from_linear(F.col("i"), 11, 50))
 
 
-@query("prj11_gray", "select vec_id, round((embedding[1]::double + embedding[2]::double + embedding[3]::double) / 3.0, 6) + 0.0 as gray from embeddings")
+@query("prj11_gray", "select vec_id, k::int as k, round((embedding[3 * k + 1]::double + embedding[3 * k + 2]::double + embedding[3 * k + 3]::double) / 3.0, 6) + 0.0 as gray from embeddings, range(0, 21) t(k)")
 def prj11(spark, d):
-    e = spark.read.parquet(f"{d}/embeddings.parquet")
-    return r6(e.select("vec_id", qc.gray(*[F.get("embedding", i).cast("double") for i in range(3)]).alias("gray")), "gray")
+    e = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", "embedding", F.explode(F.sequence(F.lit(0), F.lit(20))).alias("k"))
+    return r6(e.select("vec_id", "k", qc.gray(*[F.get("embedding", F.col("k") * 3 + i).cast("double") for i in range(3)]).alias("gray")), "gray")
 
 
 @query("src15_cell_to_point", f"{RAMP}, c as (select volume_id, z + a as z, y + b as y, x + c as x, v from ramp, range(0, 2) ta(a), range(0, 2) tb(b), range(0, 2) tc(c)) select volume_id, z::int as z, y::int as y, x::int as x, round(avg(v), 6) + 0.0 as v from c group by all")
@@ -570,7 +571,7 @@ def pipe05(spark, d):
     return qc.keep_passed(tasks, verdicts(spark, d))
 
 
-@query("pipe09_batch_assign", "with o as (select o_orderkey as case_id, row_number() over (order by md5('7:' || o_orderkey), o_orderkey) - 1 as i from (select distinct o_orderkey from orders)) select case_id, (i // 100 + 1)::int as batch_index, 'batch_' || lpad((i // 100 + 1)::varchar, 4, '0') as batch_id, (i % 100)::int as batch_case_index from o")
+@query("pipe09_batch_assign", "with o as (select o_orderkey as case_id, row_number() over (order by md5('7:' || o_orderkey), o_orderkey) - 1 as i from (select distinct o_orderkey from orders)) select case_id, (i // 100 + 1)::int as batch_index, 'batch_' || lpad((i // 100 + 1)::varchar, greatest(4, length((((select count(*) from o) + 99) // 100)::varchar))::int, '0') as batch_id, (i % 100 + 1)::int as batch_case_index, 100 as batch_size, true as batch_shuffle, 7::bigint as batch_seed from o")
 def pipe09(spark, d):
     return batch.assign(spark.read.parquet(f"{d}/orders.parquet").select(F.col("o_orderkey").alias("case_id")).distinct(), 100, True, 7)
 

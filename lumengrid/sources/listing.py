@@ -6,6 +6,7 @@ from pathlib import Path
 
 #: File patterns of each reader.
 PATTERNS = {"nii": ("*.nii.gz", "*.nii"), "vti": ("*.vti",), "raw": ("*.raw",)}
+PATTERNS["nii.gz"] = PATTERNS["nifti"] = PATTERNS["nii"]
 PREFERRED = ("ct.nii.gz", "ct.nii", "volume.vti")
 
 
@@ -14,9 +15,9 @@ def stem(name: str) -> str:
 
 
 def tf_files(folder: str) -> list[str]:
-    """A folder's own tf_config.json, else those of its TF* folders in order."""
+    """A folder's own tf_config.json, then those of its TF* folders in order."""
     own = Path(folder) / "tf_config.json"
-    return [str(own)] if own.is_file() else [str(p) for p in sorted(Path(folder).glob("TF*/tf_config.json"))]
+    return [*([str(own)] if own.is_file() else []), *(str(p) for p in sorted(Path(folder).glob("TF*/tf_config.json")))]
 
 
 def tf_outputs(folder: str) -> list[dict]:
@@ -29,15 +30,12 @@ def frames(tf_dir: str) -> list[str]:
 
 
 def choose_input(case_dir: str, reader: str, filename: str | None = None) -> str | None:
-    """The named file, or a preferred name, or the first match of the reader's patterns."""
+    """The named file, or of the matches of the reader's patterns, by path, the first with a preferred name, else the first."""
     if filename:
         p = Path(case_dir) / filename
         return str(p) if p.is_file() else None
-    found = [p for pattern in PATTERNS.get(reader, ("*",)) for p in sorted(Path(case_dir).glob(pattern)) if p.is_file()]
-    if not found:
-        return None
-    rank = {n: i for i, n in enumerate(PREFERRED)}
-    return str(min(found, key=lambda p: rank.get(p.name, len(rank))))
+    found = sorted({str(p) for pattern in PATTERNS.get(str(reader).lower(), ("*",)) for p in Path(case_dir).glob(pattern) if p.is_file()})
+    return next((p for p in found if Path(p).name in PREFERRED), found[0] if found else None)
 
 
 def cases(root: str, reader: str, pattern: str = "s*", filename: str | None = None) -> list[dict]:

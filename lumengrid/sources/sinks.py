@@ -60,8 +60,9 @@ def write_npz(points: DataFrame, path: str) -> int:
 def to_grid(voxels: DataFrame, shape: tuple[int, int, int], geometry=None, dtype: str = "float32") -> codecs.Grid:
     """One volume's voxels as an array on the driver, for a file of one grid."""
     out = np.zeros(shape, dtype)
-    for batch in voxels.select("z", "y", "x", "v").toLocalIterator():
-        out[batch[0], batch[1], batch[2]] = batch[3]
+    t = voxels.select("z", "y", "x", F.col("v").cast("double").alias("v")).toArrow()
+    z, y, x, v = (t.column(i).to_numpy() for i in range(4))
+    out[z, y, x] = v
     return codecs.Grid(out, geometry) if geometry else codecs.Grid(out)
 
 
