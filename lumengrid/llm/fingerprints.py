@@ -7,7 +7,7 @@ of the bins, which `likeness` corrects.
 
 Edge cases: null text counts as empty; a text without words has the fingerprint "" (alike 1 to another such one, 0 to any
 other); fewer than five words are one shingle. Rows are ordered by descending doc_id (null last), rows of equal ids by a
-hash of their text. A table of one row has itself as the next document; an empty table gives an empty table; other
+hash of their text; ids may be numbers or strings. Texts of any length are read whole. A table of one row has itself as the next document; an empty table gives an empty table; other
 columns are ignored.
 """
 
@@ -20,10 +20,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import common
 
 BINS, BITS = 512, 4
+#: Ids that are not numbers, for each bucket, by which such rows are dealt to buckets.
+SAMPLE = 20
 
 
 @lru_cache(maxsize=4)
@@ -118,12 +121,23 @@ def _bucket(x: Column, bounds: list) -> Column:
     return chunk * step + below(F.slice(F.lit(bounds), chunk * step + 1, F.lit(step)))
 
 
+def _bounds(docs: DataFrame, buckets: int) -> list:
+    """Ids that cut the rows into about as many buckets; only the dealing of rows hangs on them. Numbers: approximate
+    quantiles. Other ids: quantiles of the SAMPLE ids for each bucket with the least hashes."""
+    probs = [i / buckets for i in range(1, buckets)]
+    if not probs:
+        return []
+    if isinstance(docs.schema["doc_id"].dataType, T.NumericType):
+        return sorted(set(docs.agg(F.percentile_approx("doc_id", probs, 20 * buckets)).first()[0] or []))
+    few = docs.select("doc_id").where("doc_id is not null").orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE * buckets)
+    ids = sorted(r[0] for r in few.collect())  # SAMPLE for each bucket at most
+    return sorted({ids[int(p * len(ids))] for p in probs}) if ids else []
+
+
 def _with_next(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
     """Rows (bucket, halo, doc_id, text), dealt by ranges of doc_id and sorted within each by descending doc_id; each
     bucket ends with a halo row: the first row of the bucket that follows it, so that every row's successor is at hand."""
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = docs.agg(F.percentile_approx("doc_id", probs, 20 * buckets)).first()[0] if probs else None
-    bounds = sorted(set(bounds or []))
+    bounds = _bounds(docs, buckets)
     rows = docs.select(F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_bucket(F.col("doc_id"), bounds)).alias("bucket"), "doc_id", "text")
     # One row for each bucket: the number of buckets is set above.
     tops = sorted(((r[0], r[1]) for r in rows.groupBy("bucket").agg(F.max("doc_id")).collect()), reverse=True)

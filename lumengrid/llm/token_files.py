@@ -168,12 +168,16 @@ def _open(spark: SparkSession, path: str):
 
 
 def read_ids(spark: SparkSession, path: str, doc_ids: list | None = None) -> DataFrame:
-    """(doc_id, ids) of all documents, or of the few asked for: only their blocks are read, only their bytes opened."""
+    """(doc_id, ids) of all documents, or of the few asked for (None: those without an id): only their blocks are read, only
+    their bytes opened. Null ids come first, so a block that begins with them has no first_id."""
     body, known, width = _open(spark, path)
     blocks = spark.read.parquet(f"{path}/blocks")
     kind = blocks.schema["first_id"].dataType.simpleString()
     if doc_ids is not None:
-        blocks = blocks.where(F.col("last_id") >= min(doc_ids)).where(F.col("first_id") <= max(doc_ids)) if doc_ids else blocks.where("false")
+        some = [x for x in doc_ids if x is not None]
+        first, last = F.col("first_id"), F.col("last_id")
+        holds = F.lit(False) if not some else (last >= min(some)) & (first.isNull() | (first <= max(some)))
+        blocks = blocks.where(holds | first.isNull() if None in doc_ids else holds)
     want = None if doc_ids is None else set(doc_ids)
 
     def run(batches):

@@ -76,6 +76,9 @@ def test_token_files(spark, docs, empty, tmp_path):
     assert got == want
     few = {r[0]: list(r[1]) for r in token_files.read_ids(spark, path, [4, 8]).collect()}
     assert few == {i: t.encode(TEXTS[i], add_special_tokens=False).ids + [0] for i in (4, 8)}
+    token_files.write(table(spark, [prose(1, 9), prose(2, 9), prose(3, 9), prose(4, 9)], [None, 1, 2, 3]).coalesce(1), f"file://{tmp_path}/nulls", P.path("byte_bpe_50k.json"))
+    assert [r[0] for r in token_files.read_ids(spark, f"file://{tmp_path}/nulls", [2]).collect()] == [2]
+    assert [r[0] for r in token_files.read_ids(spark, f"file://{tmp_path}/nulls", [None]).collect()] == [None]
     token_files.write(empty, f"file://{tmp_path}/none", P.path("byte_bpe_50k.json"))
     assert token_files.summarise(spark, f"file://{tmp_path}/none").count() == 0
 
@@ -538,7 +541,26 @@ def test_pack_and_densify():
         assert np.array_equal(fingerprints.unpack(fingerprints.pack(v, bits), 64, bits), v)
     for n in (1, 30, 100, 400, 5000):
         s = np.unique(common.mix(rng.integers(0, 1 << 62, n).astype(np.uint64)))
-        assert np.array_equal(fingerprints.sketch(s), fingerprints.sketch(s))
+        # Bin by bin: the least hash, or that of the first filled bin in the bin's own order, low bits only.
+        bins, bits = fingerprints.BINS, fingerprints.BITS
+        order = fingerprints._orders(bins)[0].tolist()
+        least = {}
+        for h in s.tolist():
+            b = h >> (64 - bins.bit_length() + 1)
+            least[b] = min(h, least.get(b, h))
+        source = [least[next(x for x in [b, *order[b]] if x in least)] for b in range(bins)]
+        mixed = common.mix(np.array(source, np.uint64) + np.arange(bins, dtype=np.uint64) * common.GOLDEN)
+        assert np.array_equal(fingerprints.sketch(s), (mixed & np.uint64((1 << bits) - 1)).astype(np.uint8))
+
+
+def test_fingerprints_of_string_ids(spark):
+    rows = spark.createDataFrame([(f"d{i:03}" if i else None, prose(i, 30)) for i in range(40)], "doc_id string, text string")
+    order = [f"d{i:03}" for i in range(39, 0, -1)] + [None]
+    want = {r.doc_id: r.text for r in rows.collect()}
+    got = {r.doc_id: r for r in fingerprints.compare_with_edits(rows).collect()}
+    for k, x in enumerate(order):
+        e = fingerprints.edited_text(want[x], want[order[(k + 1) % 40]])
+        assert got[x].edited_sha256 == hashlib.sha256(e.encode()).hexdigest()
 
 
 # pieces and the pipeline
