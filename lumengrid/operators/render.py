@@ -36,21 +36,24 @@ def opacity_unit(spacing: tuple[float, ...], shape: tuple[int, ...], given: floa
     return diagonal / n if diagonal > 0 and n > 0 else 1.0
 
 
-def segment(frames: DataFrame, model: Callable[[np.ndarray], np.ndarray], channels: int = 3, mean: float | None = None, std: float | None = None) -> DataFrame:
+def segment(frames: DataFrame, model: Callable[[np.ndarray], np.ndarray], channels: int = 3, mean=None, std=None, size=None) -> DataFrame:
     """Probabilities (tf_name, split, frame, row, col, p) of a model (channels x height x width -> height x width) over pixel rows.
 
-    A frame is a group of its own; images are a bounded size.
+    A frame is a group of its own; images are a bounded size. `mean` and `std` (both or none): a number or one for each channel; `size`: the
+    model's input, a number or (height, width).
     """
 
     def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
         h, w = int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1
         order = pdf.sort_values(["row", "col"])
         rgba = [order[c].to_numpy().reshape(h, w) if c in order else np.ones((h, w)) for c in "rgba"]
+        if size:
+            h, w = (int(size),) * 2 if np.isscalar(size) else map(int, size)
+            rgba = list(np.moveaxis(resize(np.stack(rgba, -1), h, w), -1, 0))
         image = np.stack([sum(rgba[:3]) / 3] if channels == 1 else rgba[:channels])
-        if mean is not None:
-            image = image - mean
-        if std is not None:
-            image = image / std
+        each = lambda v: np.asarray(v, float).reshape(-1, 1, 1)
+        if mean is not None and std is not None:
+            image = (image - each(mean)) / np.maximum(each(std), 1e-6)
         p = np.asarray(model(image.astype(np.float32)), float)
         row, col = np.divmod(np.arange(h * w, dtype=np.int32), w)
         return pd.DataFrame({"tf_name": key[0], "split": key[1], "frame": key[2], "row": row, "col": col, "p": p.ravel()})

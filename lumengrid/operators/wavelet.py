@@ -90,19 +90,19 @@ def centres(points: DataFrame, shape: tuple[int, int, int], levels: int, centred
     return points.withColumns({f"p{c}": place(c, n) for c, n in zip("zyx", shape, strict=True)})
 
 
-def sample(voxels: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False) -> DataFrame:
+def sample(voxels: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False, alpha: float = 1.0, beta: float = 1.0) -> DataFrame:
     """Points at the largest coefficients: (volume_id, point_id, px, py, pz, coeff_abs, level, band), n at most per volume."""
-    return _best(transform(voxels, shape, levels), shape, n, levels, least, centred, ("volume_id",), 1)
+    return _best(transform(voxels, shape, levels), shape, n, levels, least, centred, ("volume_id",), 1, alpha, beta)
 
 
-def sample_rgba(rgba: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False) -> DataFrame:
+def sample_rgba(rgba: DataFrame, shape: tuple[int, int, int], n: int = 10_000, levels: int = 1, least: int = 100, centred: bool = False, alpha: float = 1.0, beta: float = 1.0) -> DataFrame:
     """The same for each volume and transfer function, by the norm of the four channels' coefficients: (volume_id, tf_name,
     point_id, px, py, pz, coeff_abs, level, band, r, g, b, a), the colours those of the nearest voxel."""
     by = ("volume_id", "tf_name")
-    return grid.lookup(_best(transform_rgba(rgba, shape, levels), shape, n, levels, least, centred, by, 4), rgba, shape, values=tuple("rgba"), by=by)
+    return grid.lookup(_best(transform_rgba(rgba, shape, levels), shape, n, levels, least, centred, by, 4, alpha, beta), rgba, shape, values=tuple("rgba"), by=by)
 
 
-def _best(coeffs: DataFrame, shape: tuple[int, int, int], n: int, levels: int, least: int, centred: bool, by: tuple[str, ...], channels: int) -> DataFrame:
-    top = band_top(coeffs, budgets(coeffs, n, least=least, by=by, channels=channels), by)
+def _best(coeffs: DataFrame, shape: tuple[int, int, int], n: int, levels: int, least: int, centred: bool, by: tuple[str, ...], channels: int, alpha: float, beta: float) -> DataFrame:
+    top = band_top(coeffs, budgets(coeffs, n, alpha, beta, least=least, by=by, channels=channels), by)
     best = sampling.top(top, list(by), [F.abs("c").desc(), "j", "band", "z", "y", "x"], n, "point_id", ("j", "band", "z", "y", "x"))
     return centres(best, shape, levels, centred).select(*by, "point_id", "px", "py", "pz", F.abs("c").alias("coeff_abs"), F.col("j").alias("level"), "band")

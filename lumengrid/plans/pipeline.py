@@ -11,11 +11,11 @@ from pyspark.sql import functions as F
 
 from ..operators import batch as batches
 from ..operators import camera, geometry, grid, normalize, qc, render, sampling, transfer, wavelet
-from ..sources import listing, readers, sinks
+from ..sources import listing, readers, sinks, store
 from . import config as C
 
-READERS, STAGES, SAMPLERS, RENDERERS, EXPORTERS = ({} for _ in range(5))
-KINDS = {"reader": READERS, "stage": STAGES, "sampler": SAMPLERS, "renderer": RENDERERS, "exporter": EXPORTERS}
+READERS, STAGES, SAMPLERS, RENDERERS, EXPORTERS, SEGMENTERS = ({} for _ in range(6))
+KINDS = {"reader": READERS, "stage": STAGES, "sampler": SAMPLERS, "renderer": RENDERERS, "exporter": EXPORTERS, "segmenter": SEGMENTERS}
 
 
 def register(kind: str, name: str):
@@ -65,6 +65,7 @@ def _whole(kind):
 
 
 register("reader", "nii")(_whole("nii"))
+register("reader", "nii.gz")(_whole("nii"))
 register("reader", "vti")(_whole("vti"))
 
 
@@ -90,10 +91,14 @@ def _canonicalize(s: State, params):
 @register("stage", "tf")
 def _tf(s: State, params):
     s.tfs = transfer_functions(s.voxels.sparkSession, params)
-    s.rgba = transfer.bake(s.voxels, s.tfs, premultiply=params.get("premultiply", True))
+    s.rgba = transfer.bake(s.voxels, s.tfs, premultiply=_premultiply(params, True))
     return s
 
 
+def _premultiply(params: dict, default: bool) -> bool:
+    return bool(params.get("premultiply_alpha", params.get("premultiply", default)))
+
+
 def transfer_functions(spark: SparkSession, params: dict) -> list[transfer.TransferFunction]:
     """Inline points, a file, or the files of a folder; then tf_name or tf_index picks one, else all."""
     if "points" in params:
@@ -121,12 +126,15 @@ def transfer_functions(spark: SparkSession, params: dict) -> list[transfer.Trans
 @register("sampler", "opacity")
 def _opacity(s: State, params):
     tfs = s.tfs or transfer_functions(s.voxels.sparkSession, params)
-    rgba = s.rgba if s.rgba is not None else transfer.bake(s.voxels, tfs, premultiply=params.get("premultiply", False))
+    rgba = s.rgba if s.rgba is not None else transfer.bake(s.voxels, tfs, premultiply=_premultiply(params, False))
     n, seed = int(params.get("n_points", 50_000)), int(params.get("seed", 0))
     many = n > s.shape[0] * s.shape[1] * s.shape[2]
     drawn = sampling.opacity_with_replacement(rgba, n, seed) if many else sampling.opacity(rgba, n, seed)
+    density = F.col("a")
+    if s.rgba is None:  # the scalar at the drawn cells; after a tf stage the volume is RGBA and its alpha stands for it
+        drawn, density = drawn.join(s.voxels.select("volume_id", "z", "y", "x", F.col("v").alias("density")), ["volume_id", "z", "y", "x"]), F.col("density")
     placed = geometry.index_to_world(drawn.withColumnsRenamed({c: f"i{c}" for c in "xyz"}), s.geometry, ("ix", "iy", "iz"), ("x", "y", "z"))
-    return placed.select("volume_id", "tf_name", "point_id", "x", "y", "z", F.col("a").alias("opacity"), F.array("r", "g", "b").alias("rgb"), F.array("r", "g", "b", "a").alias("rgba"), F.col("a").alias("density"))
+    return placed.select("volume_id", "tf_name", "point_id", "x", "y", "z", F.col("a").alias("opacity"), F.array("r", "g", "b").alias("rgb"), F.array("r", "g", "b", "a").alias("rgba"), density.alias("density"))
 
 
 @register("sampler", "uniform")
@@ -141,7 +149,7 @@ def _uniform(s: State, params):
 def _wavelet(s: State, params):
     if params.get("wavelet", "haar") not in ("haar", "db1"):
         raise ValueError("the Haar wavelet is the one there is")
-    how = s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False))
+    how = s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False)), float(params.get("alpha", 1.0)), float(params.get("beta", 1.0))
     if s.rgba is None:
         drawn, tf, colours = wavelet.sample(s.voxels, *how), F.lit(None).cast("string").alias("tf_name"), []
     else:
@@ -164,6 +172,36 @@ def _composite(s: State, params):
     return out, tfs
 
 
+def sample_canonical(spark: SparkSession, path: str, params: dict) -> DataFrame:
+    """Opacity points of a canonical volume's file, as the sampler gives them."""
+    return find("sampler", "opacity")(find("reader", "vti")(spark, path, {}), params)
+
+
+#: Frames of a transfer function that are checked, and the order of its splits.
+SAMPLE, SPLITS = 12, ("train", "test", "val")
+
+
+def check(spark: SparkSession, frames: DataFrame, names: list[str], how: dict) -> DataFrame:
+    """Verdicts on the frames (tf_name, split, frame, row, col, r, g, b, a) of the named transfer functions: `sample_limit` of
+    each, evenly spaced (all if it is 0), by brightness and, if `segmentation` is enabled, by the registered segmenter's masks."""
+    t = how.get("thresholds", {})
+    order = F.coalesce(F.array_position(F.array(*map(F.lit, SPLITS)), F.col("split")), F.lit(0)).alias("_order")
+    limit = int(how.get("sample_limit", SAMPLE))
+    if limit > 0:
+        ids = frames.select(*qc.FRAME, order).distinct()
+        frames = frames.join(sampling.even_subsample(ids, ["tf_name"], ["_order", "frame"], limit), qc.FRAME, "left_semi")
+    px = frames.withColumn("gray", qc.gray(F.col("r"), F.col("g"), F.col("b")))
+    metrics = qc.tf_metrics(qc.frame_metrics(px, how.get("pixel_threshold", t.get("pixel", 0.02))))
+    least = [how.get(k, t.get(n, d)) for k, n, d in (("min_mean_intensity", "mean", 0.01), ("min_nonzero_ratio", "nonzero", 0.01), ("min_intensity_std", "std", 0.005))]
+    masks, seg = None, how.get("segmentation") or {}
+    if seg.get("enabled"):
+        model = find("segmenter", seg.get("backend", "monai_unet"))(seg)
+        probs = render.segment(frames, model, int(seg.get("in_channels", 4)), seg.get("mean"), seg.get("std"), seg.get("input_size"))
+        found = qc.segmentation_frames(probs, seg.get("mask_threshold", 0.5), seg.get("min_foreground_ratio", 0.001), seg.get("min_confidence", 0.5))
+        masks = qc.segmentation_verdict(found, seg.get("min_detected_frames", 1), seg.get("min_detected_ratio", 0.1))
+    return qc.verdict(spark.createDataFrame([(n,) for n in names], "tf_name string"), metrics, *least, segmentation=masks)
+
+
 @register("exporter", "ply")
 def _ply(points, path):
     return sinks.write_ply(points, path)
@@ -204,10 +242,7 @@ def run_volume(spark: SparkSession, cfg: C.Config, state: State, tile: str | Non
         frames, tfs = find("renderer", cfg.render.name)(state, cfg.render.params)
         state.tfs = state.tfs or tfs
         if cfg.qc is not None and cfg.qc.get("enabled", True):
-            px = frames.withColumn("gray", qc.gray(F.col("r"), F.col("g"), F.col("b")))
-            names = spark.createDataFrame([(t.name,) for t in tfs], "tf_name string")
-            t = cfg.qc.get("thresholds", {})
-            verdicts = qc.verdict(names, qc.tf_metrics(qc.frame_metrics(px, t.get("pixel", 0.05))), t.get("mean", 0.05), t.get("nonzero", 0.05), t.get("std", 0.001))
+            verdicts = check(spark, frames, [t.name for t in tfs], cfg.qc)
             if cfg.qc.get("report"):
                 result["qc"] = sinks.write_qc_report(verdicts, export_path(cfg.qc["report"], "json", tile=tile))
     points = find("sampler", cfg.sampling.name)(state, cfg.sampling.params)
@@ -219,12 +254,14 @@ def run_volume(spark: SparkSession, cfg: C.Config, state: State, tile: str | Non
         points = qc.keep_passed(points, verdicts)
     result["points"] = points
     if cfg.export and cfg.export_path:
+        points = points.persist()  # read, baked and drawn once for all transfer functions
         kept = [r[0] for r in points.select("tf_name").distinct().orderBy("tf_name").collect()]  # one for each transfer function
         for name in kept:
             one = points.where(F.col("tf_name").eqNullSafe(name)).drop("tf_name", "volume_id")
             path = export_path(cfg.export_path, cfg.export.name, name, len(kept) > 1, tile)
             find("exporter", cfg.export.name)(one, path)
             result["outputs"].append(path)
+        points.unpersist()
     return result
 
 
@@ -236,7 +273,7 @@ def run(spark: SparkSession, doc: dict) -> list[dict]:
     if not t or not grid.needs_tiles(state.shape, t["tile"], **t["limits"]):
         return [run_volume(spark, cfg, state)]
     split = grid.split_tiles(state.voxels, state.shape, t["tile"], t["stride"], t["pad"])
-    out = []
+    out, split = [], store.stored(split, "tile_name")  # a tile reads its own part
     for name, z, y, x, dz, dy, dx in grid.tiles(state.shape, t["tile"], t["stride"]):
         g, size = state.geometry, t["tile"] if t["pad"] else (dz, dy, dx)
         shift = [sum(g.direction[i][k] * g.spacing[k] * (x, y, z)[k] for k in range(3)) for i in range(3)]

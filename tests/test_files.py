@@ -126,6 +126,42 @@ def test_run_many_tfs(spark, tmp_path):
     assert pipeline.run(spark, doc)[0]["outputs"] == []
 
 
+def test_run_opacity_density_is_the_scalar(spark, tmp_path):
+    points = [[0, 0, 0, 0, 0.2], [1, 1, 1, 1, 0.8]]
+    doc = document(tmp_path, sampling={"name": "opacity", "params": {"n_points": 9, "points": points}})
+    (r,) = pipeline.run(spark, doc)
+    got = r["points"].collect()
+    assert len(got) == 9 and all(abs(p.opacity - (0.2 + 0.6 * p.density)) < 1e-9 for p in got)
+    doc["preprocess"].append({"name": "tf", "params": {"points": points, "premultiply_alpha": False}})
+    got = pipeline.run(spark, doc)[0]["points"].collect()
+    assert all(p.density == p.opacity and abs(p.rgb[0] - (p.opacity - 0.2) / 0.6) < 1e-9 for p in got)
+    doc["preprocess"][-1]["params"]["premultiply_alpha"] = True
+    got = pipeline.run(spark, doc)[0]["points"].collect()
+    assert all(abs(p.rgb[0] - p.opacity * (p.opacity - 0.2) / 0.6) < 1e-9 for p in got)
+    drawn = pipeline.sample_canonical(spark, doc["io"]["path"], {"n_points": 9, "points": points})
+    assert drawn.count() == 9 and set(drawn.columns) >= {"density", "opacity", "rgba"}
+
+
+def test_check_samples_and_segments(spark):
+    frames = spark.range(20).select(F.lit("TF01").alias("tf_name"), F.when(F.col("id") < 15, "train").otherwise("test").alias("split"), F.format_string("%02d", "id").alias("frame"), F.explode(F.array(F.lit(0), F.lit(1))).alias("row"), F.lit(0).alias("col"), *[(F.col("id") / 20).alias(c) for c in "rgb"], F.lit(1.0).alias("a"))
+    one = pipeline.check(spark, frames, ["TF01", "TF02"], {}).orderBy("tf_name").collect()
+    order = [*range(15), *range(15, 20)]
+    assert one[0].images == 12 and abs(one[0]["mean"] - np.mean([order[round(i * 19 / 11)] / 20 for i in range(12)])) < 1e-12
+    assert one[1].reasons == ["no_images"] and one[1]["mean"] == 0.0
+    assert pipeline.check(spark, frames, ["TF01"], {"sample_limit": 0}).first().images == 20
+    pipeline.SEGMENTERS["bright"] = lambda cfg: lambda image: image[0]
+    try:
+        seg = {"enabled": True, "backend": "bright", "input_size": [4, 4], "in_channels": 4, "mask_threshold": 0.5}
+        how = {"segmentation": seg, "min_intensity_std": 0.0}
+        assert pipeline.check(spark, frames, ["TF01"], how).first().status == "pass"
+        seg["min_detected_ratio"] = 0.9
+        assert pipeline.check(spark, frames, ["TF01"], how).first().reasons == ["segmentation_failed"]
+    finally:
+        del pipeline.SEGMENTERS["bright"]
+    with pytest.raises(KeyError):
+        pipeline.check(spark, frames, ["TF01"], {"segmentation": {"enabled": True}})
+
+
 def test_run_tiles(spark, tmp_path):
     doc = document(tmp_path)
     doc["io"]["tile_size"] = 4
