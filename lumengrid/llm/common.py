@@ -54,13 +54,13 @@ _ROWS, _FILES = "spark.sql.execution.arrow.maxRecordsPerBatch", "spark.sql.class
 _open: list[set[str]] = []
 
 
-def written(df: DataFrame, name: str, compression: str | None = None, by: str | None = None) -> DataFrame:
+def written(df: DataFrame, name: str, compression: str | None = None, by: str | None = None, rows: int = BATCH_ROWS) -> DataFrame:
     """Write df to the shared folder and read it back: cuts the lineage and survives lost executors. by: a column whose
-    values have folders of their own, which discard() can delete one by one."""
+    values have folders of their own, which discard() can delete one by one. rows: of a batch to a Python worker at most."""
     spark = df.sparkSession
     path, before = scratch(spark, name), {k: spark.conf.get(k) for k in (_ROWS, _FILES)}
-    rows = int(before[_ROWS])
-    spark.conf.set(_ROWS, min(rows, BATCH_ROWS) if rows > 0 else BATCH_ROWS)
+    usual = int(before[_ROWS])
+    spark.conf.set(_ROWS, min(usual, rows) if usual > 0 else rows)
     spark.conf.set(_FILES, "true")
     try:
         to = df.write.option("compression", compression) if compression else df.write

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import bpe, ctw, decontam, fingerprints, html_text, language, near_dup, secrets, token_counts, token_files
+from . import bpe, ctw, decontam, fim, fingerprints, html_text, language, near_dup, secrets, token_counts, token_files, topk
 
 QUERIES = {
     "op1_token_files": token_files.query,
@@ -15,6 +15,8 @@ QUERIES = {
     "op8_language_id": language.query,
     "op9_token_counts": token_counts.query,
     "op10_fingerprints": fingerprints.query,
+    "op11_top_k": topk.query,
+    "op12_fill_in_middle": fim.query,
 }
 
-ORACLES = {"op3_secret_scan": secrets.oracle(), "op7_decontamination": decontam.ORACLE}
+ORACLES = {"op3_secret_scan": secrets.oracle(), "op7_decontamination": decontam.ORACLE, "op11_top_k": topk.ORACLE, "op12_fill_in_middle": fim.ORACLE}

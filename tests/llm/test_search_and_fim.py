@@ -1,0 +1,163 @@
+"""Exact top-k search and fill-in-the-middle, against brute force on awkward rows."""
+
+import hashlib
+import math
+import re
+import time
+
+import duckdb
+import numpy as np
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+pytest.importorskip("public_tokenizers")
+from lumengrid.llm import fim, registry, topk  # noqa: E402
+
+DATA = "/root/testdata/sf0.001"
+
+
+def brute(rows, k, every=2, scale=256):
+    """(query_id, rank, vec_id, score) by Python's integers."""
+    ok = [(r, i, [math.floor(scale * x) for x in v]) for r, (i, v) in enumerate(rows) if v is not None and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for r, i, q in ok:
+        if i is None or i % every:
+            continue
+        found = sorted((-sum(a * b for a, b in zip(q, c)), j is None, j or 0) for s, j, c in ok if s != r and len(c) == len(q))
+        out += [(i, n + 1, None if null else j, -score) for n, (score, null, j) in enumerate(found[:k])]
+    return out
+
+
+def order(rows):
+    return sorted(rows, key=str)
+
+
+def run(spark, rows, k=5, parts=2, **more):
+    df = spark.createDataFrame([(i, v, "clash", 7) for i, v in rows], "vec_id long, embedding array<double>, score string, block int").repartition(parts)
+    return [tuple(r) for r in topk.top_k(df, k, F.col("vec_id") % 2 == 0, **more).collect()]
+
+
+@pytest.mark.parametrize("k", [1, 5, 40])
+def test_top_k(spark, k, monkeypatch):
+    monkeypatch.setattr(topk, "BITS", 640 * 64)  # blocks of few rows
+    rng = np.random.default_rng(k)
+    rows = [(i, rng.normal(0, 0.2, 6).tolist()) for i in range(150)]
+    rows += [(i, [0.1] * 6) for i in range(200, 260)] + [(None, [0.1] * 6), (None, rng.normal(0, 1, 6).tolist())] * 2  # ties, null ids
+    rows += [(4, rows[4][1]), (4, rows[4][1]), (6, rng.normal(0, 1, 6).tolist())]  # repeated rows, an id twice
+    rows += [(300, None), (302, [0.1, None, 0.3, 0.1, 0.1, 0.1]), (304, [math.nan] * 6), (306, [math.inf] * 6), (308, []), (310, []), (312, [0.5]), (314, [3e5] * 6), (316, [0.0] * 6), (-318, [-2.5] * 6)]
+    assert order(run(spark, rows, k)) == order(brute(rows, k))
+
+
+def test_top_k_values(spark):
+    big = [(i, [x]) for i, x in enumerate((1e300, -1e300, 2.0**54, -(2.0**55), 0.0, 1.0))]
+    clamp = lambda x: min(max(x, -(1 << 63)), (1 << 63) - 1)
+    q = dict(enumerate((2**63 - 1024, -(2**63), 2**62, -(2**63), 0, 256)))
+    got = run(spark, big)
+    assert {(a, b): s for a, _, b, s in got} == {(a, b): clamp(q[a] * q[b]) for a in (0, 2, 4) for b in q if a != b}
+    assert run(spark, []) == [] and run(spark, [(0, [1.0])]) == []
+    assert run(spark, [(0, [1.0, 2.0]), (1, [1.0]), (3, None)]) == []
+
+
+def test_top_k_of_other_queries(spark, monkeypatch):
+    monkeypatch.setattr(topk, "CHUNK", 1 << 10)  # many chunks, and joins without broadcast
+    rng = np.random.default_rng(1)
+    rows = [(i, rng.normal(0, 0.2, 4).tolist()) for i in range(300)]
+    asked = [(i, rng.normal(0, 0.2, 4).tolist()) for i in range(1000, 1100)]
+    schema = "vec_id long, embedding array<float>"
+    df, ask = spark.createDataFrame(rows, schema), spark.createDataFrame(asked, schema)
+    got = [tuple(r) for r in topk.top_k(df, 3, queries=ask).collect()]
+    both = [(r[0], [float(np.float32(x)) for x in r[1]]) for r in rows]
+    want = []
+    for i, v in asked:
+        v = [float(np.float32(x)) for x in v]
+        want += brute([(0, v), *[(2 * j + 1, c) for j, c in both]], 3, every=1 << 40)
+        want[-3:] = [(i, n, (j - 1) // 2, s) for _, n, j, s in want[-3:]]
+    assert order(got) == order(want)
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.integers(1, 150), st.integers(1, 5), st.integers(0, 62), st.data())
+def test_bit_slices(n, dims, bits, data):
+    most = 1 << bits
+    q = np.array(data.draw(st.lists(st.lists(st.integers(-most, most), min_size=dims, max_size=dims), min_size=n, max_size=n)), np.int64).reshape(n, dims)
+    a = [data.draw(st.integers(-most, most)) for _ in range(dims)]
+    slices, width, least = topk.slices_of(q)
+    got = topk.scores(slices, width, np.array(a, np.int64))
+    base = sum(x * int(y) for x, y in zip(a, least))
+    value = [base + sum(int(s[r // 64] >> np.uint64(r % 64)) % 2 << w for w, s in enumerate(got[:-1])) - (int(got[-1][r // 64] >> np.uint64(r % 64)) % 2 << (len(got) - 1)) for r in range(n)]
+    assert value == [sum(x * int(y) for x, y in zip(a, row)) for row in q]
+    rows = np.zeros(slices.shape[1], np.uint64)
+    rows.view(np.uint8)[: -(-n // 8)] = np.packbits(np.ones(n, bool), bitorder="little")
+    assert sorted(topk.best(got, rows, 4).tolist()) == sorted(sorted(range(n), key=lambda r: (-value[r], r))[:4])
+
+
+UNITS = {"line": r"[^\n]*\n|[^\n]+", "word": r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+", "char": r"[\s\S]"}
+
+
+def cut(text, key, unit, rate=100, spm=50, seed="7"):
+    units = re.findall(UNITS[unit], text)
+    assert "".join(units) == text
+    h = hashlib.sha256(f"{seed}:{key}".encode()).hexdigest()
+    h1, h2, h3, h4 = (int(h[i : i + 8], 16) for i in (0, 8, 16, 24))
+    if not text or any(s in text for s in fim.SENTINELS) or h3 % 100 >= rate:
+        return len(units), "plain", None, None, text
+    i, j = sorted((h1 % (len(units) + 1), h2 % (len(units) + 1)))
+    p, m, s = "".join(units[:i]), "".join(units[i:j]), "".join(units[j:])
+    form = "spm" if h4 % 100 < spm else "psm"
+    return len(units), form, len(p), len(m), f"<S>{s}<P>{p}<M>{m}" if form == "spm" else f"<P>{p}<S>{s}<M>{m}"
+
+
+TEXTS = [None, "", "\n", "\n\n\n", "a", "a\nb", "a\nb\n", "\na", "😀\nß中\r\n\x85 x\n", "x <P> y\nz", "a<S>", "<M>", "<P", "S>\nM>", "<P\n>", "  ", " a  b ", "a<\n<S\n>b", "w " * 30000, "\n" * 30001, "line\n" * 9000, "x" * 2_000_000]
+
+
+@pytest.mark.parametrize("unit", ["line", "word", "char"])
+def test_fim(spark, unit):
+    rows = [(i + 40 * k, x, "clash", 1) for i, x in enumerate(TEXTS) for k in range(4)] + [(None, "a\nb\nc\n", "clash", 1)] * 2
+    docs = spark.createDataFrame(rows, "doc_id long, text string, output string, n int").repartition(3)
+    made = fim.transform(docs, unit=unit, rate=70, spm=40, keep=("output", "n"))
+    got = made.withColumn("back", fim.restored(F.col("output"), F.col("form"))).collect()
+    want = {i: cut(x or "", "" if i is None else i, unit, 70, 40) for i, x, *_ in rows}
+    assert len(got) == len(rows)
+    for r in got:
+        assert tuple(r)[1:6] == want[r["doc_id"]]
+        assert (r["keep_output"], r["keep_n"]) == ("clash", 1)
+    texts = {i: x or "" for i, x, *_ in rows}
+    assert all(r["back"] == texts[r["doc_id"]] for r in got)
+    assert {r["form"] for r in got} == {"plain", "psm", "spm"}
+    empty = spark.createDataFrame([], docs.schema)
+    assert fim.transform(empty).collect() == []
+
+
+def test_fim_parameters(spark):
+    docs = spark.createDataFrame([("k1", "a[P]b\nc\nd"), ("k2", "x\ny <P>\nz")], "name string, body string")
+    got = fim.transform(docs, "name", "body", sentinels=("[P]", "[S]", "[M]"), seed="s").orderBy("doc_id").collect()
+    assert got[0]["form"] == "plain" and got[1]["form"] != "plain"
+    back = spark.createDataFrame(got).select(fim.restored(F.col("output"), F.col("form"), ("[P]", "[S]", "[M]")).alias("t")).collect()
+    assert [r["t"] for r in back] == ["a[P]b\nc\nd", "x\ny <P>\nz"]
+    with pytest.raises(ValueError):
+        fim.transform(docs, "name", "body", sentinels=("a", "a", "b"))
+
+
+def test_fim_marks_are_bounded():
+    a = fim.automaton("line", fim.SENTINELS)
+    took = {}
+    for n in (200_000, 800_000):
+        began = time.perf_counter()
+        u = fim.Units(a, "\n" * n, "line")
+        took[n] = time.perf_counter() - began
+        assert u.n == n and len(u.marks) <= fim.MARKS
+        assert [u.end(k) for k in (0, 1, 12345, n - 1, n)] == [0, 1, 12345, n - 1, n]
+    assert took[800_000] < 12 * took[200_000]
+
+
+@pytest.mark.parametrize("name", ["op11_top_k", "op12_fill_in_middle"])
+def test_queries_equal_sql(spark, name):
+    con = duckdb.connect()
+    for t in ("documents", "embeddings"):
+        con.execute(f"create view {t} as select * from '{DATA}/{t}.parquet'")
+    got = registry.QUERIES[name](spark, DATA)
+    want = con.execute(registry.ORACLES[name])
+    cols = [d[0] for d in want.description]
+    assert order(tuple(r) for r in got.select(*cols).collect()) == order(want.fetchall())
