@@ -182,23 +182,19 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: A random 64-bit value for each byte, so that the polynomial below has no structure of its own.
+#: A random 64-bit value for each byte, without case.
 _BYTE = mix(_LOWER.astype(U64) * GOLDEN + U64(12345))
 #: The same with case kept.
 EXACT = mix(np.arange(256, dtype=U64) * GOLDEN + U64(54321))
-_R = U64(0xD6E8FEB86659FD93)
-_RINV = U64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
-_POW: list[np.ndarray] = [np.ones(1, U64), np.ones(1, U64)]
+_ODD = U64(0xD6E8FEB86659FD93)
+_place: list[np.ndarray] = [np.zeros(0, U64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    if len(_POW[0]) < n:
-        size = 1 << int(n - 1).bit_length()
-        for k, r in enumerate((_R, _RINV)):
-            p = np.full(size, r, U64)
-            p[0] = 1
-            _POW[k] = np.multiply.accumulate(p)
-    return _POW[0], _POW[1]
+def _places(n: int) -> np.ndarray:
+    """A random 64-bit value for each place in a word."""
+    if len(_place[0]) < n:
+        _place[0] = mix(np.arange(1 << int(n - 1).bit_length(), dtype=U64) * GOLDEN + U64(777))
+    return _place[0]
 
 
 def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -219,17 +215,24 @@ def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
 
 
 def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20, values: np.ndarray = _BYTE) -> np.ndarray:
-    """A 64-bit hash of each word, with A-Z lower-cased by default; bounded scratch memory however long the texts are."""
+    """A 64-bit hash of each word, with A-Z lower-cased by default; bounded scratch memory however long the texts are.
+
+    It sums a value for each byte that depends on the byte and its place by more than a product, so that no pattern of bytes
+    cancels out, as there are some that do in every polynomial modulo 2 ** 64."""
     out = np.empty(len(start), U64)
     lo = 0
     while lo < len(start):
         hi = max(lo + 1, int(np.searchsorted(end, start[lo] + piece, side="right")))
         a, b = int(start[lo]), int(end[hi - 1])
-        p, q = _powers(b - a + 1)
-        h = np.zeros(b - a + 1, U64)
-        np.cumsum(values[raw[a:b]] * p[: b - a], out=h[1:])
         s, e = start[lo:hi] - a, end[lo:hi] - a
-        out[lo:hi] = mix((h[e] - h[s]) * q[s] + (e - s).astype(U64) * GOLDEN)
+        span = np.diff(s, append=b - a)
+        x = values[raw[a:b]] + _places(int(span.max()))[np.arange(b - a) - np.repeat(s, span)]
+        x ^= x >> U64(29)
+        x *= _ODD
+        x ^= x >> U64(32)
+        h = np.zeros(b - a + 1, U64)
+        np.cumsum(x, out=h[1:])
+        out[lo:hi] = mix(h[e] - h[s] + (e - s).astype(U64) * GOLDEN)
         lo = hi
     return out
 

@@ -1,8 +1,9 @@
 """Texts to token ids, piece by piece of the byte-level BPE pattern, where equal pieces are encoded once.
 
 For texts of plain characters (`common.plain`) the pieces are found with array operations over all texts of a slice at
-once; each distinct piece is looked up by a 64-bit hash, and only new ones go to the encoder. Other texts take the way
-that the caller gives for them.
+once and grouped by a 64-bit hash. All pieces of a group are compared with its first one, byte by byte; should any differ, the
+slice's texts take the way of other texts, which the caller gives. Distinct pieces are looked up by their bytes, and only new ones
+go to the encoder.
 """
 
 from __future__ import annotations
@@ -52,6 +53,15 @@ def boundaries(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
     return np.flatnonzero(cut)
 
 
+def alike(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
+    """Whether each piece has the same bytes as the piece whose number `other` gives; the pieces fill raw."""
+    size = end - start
+    if not np.array_equal(size, size[other]):
+        return False
+    shift = (start[other] - start).astype(np.int32 if len(raw) < 1 << 30 else np.int64)
+    return bool((raw == raw[np.arange(len(raw), dtype=shift.dtype) + np.repeat(shift, size)]).all())
+
+
 @lru_cache(maxsize=4096)
 def pack(n: int) -> struct.Struct:
     return struct.Struct(f"<{n}I")
@@ -65,7 +75,7 @@ class PieceEncoder:
 
     def __init__(self, new: Callable[[list[str]], list[list[int]]], odd: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = (), keep_bytes: int = KEEP_BYTES):
         self.new, self.odd, self.special, self.keep_bytes = new, odd, special, keep_bytes
-        self.known: dict[int, bytes] = {}
+        self.known: dict[bytes, bytes] = {}
         self.held = 0
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -86,20 +96,24 @@ class PieceEncoder:
         # An empty text has no first byte of its own.
         start = boundaries(raw, off[:-1][np.diff(off) > 0].tolist() + [len(raw)] if len(raw) else off)
         end = np.append(start[1:], len(raw)) if len(start) else start
-        key, first, back = np.unique(common.word_hashes(raw, start, end, values=common.EXACT), return_index=True, return_inverse=True)
+        first, back = np.unique(common.word_hashes(raw, start, end, values=common.EXACT), return_index=True, return_inverse=True)[1:]
+        if not alike(raw, start, end, first[back]):
+            for i, ids in zip(plain, self.odd([texts[i] for i in plain]), strict=True):
+                out[i] = ids
+            return out
         if self.held > self.keep_bytes:
             old = list(islice(self.known.items(), len(self.known) // 2))
             for k, ids in old:
                 del self.known[k]
-                self.held -= len(ids) + 160
-        got = list(map(self.known.get, keys := key.tolist()))
+                self.held -= len(ids) + len(k) + 200
+        whole = raw.tobytes()
+        keys = [whole[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)]
+        got = list(map(self.known.get, keys))
         lack = [i for i, x in enumerate(got) if x is None]
         if lack:
-            whole = raw.tobytes()
-            a, b = start[first].tolist(), end[first].tolist()
-            for i, ids in zip(lack, self.new([whole[a[i] : b[i]].decode("latin-1") for i in lack]), strict=True):
+            for i, ids in zip(lack, self.new([keys[i].decode("latin-1") for i in lack]), strict=True):
                 got[i] = self.known[keys[i]] = pack(len(ids)).pack(*ids)
-                self.held += 4 * len(ids) + 160
+                self.held += 4 * len(ids) + len(keys[i]) + 200
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids = np.frombuffer(b"".join(got), "<u4")
         src, n = (np.cumsum(size) - size)[back], size[back]

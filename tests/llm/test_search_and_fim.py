@@ -161,3 +161,52 @@ def test_queries_equal_sql(spark, name):
     want = con.execute(registry.ORACLES[name])
     cols = [d[0] for d in want.description]
     assert order(tuple(r) for r in got.select(*cols).collect()) == order(want.fetchall())
+
+
+# Words and pieces that a polynomial hash modulo 2 ** 64 can't tell apart.
+
+
+def thue_morse(n, a, b):
+    return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [1024, 4096])
+def test_words_are_told_apart(spark, n, tmp_path):
+    import public_tokenizers as P
+    import tiktoken.load
+    from tokenizers import Tokenizer
+
+    from lumengrid.llm import bpe, common, ctw, fingerprints, near_dup, token_files
+
+    x, y = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
+    raw = np.frombuffer((x + y).encode(), np.uint8)
+    at = np.array([0, n]), np.array([n, 2 * n])
+    for values in (common._BYTE, common.EXACT):
+        one, two = common.word_hashes(raw, *at, values=values)
+        assert one != two
+    texts = [f"{x}-{y}", f"w1 w2 {x} w4 w5 w6", f"w1 w2 {y} w4 w5 w6", thue_morse(n, "0", "x") + "+" + thue_morse(n, "x", "0")]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    t = Tokenizer.from_file(P.path("byte_bpe_50k.json"))
+    token_files.write(docs, f"file://{tmp_path}/ids", P.path("byte_bpe_50k.json"))
+    assert {r[0]: list(r[1]) for r in token_files.read_ids(spark, f"file://{tmp_path}/ids", [0, 1, 2, 3]).collect()} == {i: [*t.encode(s, add_special_tokens=False).ids, 0] for i, s in enumerate(texts)}
+    path = P.path("byte_bpe_multi_50k.tiktoken")
+    made = {r["doc_id"]: r["ids_sha256"] for r in bpe.encode(docs, path, P.PATTERN, digests=True).collect()}
+    ranks = tiktoken.load.load_tiktoken_bpe(path)
+    enc = tiktoken.Encoding("t", pat_str=P.PATTERN, mergeable_ranks=ranks, special_tokens={})
+    assert made == {i: hashlib.sha256(",".join(map(str, enc.encode_ordinary(s))).encode()).hexdigest() for i, s in enumerate(texts)}
+    comp = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_dup.near_duplicates(docs, 85, 100).collect()}
+    assert (comp[1], comp[2]) == ((2, 1), (2, 2))
+    keys = ctw._words(np.frombuffer(f"{x} {y}".encode(), np.uint8), np.array([0, 2 * n + 1]))[0]
+    assert keys[0] != keys[1]
+    prints = {r["doc_id"]: r["fingerprint"] for r in fingerprints.fingerprint(docs).collect()}
+    assert prints[1] != prints[2]
+
+
+def test_colliding_pieces_go_to_the_library(monkeypatch):
+    from lumengrid.llm import common, pieces
+
+    monkeypatch.setattr(common, "word_hashes", lambda raw, start, end, **k: np.zeros(len(start), np.uint64))
+    asked = []
+    p = pieces.PieceEncoder(lambda new: [[len(x)] for x in new], lambda odd: [asked.append(x) or np.array([7], np.uint32) for x in odd])
+    assert [x.tolist() for x in p.encode(["one two", "aa aa"])] == [[7], [7]] and asked == ["one two", "aa aa"]
+    assert [x.tolist() for x in p.encode(["aaaa"])] == [[4]]
