@@ -167,10 +167,15 @@ def candidates(index: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
     return masks.select("doc_id", rule.cast("long").alias("rules")).where("rules <> 0")
 
 
+#: Matches that are placed one after the other; an array grows by copying, so runs of matches are placed by themselves.
+RUN = 256
+
+
 def _spans(text: Column, rule: Rule, order: int) -> Column:
     """The rule's matches as array<struct<start, ord, end, kind>>, in code points, end exclusive.
 
-    The pieces between the matches and the matches alternate, so their lengths add up to the offsets.
+    The pieces between the matches and the matches alternate, so their lengths add up to the offsets: within runs of RUN matches
+    from 0, and from run to run.
     """
     whole = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(0))
     group = F.regexp_extract_all(text, F.lit(rule.regex), F.lit(rule.group)) if rule.group else whole
@@ -178,15 +183,28 @@ def _spans(text: Column, rule: Rule, order: int) -> Column:
         F.transform(F.split(text, rule.regex, -1), F.length), F.arrays_zip(F.transform(whole, F.length).alias("w"), F.transform(group, F.length).alias("g")),
         lambda gap, m: F.struct(gap.alias("gap"), m["w"].alias("w"), m["g"].alias("g")),
     )
-    kind = "array<struct<start:int,ord:int,end:int,kind:string>>"
+    kind = "array<struct<start:int,end:int>>"
 
     def step(acc: Column, x: Column) -> Column:
         start = acc["at"] + x["gap"]
         end = start + F.coalesce(x["w"], F.lit(0))
-        one = F.array(F.struct(start.alias("start"), F.lit(order).alias("ord"), end.alias("end"), F.lit(rule.kind).alias("kind")))
+        one = F.array(F.struct(start.alias("start"), end.alias("end")))
         return F.struct(end.alias("at"), F.when(x["g"] >= rule.least, F.concat(acc["out"], one)).otherwise(acc["out"]).alias("out"))
 
-    return F.aggregate(lens, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step)["out"]
+    def run(part: Column) -> Column:
+        return F.aggregate(part, F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out")), step)
+
+    def runs(lens: Column) -> Column:
+        return F.transform(F.sequence(F.lit(0), F.floor((F.size(lens) - 1) / RUN).cast("int")), lambda i: run(F.slice(lens, i * RUN + 1, F.lit(RUN))))
+
+    def placed(acc: Column, r: Column) -> Column:
+        return F.struct((acc["at"] + r["at"]).alias("at"), F.concat(acc["of"], F.array(F.struct(acc["at"].alias("base"), r["out"].alias("out")))).alias("of"))
+
+    # One-element arrays give a name to what is used more than once, which is then worked out once.
+    each = F.flatten(F.transform(F.array(lens), runs))
+    based = F.aggregate(each, F.struct(F.lit(0).alias("at"), F.array().cast(f"array<struct<base:int,out:{kind}>>").alias("of")), placed)["of"]
+    full = lambda r: F.transform(r["out"], lambda m: F.struct((r["base"] + m["start"]).alias("start"), F.lit(order).alias("ord"), (r["base"] + m["end"]).alias("end"), F.lit(rule.kind).alias("kind")))
+    return F.flatten(F.transform(based, full))
 
 
 def scan(docs: DataFrame, rules: tuple[Rule, ...] = RULES, id_col: str = "doc_id", text_col: str = "text", keep: tuple[str, ...] = (), index: DataFrame | None = None) -> DataFrame:
