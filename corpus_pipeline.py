@@ -7,7 +7,7 @@ docs. All but the last return the columns that they get.
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lumengrid.llm import bpe, common, decontam, language, near_dup, secrets
@@ -35,7 +35,8 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the document with the least id; of rows that repeat id and text one."""
+    """Of each group of near duplicates the document with the least id; of rows that repeat id and text one. A null id comes
+    before all others; rows that share an id that stays, null too, stay with each of their texts."""
     key, times, h = "id that is kept", "rows of the id", "hash of the text"
     with common.tables(spark) as keep:
         kept = near_dup.near_duplicates(docs, *SIMILAR).where("kept").groupBy(F.col("doc_id").alias(key)).agg(F.count("*").alias(times))
@@ -55,20 +56,44 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return docs.join(common.bounded(leaks), F.xxhash64("doc_id", "text") == F.col(leak), "left_anti").select(*_own(docs))
 
 
+#: Spans that are masked one after the other; a text grows by copying, so runs of spans are masked by themselves.
+RUN = 256
+
+
+def _masked(text: Column, found: Column) -> Column:
+    """The text with its spans (by start) replaced by MASK, those that overlap by one."""
+
+    def split(acc: Column, spans: Column) -> Column:
+        end = F.greatest(acc["at"], F.array_max(F.transform(spans, lambda x: x["end"])))
+        return F.struct(end.alias("at"), F.concat(acc["of"], F.array(F.struct(acc["at"].alias("start"), end.alias("end"), spans.alias("spans")))).alias("of"))
+
+    def mask(run: Column) -> Column:
+        """A run's part of the text, from its start to the end of its last span."""
+
+        def step(acc: Column, x: Column) -> Column:
+            gap = F.concat(acc["out"], F.substring(run["part"], acc["at"] - run["start"] + 1, x["start"] - acc["at"]), F.lit(MASK))
+            return F.struct(F.greatest(acc["at"], x["end"]).alias("at"), F.when(x["start"] >= acc["at"], gap).otherwise(acc["out"]).alias("out"))
+
+        return F.aggregate(run["spans"], F.struct(run["start"].alias("at"), F.lit("").alias("out")), step)["out"]
+
+    def whole(of: Column) -> Column:
+        n = F.floor((F.size(of["found"]) - 1) / RUN).cast("int")
+        runs = F.transform(F.sequence(F.lit(0), n), lambda i: F.slice(of["found"], i * RUN + 1, F.lit(RUN)))
+        start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start:int,end:int,spans:array<struct<start:int,ord:int,end:int,kind:string>>>>").alias("of"))
+        parts = lambda r: F.struct(r["start"].alias("start"), r["spans"].alias("spans"), F.substring(of["text"], r["start"] + 1, r["end"] - r["start"]).alias("part"))
+        cut = F.transform(F.array(F.aggregate(runs, start, split)), lambda a: F.concat(F.array_join(F.transform(F.transform(a["of"], parts), mask), ""), F.substring(of["text"], a["at"] + 1, F.length(of["text"]))))
+        return F.element_at(cut, 1)
+
+    # One-element arrays give a name to what is used more than once, which is then worked out once.
+    return F.element_at(F.transform(F.array(F.struct(text.alias("text"), found.alias("found"))), lambda of: F.when(F.size(of["found"]) > 0, whole(of)).otherwise(of["text"])), 1)
+
+
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with every secret replaced by MASK (spans that overlap by one) and n_chars of the new text."""
+    """All documents, with every secret replaced by MASK (spans that overlap by one) and n_chars of the new text. Null text stays null;
+    rows with a null id or that repeat stay, each by its own text."""
     keep = tuple(c for c in docs.columns if c not in ("doc_id", "text"))
     found = secrets.scan(docs, keep=keep)
-    start = F.struct(F.lit(0).alias("at"), F.lit("").alias("out"))
-
-    def step(acc, x):
-        end = F.greatest(acc["at"], x["end"])
-        gap = F.concat(acc["out"], F.substring(F.col("text"), acc["at"] + 1, x["start"] - acc["at"]), F.lit(MASK))
-        return F.struct(end.alias("at"), F.when(x["start"] >= acc["at"], gap).otherwise(acc["out"]).alias("out"))
-
-    done = F.aggregate("found", start, step)
-    text = F.when(F.size("found") > 0, F.concat(done["out"], F.substring(F.col("text"), done["at"] + 1, F.length("text")))).otherwise(F.col("text"))
-    out = found.withColumn("text", text)
+    out = found.withColumn("text", _masked(F.col("text"), F.col("found")))
     if "n_chars" in docs.columns:
         out = out.withColumn("keep_n_chars", F.when(F.size("found") > 0, F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("keep_n_chars")))
     return out.select(*_back(docs))
