@@ -1,10 +1,12 @@
-"""Value ranges of volumes and rescaling to [0, 1]; per volume a partial aggregate and an equi-join, so no volume meets in one task."""
+"""Value ranges of volumes and rescaling to [0, 1]; per volume a partial aggregate and an equi-join, so no large volume meets in one task."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import selection
+
 KEY = "volume_id"
 
 
@@ -23,7 +25,7 @@ def minmax(voxels: DataFrame, constant: str = "keep") -> DataFrame:
 
 def percentile(voxels: DataFrame, low: float = 1.0, high: float = 99.0) -> DataFrame:
     """Rescale between two percentiles (linear interpolation), cut to [0, 1]; where they are equal, 0."""
-    at = voxels.groupBy(KEY).agg(F.percentile("v", F.lit(low / 100)).alias("lo"), F.percentile("v", F.lit(high / 100)).alias("hi"))
+    at = selection.quantiles(voxels, [low / 100, high / 100], [KEY]).select(KEY, F.col("q0").alias("lo"), F.col("q1").alias("hi"))
     cut = F.least(F.greatest((F.col("v") - F.col("lo")) / (F.col("hi") - F.col("lo")), F.lit(0.0)), F.lit(1.0))
     return voxels.join(at, KEY).withColumn("v", F.when(F.col("hi") > F.col("lo"), cut).otherwise(0.0)).drop("lo", "hi")
 
@@ -49,10 +51,11 @@ def scalar_range(voxels: DataFrame, override: str | None = None) -> tuple[float,
 
 def mad_threshold(values: DataFrame, col: str = "v", lam: float = 1.0, eps: float = 1e-12) -> DataFrame:
     """lam * sigma with sigma = (lower) median of absolute deviations / 0.6745, per volume."""
-    median = lambda c: F.expr(f"percentile_disc(0.5) within group (order by {c})")
-    mid = values.groupBy(KEY).agg(median(col).alias("mid"))
-    off = values.join(mid, KEY).select(KEY, F.abs(F.col(col) - F.col("mid")).alias("off"))
-    return off.groupBy(KEY).agg(median("off").alias("mad")).select(KEY, (F.lit(lam) * F.greatest(F.col("mad") / 0.6745, F.lit(eps))).alias("threshold"))
+    v = values.select(KEY, F.col(col).cast("double").alias("v"))
+    mid = selection.quantiles(v, [0.5], [KEY], between=False)
+    off = v.join(mid, KEY).select(KEY, F.abs(F.col("v") - F.col("q0")).alias("v"))
+    mad = selection.quantiles(off, [0.5], [KEY], between=False)
+    return mad.select(KEY, (F.lit(lam) * F.greatest(F.col("q0") / 0.6745, F.lit(eps))).alias("threshold"))
 
 
 def inspect(voxels: DataFrame) -> DataFrame:
