@@ -293,12 +293,20 @@ class StreamDecoder:
         return got
 
     def feed(self, ids: np.ndarray) -> bytes:
-        names = self.names
-        if self.state == 0 and self.closed[ids].all():
-            return b"".join(map(names.__getitem__, ids.tolist()))
-        out = []
-        for i in ids.tolist():
-            token = names[i]
+        names, many = self.names, ids.tolist()
+        # Between characters, tokens of whole characters go through as they are, up to the next one that isn't.
+        opening = [*np.flatnonzero(~self.closed[ids]).tolist(), len(many)]
+        out, i, k = [], 0, 0
+        while i < len(many):
+            if self.state == 0 and not self.held:
+                while opening[k] < i:
+                    k += 1
+                if opening[k] > i:
+                    out.append(b"".join(map(names.__getitem__, many[i : opening[k]])))
+                    i = opening[k]
+                    continue
+            token = names[many[i]]
+            i += 1
             before = self.state
             self.state, open_, bad = self._run(before, token)
             self.invalid += bad

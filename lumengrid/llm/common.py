@@ -182,19 +182,17 @@ _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-#: A random 64-bit value for each byte, without case.
-_BYTE = mix(_LOWER.astype(U64) * GOLDEN + U64(12345))
-#: The same with case kept.
-EXACT = mix(np.arange(256, dtype=U64) * GOLDEN + U64(54321))
 _ODD = U64(0xD6E8FEB86659FD93)
-_place: list[np.ndarray] = [np.zeros(0, U64)]
+#: Of 8 bytes the first n.
+_FIRST = np.array([(1 << 8 * n) - 1 for n in range(9)], U64)
+#: Bytes of a word that are hashed 8 at a time with those of all others; longer words are hashed one by one.
+LONG = 256
 
 
-def _places(n: int) -> np.ndarray:
-    """A random 64-bit value for each place in a word."""
-    if len(_place[0]) < n:
-        _place[0] = mix(np.arange(1 << int(n - 1).bit_length(), dtype=U64) * GOLDEN + U64(777))
-    return _place[0]
+def eights(raw: np.ndarray) -> np.ndarray:
+    """The 8 bytes from each byte on as a little-endian number, zeros after the end; a view, not a copy for each byte."""
+    padded = np.concatenate([raw, np.zeros(16 - len(raw) % 8, np.uint8)])
+    return np.lib.stride_tricks.as_strided(padded.view(U64), shape=(len(raw),), strides=(1,))
 
 
 def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -214,27 +212,41 @@ def words_of(raw: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return start, end, np.searchsorted(start, off)
 
 
-def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, piece: int = 1 << 20, values: np.ndarray = _BYTE) -> np.ndarray:
-    """A 64-bit hash of each word, with A-Z lower-cased by default; bounded scratch memory however long the texts are.
+def _stirred(x: np.ndarray) -> np.ndarray:
+    x ^= x >> U64(29)
+    x *= _ODD
+    x ^= x >> U64(32)
+    return x
 
-    It sums a value for each byte that depends on the byte and its place by more than a product, so that no pattern of bytes
-    cancels out, as there are some that do in every polynomial modulo 2 ** 64."""
-    out = np.empty(len(start), U64)
-    lo = 0
-    while lo < len(start):
-        hi = max(lo + 1, int(np.searchsorted(end, start[lo] + piece, side="right")))
-        a, b = int(start[lo]), int(end[hi - 1])
-        s, e = start[lo:hi] - a, end[lo:hi] - a
-        span = np.diff(s, append=b - a)
-        x = values[raw[a:b]] + _places(int(span.max()))[np.arange(b - a) - np.repeat(s, span)]
-        x ^= x >> U64(29)
-        x *= _ODD
-        x ^= x >> U64(32)
-        h = np.zeros(b - a + 1, U64)
-        np.cumsum(x, out=h[1:])
-        out[lo:hi] = mix(h[e] - h[s] + (e - s).astype(U64) * GOLDEN)
-        lo = hi
-    return out
+
+def _long_hash(word: np.ndarray, piece: int = 1 << 16) -> np.uint64:
+    """Of one word by the sum of a value for each byte and its place."""
+    h = 0
+    for lo in range(0, len(word), piece):
+        part = word[lo : lo + piece]
+        h += int(_stirred(mix(np.arange(lo, lo + len(part), dtype=U64) * GOLDEN) + part.astype(U64) * _ODD).sum())
+    return U64(h % (1 << 64))
+
+
+def word_hashes(raw: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = True) -> np.ndarray:
+    """A 64-bit hash of each word, which is not empty, by default with A-Z lower-cased; scratch memory of some bytes a word.
+
+    Eight bytes after the other are mixed into it by more than sums and products, so that no pattern of bytes cancels out, as there
+    are some that do in every polynomial modulo 2 ** 64; words of one length up to 8 bytes have different hashes."""
+    raw = _LOWER[raw] if lower else raw
+    size = end - start
+    out = size.astype(U64) * GOLDEN
+    at = eights(raw)
+    live = np.flatnonzero(size <= LONG)
+    for done in range(0, LONG, 8):
+        if not len(live):
+            break
+        left = size[live] - done
+        out[live] = _stirred(out[live] ^ (at[start[live] + done] & _FIRST[np.minimum(left, 8)]))
+        live = live[left > 8]
+    for i in np.flatnonzero(size > LONG).tolist():
+        out[i] ^= _long_hash(raw[start[i] : end[i]])
+    return mix(out)
 
 
 def shingle_sets(col: pa.Array, k: int = 5) -> list[np.ndarray]:

@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 
 from . import common
 
@@ -54,12 +55,21 @@ def boundaries(raw: np.ndarray, off: np.ndarray) -> np.ndarray:
 
 
 def alike(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray) -> bool:
-    """Whether each piece has the same bytes as the piece whose number `other` gives; the pieces fill raw."""
+    """Whether each piece has the same bytes as the piece whose number `other` gives."""
     size = end - start
     if not np.array_equal(size, size[other]):
         return False
-    shift = (start[other] - start).astype(np.int32 if len(raw) < 1 << 30 else np.int64)
-    return bool((raw == raw[np.arange(len(raw), dtype=shift.dtype) + np.repeat(shift, size)]).all())
+    at = common.eights(raw)
+    differ = other != np.arange(len(other))
+    live = np.flatnonzero(differ & (size <= common.LONG))
+    for done in range(0, common.LONG, 8):
+        if not len(live):
+            break
+        left = size[live] - done
+        if ((at[start[live] + done] ^ at[start[other[live]] + done]) & common._FIRST[np.minimum(left, 8)]).any():
+            return False
+        live = live[left > 8]
+    return all(np.array_equal(raw[start[i] : end[i]], raw[start[other[i]] : end[other[i]]]) for i in np.flatnonzero(differ & (size > common.LONG)).tolist())
 
 
 @lru_cache(maxsize=4096)
@@ -96,7 +106,9 @@ class PieceEncoder:
         # An empty text has no first byte of its own.
         start = boundaries(raw, off[:-1][np.diff(off) > 0].tolist() + [len(raw)] if len(raw) else off)
         end = np.append(start[1:], len(raw)) if len(start) else start
-        first, back = np.unique(common.word_hashes(raw, start, end, values=common.EXACT), return_index=True, return_inverse=True)[1:]
+        back = pa.array(common.word_hashes(raw, start, end, lower=False)).dictionary_encode().indices.to_numpy()
+        first = np.zeros(int(back.max(initial=-1)) + 1, np.int64)
+        first[back[::-1]] = np.arange(len(back) - 1, -1, -1)
         if not alike(raw, start, end, first[back]):
             for i, ids in zip(plain, self.odd([texts[i] for i in plain]), strict=True):
                 out[i] = ids

@@ -170,7 +170,7 @@ def thue_morse(n, a, b):
     return "".join((a, b)[bin(i).count("1") % 2] for i in range(n))
 
 
-@pytest.mark.parametrize("n", [1024, 4096])
+@pytest.mark.parametrize("n", [128, 256, 1024, 4096])
 def test_words_are_told_apart(spark, n, tmp_path):
     import public_tokenizers as P
     import tiktoken.load
@@ -181,8 +181,8 @@ def test_words_are_told_apart(spark, n, tmp_path):
     x, y = thue_morse(n, "a", "b"), thue_morse(n, "b", "a")
     raw = np.frombuffer((x + y).encode(), np.uint8)
     at = np.array([0, n]), np.array([n, 2 * n])
-    for values in (common._BYTE, common.EXACT):
-        one, two = common.word_hashes(raw, *at, values=values)
+    for lower in (True, False):
+        one, two = common.word_hashes(raw, *at, lower=lower)
         assert one != two
     texts = [f"{x}-{y}", f"w1 w2 {x} w4 w5 w6", f"w1 w2 {y} w4 w5 w6", thue_morse(n, "0", "x") + "+" + thue_morse(n, "x", "0")]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -202,6 +202,24 @@ def test_words_are_told_apart(spark, n, tmp_path):
     assert prints[1] != prints[2]
 
 
+def test_word_hashes():
+    from lumengrid.llm import common
+
+    rng = np.random.default_rng(5)
+    words = {bytes(rng.integers(97, 100, n).astype(np.uint8)) for n in [*range(1, 40), 255, 256, 257, 70_000] * 20}
+    words |= {w.upper() for w in words} | {b"a" * n for n in (7, 8, 9, 16, 255, 256, 257, 264, 65_536, 65_537)}
+    words = sorted(words)
+    body, start = b" ".join([*words, *words]), []
+    for w in [*words, *words]:
+        start.append(start[-1] + size + 1 if start else 0)
+        size = len(w)
+    start = np.array(start)
+    end = start + np.array([len(w) for w in [*words, *words]])
+    for lower, distinct in ((True, len({w.lower() for w in words})), (False, len(words))):
+        h = common.word_hashes(np.frombuffer(body, np.uint8), start, end, lower=lower)
+        assert np.array_equal(h[: len(words)], h[len(words) :]) and len(set(h.tolist())) == distinct
+
+
 def test_colliding_pieces_go_to_the_library(monkeypatch):
     from lumengrid.llm import common, pieces
 
