@@ -72,5 +72,8 @@ def linear_index(ny: int, nx: int) -> Column:
     return (F.col("z") * ny + F.col("y")) * nx + F.col("x")
 
 
-def from_linear(i: Column, ny: int, nx: int) -> list[Column]:
-    return [F.floor(i / (ny * nx)).cast("int").alias("z"), (F.floor(i / nx) % ny).cast("int").alias("y"), (i % nx).cast("int").alias("x")]
+def from_linear(i: Column, ny: int | Column, nx: int | Column) -> list[Column]:
+    """z, y and x of a linear index; whole-number division, exact at any size."""
+    i = i.cast("long")
+    line = F.call_function("div", i, F.lit(nx) if isinstance(nx, int) else nx)
+    return [F.call_function("div", line, F.lit(ny) if isinstance(ny, int) else ny).cast("int").alias("z"), (line % ny).cast("int").alias("y"), (i % nx).cast("int").alias("x")]

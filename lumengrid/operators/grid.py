@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import normalize as N
+from .geometry import from_linear
 
 CELL = ["volume_id", "z", "y", "x"]
 
@@ -74,28 +75,66 @@ def resample(voxels: DataFrame, shape, to, mode: str = "trilinear", backend: str
     return trilinear(voxels, shape, to, True if backend == "zoom" else align_corners)
 
 
-def dense(voxels: DataFrame, shape: tuple[int, int, int], fill: float = 0.0) -> DataFrame:
-    """All cells of the grid for each volume; missing ones get `fill`."""
+#: Rows or cells that one input row becomes in a task.
+RUN = 1 << 16
+
+
+def numbered(rows: DataFrame, n, name: str, run: int = RUN) -> DataFrame:
+    """Every row once for each number 0..n-1 (n: a number or a column of long), as column `name` (long). Runs of numbers are dealt over the tasks first, so
+    that no row becomes more than `run` rows where it stands."""
+    n = F.lit(n).cast("long") if isinstance(n, int) else n
+    runs = rows.where(n > 0).withColumn("_run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((n - 1) / run))))
+    parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = runs.repartition(parts, F.xxhash64("_run", *[c for c, t in rows.dtypes if not t.startswith("map")]))  # by number, so that small partitions aren't put together
+    return dealt.withColumn(name, F.explode(F.sequence(F.col("_run") * run, F.least((F.col("_run") + 1) * run, n) - 1))).drop("_run")
+
+
+def dense(voxels: DataFrame, shape: tuple[int, int, int], fill: float = 0.0, fills: DataFrame | None = None) -> DataFrame:
+    """The voxels, and a voxel of `fill` (of each volume its own: fills of volume_id, fill) for every cell of the grid without one.
+
+    Cells are numbered and dealt in runs. A run gathers the numbers of the voxels in it, RUN at most, and makes the others; voxels go
+    through as they are, so nothing is joined by cell."""
     nz, ny, nx = shape
-    ids = voxels.select("volume_id").distinct()
-    cells = ids.select("volume_id", F.explode(F.sequence(F.lit(0), F.lit(nz - 1))).alias("z")).select("*", F.explode(F.sequence(F.lit(0), F.lit(ny - 1))).alias("y")).select("*", F.explode(F.sequence(F.lit(0), F.lit(nx - 1))).alias("x"))
-    return cells.join(voxels, CELL, "left").select(*CELL, F.coalesce("v", F.lit(float(fill))).alias("v"))
+    ids = voxels.select("volume_id").distinct().withColumn("fill", F.lit(float(fill))) if fills is None else fills.select("volume_id", "fill")
+    total = nz * ny * nx
+    i = (F.col("z").cast("long") * ny + F.col("y")) * nx + F.col("x")
+    runs = ids.select("volume_id", "fill", F.explode(F.sequence(F.lit(0).cast("long"), F.lit((total - 1) // RUN).cast("long"))).alias("run"), F.lit(None).cast("long").alias("i"))
+    there = voxels.select("volume_id", F.lit(None).cast("double").alias("fill"), F.floor(i / RUN).alias("run"), i.alias("i"))
+    each = runs.unionByName(there).groupBy("volume_id", "run").agg(F.max("fill").alias("fill"), F.collect_set("i").alias("has"))
+    every = F.sequence(F.col("run") * RUN, F.least((F.col("run") + 1) * RUN, F.lit(total)) - 1)
+    cell = F.col("i")
+    lack = each.select("volume_id", "fill", F.explode(F.array_except(every, "has")).alias("i")).select("volume_id", *from_linear(cell, ny, nx), F.col("fill").alias("v"))
+    return voxels.select(*CELL, F.col("v").cast("double").alias("v")).unionByName(lack)
+
+
+def shell(ids: DataFrame, inner: tuple[int, int, int], offset: tuple[int, int, int], n: int) -> DataFrame:
+    """The cells of a cube of side n around a box (at `offset`) for each row of ids: six slabs, numbered and dealt in runs; with ids' columns."""
+    (oz, oy, ox), (mz, my, mx) = offset, inner
+    ends = (oz + mz, oy + my, ox + mx)
+    slabs = [(0, oz, 0, n, 0, n), (ends[0], n, 0, n, 0, n), (oz, ends[0], 0, oy, 0, n), (oz, ends[0], ends[1], n, 0, n), (oz, ends[0], oy, ends[1], 0, ox), (oz, ends[0], oy, ends[1], ends[2], n)]
+    some = [F.struct(*[F.lit(int(x)).alias(c) for c, x in zip(("z0", "z1", "y0", "y1", "x0", "x1"), s, strict=True)]) for s in slabs if s[0] < s[1] and s[2] < s[3] and s[4] < s[5]]
+    if not some:
+        return ids.select("*", *[F.lit(0).alias(c) for c in "zyx"]).where(F.lit(False))
+    each = ids.withColumn("_s", F.explode(F.array(*some)))
+    side = {c: (F.col(f"_s.{c}1") - F.col(f"_s.{c}0")).cast("long") for c in "zyx"}
+    cells = numbered(each, side["z"] * side["y"] * side["x"], "_i")
+    at = from_linear(F.col("_i"), side["y"], side["x"])
+    return cells.select(*ids.columns, *[(a + F.col(f"_s.{c}0")).cast("int").alias(c) for c, a in zip("zyx", at, strict=True)])
 
 
 def pad_to_cube(voxels: DataFrame, shape: tuple[int, int, int], size: int = 0, mode: str = "zero", value: float | None = None) -> DataFrame:
-    """Centre the grid in a cube of max(size, longest side); what is new gets `value`, or 0, or the volume's minimum."""
+    """Centre the grid in a cube of max(size, longest side); what is new, and cells that the grid lacks, get `value`, or 0, or the
+    volume's minimum."""
     if value is None and mode not in ("zero", "min"):
         raise ValueError(f"unknown pad mode: {mode}")
     n = max(size, *shape)
-    moved = voxels.select("volume_id", *[(F.col(c) + (n - s) // 2).cast("int").alias(c) for c, s in zip("zyx", shape, strict=True)], "v")
-    out = dense(moved.withColumn("v", F.col("v")), (n, n, n), 0.0) if value is None and mode == "zero" else None
-    if out is not None:
-        return out
-    if value is not None:
-        return dense(moved, (n, n, n), value)
-    nan = dense(moved, (n, n, n), float("nan"))
-    low = N.value_range(voxels).select("volume_id", "lo")
-    return nan.join(low, "volume_id").select(*CELL, F.when(F.isnan("v"), F.col("lo")).otherwise(F.col("v")).alias("v"))
+    offset = tuple((n - s) // 2 for s in shape)
+    fill = F.min("v").cast("double") if value is None and mode == "min" else F.first(F.lit(float(value or 0.0)))
+    fills = voxels.groupBy("volume_id").agg(fill.alias("fill"))
+    inside = dense(voxels, shape, fills=fills)
+    moved = inside.select("volume_id", *[(F.col(c) + o).cast("int").alias(c) for c, o in zip("zyx", offset, strict=True)], "v")
+    around = shell(fills, shape, offset, n)
+    return moved.unionByName(around.select(*CELL, F.col("fill").alias("v")))
 
 
 @dataclass

@@ -59,15 +59,14 @@ def opacity_with_replacement(rgba: DataFrame, n: int, seed: int = 0) -> DataFram
     share = lambda x: F.floor(x / F.col("total") * n)
     # One share more on either side: sums in another order differ in their last bits.
     upto = upto.withColumn("_share", F.explode(F.sequence(share(F.col("from")) - 1, share(F.col("to")) + 1))).drop("total", "_w")
-    draws = total.select(*GROUP, "total", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point_id")).withColumn("at", C.uniform(seed, F.col("volume_id"), F.col("point_id")) * F.col("total"))
+    draws = grid.numbered(total.select(*GROUP, "total"), n, "point_id").withColumn("point_id", F.col("point_id").cast("int")).withColumn("at", C.uniform(seed, F.col("volume_id"), F.col("point_id")) * F.col("total"))
     draws = draws.withColumn("_share", share(F.col("at"))).drop("total")
     return draws.join(upto, [*GROUP, "_share"]).where((F.col("at") >= F.col("from")) & (F.col("at") < F.col("to"))).drop("at", "from", "to", "_share")
 
 
 def uniform(voxels: DataFrame, shape: tuple[int, int, int], n: int = 1000, seed: int = 0) -> DataFrame:
     """(volume_id, point_id, px, py, pz, v): n continuous places in the grid of each volume with the nearest voxel's value."""
-    ids = voxels.select("volume_id").distinct()
-    draws = ids.select("volume_id", F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias("point_id"))
+    draws = grid.numbered(voxels.select("volume_id").distinct(), n, "point_id").withColumn("point_id", F.col("point_id").cast("int"))
     places = {f"p{c}": C.uniform(seed * 3 + i, F.col("volume_id"), F.col("point_id")) * float(m - 1) for i, (c, m) in enumerate(zip("zyx", shape, strict=True))}
     return grid.lookup(draws.withColumns(places), voxels, shape).select("volume_id", "point_id", "px", "py", "pz", "v")
 
