@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import columns as C
+from . import grid
 
 
 def fit_distance(extent: tuple[float, float, float], vfov: float, hfov: float | None, scale: float) -> float:
@@ -16,21 +17,42 @@ def fit_distance(extent: tuple[float, float, float], vfov: float, hfov: float |
     return scale * max(r / max(math.sin(a / 2), 1e-6) for a in (vfov, hfov) if a is not None)
 
 
-def fibonacci(spark: SparkSession, n: int, centre: tuple[float, float, float] = (0.0, 0.0, 0.0), distance: float = 1.0, up: tuple[float, float, float] = (0.0, 1.0, 0.0)) -> DataFrame:
-    """(pose_id, ex, ey, ez, fx, fy, fz, ux, uy, uz): n eyes on a golden-angle sphere that look at the centre."""
-    i = F.col("id")
+def fit(boxes: DataFrame, vfov: float, hfov: float | None, scale: float) -> DataFrame:
+    """The same for a table of boxes (xmin .. zmax): cx, cy, cz and distance."""
+    r = 0.5 * F.sqrt(sum((F.pow(F.col(f"{c}max") - F.col(f"{c}min"), F.lit(2.0)) for c in "xyz"), F.lit(0.0)))
+    wide = max(1 / max(math.sin(a / 2), 1e-6) for a in (vfov, hfov) if a is not None)
+    return boxes.withColumns({**{f"c{c}": (F.col(f"{c}min") + F.col(f"{c}max")) / 2 for c in "xyz"}, "distance": r * wide * scale})
+
+
+def focus(parts: DataFrame, vfov: float, scale: float = 1.0) -> DataFrame:
+    """distance for parts of volumes (cx, cy, cz, radius, side: the volume's longest), such as bands' bounding spheres, which count as 5 % of
+    the side at least; it fits the vertical view."""
+    return parts.withColumn("distance", F.greatest(F.col("radius"), 0.05 * F.col("side")) * (scale / max(math.sin(vfov / 2), 1e-6)))
+
+
+def orbit(targets: DataFrame, n: int, up: tuple[float, float, float] = (0.0, 1.0, 0.0)) -> DataFrame:
+    """(columns of targets but for cx, cy, cz, distance; pose_id, ex, ey, ez, fx, fy, fz, ux, uy, uz): around each target n eyes on a golden-angle
+    sphere that look at its centre."""
+    i = F.col("pose_id")
     z = 2.0 * ((i + 0.5) / float(n)) - 1.0
     ring = F.sqrt(F.greatest(F.lit(0.0), 1.0 - z * z))
     turn = i * (2.0 * math.pi * (1.0 - 2.0 / (1.0 + math.sqrt(5.0))))
     d = [ring * F.cos(turn), ring * F.sin(turn), z]
-    eyes = spark.range(n).select(i.cast("int").alias("pose_id"), *[(F.lit(centre[k]) + d[k] * distance).alias(f"e{c}") for k, c in enumerate("xyz")], *[F.lit(float(centre[k])).alias(f"f{c}") for k, c in enumerate("xyz")])
+    keys = [c for c in targets.columns if c not in ("cx", "cy", "cz", "distance")]
+    poses = grid.numbered(targets, n, "pose_id").withColumn("pose_id", i.cast("int"))
+    eyes = poses.select(*keys, "pose_id", *[(F.col(f"c{c}") + d[k] * F.col("distance")).alias(f"e{c}") for k, c in enumerate("xyz")], *[F.col(f"c{c}").alias(f"f{c}") for c in "xyz"])
     return with_up(eyes, up)
 
 
+def fibonacci(spark: SparkSession, n: int, centre: tuple[float, float, float] = (0.0, 0.0, 0.0), distance: float = 1.0, up: tuple[float, float, float] = (0.0, 1.0, 0.0)) -> DataFrame:
+    """The same around one centre."""
+    return orbit(spark.createDataFrame([(*map(float, centre), float(distance))], "cx double, cy double, cz double, distance double"), n, up)
+
+
 def focused(spark: SparkSession, n: int, centre: tuple[float, float, float], radius: float, extent: tuple[float, float, float], vfov: float, scale: float = 1.0) -> DataFrame:
-    """Poses around a part of the volume, such as a band's bounding sphere (not under 5 % of the longest side); the distance fits the vertical view."""
-    r = max(radius, 0.05 * max(extent))
-    return fibonacci(spark, n, centre, scale * r / max(math.sin(vfov / 2), 1e-6))
+    """Poses around one part of a volume."""
+    one = spark.createDataFrame([(*map(float, centre), float(radius), float(max(extent)))], "cx double, cy double, cz double, radius double, side double")
+    return orbit(focus(one, vfov, scale).drop("radius", "side"), n)
 
 
 def with_up(poses: DataFrame, up: tuple[float, float, float]) -> DataFrame:

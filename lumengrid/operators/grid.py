@@ -5,7 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import normalize as N
@@ -170,6 +170,12 @@ def tile_starts(n: int, tile: int, stride: int) -> list[int]:
     return sorted({*range(0, n - tile + 1, stride), n - tile})
 
 
+def tile_starts_of(n: Column, tile: Column, stride: Column) -> Column:
+    """The same as a column (array of int) over columns."""
+    last = n - tile
+    return F.when(last <= 0, F.array(F.lit(0))).otherwise(F.array_sort(F.array_distinct(F.concat(F.sequence(F.lit(0), F.greatest(last, F.lit(0)), stride), F.array(last)))))
+
+
 def tiles(shape: tuple[int, int, int], tile: tuple[int, int, int], stride: tuple[int, int, int] | None = None) -> list[tuple]:
     """(name, z0, y0, x0, dz, dy, dx) in z, y, x order."""
     steps = stride or tile
@@ -206,6 +212,23 @@ def needs_tiles(shape, tile, max_voxels: int | None = None, max_dim: int | None
     return any(limits) if limits else any(n > t for n, t in zip(shape, tile, strict=True))
 
 
+def needs_tiles_of(tile: tuple[int, int, int], max_voxels: int | None = None, max_dim: int | None = None, max_shape_xyz=None) -> Column:
+    """The same over a table of sizes nz, ny, nx."""
+    n = [F.col(f"n{c}").cast("long") for c in "zyx"]
+    limits = []
+    if max_voxels is not None:
+        limits.append(n[0] * n[1] * n[2] > max_voxels)
+    if max_dim is not None:
+        limits.append(F.greatest(*n) > max_dim)
+    if max_shape_xyz is not None:
+        limits += [a > m for a, m in zip(reversed(n), max_shape_xyz, strict=True)]
+    limits = limits or [a > t for a, t in zip(n, tile, strict=True)]
+    out = limits[0]
+    for x in limits[1:]:
+        out |= x
+    return out
+
+
 def lookup(points: DataFrame, voxels: DataFrame, shape, cols: tuple[str, str, str] = ("pz", "py", "px"), values: tuple[str, ...] = ("v",), by: tuple[str, ...] = ("volume_id",)) -> DataFrame:
     """points with the values (v, or r, g, b, a) of the nearest voxel (half to even, cut to the grid) of the same `by`."""
     at = {f"_{c}": F.least(F.greatest(F.bround(F.col(p)), F.lit(0.0)), F.lit(float(n - 1))).cast("int") for c, p, n in zip("zyx", cols, shape, strict=True)}

@@ -24,17 +24,11 @@ def opacity(rgba: DataFrame, n: int = 50_000, seed: int = 0, strict: bool = Fals
     return top(drawn, GROUP, ["key", "z", "y", "x"], n, "point_id").drop("w", "sum_w", "usable", "all", "key")
 
 
-#: Parts of a group that are ranked by themselves before the group is.
-PARTS = 32
-
-
-def top(rows: DataFrame, by: list[str], order: list, n, rank: str, cells: tuple[str, ...] = ("z", "y", "x")) -> DataFrame:
-    """The first n rows (a number or a column) of each group with their place from 0. Parts of a group are cut to n rows first, so
-    that the last sort sees PARTS * n rows of a group at most, however large it is."""
-    limit = F.lit(n) if isinstance(n, int) else n
-    part = Window.partitionBy(*by, F.pmod(F.xxhash64(*cells), F.lit(PARTS))).orderBy(*order)
-    some = rows.withColumn(rank, F.row_number().over(part)).where(F.col(rank) <= limit)
-    return some.withColumn(rank, (F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1).cast("int")).where(F.col(rank) < limit)
+def top(rows: DataFrame, by: list[str], order: list, n: int, rank: str) -> DataFrame:
+    """The first n rows of each group with their place from 0. Tasks cut the groups to their first n rows before the shuffle (a window group
+    limit of the plan), so that the last sort sees n rows of a group and task at most, however large the group is."""
+    placed = rows.withColumn(rank, F.row_number().over(Window.partitionBy(*by).orderBy(*order)))
+    return placed.where(F.col(rank) <= n).withColumn(rank, (F.col(rank) - 1).cast("int"))
 
 
 def running(rows: DataFrame, col: str, to: str) -> DataFrame:

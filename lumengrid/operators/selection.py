@@ -104,3 +104,39 @@ def quantiles(rows: DataFrame, fractions: list[float], by: list[str], between: b
         part = p - a
         out.append((F.when(part == 0, x).otherwise(x * (1 - part) + y * part) if between else x).alias(f"q{i}"))
     return both.select(*by, *out)
+
+
+def firsts(rows: DataFrame, by: list[str], keys: list[Column], need: Column) -> DataFrame:
+    """Rows of each group among which its first `need` (a whole number, alike in a group) in the order of the keys (numbers) are: all rows of
+    groups of up to SMALL, of larger ones the first, and of rows that are alike in all keys those at the end, up to SMALL.
+
+    The value of the first key at the wanted rank divides the rows: those below it are in, those of the value are divided by the next key in the
+    same way, as long as they are many. So what is sorted afterwards is about `need` rows of a group."""
+    names = [f"_k{i}" for i in range(len(keys))]
+    keyed = rows.withColumns({**{n: k.cast("double") for n, k in zip(names, keys, strict=True)}, "_need": need.cast("long")})
+    sizes = keyed.groupBy(*by).agg(F.count("*").alias("_n"), F.max("_need").alias("_want"))
+    large = store.saved(sizes.where((F.col("_n") > SMALL) & (F.col("_want") < F.col("_n")) & (F.col("_want") > 0)))
+    if large.isEmpty():
+        return rows
+    out = [keyed.join(bounded(large.select(*by)), by, "left_anti")]
+    open_ = store.saved(keyed.join(bounded(large.select(*by)), by, "left_semi"))
+    wants = large.select(*by, "_want")
+    for name in names:
+        got = at_ranks(open_.select(*by, F.col(name).alias("v")), wants.select(*by, (F.col("_want") - 1).alias("rank")), by)
+        cut = store.saved(got.select(*by, F.col("value").alias("_t")).join(wants, by))
+        parts = open_.join(bounded(cut.select(*by, "_t")), by)
+        out.append(store.saved(parts.where(F.col(name) < F.col("_t")).drop("_t")))
+        open_ = store.saved(parts.where(F.col(name) == F.col("_t")).drop("_t"))
+        # Groups whose rows of the value are few, or all wanted, are done.
+        below = out[-1].groupBy(*by).agg(F.count("*").alias("_b"))
+        left = open_.groupBy(*by).agg(F.count("*").alias("_n")).join(cut, by).join(below, by, "left").select(*by, "_n", (F.col("_want") - F.coalesce("_b", F.lit(0))).alias("_want"))
+        more = store.saved(left.where((F.col("_n") > SMALL) & (F.col("_want") < F.col("_n"))))
+        wants = more.select(*by, "_want")
+        if more.isEmpty():
+            break
+        out.append(open_.join(bounded(wants.select(*by)), by, "left_anti"))
+        open_ = open_.join(bounded(wants.select(*by)), by, "left_semi")
+    done = out[0]
+    for o in [*out[1:], open_]:
+        done = done.unionByName(o)
+    return done.select(*rows.columns)

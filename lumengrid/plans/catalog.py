@@ -36,7 +36,7 @@ def s6(*cols: str) -> str:
 
 
 emb, li = fields.embedding_volumes, fields.lineitem_volume
-EMB, LI, RAMP = (f"with {fields.SQL[k]}" for k in ("emb", "li", "ramp"))
+EMB, LI = (f"with {fields.SQL[k]}" for k in ("emb", "li"))
 LI_SHAPE = (9, 11, 50)
 TF_DEMO = transfer.TransferFunction("TF01", ((0.0, 0.0, 0.0, 0.2, 0.0), (0.4, 0.9, 0.1, 0.3, 0.1), (0.7, 0.2, 0.8, 0.4, 0.6), (1.0, 1.0, 1.0, 0.5, 0.9)))
 TF_TIES = transfer.TransferFunction("TF02", ((0.0, 0.0, 0.1, 0.2, 0.0), (0.5, 0.2, 0.3, 0.4, 0.2), (0.5, 0.8, 0.7, 0.6, 0.7), (1.0, 1.0, 0.9, 0.8, 1.0)))
@@ -97,10 +97,12 @@ def agg05(spark, d):
     return histogram.histogram(emb(spark, d), -0.5, 0.5, 16)
 
 
-@query("agg06_hist_eq_edges", f"""{EMB}, h as (select least(floor((v - (-0.5)) * (2048 / 1.0)), 2047)::int as bin, count(*) as n from emb where v between (-0.5) and 0.5 group by 1),
+EDGES = f"""{EMB}, h as (select least(floor((v - (-0.5)) * (2048 / 1.0)), 2047)::int as bin, count(*) as n from emb where v between (-0.5) and 0.5 group by 1),
 c as (select bin, sum(n) over (order by bin) as cdf, sum(n) over () as total from h),
-e as (select k::int as edge, -0.5 + min(bin) * (1.0 / 2048) as x from c, range(1, 8) t(k) where cdf > total * k / 8.0 group by k)
-select 0::bigint as volume_id, edge, {s6('x')} from (select edge, x::double as x from e union all select 0, -0.5 union all select 8, 0.5)""")
+e as (select k::int as edge, -0.5 + min(bin) * (1.0 / 2048) as x from c, range(1, 8) t(k) where cdf > total * k / 8.0 group by k)"""
+
+
+@query("agg06_hist_eq_edges", f"{EDGES} select 0::bigint as volume_id, edge, {s6('x')} from (select edge, x::double as x from e union all select 0, -0.5 union all select 8, 0.5)")
 def agg06(spark, d):
     pooled = emb(spark, d).withColumn("volume_id", F.lit(0).cast("long"))
     return r6(histogram.equalised_edges(histogram.histogram(pooled, -0.5, 0.5), -0.5, 0.5, 8), "x")
@@ -109,13 +111,14 @@ def agg06(spark, d):
 BAND_EDGES = [0.0, 5.0, 10.0, 15.0, 40.0]
 
 
-@query("agg07_band_stats", f"""{LI}, b as (select *, case when v >= 0 and v < 5 then 1 when v >= 5 and v < 10 then 2 when v >= 10 and v < 15 then 3 when v >= 15 and v <= 40 then 4 end as band from li),
+BAND_STATS = f"""{LI}, b as (select *, case when v >= 0 and v < 5 then 1 when v >= 5 and v < 10 then 2 when v >= 10 and v < 15 then 3 when v >= 15 and v <= 40 then 4 end as band from li),
 g as (select volume_id, band, count(*) as n, min(x) x0, max(x) x1, min(y) y0, max(y) y1, min(z) z0, max(z) z1 from b group by all),
 t as (select volume_id, k::int as band, count(*) as total from li, range(1, 5) r(k) group by all),
-s as (select t.*, coalesce(n, 0) as n, coalesce(n, 0)::double / total as share, x0, x1, y0, y1, z0, z1 from t left join g using (volume_id, band))
-select volume_id, band, n, round(share, 6) + 0.0 as share, case when share < 1e-4 then 'SKIP (Sparse)' when share > 1.0 then 'SKIP (Dense)' else 'KEEP' end as status,
-case when share >= 1e-4 then (x0 + x1) / 2.0::double end as cx, case when share >= 1e-4 then (y0 + y1) / 2.0::double end as cy, case when share >= 1e-4 then (z0 + z1) / 2.0::double end as cz,
-case when share >= 1e-4 then round(0.5 * sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2 + (z1 - z0) ** 2), 6) end as radius from s""")
+s as (select t.*, coalesce(n, 0) as n, coalesce(n, 0)::double / total as share, x0, x1, y0, y1, z0, z1 from t left join g using (volume_id, band)),
+bs as (select volume_id, band, n, share, case when share < 1e-4 then 'SKIP (Sparse)' when share > 1.0 then 'SKIP (Dense)' else 'KEEP' end as status, (x0 + x1) / 2.0::double as cx, (y0 + y1) / 2.0::double as cy, (z0 + z1) / 2.0::double as cz, 0.5 * sqrt((x1 - x0) ** 2 + (y1 - y0) ** 2 + (z1 - z0) ** 2) as radius from s)"""
+
+
+@query("agg07_band_stats", f"{BAND_STATS} select volume_id, band, n, round(share, 6) + 0.0 as share, status, {', '.join(f"case when status = 'KEEP' then {c} end as {c}" for c in ('cx', 'cy', 'cz'))}, case when status = 'KEEP' then round(radius, 6) end as radius from bs")
 def agg07(spark, d):
     return r6(histogram.band_statistics(li(spark, d), BAND_EDGES), "share", "radius")
 
@@ -185,14 +188,14 @@ def agg18(spark, d):
     return normalize.inspect(li(spark, d))
 
 
-@query("prj01_index_to_world", f"{RAMP} select volume_id, z, y, x, v, {WORLD_SQL} from ramp")
+@query("prj01_index_to_world", f"{LI} select volume_id, z, y, x, v, {WORLD_SQL} from li")
 def prj01(spark, d):
-    return geometry.index_to_world(fields.ramp_volume(spark), GEO)
+    return geometry.index_to_world(li(spark, d), GEO)
 
 
-@query("prj02_world_to_index", f"{RAMP} select volume_id, z, y, x, x::double as ix, y::double as iy, z::double as iz from ramp")
+@query("prj02_world_to_index", f"{LI} select volume_id, z, y, x, x::double as ix, y::double as iy, z::double as iz from li")
 def prj02(spark, d):
-    return r6(geometry.world_to_index(geometry.index_to_world(fields.ramp_volume(spark), GEO), GEO), "ix", "iy", "iz").select("volume_id", "z", "y", "x", "ix", "iy", "iz")
+    return r6(geometry.world_to_index(geometry.index_to_world(li(spark, d), GEO), GEO), "ix", "iy", "iz").select("volume_id", "z", "y", "x", "ix", "iy", "iz")
 
 
 @query("prj05_bbox_transform", f"{LI}, {BOUNDS_SQL}, t as (select *, 2.6 / case when greatest(xmax - xmin, ymax - ymin, zmax - zmin) < 1e-6 then 1.0 else greatest(xmax - xmin, ymax - ymin, zmax - zmin) end as scale from box), w as (select volume_id, z, y, x, {WORLD_SQL} from li) select w.volume_id, z, y, x, round((wx - (xmin + xmax) * 0.5) * scale, 6) + 0.0 as wx, round((wy - (ymin + ymax) * 0.5) * scale, 6) + 0.0 as wy, round((wz - (zmin + zmax) * 0.5) * scale, 6) + 0.0 as wz, 'render_world' as world_space from w join t using (volume_id)")
@@ -235,60 +238,63 @@ def tf02(spark, d):
     return r6(transfer.bake(norm_emb(spark, d), [TF_TIES], left=True), *"rgba")
 
 
-GAUSS = f"with {fields.gaussian_sql(16, 16.0)}"
-
-
-@query("tf03_gaussian", f"{GAUSS}, w as (select *, exp(-0.5 * power((v - 0.5) / 0.2, 2)) as w from gauss) select volume_id, z, y, x, round(0.9 * w, 6) + 0.0 as r, round(0.4 * w, 6) + 0.0 as g, round(0.1 * w, 6) + 0.0 as b, round(1 - exp(-3.0 * w), 6) + 0.0 as a from w")
+@query("tf03_gaussian", f"{NORM}, w as (select *, exp(-0.5 * power((v - 0.5) / 0.2, 2)) as w from norm) select volume_id, z, y, x, round(0.9 * w, 6) + 0.0 as r, round(0.4 * w, 6) + 0.0 as g, round(0.1 * w, 6) + 0.0 as b, round(1 - exp(-3.0 * w), 6) + 0.0 as a from w")
 def tf03(spark, d):
-    return r6(fields.gaussian_volume(spark, 16, 16.0).select("volume_id", "z", "y", "x", *C.gaussian_rgba(F.col("v"), 0.5, 0.2, (0.9, 0.4, 0.1), 3.0)), *"rgba")
-
-
-LUT = [(0.0, 0.0, 0.1, 0.2), (0.25, 0.3, 0.4, 0.1), (0.75, 0.8, 0.2, 0.9), (1.0, 1.0, 1.0, 1.0)]
-PWF = [(0.0, 0.0), (0.25, 0.1), (0.5, 0.8), (0.9, 0.3), (1.0, 0.0)]
+    return r6(norm_emb(spark, d).select("volume_id", "z", "y", "x", *C.gaussian_rgba(F.col("v"), 0.5, 0.2, (0.9, 0.4, 0.1), 3.0)), *"rgba")
 
 
 def _seg_sql(table: str, c: str) -> str:
-    return f"(select p.{c} + case when q.x is null then 0 else (u.x - p.x) * ((q.{c} - p.{c}) / (q.x - p.x)) end from {table} p left join {table} q on q.i = p.i + 1 where p.x <= u.x order by p.x desc limit 1)"
+    inner = f"(select p.{c} + case when q.x is null then 0 else (u.x - p.x) * ((q.{c} - p.{c}) / (q.x - p.x)) end from {table} p left join {table} q on q.i = p.i + 1 where p.x <= u.x order by p.x desc limit 1)"
+    return f"coalesce({inner}, (select {c} from {table} order by x limit 1))"
 
 
-@query("tf06_fuse_lut_pwf", f"""with lut as (select * from (values {', '.join(f'({i}, {x}::double, {r}::double, {g}::double, {b}::double)' for i, (x, r, g, b) in enumerate(LUT))}) t(i, x, r, g, b)),
-pwf as (select * from (values {', '.join(f'({i}, {x}::double, {a}::double)' for i, (x, a) in enumerate(PWF))}) t(i, x, a)), u as (select x from lut union select x from pwf)
-select x, {', '.join(f'round({_seg_sql("pwf" if c == "a" else "lut", c)}, 6) + 0.0 as {c}' for c in 'rgba')} from u""")
+@query("tf06_fuse_lut_pwf", f"""with l0 as (select p_size / 50.0::double as x, max(p_retailprice) / 3000 as r, min(p_retailprice) / 3000 as g, least(count(*) / 100.0::double, 1.0) as b from part group by 1), lut as (select *, row_number() over (order by x) as i from l0),
+p0 as (select s_nationkey / 24.0::double as x, max(s_acctbal) / 10000 as a from supplier group by 1), pwf as (select *, row_number() over (order by x) as i from p0), u as (select x from lut union select x from pwf)
+select round(x, 6) + 0.0 as x, {', '.join(f'round({_seg_sql("pwf" if c == "a" else "lut", c)}, 6) + 0.0 as {c}' for c in 'rgba')} from u""")
 def tf06(spark, d):
-    return r6(transfer.fuse(spark.createDataFrame(LUT, "x double, r double, g double, b double"), spark.createDataFrame(PWF, "x double, a double")), *"rgba")
+    """A colour table of 50 sizes at most and an opacity table of 25 nations, fused."""
+    part, supplier = spark.read.parquet(f"{d}/part.parquet"), spark.read.parquet(f"{d}/supplier.parquet")
+    colours = part.groupBy((F.col("p_size") / 50.0).alias("x")).agg((F.max("p_retailprice") / 3000).alias("r"), (F.min("p_retailprice") / 3000).alias("g"), F.least(F.count("*") / 100.0, F.lit(1.0)).alias("b"))
+    opacity = supplier.groupBy((F.col("s_nationkey") / 24.0).alias("x")).agg((F.max("s_acctbal") / 10000).alias("a"))
+    return r6(transfer.fuse(colours, opacity), "x", *"rgba")
 
 
-def _bands(spark, mode: str) -> DataFrame:
-    edges = histogram.linear_edges(-1.0, 3.0, 5)
-    rows = [(b, i, float(x), float(a)) for b in range(1, 6) for i, (x, a) in enumerate(transfer.band_points(b, edges, -1.0, 3.0, mode))]
+def _bands(spark, d: str, mode: str) -> DataFrame:
+    """Opacity over value for the eight equalised bands of all embeddings."""
+    pooled = emb(spark, d).withColumn("volume_id", F.lit(0).cast("long"))
+    edges = [r["x"] for r in histogram.equalised_edges(histogram.histogram(pooled, -0.5, 0.5), -0.5, 0.5, 8).orderBy("edge").collect()]  # nine numbers
+    rows = [(b, i, float(x), float(a)) for b in range(1, 9) for i, (x, a) in enumerate(transfer.band_points(b, edges, -0.5, 0.5, mode))]
     return r6(spark.createDataFrame(rows, "band int, ord int, x double, a double"), "x", "a")
 
 
 def _bands_sql(body: str, off: str) -> str:
-    return f"""with b as (select k::int as band, -1.0::double + (k - 1) * 0.8::double as low, -1.0::double + k * 0.8::double as high from range(1, 6) t(k)),
-p as (select band, 0 as o, -1.0::double as x, 0.0::double as a from b union all select band, 1, low - {off}, 0.0 from b where band > 1 union all {body}
-union all select band, 200, high + {off}, 0.0 from b where band < 5 union all select band, 201, 3.0, 0.0 from b)
+    return f"""{EDGES}, ed as (select edge, x::double as x from e union all select 0, -0.5 union all select 8, 0.5), b as (select (f.edge + 1)::int as band, f.x as low, t.x as high, t.x - f.x as w from ed f join ed t on t.edge = f.edge + 1),
+p as (select band, 0 as o, -0.5::double as x, 0.0::double as a from b union all select band, 1, low - {off}, 0.0 from b where low > -0.5 union all {body}
+union all select band, 200, high + {off}, 0.0 from b where high < 0.5 union all select band, 201, 0.5, 0.0 from b)
 select band, (row_number() over (partition by band order by o) - 1)::int as ord, {s6('x', 'a')} from p"""
 
 
-@query("tf07_bands_unit", _bands_sql("select band, 2, low + 0.0008, 0.2 from b union all select band, 3, high - 0.0008, 0.2 from b", "0.0"))
+@query("tf07_bands_unit", _bands_sql("select band, 2, low + w * 0.001, 0.2 from b union all select band, 3, high - w * 0.001, 0.2 from b", "0.0"))
 def tf07u(spark, d):
-    return _bands(spark, "unit")
+    return _bands(spark, d, "unit")
 
 
-@query("tf07_bands_linear", _bands_sql("select band, 2, low + 0.04, 0.08 from b union all select band, 3, (low + high) / 2, 0.2 from b union all select band, 4, high - 0.04, 0.08 from b", "0.0"))
+@query("tf07_bands_linear", _bands_sql("select band, 2, low + w * 0.05, 0.08 from b union all select band, 3, (low + high) / 2, 0.2 from b union all select band, 4, high - w * 0.05, 0.08 from b", "0.0"))
 def tf07l(spark, d):
-    return _bands(spark, "linear")
+    return _bands(spark, d, "linear")
 
 
-@query("tf07_bands_gaussian", _bands_sql("select band, 10 + i, low + 0.8::double * i / 63, exp(-0.5 * power((low + 0.8::double * i / 63 - (low + high) / 2) / 0.2, 2)) from b, range(0, 64) t(i)", "0.0004"))
+@query("tf07_bands_gaussian", _bands_sql("select band, 10 + i, low + w * i / 63, exp(-0.5 * power((low + w * i / 63 - (low + high) / 2) / (w / 4), 2)) from b, range(0, 64) t(i)", "0.0001"))
 def tf07g(spark, d):
-    return _bands(spark, "gaussian")
+    return _bands(spark, d, "gaussian")
 
 
-@query("tf10_tf_set", "select (i + 1)::int as idx, ['Fast', 'Turbo', 'Jet'][i % 3 + 1] as cmap, 'TF' || lpad((i + 1)::varchar, 2, '0') as tf_name from range(0, 10) t(i) where i + 1 not in (4)")
+@query("tf10_tf_set", "with m as (select list(r_name order by r_regionkey) as names from region), n as (select count(*) as n from nation) select (i + 1)::int as idx, names[i % len(names) + 1] as cmap, 'TF' || lpad((i + 1)::varchar, 2, '0') as tf_name from m, n, range(0, 25) t(i) where i < n and i + 1 not in (4)")
 def tf10(spark, d):
-    return spark.createDataFrame(transfer.tf_set("Fast, Turbo,,Fast\nJet", 10, frozenset({4})), "idx int, cmap string, tf_name string")
+    """A transfer function for each nation, colour maps named after the regions in turn."""
+    names = [r[0] for r in spark.read.parquet(f"{d}/region.parquet").orderBy("r_regionkey").select("r_name").collect()]  # names of maps are few
+    bands = spark.read.parquet(f"{d}/nation.parquet").count()
+    return spark.createDataFrame(transfer.tf_set(", ".join([*names, names[0]]) + "\n" + names[1], bands, frozenset({4})), "idx int, cmap string, tf_name string")
 
 
 @query("grd01_target_shape", "select l_linenumber, greatest(1, round_even(9 * (l_linenumber / 4.0::double) / 1.5, 0)::int) as tz, greatest(1, round_even(11 * 0.5 / 1.0, 0)::int) as ty, greatest(1, round_even(50 * 0.01 / 2.0, 0)::int) as tx from (select distinct l_linenumber from lineitem)")
@@ -337,10 +343,10 @@ def grd08(spark, d):
     return r6(grid.canonicalize(emb(spark, d), (4, 4, 4), (0.5, 1.0, 2.0), 1.0).voxels, "v")
 
 
-@query("grd09_tile_starts", "with c(n, tile, stride) as (values (10, 4, 4), (10, 2, 5), (64, 16, 16), (5, 8, 8), (9, 3, 2)) select distinct n, tile, stride, s::int as start from (select *, unnest(case when n <= tile then [0] else list_append(range(0, n - tile + 1, stride), n - tile) end) as s from c)")
+@query("grd09_tile_starts", "with c as (select distinct p_size + 3 as n, (1 + p_partkey % 9)::int as tile, (1 + p_partkey % 7)::int as stride from part) select distinct n, tile, stride, s::int as start from (select *, unnest(case when n <= tile then [0] else list_append(range(0, n - tile + 1, stride), n - tile) end) as s from c)")
 def grd09(spark, d):
-    cases = [(10, 4, 4), (10, 2, 5), (64, 16, 16), (5, 8, 8), (9, 3, 2)]
-    return spark.createDataFrame([(n, t, s, a) for n, t, s in cases for a in grid.tile_starts(n, t, s)], "n int, tile int, stride int, start int")
+    c = spark.read.parquet(f"{d}/part.parquet").select((F.col("p_size") + 3).alias("n"), (1 + F.col("p_partkey") % 9).cast("int").alias("tile"), (1 + F.col("p_partkey") % 7).cast("int").alias("stride")).distinct()
+    return c.select("n", "tile", "stride", F.explode(grid.tile_starts_of(F.col("n"), F.col("tile"), F.col("stride"))).alias("start"))
 
 
 @query("grd10_tiles", f"""{EMB}, st(s) as (values (0), (1)) select volume_id, 'tile_z' || lpad(a.s::varchar, 4, '0') || '_y' || lpad(b.s::varchar, 4, '0') || '_x' || lpad(c.s::varchar, 4, '0') as tile_name, z - a.s as z, y - b.s as y, x - c.s as x, round(v, 6) + 0.0 as v
@@ -349,10 +355,12 @@ def grd10(spark, d):
     return r6(grid.split_tiles(emb(spark, d), (4, 4, 4), (3, 3, 3), (2, 2, 2)), "v")
 
 
-@query("grd11_tile_trigger", "with c(id, nz, ny, nx) as (values (1, 64, 64, 64), (2, 10, 600, 10), (3, 512, 512, 512), (4, 8, 8, 8)) select id, greatest(nz, ny, nx) > 512 as by_tile, nz::bigint * ny * nx > 1000000 or greatest(nz, ny, nx) > 256 as by_limit from c")
+@query("grd11_tile_trigger", "with c as (select p_partkey as id, p_size * 10 as nz, (p_partkey % 7 + 1) * 100 as ny, p_size * 17 as nx from part) select id, greatest(nz, ny, nx) > 512 as by_tile, nz::bigint * ny * nx > 10000000 or greatest(nz, ny, nx) > 600 as by_limit, nx > 400 or ny > 500 or nz > 300 as by_shape from c")
 def grd11(spark, d):
-    cases = [(1, 64, 64, 64), (2, 10, 600, 10), (3, 512, 512, 512), (4, 8, 8, 8)]
-    return spark.createDataFrame([(i, grid.needs_tiles(s, (512, 512, 512)), grid.needs_tiles(s, (512, 512, 512), 1_000_000, 256)) for i, *s in cases], "id int, by_tile boolean, by_limit boolean")
+    k, n = F.col("p_partkey"), F.col("p_size")
+    c = spark.read.parquet(f"{d}/part.parquet").select(k.alias("id"), (n * 10).alias("nz"), ((k % 7 + 1) * 100).alias("ny"), (n * 17).alias("nx"))
+    tile = (512, 512, 512)
+    return c.select("id", grid.needs_tiles_of(tile).alias("by_tile"), grid.needs_tiles_of(tile, 10_000_000, 600).alias("by_limit"), grid.needs_tiles_of(tile, max_shape_xyz=(400, 500, 300)).alias("by_shape"))
 
 
 @query("grd14_nearest_lookup", f"{LI}, p as (select i as point_id, 0::bigint as volume_id, i * 0.13::double - 1 as pz, i * 0.17::double as py, i * 0.77::double as px from range(0, 80) t(i)) select point_id, p.volume_id, {s6('pz', 'py', 'px')}, v from p left join li on z = least(greatest(round_even(pz, 0), 0), 8)::int and y = least(greatest(round_even(py, 0), 0), 10)::int and x = least(greatest(round_even(px, 0), 0), 49)::int")
@@ -380,9 +388,9 @@ def prj11(spark, d):
     return r6(e.select("vec_id", "k", qc.gray(*[F.get("embedding", F.col("k") * 3 + i).cast("double") for i in range(3)]).alias("gray")), "gray")
 
 
-@query("src15_cell_to_point", f"{RAMP}, c as (select volume_id, z + a as z, y + b as y, x + c as x, v from ramp, range(0, 2) ta(a), range(0, 2) tb(b), range(0, 2) tc(c)) select volume_id, z::int as z, y::int as y, x::int as x, round(avg(v), 6) + 0.0 as v from c group by all")
+@query("src15_cell_to_point", f"{LI}, c as (select volume_id, z + a as z, y + b as y, x + c as x, v from li, range(0, 2) ta(a), range(0, 2) tb(b), range(0, 2) tc(c)) select volume_id, z::int as z, y::int as y, x::int as x, round(avg(v), 6) + 0.0 as v from c group by all")
 def src15(spark, d):
-    return r6(readers.cell_to_point(fields.ramp_volume(spark)), "v")
+    return r6(readers.cell_to_point(li(spark, d)), "v")
 
 
 @query("stream_event_windows", "select time_bucket(interval 60 minutes, ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all")
@@ -406,11 +414,11 @@ def smp01(spark, d):
     return r6(sampling.opacity(transfer.bake(norm_emb(spark, d), TFS), 10, 7), *"rgba").select("volume_id", "tf_name", "point_id", "z", "y", "x", *"rgba")
 
 
-@query("smp01_opacity_replace", f"""{RAMP}, w as (select *, sum(v) over (order by z, y, x) as upto, sum(v) over () as total from ramp), p as (select i::int as point_id, {U(3, "'0:' || i")} as u from range(0, 100) t(i))
+@query("smp01_opacity_replace", f"""{LI}, w as (select *, sum(v) over (order by z, y, x) as upto, sum(v) over () as total from li), p as (select i::int as point_id, {U(3, "'0:' || i")} as u from range(0, 6000) t(i))
 select 0::bigint as volume_id, 'TF01' as tf_name, point_id, z, y, x, v as a from p join w on u * total >= upto - v and u * total < upto""")
 def smp01r(spark, d):
-    v = fields.ramp_volume(spark).withColumn("tf_name", F.lit("TF01")).withColumnRenamed("v", "a")
-    return sampling.opacity_with_replacement(v, 100, 3).select("volume_id", "tf_name", "point_id", "z", "y", "x", "a")
+    v = li(spark, d).withColumn("tf_name", F.lit("TF01")).withColumnRenamed("v", "a")
+    return sampling.opacity_with_replacement(v, 6000, 3).select("volume_id", "tf_name", "point_id", "z", "y", "x", "a")
 
 
 @query("smp03_uniform", f"""{LI}, p as (select 0::bigint as volume_id, i::int as point_id, {U(15, "'0:' || i")} * 8 as pz, {U(16, "'0:' || i")} * 10 as py, {U(17, "'0:' || i")} * 49 as px from range(0, 500) t(i))
@@ -448,6 +456,48 @@ def wav01b(spark, d):
     return r6(wavelet.transform(emb(spark, d), (4, 4, 4), 2), "c")
 
 
+#: Decomposition filters (low) of two wavelets, for the SQL; the operators work theirs out.
+DB2 = (-0.12940952255126037, 0.2241438680420134, 0.8365163037378079, 0.48296291314453416)
+DB4 = (-0.010597401785069032, 0.0328830116668852, 0.030841381835560764, -0.18703481171909309, -0.027983769416859854, 0.6308807679298589, 0.7148465705529157, 0.2303778133088965)
+PLACES = {"periodic": "((m % 4) + 4) % 4", "zero": "case when m between 0 and 3 then m end", "symmetric": "case when ((m % 8) + 8) % 8 < 4 then ((m % 8) + 8) % 8 else 7 - ((m % 8) + 8) % 8 end", "reflect": "case when ((m % 6) + 6) % 6 < 4 then ((m % 6) + 6) % 6 else 6 - ((m % 6) + 6) % 6 end"}
+
+
+def _bank_sql(low: tuple, mode: str) -> str:
+    n = len(low)
+    high = [x * (1 if k % 2 else -1) for k, x in enumerate(reversed(low))]
+    rows = ", ".join(f"({k}, {a!r}::double, {d!r}::double)" for k, (a, d) in enumerate(zip(low, high, strict=True)))
+    return f"""{EMB}, f as (select * from (values {rows}) t(k, low, high)), t0 as (select i, 2 * i + 1 - k as m, low, high from range(0, {(4 + n - 1) // 2}) r(i), f), t1 as (select i::int as i, {PLACES[mode]} as src, low, high from t0),
+t as (select i, src, 'a' as b, low as w from t1 union all select i, src, 'd', high from t1)
+select volume_id, case when tz.b || ty.b || tx.b = 'aaa' then 0 else 1 end as j, tz.b || ty.b || tx.b as band, tz.i as z, ty.i as y, tx.i as x, round(sum(v * tz.w * ty.w * tx.w), 6) + 0.0 as c
+from emb join t tz on tz.src = z join t ty on ty.src = emb.y join t tx on tx.src = emb.x group by all"""
+
+
+@query("wav01_db2_periodic", _bank_sql(DB2, "periodic"))
+def wav_db2(spark, d):
+    return r6(wavelet.transform(emb(spark, d), (4, 4, 4), 1, "db2"), "c")
+
+
+@query("wav01_sym4_zero", _bank_sql(wavelet.SYM4, "zero"))
+def wav_sym4(spark, d):
+    return r6(wavelet.transform(emb(spark, d), (4, 4, 4), 1, "sym4", "zero"), "c")
+
+
+@query("wav01_db4_symmetric", _bank_sql(DB4, "symmetric"))
+def wav_db4(spark, d):
+    return r6(wavelet.transform(emb(spark, d), (4, 4, 4), 1, "db4", "symmetric"), "c")
+
+
+@query("wav01_db2_reflect", _bank_sql(DB2, "reflect"))
+def wav_db2r(spark, d):
+    return r6(wavelet.transform(emb(spark, d), (4, 4, 4), 1, "db2", "reflect"), "c")
+
+
+@query("wav01_inverse", f"{EMB} select volume_id, z, y, x, {s6('v')} from emb")
+def wav_inverse(spark, d):
+    """Two levels of db2 and back."""
+    return r6(wavelet.inverse(wavelet.transform(emb(spark, d), (4, 4, 4), 2, "db2"), (4, 4, 4), 2, "db2"), "v")
+
+
 BUDGET = f"""{HAAR2}, e as (select volume_id, j, band, sum(c * c) as energy, count(*) as size from co group by all), sc as (select *, ln(1 + energy) * size * power(j + 1.0, -1.2) as score from e),
 bu as (select volume_id, j, band, energy, size, greatest(floor(score / (sum(score) over (partition by volume_id) + 1e-12) * 40), 2)::int as k from sc)"""
 
@@ -489,58 +539,74 @@ def wavs_rgba(spark, d):
 
 
 VF, HF = math.radians(45), 2 * math.atan(math.tan(math.radians(22.5)))
-DIST = camera.fit_distance((2.6, 1.3, 1.3), VF, HF, 0.8)
-POSES = f"""with p as (select i::int as pose_id, 2.0 * ((i + 0.5) / 64.0::double) - 1.0 as z, i * {2 * math.pi * (1 - 2 / (1 + math.sqrt(5)))!r}::double as t from range(0, 64) r(i)),
-e as (select pose_id, {DIST!r}::double * sqrt(greatest(0.0, 1 - z * z)) * cos(t) as ex, {DIST!r}::double * sqrt(greatest(0.0, 1 - z * z)) * sin(t) as ey, {DIST!r}::double * z as ez from p),
-f as (select *, -ex / {DIST!r}::double as fx, -ey / {DIST!r}::double as fy, -ez / {DIST!r}::double as fz from e),
+GOLDEN_TURN = 2 * math.pi * (1 - 2 / (1 + math.sqrt(5)))
+POSES = f"""{LI}, {BOUNDS_SQL}, q as (select volume_id, (xmin + xmax) / 2 as cx, (ymin + ymax) / 2 as cy, (zmin + zmax) / 2 as cz, 0.8 * 0.5 * sqrt((xmax - xmin) ** 2 + (ymax - ymin) ** 2 + (zmax - zmin) ** 2) / sin({min(VF, HF)!r}::double / 2) as d from box),
+p as (select q.*, i::int as pose_id, 2.0 * ((i + 0.5) / 64.0::double) - 1.0 as z, i * {GOLDEN_TURN!r}::double as t from q, range(0, 64) r(i)),
+e as (select *, cx + d * sqrt(greatest(0.0, 1 - z * z)) * cos(t) as ex, cy + d * sqrt(greatest(0.0, 1 - z * z)) * sin(t) as ey, cz + d * z as ez from p),
+f as (select *, (cx - ex) / d as fx, (cy - ey) / d as fy, (cz - ez) / d as fz from e),
 h as (select *, case when abs(fy) > 0.98 then 0.0 else 1.0 end as hy, case when abs(fy) > 0.98 then 1.0 else 0.0 end as hz from f),
 u as (select *, -(hy * fy + hz * fz) * fx as qx, hy - (hy * fy + hz * fz) * fy as qy, hz - (hy * fy + hz * fz) * fz as qz from h),
-v as (select *, qx / sqrt(qx * qx + qy * qy + qz * qz) as ux, qy / sqrt(qx * qx + qy * qy + qz * qz) as uy, qz / sqrt(qx * qx + qy * qy + qz * qz) as uz from u)"""
+v as (select *, qx / sqrt(qx * qx + qy * qy + qz * qz) as ux, qy / sqrt(qx * qx + qy * qy + qz * qz) as uy, qz / sqrt(qx * qx + qy * qy + qz * qz) as uz from u),
+w as (select *, fy * uz - fz * uy as rx, fz * ux - fx * uz as ry, fx * uy - fy * ux as rz from v)"""
+MATRIX = [f"m{i}{k}" for i in range(3) for k in range(4)]
+MATRIX_SQL = ", ".join(f"round({e}, 6) + 0.0 as m{i}{k}" for i, c in enumerate("xyz") for k, e in enumerate((f"r{c}", f"u{c}", f"-f{c}", f"e{c}")))
 
 
-def poses(spark):
-    return camera.fibonacci(spark, 64, (0.0, 0.0, 0.0), DIST)
+def poses(spark, d):
+    """Cameras around each volume's box."""
+    return camera.orbit(camera.fit(geometry.bounds(li(spark, d), GEO), VF, HF, 0.8), 64)
 
 
-@query("cam01_fibonacci", f"{POSES} select pose_id, {s6('ex', 'ey', 'ez', 'ux', 'uy', 'uz')} from v")
+@query("cam01_fibonacci", f"{POSES} select volume_id, pose_id, {s6('ex', 'ey', 'ez', 'ux', 'uy', 'uz')} from v")
 def cam01(spark, d):
     cols = ("ex", "ey", "ez", "ux", "uy", "uz")
-    return r6(poses(spark), *cols).select("pose_id", *cols)
+    return r6(poses(spark, d), *cols).select("volume_id", "pose_id", *cols)
 
 
-@query("cam02_focused", f"with p as (select i::int as pose_id, 2.0 * ((i + 0.5) / 16.0::double) - 1.0 as z, i * {2 * math.pi * (1 - 2 / (1 + math.sqrt(5)))!r}::double as t from range(0, 16) r(i)), d as (select greatest(0.01, 0.05 * 4.0::double) / sin({VF!r}::double / 2) as d) select pose_id, round(1.0 + d * sqrt(greatest(0.0, 1 - z * z)) * cos(t), 6) + 0.0 as ex, round(2.0 + d * sqrt(greatest(0.0, 1 - z * z)) * sin(t), 6) + 0.0 as ey, round(3.0 + d * z, 6) + 0.0 as ez from p, d")
+@query("cam02_focused", f"""{BAND_STATS}, tg as (select volume_id, band, cx, cy, cz, greatest(radius, 0.05 * side) / sin({VF!r}::double / 2) as d from bs join (select volume_id, greatest(max(x), max(y), max(z)) as side from li group by 1) using (volume_id) where status = 'KEEP'),
+p as (select tg.*, i::int as pose_id, 2.0 * ((i + 0.5) / 16.0::double) - 1.0 as z, i * {GOLDEN_TURN!r}::double as t from tg, range(0, 16) r(i))
+select volume_id, band, pose_id, round(cx + d * sqrt(greatest(0.0, 1 - z * z)) * cos(t), 6) + 0.0 as ex, round(cy + d * sqrt(greatest(0.0, 1 - z * z)) * sin(t), 6) + 0.0 as ey, round(cz + d * z, 6) + 0.0 as ez from p""")
 def cam02(spark, d):
-    return r6(camera.focused(spark, 16, (1.0, 2.0, 3.0), 0.01, (4.0, 1.0, 1.0), VF), "ex", "ey", "ez").select("pose_id", "ex", "ey", "ez")
+    """Cameras around the bands of each volume."""
+    v = li(spark, d)
+    side = normalize.inspect(v).select("volume_id", (F.greatest("nz", "ny", "nx") - 1).alias("side"))
+    parts = histogram.band_statistics(v, BAND_EDGES).where("status = 'KEEP'").join(side, "volume_id").select("volume_id", "band", "cx", "cy", "cz", "radius", "side")
+    return r6(camera.orbit(camera.focus(parts, VF), 16), "ex", "ey", "ez").select("volume_id", "band", "pose_id", "ex", "ey", "ez")
 
 
-@query("cam03_c2w", f"{POSES}, w as (select *, fy * uz - fz * uy as rx, fz * ux - fx * uz as ry, fx * uy - fy * ux as rz from v) select pose_id, {', '.join(f'round({e}, 6) + 0.0 as m{i}{k}' for i, c in enumerate('xyz') for k, e in enumerate((f'r{c}', f'u{c}', f'-f{c}', f'e{c}')))} from w")
+@query("cam03_c2w", f"{POSES} select volume_id, pose_id, {MATRIX_SQL} from w")
 def cam03(spark, d):
-    cols = [f"m{i}{k}" for i in range(3) for k in range(4)]
-    return r6(camera.camera_to_world(poses(spark)), *cols).select("pose_id", *cols)
+    return r6(camera.camera_to_world(poses(spark, d)), *MATRIX).select("volume_id", "pose_id", *MATRIX)
 
 
-@query("prj14_intrinsics", f"with c(w, h) as (values (800, 800), (800, 600)) select w, h, round(h / 2.0::double / tan(radians(45) / 2) * w / h, 6) as fx, round(h / 2.0::double / tan(radians(45) / 2), 6) as fy, (w - 1) / 2.0::double as cx, (h - 1) / 2.0::double as cy, round(2 * atan(w::double / h * tan(radians(45) / 2)), 6) as hfov from c")
+@query("prj14_intrinsics", f"with c as (select distinct (p_size * 64)::int as w, (48 * (p_partkey % 10 + 1))::int as h from part) select w, h, round(h / 2.0::double / tan(radians(45) / 2) * w / h, 6) as fx, round(h / 2.0::double / tan(radians(45) / 2), 6) as fy, (w - 1) / 2.0::double as cx, (h - 1) / 2.0::double as cy, round(2 * atan(w::double / h * tan(radians(45) / 2)), 6) as hfov from c")
 def prj14(spark, d):
-    rows = [(w, h, *(float(C.intrinsics(45, w, h)[k]) for k in ("fx", "fy", "cx", "cy", "hfov"))) for w, h in ((800, 800), (800, 600))]
-    return r6(spark.createDataFrame(rows, "w int, h int, fx double, fy double, cx double, cy double, hfov double"), "fx", "fy", "hfov")
+    sizes = spark.read.parquet(f"{d}/part.parquet").select((F.col("p_size") * 64).cast("int").alias("w"), (48 * (F.col("p_partkey") % 10 + 1)).cast("int").alias("h")).distinct()
+    return r6(sizes.select("w", "h", *C.intrinsic_columns(45, F.col("w"), F.col("h"))).drop("vfov"), "fx", "fy", "hfov")
+
+
+def nation_frames(spark, d):
+    """A frame for each nation, and how many there are."""
+    frames = spark.read.parquet(f"{d}/nation.parquet").select(F.col("n_nationkey").cast("int").alias("pose_id"))
+    return frames, frames.count()
 
 
-@query("spl02_tail", "select i::int as pose_id, case when i >= 54 then 'test' when i >= 49 then 'val' else 'train' end as split from range(0, 64) t(i)")
+@query("spl02_tail", "select n_nationkey::int as pose_id, case when n_nationkey >= n - 6 then 'test' when n_nationkey >= n - 9 then 'val' else 'train' end as split from nation, (select count(*) as n from nation)")
 def spl02(spark, d):
-    return camera.split_frames(spark.range(64).select(F.col("id").cast("int").alias("pose_id")), 64, 10, 5)
+    return camera.split_frames(*nation_frames(spark, d), 6, 3)
 
 
-@query("spl03_interleave", """with a as (select i from range(0, 64) t(i)), te as (select distinct round_even(k * (63 / 10.0::double), 0)::int as i from range(0, 10) t(k)), re as (select i, row_number() over (order by i) - 1 as p from a where i not in (select i from te)),
-va as (select i from re where p in (select round_even(k * (((select count(*) from re) - 1) / 5.0::double), 0)::int from range(0, 5) t(k)))
-select i::int as pose_id, case when i in (select i from te) then 'test' when i in (select i from va) then 'val' else 'train' end as split from a""")
+@query("spl03_interleave", """with c as (select count(*) as n from nation), te as (select distinct round_even(k * ((n - 1) / 6.0::double), 0)::int as i from c, range(0, 6) t(k)), re as (select n_nationkey as i, row_number() over (order by n_nationkey) - 1 as p from nation where n_nationkey not in (select i from te)),
+va as (select i from re where p in (select round_even(k * (((select count(*) from re) - 1) / 3.0::double), 0)::int from range(0, 3) t(k)))
+select n_nationkey::int as pose_id, case when n_nationkey in (select i from te) then 'test' when n_nationkey in (select i from va) then 'val' else 'train' end as split from nation""")
 def spl03(spark, d):
-    return camera.split_frames(spark.range(64).select(F.col("id").cast("int").alias("pose_id")), 64, 10, 5, "interleave")
+    return camera.split_frames(*nation_frames(spark, d), 6, 3, "interleave")
 
 
-@query("rnd04_frame_manifest", "select 'TF' || lpad(k::varchar, 2, '0') as tf_name, i::int as pose_id, case when i >= 54 then 'test' else 'train' end as split, './' || case when i >= 54 then 'test' else 'train' end || '/r_' || lpad(i::varchar, 4, '0') as file_path from range(1, 11) a(k), range(0, 64) b(i)")
+@query("rnd04_frame_manifest", "with f as (select n_nationkey::int as pose_id, case when n_nationkey >= n - 6 then 'test' else 'train' end as split from nation, (select count(*) as n from nation)) select 'TF' || lpad((r_regionkey + 1)::varchar, 2, '0') as tf_name, pose_id, split, './' || split || '/r_' || lpad(pose_id::varchar, 4, '0') as file_path from region, f")
 def rnd04(spark, d):
-    tfs = spark.createDataFrame(transfer.tf_set("Fast", 10), "idx int, cmap string, tf_name string")
-    return camera.frame_manifest(tfs, camera.split_frames(spark.range(64).select(F.col("id").cast("int").alias("pose_id")), 64, 10, 0))
+    tfs = spark.read.parquet(f"{d}/region.parquet").select(F.format_string("TF%02d", F.col("r_regionkey") + 1).alias("tf_name"))
+    return camera.frame_manifest(tfs, camera.split_frames(*nation_frames(spark, d), 6, 0)).select("tf_name", "pose_id", "split", "file_path")
 
 
 @query("rnd01_composite", f"""{NORM}, {_bake_sql('norm', TFS)}, b as (select *, coalesce(exp(sum(ln(greatest(1 - a, 1e-300))) over (partition by volume_id, tf_name, y, x order by z rows between unbounded preceding and 1 preceding)), 1.0) as before from rgba)
@@ -549,12 +615,15 @@ def rnd01(spark, d):
     return r6(render.composite(transfer.bake(norm_emb(spark, d), TFS)), *"rgba")
 
 
-@query("snk06_transforms_json", None)
+@query("snk06_transforms_json", f"{POSES}, s as (select *, case when pose_id >= 54 then 'test' when pose_id >= 49 then 'val' else 'train' end as split from w) select volume_id, split, pose_id, './' || split || '/r_' || lpad(pose_id::varchar, 4, '0') as file_path, {MATRIX_SQL} from s")
 def snk06(spark, d):
-    cams = camera.split_frames(camera.camera_to_world(poses(spark)), 64, 10, 5)
+    """The frames' JSON, and what a reader gets from it."""
+    cams = camera.split_frames(camera.camera_to_world(poses(spark, d)), 64, 10, 5)
     m = F.array(*[F.array(*[F.col(f"m{i}{k}") for k in range(4)]) for i in range(3)], F.array(*[F.lit(x) for x in (0.0, 0.0, 0.0, 1.0)]))
     one = F.struct(F.col("pose_id"), F.format_string("./%s/r_%04d", "split", "pose_id").alias("file_path"), m.alias("transform_matrix"))
-    return cams.groupBy("split").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("frames"))  # a few hundred cameras
+    docs = cams.groupBy("volume_id", "split").agg(F.to_json(F.array_sort(F.collect_list(one))).alias("frames"))  # a few hundred cameras of a volume
+    back = docs.select("volume_id", "split", F.explode(F.from_json("frames", "array<struct<pose_id:int,file_path:string,transform_matrix:array<array<double>>>>")).alias("f"))
+    return r6(back.select("volume_id", "split", "f.pose_id", "f.file_path", *[F.col("f.transform_matrix")[i][k].alias(f"m{i}{k}") for i in range(3) for k in range(4)]), *MATRIX)
 
 
 @query("pipe03_tf_fanout", f"{EMB} select volume_id, 'TF' || lpad(k::varchar, 2, '0') as tf_name, 'out/' || volume_id || '/TF' || lpad(k::varchar, 2, '0') || '/points.ply' as path from (select distinct volume_id from emb), range(1, 4) t(k)")

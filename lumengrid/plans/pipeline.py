@@ -147,9 +147,7 @@ def _uniform(s: State, params):
 
 @register("sampler", "wavelet")
 def _wavelet(s: State, params):
-    if params.get("wavelet", "haar") not in ("haar", "db1"):
-        raise ValueError("the Haar wavelet is the one there is")
-    how = s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False)), float(params.get("alpha", 1.0)), float(params.get("beta", 1.0))
+    how = s.shape, int(params.get("n_points", 10_000)), int(params.get("level", 1)), int(params.get("k_min", 100)), bool(params.get("centered", False)), float(params.get("alpha", 1.0)), float(params.get("beta", 1.0)), params.get("wavelet", "haar"), params.get("mode", "periodic")
     if s.rgba is None:
         drawn, tf, colours = wavelet.sample(s.voxels, *how), F.lit(None).cast("string").alias("tf_name"), []
     else:

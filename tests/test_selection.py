@@ -64,3 +64,48 @@ def test_a_pass_holds_counts_only(spark, monkeypatch):
     monkeypatch.setattr(selection.store, "saved", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or real(df))
     selection.quantiles(frame(spark, groups()), [0.5], ["volume_id"]).collect()
     assert len(plans) > 3 and not any("collect_list" in p or "collect_set" in p for p in plans)
+
+
+def test_firsts(spark, monkeypatch):
+    """By thresholds, with ties in all keys but the last, and rows that repeat."""
+    rng = np.random.default_rng(8)
+    rows = []
+    for g, n, need in (("ties", 3000, 700), ("flat", 2500, 123), ("spread", 3000, 5), ("all", 2000, 2000), ("few", 10, 3), ("copies", 2000, 50)):
+        for i in range(n):
+            c = {"ties": float(rng.integers(0, 4)), "flat": 1.0, "spread": float(rng.normal())}.get(g, 2.0)
+            z, y, x = (1, 1, 1) if g == "copies" else (i // 400, i // 20 % 20, i % 20)
+            rows.append((g, c, z, y, x, need))
+    df = spark.createDataFrame(rows, "g string, c double, z int, y int, x int, need int").repartition(4)
+    keys = [-F.abs("c"), F.col("z"), F.col("y"), F.col("x")]
+    want = {}
+    for g, c, z, y, x, need in rows:
+        want.setdefault((g, need), []).append((-abs(c), z, y, x))
+    for small in (0, 200):
+        monkeypatch.setattr(selection, "SMALL", small)
+        got = {}
+        for g, c, z, y, x, _ in selection.firsts(df, ["g"], keys, F.col("need")).collect():
+            got.setdefault(g, []).append((-abs(c), z, y, x))
+        for (g, need), v in want.items():
+            assert sorted(got[g])[:need] == sorted(v)[:need], g
+            assert len(got[g]) <= (len(v) if g in ("copies", "few") else need + small)
+
+
+def test_band_top_by_thresholds(spark, monkeypatch):
+    from lumengrid.operators import wavelet
+
+    rng = np.random.default_rng(9)
+    x = np.where(rng.random((16, 16, 16)) < 0.7, 0.0, rng.normal(size=(16, 16, 16)))  # many equal coefficients
+    v = spark.createDataFrame([(1, *map(int, c), float(x[c])) for c in np.ndindex(*x.shape)], "volume_id long, z int, y int, x int, v double")
+    c = wavelet.transform(v, (16, 16, 16), 1)
+    b = wavelet.budgets(c, 900, least=400)
+    want = sorted(map(tuple, wavelet.band_top(c, b).collect()))
+    monkeypatch.setattr(selection, "SMALL", 50)
+    assert sorted(map(tuple, wavelet.band_top(c, b).collect())) == want
+
+
+def test_top_is_cut_before_the_shuffle(spark):
+    from lumengrid.operators import sampling
+
+    df = spark.range(1000).select((F.col("id") % 3).alias("g"), F.rand(1).alias("k"))
+    got = sampling.top(df, ["g"], ["k"], 5, "r")
+    assert "WindowGroupLimit" in got._jdf.queryExecution().executedPlan().toString() and got.count() == 15
