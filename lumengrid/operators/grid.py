@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass, field
 
+import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -137,6 +138,19 @@ def pad_to_cube(voxels: DataFrame, shape: tuple[int, int, int], size: int = 0, m
     return moved.unionByName(around.select(*CELL, F.col("fill").alias("v")))
 
 
+def as_dtype(v: Column, dtype: str) -> Column:
+    """v as a number of that numpy type holds it, as a double again."""
+    kind = np.dtype(dtype)
+    if kind.kind == "f":
+        return v.cast("float").cast("double") if kind.itemsize <= 4 else v.cast("double")
+    if kind.kind not in "iu" or kind.itemsize == 8:
+        return F.when(v >= 0, F.floor(v)).otherwise(F.ceil(v)).cast("double")
+    span = 1 << 8 * kind.itemsize
+    low = -(span >> 1) if kind.kind == "i" else 0
+    whole = F.when(v >= 0, F.floor(v)).otherwise(F.ceil(v))
+    return (F.pmod(whole - low, F.lit(span)) + low).cast("double")
+
+
 @dataclass
 class Canonical:
     """What canonicalize made: voxels, the grid's size, and where they come from."""
@@ -146,9 +160,12 @@ class Canonical:
     lineage: dict = field(default_factory=dict)
 
 
-def canonicalize(voxels: DataFrame, shape, spacing=(1.0, 1.0, 1.0), target=1.0, normalise: str | None = "minmax", cube: bool = True, cube_size: int = 0, pad: str | None = None, pad_value: float | None = None, mode: str = "trilinear", align_corners: bool = True) -> Canonical:
+def canonicalize(voxels: DataFrame, shape, spacing=(1.0, 1.0, 1.0), target=1.0, normalise: str | None = "minmax", cube: bool = True, cube_size: int = 0, pad: str | None = None, pad_value: float | None = None, mode: str = "trilinear", align_corners: bool = True, keep_dtype: bool = False, dtype: str | None = None) -> Canonical:
     """Resample to the target spacing (None: keep), scale to [0, 1] (constant: 0), pad to a cube. The result has unit
-    spacing, origin 0 and no rotation; the lineage keeps what it was."""
+    spacing, origin 0 and no rotation; the lineage keeps what it was.
+
+    With keep_dtype, values that are not scaled become numbers of the source's `dtype` (a numpy name) again: whole numbers are cut off towards 0
+    and wrap around at the ends of their range."""
     if normalise not in (None, "minmax"):
         raise ValueError(f"unknown normalisation: {normalise}")
     goal = spacing if target is None else (target,) * 3 if isinstance(target, (int, float)) else tuple(target)
@@ -160,7 +177,10 @@ def canonicalize(voxels: DataFrame, shape, spacing=(1.0, 1.0, 1.0), target=1.0,
     if cube:
         out = pad_to_cube(out, to, cube_size, pad or ("zero" if normalise else "min"), pad_value)
         final = (max(cube_size, *to),) * 3
-    return Canonical(out, final, {"source_shape_zyx": tuple(shape), "source_spacing": tuple(spacing), "resampled_shape_zyx": to, "normalise": normalise, "padded_shape_zyx": final})
+    kind = dtype if keep_dtype and not normalise else None
+    if kind:
+        out = out.withColumn("v", as_dtype(F.col("v"), kind))
+    return Canonical(out, final, {"dtype": kind or "float64", "source_shape_zyx": tuple(shape), "source_spacing": tuple(spacing), "resampled_shape_zyx": to, "normalise": normalise, "padded_shape_zyx": final})
 
 
 def tile_starts(n: int, tile: int, stride: int) -> list[int]:

@@ -26,19 +26,26 @@ class TransferFunction:
             raise ValueError("control points are (x, r, g, b, a)")
         object.__setattr__(self, "points", tuple(sorted((tuple(map(float, p)) for p in self.points), key=lambda p: p[0])))
 
-    def columns(self, v, left: bool = False, premultiply: bool = False):
+    def index(self, v, left: bool = False):
+        """Where a function of many points is to be looked up for v; None for few points, which need no index."""
+        return C.upto(v, [p[0] for p in self.points], strict=left) if len(self.points) > C.MANY else None
+
+    def columns(self, v, left: bool = False, premultiply: bool = False, at=None):
         look = C.interpolate_left if left else C.interpolate
         xs = [p[0] for p in self.points]
-        r, g, b, a = (look(v, xs, [p[i] for p in self.points]) for i in range(1, 5))
+        r, g, b, a = (look(v, xs, [p[i] for p in self.points], at) for i in range(1, 5))
         return [r * a, g * a, b * a, a] if premultiply else [r, g, b, a]
 
 
 def bake(voxels: DataFrame, tfs: list[TransferFunction], left: bool = False, premultiply: bool = False) -> DataFrame:
-    """(volume_id, tf_name, z, y, x, r, g, b, a): every voxel under every transfer function, in one pass without a join."""
+    """(volume_id, tf_name, z, y, x, r, g, b, a): every voxel under every transfer function, in one pass without a join. The place in a function of
+    many points is worked out once for its four channels."""
     if not tfs:
         raise ValueError("no transfer function")
-    each = [F.struct(F.lit(t.name).alias("tf_name"), *[c.alias(n) for c, n in zip(t.columns(F.col("v"), left, premultiply), "rgba", strict=True)]) for t in tfs]
-    out = voxels.select("volume_id", "z", "y", "x", F.explode(F.array(*each)).alias("t"))
+    v, places = F.col("v"), {f"_at{k}": t.index(F.col("v"), left) for k, t in enumerate(tfs)}
+    found = voxels.select("volume_id", "z", "y", "x", "v", *[c.alias(n) for n, c in places.items() if c is not None])
+    each = [F.struct(F.lit(t.name).alias("tf_name"), *[c.alias(n) for c, n in zip(t.columns(v, left, premultiply, F.col(p) if places[p] is not None else None), "rgba", strict=True)]) for t, p in zip(tfs, places, strict=True)]
+    out = found.select("volume_id", "z", "y", "x", F.explode(F.array(*each)).alias("t"))
     return out.select("volume_id", "t.tf_name", "z", "y", "x", "t.r", "t.g", "t.b", "t.a")
 
 

@@ -45,6 +45,7 @@ class State:
     tfs: list = field(default_factory=list)
     rgba: DataFrame | None = None
     notes: dict = field(default_factory=dict)
+    dtype: str | None = None
 
 
 @register("reader", "raw")
@@ -53,13 +54,13 @@ def _raw(spark, path, params):
     g = geometry.Geometry(tuple(params.pop("spacing", (1.0, 1.0, 1.0))), tuple(params.pop("origin", (0.0, 0.0, 0.0))), readers.codecs.parse_direction(params.pop("direction", None)))
     if not shape or len(shape) != 3:
         raise C.ConfigError("the raw reader needs shape: three sizes")
-    return State(readers.read_raw(spark, path, tuple(shape), **params), tuple(shape), g)
+    return State(readers.read_raw(spark, path, tuple(shape), **params), tuple(shape), g, dtype=str(params.get("dtype", "uint16")))
 
 
 def _whole(kind):
     def read(spark, path, params):
         h = readers.read_headers(spark, path, kind, **params).first()
-        return State(readers.read_volumes(spark, path, kind, **params), (h["nz"], h["ny"], h["nx"]), readers.geometry_of(h))
+        return State(readers.read_volumes(spark, path, kind, **params), (h["nz"], h["ny"], h["nx"]), readers.geometry_of(h), dtype=h["original_dtype"])
 
     return read
 
@@ -79,7 +80,7 @@ def _normalize(s: State, params):
 def _canonicalize(s: State, params):
     params = dict(params)
     vti = params.pop("vti_path", None)
-    done = grid.canonicalize(s.voxels, s.shape, s.geometry.spacing, params.pop("target_spacing", 1.0), **params)
+    done = grid.canonicalize(s.voxels, s.shape, s.geometry.spacing, params.pop("target_spacing", 1.0), **{"dtype": s.dtype, **params})
     s.voxels, s.shape, s.geometry = done.voxels, done.shape, geometry.Geometry()
     s.notes["canonical"] = done.lineage
     if vti:

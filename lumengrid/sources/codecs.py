@@ -31,10 +31,21 @@ NIFTI_TYPES = {2: "u1", 4: "i2", 8: "i4", 16: "f4", 64: "f8", 256: "i1", 512: "u
 VTK_TYPES = {"Int8": "i1", "UInt8": "u1", "Int16": "i2", "UInt16": "u2", "Int32": "i4", "UInt32": "u4", "Int64": "i8", "UInt64": "u8", "Float32": "f4", "Float64": "f8"}
 
 
-def decode_nifti(body: bytes, orientation: bool = True) -> Grid:
-    """A NIfTI-1 file, gzipped or not, as float32; with orientation=False spacing and origin only."""
-    if body[:2] == b"\x1f\x8b":
-        body = gzip.decompress(body)
+@dataclass
+class NiftiHeader:
+    """shape in z, y, x order; order: byte order; code: number type; values are slope * number + inter."""
+
+    shape: tuple[int, int, int]
+    order: str
+    code: int
+    offset: int
+    slope: float
+    inter: float
+    geometry: Geometry
+
+
+def nifti_header(body: bytes, orientation: bool = True) -> NiftiHeader:
+    """From the first 352 bytes of a file; with orientation=False spacing and origin only."""
     order = "<" if struct.unpack_from("<i", body)[0] == 348 else ">"
     if struct.unpack_from(f"{order}i", body)[0] != 348:
         raise ValueError("not a NIfTI-1 file")
@@ -47,10 +58,6 @@ def decode_nifti(body: bytes, orientation: bool = True) -> Grid:
     code = struct.unpack_from(f"{order}h", body, 70)[0]
     pix = struct.unpack_from(f"{order}8f", body, 76)
     offset, slope, inter = struct.unpack_from(f"{order}3f", body, 108)
-    n = int(np.prod(shape))
-    raw = np.frombuffer(body, np.dtype(order + NIFTI_TYPES[code]), n, int(offset)).astype(np.float32)
-    if slope not in (0.0, 1.0) or inter:
-        raw = raw * np.float32(slope or 1.0) + np.float32(inter)
     qform, sform = struct.unpack_from(f"{order}2h", body, 252)
     if sform > 0:
         affine = [list(struct.unpack_from(f"{order}4f", body, 280 + 16 * r)) for r in range(3)]
@@ -63,9 +70,18 @@ def decode_nifti(body: bytes, orientation: bool = True) -> Grid:
     else:
         affine = [[pix[r + 1] if r == k else 0.0 for k in range(3)] + [0.0] for r in range(3)]
     g = Geometry.from_affine(affine)
-    if not orientation:
-        g = Geometry(g.spacing, g.origin)
-    return Grid(raw.reshape(shape[::-1]), g, {"original_dtype": NIFTI_TYPES[code]})
+    return NiftiHeader(tuple(shape[::-1]), order, code, int(offset), slope, inter, g if orientation else Geometry(g.spacing, g.origin))
+
+
+def decode_nifti(body: bytes, orientation: bool = True) -> Grid:
+    """A NIfTI-1 file, gzipped or not, as float32."""
+    if body[:2] == b"\x1f\x8b":
+        body = gzip.decompress(body)
+    h = nifti_header(body, orientation)
+    raw = np.frombuffer(body, np.dtype(h.order + NIFTI_TYPES[h.code]), int(np.prod(h.shape)), h.offset).astype(np.float32)
+    if h.slope not in (0.0, 1.0) or h.inter:
+        raw = raw * np.float32(h.slope or 1.0) + np.float32(h.inter)
+    return Grid(raw.reshape(h.shape), h.geometry, {"original_dtype": NIFTI_TYPES[h.code]})
 
 
 def encode_nifti(grid: Grid, compress: bool = False) -> bytes:
@@ -130,8 +146,78 @@ def _from_base64(text: str, head: str, compressed: bool) -> bytes:
     return _blocks(base64.b64decode(text[:first])[: (3 + count) * size] + base64.b64decode(text[first:]), head, True)
 
 
-def decode_vti(body: bytes, array: str | None = None) -> Grid:
-    """A VTK XML image: ascii, inline or appended data, raw or base64, plain or zlib. A missing array name falls back to the active or first one."""
+@dataclass
+class VtiArray:
+    name: str | None
+    association: str
+    type: str
+    components: int
+    format: str
+    offset: int
+    text: str | None
+
+
+@dataclass
+class VtiHeader:
+    """shape: points in z, y, x order; order: byte order; head: struct format of a block's length."""
+
+    shape: tuple[int, int, int]
+    order: str
+    head: str
+    compressed: bool
+    geometry: Geometry
+    arrays: list[VtiArray]
+    active: str | None
+
+    @property
+    def head_bytes(self) -> int:
+        return struct.calcsize(self.head)
+
+    def choose(self, name: str | None = None) -> VtiArray:
+        """The point array of the name, else the cell array of the name, else the active or the first point array, else the first cell array."""
+        for kind in ("point", "cell"):
+            own = [a for a in self.arrays if a.association == kind]
+            if name is not None and (hit := [a for a in own if a.name == name]):
+                return hit[0]
+        for kind in ("point", "cell"):
+            if own := [a for a in self.arrays if a.association == kind]:
+                return next((a for a in own if kind == "point" and a.name == self.active), own[0])
+        raise ValueError("no point or cell array")
+
+
+def vti_header(text: bytes) -> VtiHeader:
+    """From the XML of a VTK image, without its appended data."""
+    root = ElementTree.fromstring(text)
+    order = "<" if root.get("byte_order", "LittleEndian") == "LittleEndian" else ">"
+    image = root.find("ImageData")
+    ext = [int(x) for x in image.get("WholeExtent").split()]
+    nx, ny, nz = (ext[2 * i + 1] - ext[2 * i] + 1 for i in range(3))
+    floats = lambda name, default: tuple(float(x) for x in image.get(name, default).split())
+    d = floats("Direction", "1 0 0 0 1 0 0 0 1")
+    arrays, points = [], image.find("Piece/PointData")
+    for kind, part in (("point", points), ("cell", image.find("Piece/CellData"))):
+        for a in part.findall("DataArray") if part is not None else ():
+            arrays.append(VtiArray(a.get("Name"), kind, a.get("type"), int(a.get("NumberOfComponents") or 1), a.get("format", "ascii"), int(a.get("offset") or 0), a.text))
+    g = Geometry(floats("Spacing", "1 1 1"), floats("Origin", "0 0 0"), (d[:3], d[3:6], d[6:]))
+    return VtiHeader((nz, ny, nx), order, order + ("Q" if root.get("header_type") == "UInt64" else "I"), bool(root.get("compressor")), g, arrays, points.get("Scalars") if points is not None else None)
+
+
+def to_points(cells: np.ndarray) -> np.ndarray:
+    """Values at the corners of cells (z, y, x and perhaps components): means of the up to eight cells around."""
+    total = np.zeros([n + 1 for n in cells.shape[:3]] + list(cells.shape[3:]))
+    times = np.zeros(total.shape)
+    nz, ny, nx = cells.shape[:3]
+    for z in (0, 1):
+        for y in (0, 1):
+            for x in (0, 1):
+                total[z : z + nz, y : y + ny, x : x + nx] += cells
+                times[z : z + nz, y : y + ny, x : x + nx] += 1
+    return total / times
+
+
+def decode_vti(body: bytes, array: str | None = None, magnitude: bool = False) -> Grid:
+    """A VTK XML image: ascii, inline or appended data, raw or base64, plain or zlib. For the array see VtiHeader.choose; cell values go to the points
+    around. magnitude: of an array of several components the Euclidean length."""
     at = body.find(b"<AppendedData")
     appended, encoding = b"", "raw"
     text = body
@@ -140,50 +226,45 @@ def decode_vti(body: bytes, array: str | None = None) -> Grid:
         encoding = "base64" if b'"base64"' in body[at:mark] else "raw"
         appended = body[mark + 1 : body.rindex(b"</AppendedData>")]
         text = body[:at] + b"</VTKFile>"
-    root = ElementTree.fromstring(text)
-    order = "<" if root.get("byte_order", "LittleEndian") == "LittleEndian" else ">"
-    head = order + ("Q" if root.get("header_type") == "UInt64" else "I")
-    compressed = bool(root.get("compressor"))
-    image = root.find("ImageData")
-    ext = [int(x) for x in image.get("WholeExtent").split()]
-    nx, ny, nz = (ext[2 * i + 1] - ext[2 * i] + 1 for i in range(3))
-    points = image.find("Piece/PointData")
-    arrays = points.findall("DataArray")
-    if not arrays:
-        raise ValueError("no point array")
-    by_name = {a.get("Name"): a for a in arrays}
-    a = by_name.get(array) if array in by_name else by_name.get(points.get("Scalars"), arrays[0])
-    kind, parts = np.dtype(order + VTK_TYPES[a.get("type")]), int(a.get("NumberOfComponents") or 1)
-    form = a.get("format", "ascii")
-    if form == "ascii":
+    h = vti_header(text)
+    a = h.choose(array)
+    kind = np.dtype(h.order + VTK_TYPES[a.type])
+    if a.format == "ascii":
         flat = np.array((a.text or "").split(), kind)
-    elif form == "binary":
-        flat = np.frombuffer(_from_base64(a.text, head, compressed), kind)
+    elif a.format == "binary":
+        flat = np.frombuffer(_from_base64(a.text, h.head, h.compressed), kind)
     else:
-        start = int(a.get("offset"))
-        flat = np.frombuffer(_blocks(appended[start:], head, compressed) if encoding == "raw" else _from_base64(appended[start:].decode(), head, compressed), kind)
-    if len(flat) != nx * ny * nz * parts:
-        raise ValueError(f"{len(flat)} values for {nx} x {ny} x {nz}")
-    floats = lambda name, default: tuple(float(x) for x in image.get(name, default).split())
-    d = floats("Direction", "1 0 0 0 1 0 0 0 1")
-    g = Geometry(floats("Spacing", "1 1 1"), floats("Origin", "0 0 0"), (d[:3], d[3:6], d[6:]))
-    return Grid(flat.reshape((nz, ny, nx) if parts == 1 else (nz, ny, nx, parts)), g, {"array": a.get("Name"), "original_dtype": kind.str[1:]})
+        flat = np.frombuffer(_blocks(appended[a.offset :], h.head, h.compressed) if encoding == "raw" else _from_base64(appended[a.offset :].decode(), h.head, h.compressed), kind)
+    shape = h.shape if a.association == "point" else tuple(max(n - 1, 1) for n in h.shape)
+    if len(flat) != int(np.prod(shape)) * a.components:
+        raise ValueError(f"{len(flat)} values for {' x '.join(map(str, reversed(shape)))}")
+    values = flat.reshape(shape if a.components == 1 else (*shape, a.components))
+    if a.association == "cell":
+        values = to_points(values)[tuple(slice(n) for n in h.shape)]
+    if magnitude and a.components > 1:
+        values = np.sqrt((values.astype(np.float64) ** 2).sum(axis=-1))
+    return Grid(values, h.geometry, {"array": a.name, "association": a.association, "original_dtype": kind.str[1:]})
+
+
+def vti_frame(shape, dtype, geometry: Geometry, array: str = "Scalars") -> tuple[bytes, bytes]:
+    """What stands before and after the numbers (little-endian, x fastest) in a file of raw appended data."""
+    kind = np.dtype(dtype)
+    ext = " ".join(f"0 {n - 1}" for n in reversed(shape))
+    text = lambda xs: " ".join(repr(float(x)) for x in xs)
+    g = geometry
+    head = (
+        f'<?xml version="1.0"?>\n<VTKFile type="ImageData" version="1.0" byte_order="LittleEndian" header_type="UInt64">\n<ImageData WholeExtent="{ext}" Origin="{text(g.origin)}" Spacing="{text(g.spacing)}" Direction="{text(x for r in g.direction for x in r)}">\n'
+        f'<Piece Extent="{ext}"><PointData Scalars="{array}"><DataArray type="{dict((t, n) for n, t in VTK_TYPES.items())[kind.str[1:]]}" Name="{array}" format="appended" offset="0"/></PointData><CellData/></Piece></ImageData>\n<AppendedData encoding="raw">\n_'
+    ).encode()
+    return head + struct.pack("<Q", int(np.prod(shape)) * kind.itemsize), b"\n</AppendedData>\n</VTKFile>\n"
 
 
 def encode_vti(grid: Grid, array: str = "Scalars") -> bytes:
     v = grid.values
     if v.ndim != 3:
         raise ValueError("only scalar volumes can be written")
-    name = {t: n for n, t in VTK_TYPES.items()}[v.dtype.str[1:]]
-    raw = np.ascontiguousarray(v).astype(v.dtype.newbyteorder("<")).tobytes()
-    ext = " ".join(f"0 {n - 1}" for n in reversed(v.shape))
-    text = lambda xs: " ".join(repr(float(x)) for x in xs)
-    g = grid.geometry
-    return (
-        f'<?xml version="1.0"?>\n<VTKFile type="ImageData" version="1.0" byte_order="LittleEndian" header_type="UInt64">\n<ImageData WholeExtent="{ext}" Origin="{text(g.origin)}" Spacing="{text(g.spacing)}" Direction="{text(x for r in g.direction for x in r)}">\n'
-        f'<Piece Extent="{ext}"><PointData Scalars="{array}"><DataArray type="{name}" Name="{array}" format="binary">'
-        f"{base64.b64encode(struct.pack('<Q', len(raw)) + raw).decode()}</DataArray></PointData><CellData/></Piece></ImageData></VTKFile>\n"
-    ).encode()
+    head, tail = vti_frame(v.shape, v.dtype, grid.geometry, array)
+    return head + np.ascontiguousarray(v).astype(v.dtype.newbyteorder("<")).tobytes() + tail
 
 
 def decode_png(body: bytes) -> np.ndarray:

@@ -1,8 +1,5 @@
-"""Files to voxel, pixel and transfer-function tables.
-
-Whole-file formats come through Spark's `binaryFile` source, so any path Spark can list works, one task a file. RAW grids
-have a data source of their own that cuts a file into slabs of z, so that one large grid is read by many tasks.
-"""
+"""Files to voxel, pixel and transfer-function tables. Volumes are read slab by slab (see slabs), images and transfer functions whole through Spark's
+`binaryFile` source, so any path Spark can list works."""
 
 from __future__ import annotations
 
@@ -12,121 +9,35 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ..operators.geometry import Geometry
-from . import codecs
-
-VOXELS = "volume_id string, z int, y int, x int, v double"
-HEADER = "volume_id string, nz int, ny int, nx int, spacing array<double>, origin array<double>, direction array<array<double>>, original_dtype string"
+from . import codecs, slabs
 
-
-def _rows(name: str, values: np.ndarray, z0: int = 0):
-    """A slab of z at a time, so that memory follows a slab, not the grid."""
-    nz, ny, nx = values.shape[:3]
-    y, x = np.divmod(np.arange(ny * nx, dtype=np.int32), nx)
-    for z in range(nz):
-        yield pd.DataFrame({"volume_id": name, "z": np.int32(z + z0), "y": y, "x": x, "v": values[z].reshape(-1).astype(np.float64)})
+VOXELS = slabs.VOXELS
 
 
 def _files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
-    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
-    return (r.option("pathGlobFilter", glob) if glob else r).load(path).select("path", "content")
-
-
-def _decoder(kind: str, options: dict):
-    if kind == "nii":
-        return lambda b: codecs.decode_nifti(b, **options)
-    if kind == "vti":
-        return lambda b: codecs.decode_vti(b, **options)
-    raise ValueError(f"unknown volume format: {kind}")
-
-
-def read_volumes(spark: SparkSession, path: str, kind: str, glob: str | None = None, **options) -> DataFrame:
-    """Voxels of all NIfTI ("nii") or VTK image ("vti") files under path; volume_id is the file's path."""
-    decode = _decoder(kind, options)
+    return slabs.files(spark, path, glob, "path", "content")
 
-    def run(frames):
-        for f in frames:
-            for name, body in zip(f["path"], f["content"], strict=True):
-                yield from _rows(name, decode(body).values)
 
-    return _files(spark, path, glob).mapInPandas(run, VOXELS)
+def read_volumes(spark: SparkSession, path: str, kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
+    """Voxels of all NIfTI ("nii") or VTK image ("vti") files under path; volume_id is the file's path. z: first and last plane that are wanted; slabs
+    without such planes are not read."""
+    return slabs.read(spark, path, kind, glob, slab, z, **options)
 
 
 def read_headers(spark: SparkSession, path: str, kind: str, glob: str | None = None, **options) -> DataFrame:
     """Size and geometry of each file."""
-    decode = _decoder(kind, options)
-
-    def run(frames):
-        for f in frames:
-            for name, body in zip(f["path"], f["content"], strict=True):
-                g = decode(body)
-                yield pd.DataFrame([(name, *g.values.shape[:3], list(g.geometry.spacing), list(g.geometry.origin), [list(r) for r in g.geometry.direction], g.meta["original_dtype"])], columns=[c.split()[0] for c in HEADER.replace("array<array<double>>", "a").replace("array<double>", "a").split(", ")])
-
-    return _files(spark, path, glob).mapInPandas(run, HEADER)
+    return slabs.headers(spark, path, kind, glob, **options)
 
 
 def geometry_of(header) -> Geometry:
     return Geometry(tuple(header["spacing"]), tuple(header["origin"]), tuple(tuple(r) for r in header["direction"]))
 
 
-class _Slab(InputPartition):
-    def __init__(self, z0: int, z1: int):
-        super().__init__((z0, z1))
-
-
-class RawSource(DataSource):
-    """format("voxel_raw"): options path, shape (z,y,x), dtype (uint16), endian (<), order (zyx or xyz), offset, slab (z per task)."""
-
-    @classmethod
-    def name(cls) -> str:
-        return "voxel_raw"
-
-    def schema(self) -> str:
-        return VOXELS
-
-    def reader(self, schema) -> DataSourceReader:
-        return _RawReader(dict(self.options))
-
-
-class _RawReader(DataSourceReader):
-    def __init__(self, options: dict):
-        shape = options.get("shape") or options.get("shape_zyx")
-        self.shape = tuple(int(n) for n in str(shape).replace("(", "").replace(")", "").split(",")) if shape else ()
-        if len(self.shape) != 3:
-            raise ValueError("shape needs three sizes: z,y,x")
-        self.path = options["path"].removeprefix("file://")
-        self.kind = np.dtype(options.get("dtype", "uint16")).newbyteorder(options.get("endian", "<"))
-        self.order, self.offset, self.slab = options.get("order", "zyx"), int(options.get("offset", 0)), int(options.get("slab", 16))
-
-    def partitions(self):
-        import os
-
-        need = self.offset + int(np.prod(self.shape)) * self.kind.itemsize
-        if os.path.getsize(self.path) < need:
-            raise ValueError(f"{self.path}: expected {need} bytes")
-        return [_Slab(z, min(z + self.slab, self.shape[0])) for z in range(0, self.shape[0], self.slab)]
-
-    def read(self, partition):
-        import pyarrow as pa
-
-        z0, z1 = partition.value
-        nz, ny, nx = self.shape
-        if self.order == "zyx":
-            part = np.fromfile(self.path, self.kind, (z1 - z0) * ny * nx, offset=self.offset + z0 * ny * nx * self.kind.itemsize).reshape(z1 - z0, ny, nx)
-        else:
-            part = np.memmap(self.path, self.kind, "r", self.offset, (nx, ny, nz))[:, :, z0:z1].transpose(2, 1, 0)
-        for f in _rows(self.path, part, z0):
-            yield pa.RecordBatch.from_pandas(f, preserve_index=False, schema=pa.schema([("volume_id", pa.string()), ("z", pa.int32()), ("y", pa.int32()), ("x", pa.int32()), ("v", pa.float64())]))
-
-
-def read_raw(spark: SparkSession, path: str, shape: tuple[int, int, int], **options) -> DataFrame:
-    spark.dataSource.register(RawSource)
-    r = spark.read.format("voxel_raw").option("path", path).option("shape", ",".join(map(str, shape)))
-    for k, v in options.items():
-        r = r.option(k, str(v))
-    return r.load()
+def read_raw(spark: SparkSession, path: str, shape: tuple[int, int, int], dtype: str = "uint16", endian: str = "<", order: str = "zyx", offset: int = 0, slab: int | None = None, z: tuple[int, int] | None = None) -> DataFrame:
+    """Voxels of files of plain numbers; with order "xyz" z runs fastest."""
+    return slabs.read(spark, path, "raw", None, slab, z, shape=tuple(shape), dtype=dtype, endian=endian, order=order, offset=int(offset))
 
 
 def read_pixels(spark: SparkSession, path: str, glob: str = "*.png") -> DataFrame:

@@ -7,12 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..sources import readers
+from ..sources import readers, slabs
 
 
 def voxel_stream(spark: SparkSession, path: str, kind: str, glob: str | None = None, **options) -> DataFrame:
     """A stream of voxels from NIfTI or VTK image files that appear under path."""
-    decode = readers._decoder(kind, options)
+    decode = slabs.decoder(kind, options)
     schema = spark.read.format("binaryFile").load(path).schema
     files = spark.readStream.schema(schema).format("binaryFile").option("recursiveFileLookup", "true")
     files = (files.option("pathGlobFilter", glob) if glob else files).load(path).select("path", "content")
@@ -20,7 +20,7 @@ def voxel_stream(spark: SparkSession, path: str, kind: str, glob: str | None = N
     def run(frames):
         for f in frames:
             for name, body in zip(f["path"], f["content"], strict=True):
-                yield from readers._rows(name, decode(body).values)
+                yield from slabs.rows(name, decode(body).values)
 
     return files.mapInPandas(run, readers.VOXELS)
 
