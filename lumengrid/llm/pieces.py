@@ -8,11 +8,10 @@ go to the encoder.
 
 from __future__ import annotations
 
-import struct
 import unicodedata
+from array import array
 from collections.abc import Callable
-from functools import lru_cache
-from itertools import islice
+from itertools import accumulate, chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -72,16 +71,11 @@ def alike(raw: np.ndarray, start: np.ndarray, end: np.ndarray, other: np.ndarray
     return all(np.array_equal(raw[start[i] : end[i]], raw[start[other[i]] : end[other[i]]]) for i in np.flatnonzero(differ & (size > common.LONG)).tolist())
 
 
-@lru_cache(maxsize=4096)
-def pack(n: int) -> struct.Struct:
-    return struct.Struct(f"<{n}I")
-
-
 class PieceEncoder:
     """new: ids of each of many pieces; odd: ids of each of many texts that are not plain; special: substrings that make a text odd."""
 
     #: Memory for known pieces; beyond it the older half of them goes.
-    KEEP_BYTES = 128 << 20
+    KEEP_BYTES = 160 << 20
 
     def __init__(self, new: Callable[[list[str]], list[list[int]]], odd: Callable[[list[str]], list[np.ndarray]], special: tuple[str, ...] = (), keep_bytes: int = KEEP_BYTES):
         self.new, self.odd, self.special, self.keep_bytes = new, odd, special, keep_bytes
@@ -123,9 +117,12 @@ class PieceEncoder:
         got = list(map(self.known.get, keys))
         lack = [i for i, x in enumerate(got) if x is None]
         if lack:
-            for i, ids in zip(lack, self.new([keys[i].decode("latin-1") for i in lack]), strict=True):
-                got[i] = self.known[keys[i]] = pack(len(ids)).pack(*ids)
-                self.held += 4 * len(ids) + len(keys[i]) + 200
+            ids = self.new([keys[i].decode("latin-1") for i in lack])
+            at = [0, *accumulate(map(len, ids))]
+            body = array("I", chain.from_iterable(ids)).tobytes()
+            self.held += len(body) + sum(len(keys[i]) for i in lack) + 200 * len(lack)
+            for i, a, b in zip(lack, at, at[1:]):
+                got[i] = self.known[keys[i]] = body[4 * a : 4 * b]
         size = np.fromiter(map(len, got), np.int64, len(got)) // 4
         ids = np.frombuffer(b"".join(got), "<u4")
         src, n = (np.cumsum(size) - size)[back], size[back]
