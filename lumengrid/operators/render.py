@@ -43,7 +43,7 @@ def segment(frames: DataFrame, model: Callable[[np.ndarray], np.ndarray], channe
     model's input, a number or (height, width).
     """
 
-    def run(key, pdf: pd.DataFrame) -> pd.DataFrame:
+    def run(key, pdf):
         h, w = int(pdf["row"].max()) + 1, int(pdf["col"].max()) + 1
         order = pdf.sort_values(["row", "col"])
         rgba = [order[c].to_numpy().reshape(h, w) if c in order else np.ones((h, w)) for c in "rgba"]

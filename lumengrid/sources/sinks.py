@@ -1,16 +1,18 @@
-"""Tables to files. Point clouds, grids and reports of one volume are single files, written by the driver from an iterator of rows; large
-results stay tables (Parquet)."""
+"""Tables to files. Point clouds and grids of one volume are single files that tasks write in parts (see writers); reports and camera lists, of
+a row for each transfer function or camera, are written by the driver."""
 
 from __future__ import annotations
 
 import json
+import uuid
 from pathlib import Path
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from . import codecs
+from . import codecs, writers
 
 XYZ = ("x", "y", "z")
 
@@ -33,42 +35,53 @@ def point_columns(points: DataFrame) -> list[str]:
 
 
 def write_ply(points: DataFrame, path: str) -> int:
-    """ASCII PLY with x, y, z and the numeric attributes, six decimals each; rows stream through the driver."""
+    """ASCII PLY with x, y, z and the numeric attributes, six decimals each, nulls as nan."""
     cols = [F.col(c).cast("double").alias(c) for c in XYZ] + point_columns(points)
     rows = points.select(*cols)
-    n = points.count()
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    with open(path, "w", encoding="ascii") as f:
-        f.write("ply\nformat ascii 1.0\n" + f"element vertex {n}\n" + "".join(f"property float {c}\n" for c in rows.columns) + "end_header\n")
-        for r in rows.toLocalIterator():
-            f.write(" ".join("%.6f" % (float("nan") if x is None else x) for x in r) + "\n")
-    return n
+    return writers.save(rows, "ply_file", path, columns="\n".join(rows.columns))
 
 
 def write_npz(points: DataFrame, path: str) -> int:
     """xyz and every numeric attribute."""
-    pdf = points.toPandas()
-    cols = {"xyz": pdf[list(XYZ)].to_numpy(np.float32)}
-    for c in pdf.columns:
-        if c not in XYZ and len(pdf) and not isinstance(pdf[c].iat[0], str):
-            cols[c] = np.stack(pdf[c].to_numpy()) if isinstance(pdf[c].iat[0], (list, np.ndarray)) else pdf[c].to_numpy()
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_bytes(codecs.encode_npz(cols))
-    return len(pdf)
-
-
-def to_grid(voxels: DataFrame, shape: tuple[int, int, int], geometry=None, dtype: str = "float32") -> codecs.Grid:
-    """One volume's voxels as an array on the driver, for a file of one grid."""
-    out = np.zeros(shape, dtype)
-    t = voxels.select("z", "y", "x", F.col("v").cast("double").alias("v")).toArrow()
-    z, y, x, v = (t.column(i).to_numpy() for i in range(4))
-    out[z, y, x] = v
-    return codecs.Grid(out, geometry) if geometry else codecs.Grid(out)
-
-
-def write_vti(voxels: DataFrame, shape, path: str, geometry=None, array: str = "Scalars") -> None:
-    Path(path).parent.mkdir(parents=True, exist_ok=True)
-    Path(path).write_bytes(codecs.encode_vti(to_grid(voxels, shape, geometry), array))
+    numeric = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean"}
+    kinds = {c: t for c, t in points.dtypes if c not in XYZ and (t[6:-1] if t.startswith("array<") else t) in numeric}
+    rows = points.select(F.array(*[F.col(c).cast("float") for c in XYZ]).alias("xyz"), *kinds)
+    specs = [f"{c}|{writers.npy_width(t)}" for c, t in {"xyz": "array<float>", **kinds}.items()]
+    return writers.save(rows, "npz_file", path, columns="\n".join(specs))
+
+
+def write_vti(voxels: DataFrame, shape, path: str, geometry=None, array: str = "Scalars", dtype: str = "float32") -> None:
+    """A VTK image of raw appended data; a task writes slabs of z."""
+    from ..operators.geometry import Geometry
+
+    g, deep = geometry or Geometry(), writers.planes(tuple(shape), dtype)
+    parts = min(-(-shape[0] // deep), 10_000)
+    cells = voxels.select(F.floor(F.col("z") / deep).cast("int").alias("slab"), *[F.col(c).cast("int").alias(c) for c in "zyx"], F.col("v").cast("double").alias("v"))
+    rows = cells.repartition(parts, "slab").sortWithinPartitions("slab")
+    text = ",".join(repr(float(x)) for x in (*g.spacing, *g.origin, *(x for r in g.direction for x in r)))
+    writers.save(rows, "vti_file", path, shape=",".join(map(str, shape)), planes=str(deep), dtype=np.dtype(dtype).str, geometry=text, array=array)
+
+
+def write_frames(pixels: DataFrame, folder: str) -> DataFrame:
+    """PNG files <folder>/<tf_name>/<split>/<frame>.png of frames (tf_name, split, frame, row, col, r, g, b, a; 0 to 1), one task a frame at a time; returns
+    (path, width, height), which writes them as it is run. A frame that is written again is the same file."""
+
+    def run(key, t):
+        col = {c: t.column(c).to_numpy() for c in ("row", "col", *"rgba")}
+        h, w = int(col["row"].max()) + 1, int(col["col"].max()) + 1
+        px = np.zeros((h, w, 4), np.uint8)
+        px[col["row"], col["col"]] = np.rint(np.clip(np.stack([col[c] for c in "rgba"], -1), 0, 1) * 255)
+        tf, split, frame = (k.as_py() for k in key)
+        fs, path = writers.system(f"{folder}/{tf}/{split}/{frame}.png")
+        fs.create_dir(path.rsplit("/", 1)[0], recursive=True)
+        part = f"{path}.{uuid.uuid4().hex}"
+        with fs.open_output_stream(part) as f:
+            f.write(codecs.encode_png(px))
+        fs.move(part, path)
+        return pa.table({"path": [f"{folder}/{tf}/{split}/{frame}.png"], "width": pa.array([w], pa.int32()), "height": pa.array([h], pa.int32())})
+
+    some = pixels.select(F.col("tf_name"), F.col("split"), F.col("frame").cast("string").alias("frame"), F.col("row").cast("int").alias("row"), F.col("col").cast("int").alias("col"), *[F.col(c).cast("double").alias(c) for c in "rgba"])
+    return some.groupBy("tf_name", "split", "frame").applyInArrow(run, "path string, width int, height int")
 
 
 def export_points(points: DataFrame, apply: bool = True, scale: float = 1.0, offset: tuple[float, float, float] = (0.0, 0.0, 0.0)) -> DataFrame:
