@@ -12,6 +12,7 @@ from ..functions import fields
 from ..operators import batch, camera, geometry, grid, histogram, normalize, qc, render, sampling, transfer, wavelet
 from ..sources import readers
 from ..streaming import cases as events
+from . import config, pipeline
 
 QUERIES: dict = {}
 ORACLES: dict = {}
@@ -626,6 +627,26 @@ def snk06(spark, d):
     return r6(back.select("volume_id", "split", "f.pose_id", "f.file_path", *[F.col("f.transform_matrix")[i][k].alias(f"m{i}{k}") for i in range(3) for k in range(4)]), *MATRIX)
 
 
+def _starts_sql(axis: str, n: int, tile: int) -> str:
+    return f"s{axis} as (select distinct least(i * {tile}, {n - tile})::int as s from range(0, {-(-n // tile)}) t(i))"
+
+
+TILE_KEY = "'0#tile_z' || lpad(sz.s::varchar, 4, '0') || '_y' || lpad(sy.s::varchar, 4, '0') || '_x' || lpad(sx.s::varchar, 4, '0')"
+
+
+@query("pipe01_tiles_in_one_plan", f"""{LI}, {', '.join(_starts_sql(c, n, 4) for c, n in zip('zyx', LI_SHAPE))}, tl as (select {TILE_KEY} as volume_id, sz.s as z0, sy.s as y0, sx.s as x0 from sz, sy, sx),
+tv as (select tl.volume_id, z - z0 as z, y - y0 as y, x - x0 as x, v, min(v) over (partition by tl.volume_id) as lo, max(v) over (partition by tl.volume_id) as hi from tl join li on z between z0 and z0 + 3 and y between y0 and y0 + 3 and x between x0 and x0 + 3),
+p as (select tl.*, i::int as point_id, {', '.join(f"{U(15 + k, 'volume_id || chr(58) || i')} * 3 as p{c}" for k, c in enumerate('zyx'))} from tl, range(0, 20) t(i) where volume_id in (select volume_id from tv))
+select p.volume_id, point_id, round(py * 2.0 * (-1.0) + 10.0 - 2.0 * y0, 6) + 0.0 as x, round(px * 0.5 - 4.0 + 0.5 * x0, 6) + 0.0 as y, round(pz * 1.5 + 3.0 + 1.5 * z0, 6) + 0.0 as z, round(case when hi > lo then (v - lo) / (hi - lo) else v end, 6) + 0.0 as v
+from p left join tv on tv.volume_id = p.volume_id and tv.z = round_even(pz, 0)::int and tv.y = round_even(py, 0)::int and tv.x = round_even(px, 0)::int""")
+def pipe01(spark, d):
+    """All tiles of the line items' volume through a document in one plan."""
+    cfg = config.parse({"io": {"reader": "raw", "path": "0", "tile_size": 4}, "preprocess": [{"name": "normalize"}], "sampling": {"name": "uniform", "params": {"n_points": 20, "seed": 5}}})
+    v = li(spark, d).withColumn("volume_id", F.lit("0"))
+    state, targets, _ = pipeline.tiled(pipeline.State(v, LI_SHAPE, GEO), {"0": cfg})
+    return r6(pipeline.run_volumes(spark, state, targets)[1].select("volume_id", "point_id", "x", "y", "z", "v"), "x", "y", "z", "v")
+
+
 @query("pipe03_tf_fanout", f"{EMB} select volume_id, 'TF' || lpad(k::varchar, 2, '0') as tf_name, 'out/' || volume_id || '/TF' || lpad(k::varchar, 2, '0') || '/points.ply' as path from (select distinct volume_id from emb), range(1, 4) t(k)")
 def pipe03(spark, d):
     tfs = spark.createDataFrame([(f"TF{i:02d}",) for i in range(1, 4)], "tf_name string")

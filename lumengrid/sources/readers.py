@@ -20,15 +20,15 @@ def _files(spark: SparkSession, path: str, glob: str | None) -> DataFrame:
     return slabs.files(spark, path, glob, "path", "content")
 
 
-def read_volumes(spark: SparkSession, path: str, kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
+def read_volumes(spark: SparkSession, path: str | list[str], kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
     """Voxels of all NIfTI ("nii") or VTK image ("vti") files under path; volume_id is the file's path. z: first and last plane that are wanted; slabs
     without such planes are not read."""
     return slabs.read(spark, path, kind, glob, slab, z, **options)
 
 
-def read_headers(spark: SparkSession, path: str, kind: str, glob: str | None = None, **options) -> DataFrame:
-    """Size and geometry of each file."""
-    return slabs.headers(spark, path, kind, glob, **options)
+def read_headers(spark: SparkSession, path: str | list[str], kind: str, glob: str | None = None, strict: bool = True, **options) -> DataFrame:
+    """Size and geometry of each file; unless strict, with the error of those that can't be read."""
+    return slabs.headers(spark, path, kind, glob, strict, **options)
 
 
 def geometry_of(header) -> Geometry:

@@ -9,7 +9,7 @@ from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import codecs, writers
@@ -34,30 +34,44 @@ def point_columns(points: DataFrame) -> list[str]:
     return [e.cast("double").alias(n) for n, e in out]
 
 
-def write_ply(points: DataFrame, path: str) -> int:
-    """ASCII PLY with x, y, z and the numeric attributes, six decimals each, nulls as nan."""
-    cols = [F.col(c).cast("double").alias(c) for c in XYZ] + point_columns(points)
-    rows = points.select(*cols)
-    return writers.save(rows, "ply_file", path, columns="\n".join(rows.columns))
+def _number(file: Column | None) -> Column:
+    return (F.lit(0) if file is None else file).alias("_file")
 
 
-def write_npz(points: DataFrame, path: str) -> int:
+def numbered(points: DataFrame, files: list[tuple], by: tuple[str, ...]) -> tuple[DataFrame, list[str]]:
+    """The points with the number of their file: files lists the values of `by` and the path; points of no file are left out. As many rows as files."""
+    kinds = [points.schema[c].dataType.simpleString() for c in by]
+    table = points.sparkSession.createDataFrame([(*f[:-1], i) for i, f in enumerate(files)], ", ".join([*(f"`_{c}` {t}" for c, t in zip(by, kinds, strict=True)), "_file int"]))
+    match = F.lit(True)
+    for c in by:
+        match &= points[c].eqNullSafe(table[f"_{c}"])
+    return points.join(F.broadcast(table), match).drop(*[f"_{c}" for c in by]), [f[-1] for f in files]
+
+
+def write_ply(points: DataFrame, path: str | list[str], file: Column | None = None) -> int:
+    """ASCII PLY with x, y, z and the numeric attributes, six decimals each, nulls as nan. Many paths: `file` is the number of a point's path."""
+    cols = [F.col(c).cast("double").alias(c) for c in XYZ] + point_columns(points.drop("_file"))
+    rows = points.select(_number(file), *cols)
+    return writers.save(rows, "ply_file", path, columns="\n".join(rows.columns[1:]))
+
+
+def write_npz(points: DataFrame, path: str | list[str], file: Column | None = None) -> int:
     """xyz and every numeric attribute."""
     numeric = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean"}
-    kinds = {c: t for c, t in points.dtypes if c not in XYZ and (t[6:-1] if t.startswith("array<") else t) in numeric}
-    rows = points.select(F.array(*[F.col(c).cast("float") for c in XYZ]).alias("xyz"), *kinds)
+    kinds = {c: t for c, t in points.dtypes if c not in (*XYZ, "_file") and (t[6:-1] if t.startswith("array<") else t) in numeric}
+    rows = points.select(_number(file), F.array(*[F.col(c).cast("float") for c in XYZ]).alias("xyz"), *kinds)
     specs = [f"{c}|{writers.npy_width(t)}" for c, t in {"xyz": "array<float>", **kinds}.items()]
     return writers.save(rows, "npz_file", path, columns="\n".join(specs))
 
 
-def write_vti(voxels: DataFrame, shape, path: str, geometry=None, array: str = "Scalars", dtype: str = "float32") -> None:
-    """A VTK image of raw appended data; a task writes slabs of z."""
+def write_vti(voxels: DataFrame, shape, path: str | list[str], geometry=None, array: str = "Scalars", dtype: str = "float32", file: Column | None = None) -> None:
+    """VTK images of raw appended data; a task writes slabs of z."""
     from ..operators.geometry import Geometry
 
     g, deep = geometry or Geometry(), writers.planes(tuple(shape), dtype)
-    parts = min(-(-shape[0] // deep), 10_000)
-    cells = voxels.select(F.floor(F.col("z") / deep).cast("int").alias("slab"), *[F.col(c).cast("int").alias(c) for c in "zyx"], F.col("v").cast("double").alias("v"))
-    rows = cells.repartition(parts, "slab").sortWithinPartitions("slab")
+    parts = min(-(-shape[0] // deep) * (1 if isinstance(path, str) else len(path)), 10_000)
+    cells = voxels.select(_number(file), F.floor(F.col("z") / deep).cast("int").alias("slab"), *[F.col(c).cast("int").alias(c) for c in "zyx"], F.col("v").cast("double").alias("v"))
+    rows = cells.repartition(parts, "_file", "slab").sortWithinPartitions("_file", "slab")
     text = ",".join(repr(float(x)) for x in (*g.spacing, *g.origin, *(x for r in g.direction for x in r)))
     writers.save(rows, "vti_file", path, shape=",".join(map(str, shape)), planes=str(deep), dtype=np.dtype(dtype).str, geometry=text, array=array)
 
@@ -135,8 +149,9 @@ def write_scene_index(root: str, scenes: list[str]) -> None:
         (Path(root) / name).write_text(json.dumps(scenes, indent=2))
 
 
-def write_qc_report(verdicts: DataFrame, json_path: str, md_path: str | None = None) -> dict:
-    rows = [r.asDict() for r in verdicts.orderBy("tf_name").collect()]  # a row for each TF
+def write_qc_report(verdicts: DataFrame | list[dict], json_path: str, md_path: str | None = None) -> dict:
+    """Of a volume's verdicts, a row for each TF."""
+    rows = sorted(verdicts, key=lambda r: r["tf_name"]) if isinstance(verdicts, list) else [r.asDict() for r in verdicts.orderBy("tf_name").collect()]
     names = lambda s: [r["tf_name"] for r in rows if r["status"] == s]
     report = {"total": len(rows), "passed": len(names("pass")), "failed": len(names("fail")), "passed_names": names("pass"), "failed_names": names("fail"), "items": rows}
     Path(json_path).parent.mkdir(parents=True, exist_ok=True)

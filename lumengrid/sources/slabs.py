@@ -151,18 +151,20 @@ def rows(name: str, values: np.ndarray, z0: int = 0, x0: int = 0, z: tuple[int,
             yield pd.DataFrame({"volume_id": name, "z": np.int32(k + z0), "y": y, "x": x + np.int32(x0), "v": values[k].reshape(-1).astype(np.float64)})
 
 
-def files(spark: SparkSession, path: str, glob: str | None, *columns: str) -> DataFrame:
-    """(path, length and perhaps content) of the files under a path; contents are read only if they are asked for."""
+def files(spark: SparkSession, path: str | list[str], glob: str | None, *columns: str) -> DataFrame:
+    """(path, length and perhaps content) of the files under a path or several; contents are read only if they are asked for."""
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     return (r.option("pathGlobFilter", glob) if glob else r).load(path).select(*columns)
 
 
-def can_open(path: str) -> bool:
+def can_open(path: str | list[str]) -> bool:
+    if not isinstance(path, str):
+        return all(map(can_open, path))
     m = re.match(r"^([a-z][a-z0-9+.-]*):", path)
     return (m[1] if m else "") in SCHEMES
 
 
-def plan(spark: SparkSession, path: str, kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
+def plan(spark: SparkSession, path: str | list[str], kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
     """(path, lo, hi, layout): the slabs of the files, hi left out; those that a range of z (both ends in it) doesn't touch are left out. slab: cells of the
     slowest axis, by default as many as have SLAB bytes."""
     decoder(kind, {})
@@ -180,7 +182,7 @@ def plan(spark: SparkSession, path: str, kind: str, glob: str | None = None, sla
     return files(spark, path, glob, "path", "length").mapInPandas(run, PLAN)
 
 
-def read(spark: SparkSession, path: str, kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
+def read(spark: SparkSession, path: str | list[str], kind: str, glob: str | None = None, slab: int | None = None, z: tuple[int, int] | None = None, **options) -> DataFrame:
     """(volume_id, z, y, x, v): the voxels of all files of a kind (raw, nii, vti) under path; volume_id is the file's path. z: first and last."""
     if not can_open(path):
         whole = decoder(kind, options)
@@ -207,21 +209,29 @@ def read(spark: SparkSession, path: str, kind: str, glob: str | None = None, sla
     return slabs.repartition(parts, "path", "lo").mapInPandas(run, VOXELS)
 
 
-def headers(spark: SparkSession, path: str, kind: str, glob: str | None = None, **options) -> DataFrame:
-    """Size, geometry and number type of each file; of those that can be cut only the first bytes are read."""
-    schema = "volume_id string, nz int, ny int, nx int, spacing array<double>, origin array<double>, direction array<array<double>>, original_dtype string"
-    names = ["volume_id", "nz", "ny", "nx", "spacing", "origin", "direction", "original_dtype"]
+def headers(spark: SparkSession, path: str | list[str], kind: str, glob: str | None = None, strict: bool = True, **options) -> DataFrame:
+    """Size, geometry and number type of each file, and why a file can't be read (strict: raise); of those that can be cut only the first bytes are read."""
+    schema = "volume_id string, nz int, ny int, nx int, spacing array<double>, origin array<double>, direction array<array<double>>, original_dtype string, error string"
+    names = ["volume_id", "nz", "ny", "nx", "spacing", "origin", "direction", "original_dtype", "error"]
     opens = can_open(path)
 
+    def header(name, second):
+        if opens:
+            at = layout(name, kind, second, options)
+            return at.shape, at.geometry, np.dtype(at.dtype).str[1:]
+        grid = decoder(kind, options)(second)
+        return grid.values.shape[:3], grid.geometry, grid.meta["original_dtype"]
+
     def run(frames):
         for f in frames:
             for name, second in zip(f.iloc[:, 0], f.iloc[:, 1], strict=True):
-                if opens:
-                    at = layout(name, kind, second, options)
-                    shape, g, dtype = at.shape, at.geometry, np.dtype(at.dtype).str[1:]
-                else:
-                    grid = decoder(kind, options)(second)
-                    shape, g, dtype = grid.values.shape[:3], grid.geometry, grid.meta["original_dtype"]
-                yield pd.DataFrame([(name, *map(int, shape), list(g.spacing), list(g.origin), [list(r) for r in g.direction], dtype)], columns=names)
+                try:
+                    shape, g, dtype = header(name, second)
+                    row = (name, *map(int, shape), list(g.spacing), list(g.origin), [list(r) for r in g.direction], dtype, None)
+                except Exception as e:
+                    if strict:
+                        raise
+                    row = (name, *[None] * 7, f"{type(e).__name__}: {e}")
+                yield pd.DataFrame([row], columns=names).astype({c: "Int32" for c in ("nz", "ny", "nx")})
 
     return files(spark, path, glob, "path", "length" if opens else "content").mapInPandas(run, schema)

@@ -1,4 +1,5 @@
-"""Single files written by many tasks: point clouds (PLY, NPZ) and grids (VTK image), as Spark data sources.
+"""Files written by many tasks each, one or many in a write: point clouds (PLY, NPZ) and grids (VTK image), as Spark data sources. The first column
+of the rows says which of the files a row belongs to.
 
 A task encodes its rows into part files of its own names beside the target and reports them; the commit puts a head and the reported parts
 together, byte by byte in some MB at a time, and moves the result to its place. No row passes the driver. A task that is run again writes new
@@ -41,17 +42,17 @@ def system(path: str):
 
 @dataclass
 class Parts(WriterCommitMessage):
-    """Of a task: (order, name of the stream, file, items) for each part."""
+    """Of a task: (number of the file, order, name of the stream, part, items) for each part."""
 
-    parts: list[tuple[int, str, str, int]]
+    parts: list[tuple[int, int, str, str, int]]
 
 
 class FileWriter(DataSourceArrowWriter):
-    """encode() makes (order, stream, bytes, items) of a task's batches, join() writes the file from the parts in order."""
+    """encode() makes (file, order, stream, bytes, items) of a task's batches, join() writes a file from its parts in order."""
 
     def __init__(self, options: dict):
-        self.options, self.path = options, options["path"]
-        self.folder = f"{self.path}.parts-{uuid.uuid4().hex}"
+        self.options, self.paths = options, options["path"].split("\n")
+        self.folder = f"{self.paths[0]}.parts-{uuid.uuid4().hex}"
 
     def encode(self, batches, task: int):
         raise NotImplementedError
@@ -62,35 +63,40 @@ class FileWriter(DataSourceArrowWriter):
     def write(self, batches):
         fs, folder = system(self.folder)
         fs.create_dir(folder, recursive=True)
-        done: list[tuple[int, str, str, int]] = []
-        open_: dict[tuple[int, str], tuple] = {}
+        done: list[tuple[int, int, str, str, int]] = []
+        open_: dict[tuple[int, int, str], tuple] = {}
         try:
-            for order, stream, body, items in self.encode(batches, TaskContext.get().partitionId()):
-                key = (order, stream)
+            for *key, body, items in self.encode(batches, TaskContext.get().partitionId()):
+                key = tuple(key)
                 if key not in open_:
                     name = f"{folder}/{uuid.uuid4().hex}"
                     open_[key] = (fs.open_output_stream(name), name, [0])
                 open_[key][0].write(body)
                 open_[key][2][0] += items
         finally:
-            for (order, stream), (f, name, items) in open_.items():
+            for key, (f, name, items) in open_.items():
                 f.close()
-                done.append((order, stream, name, items[0]))
+                done.append((*key, name, items[0]))
         return Parts(done)
 
     def commit(self, messages) -> None:
-        fs, path = system(self.path)
-        folder = system(self.folder)[1]
+        fs, folder = system(self.folder)
         fs.create_dir(folder, recursive=True)
+        parts: list[list] = [[] for _ in self.paths]
+        for m in messages:
+            for file, *part in m.parts if m is not None else ():
+                parts[file].append(tuple(part))
 
         def copy(out, name: str) -> None:
             with fs.open_input_stream(name) as f:
                 while body := f.read(COPY):
                     out.write(body)
 
-        with fs.open_output_stream(f"{folder}/whole") as out:
-            self.join(out, sorted(p for m in messages if m is not None for p in m.parts), copy)
-        fs.move(f"{folder}/whole", path)
+        for i, own in enumerate(parts):
+            with fs.open_output_stream(f"{folder}/whole-{i}") as out:
+                self.join(out, sorted(own), copy)
+        for i, path in enumerate(self.paths):
+            fs.move(f"{folder}/whole-{i}", system(path)[1])
         fs.delete_dir(folder)
 
     def abort(self, messages) -> None:
@@ -99,16 +105,26 @@ class FileWriter(DataSourceArrowWriter):
             fs.delete_dir(folder)
 
 
+def by_file(b: pa.RecordBatch):
+    """(file, its rows without the first column) of a batch."""
+    if b.num_rows:
+        file = b.column(0).to_numpy()
+        rest = b.select(b.schema.names[1:])
+        kinds = np.unique(file).tolist()
+        for k in kinds:
+            yield k, rest if len(kinds) == 1 else rest.filter(pa.array(file == k))
+
+
 class PlyWriter(FileWriter):
     """ASCII, six decimals."""
 
     def encode(self, batches, task):
-        for b in batches:
-            if b.num_rows:
+        for whole in batches:
+            for file, b in by_file(whole):
                 cols = [c.cast(pa.float64()).to_numpy(zero_copy_only=False) for c in b.columns]
                 text = io.StringIO()
                 np.savetxt(text, np.column_stack(cols), "%.6f")
-                yield task, "", text.getvalue().encode("ascii"), b.num_rows
+                yield file, task, "", text.getvalue().encode("ascii"), b.num_rows
 
     def join(self, out, parts, copy):
         names = self.options["columns"].split("\n")
@@ -122,20 +138,19 @@ class NpzWriter(FileWriter):
     """An array for each column; those of arrays have as many columns as the arrays have numbers, which must be as many in all rows."""
 
     def encode(self, batches, task):
-        for b in batches:
-            if not b.num_rows:
-                continue
-            for name, col in zip(b.schema.names, b.columns, strict=True):
-                width = ""
-                if pa.types.is_list(col.type):
-                    flat = col.flatten()
-                    if col.null_count or len(flat) % len(col) or len(set(np.diff(col.offsets.to_numpy()).tolist())) > 1:
-                        raise ValueError(f"{name}: arrays of different lengths")
-                    width, col = str(len(flat) // len(col)), flat
-                if col.null_count and not pa.types.is_floating(col.type):
-                    raise ValueError(f"{name}: nulls among whole numbers")
-                values = col.to_numpy(zero_copy_only=False)
-                yield task, f"{name}\n{values.dtype.str}\n{width}", np.ascontiguousarray(values).tobytes(), b.num_rows
+        for whole in batches:
+            for file, b in by_file(whole):
+                for name, col in zip(b.schema.names, b.columns, strict=True):
+                    width = ""
+                    if pa.types.is_list(col.type):
+                        flat = col.flatten()
+                        if col.null_count or len(flat) % len(col) or len(set(np.diff(col.offsets.to_numpy()).tolist())) > 1:
+                            raise ValueError(f"{name}: arrays of different lengths")
+                        width, col = str(len(flat) // len(col)), flat
+                    if col.null_count and not pa.types.is_floating(col.type):
+                        raise ValueError(f"{name}: nulls among whole numbers")
+                    values = col.to_numpy(zero_copy_only=False)
+                    yield file, task, f"{name}\n{values.dtype.str}\n{width}", np.ascontiguousarray(values).tobytes(), b.num_rows
 
     def join(self, out, parts, copy):
         with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED, allowZip64=True) as z:
@@ -154,7 +169,7 @@ class NpzWriter(FileWriter):
 
 
 class VtiWriter(FileWriter):
-    """Rows (slab, z, y, x, v), sorted by slab in a task, which has slabs whole: raw appended data, slab after slab; cells without a row are 0."""
+    """Rows (file, slab, z, y, x, v), sorted by file and slab in a task, which has slabs whole: raw appended data, slab after slab; cells without a row are 0."""
 
     def __init__(self, options: dict):
         super().__init__(options)
@@ -166,20 +181,20 @@ class VtiWriter(FileWriter):
         held, grid = None, None
 
         def flush():
-            return held, "", grid.astype(self.dtype.newbyteorder("<")).tobytes(), len(grid)
+            return *held, "", grid.astype(self.dtype.newbyteorder("<")).tobytes(), len(grid)
 
         for b in batches:
-            slab, z, y, x, v = (c.to_numpy(zero_copy_only=False) for c in b.columns)
-            cuts = [0, *(np.flatnonzero(np.diff(slab)) + 1).tolist(), len(slab)]
+            file, slab, z, y, x, v = (c.to_numpy(zero_copy_only=False) for c in b.columns)
+            cuts = [0, *(np.flatnonzero((np.diff(slab) != 0) | (np.diff(file) != 0)) + 1).tolist(), len(slab)]
             for lo, hi in zip(cuts, cuts[1:]):
                 if lo == hi:
                     continue
-                if slab[lo] != held:
+                if (now := (int(file[lo]), int(slab[lo]))) != held:
                     if held is not None:
                         yield flush()
-                    held = int(slab[lo])
-                    grid = np.zeros((min(self.planes, nz - held * self.planes), ny, nx), self.dtype)
-                grid[z[lo:hi] - held * self.planes, y[lo:hi], x[lo:hi]] = v[lo:hi]
+                    held = now
+                    grid = np.zeros((min(self.planes, nz - held[1] * self.planes), ny, nx), self.dtype)
+                grid[z[lo:hi] - held[1] * self.planes, y[lo:hi], x[lo:hi]] = v[lo:hi]
         if held is not None:
             yield flush()
 
@@ -214,15 +229,17 @@ def _source(kind: str, writer_class: type) -> type:
 SOURCES = {"ply_file": PlyWriter, "npz_file": NpzWriter, "vti_file": VtiWriter}
 
 
-def save(rows: DataFrame, kind: str, path: str, **options: str) -> int:
-    """Write the rows as one file; how many there were."""
+def save(rows: DataFrame, kind: str, paths: str | list[str], **options: str) -> int:
+    """Write the rows (first column: number of the file, from 0) as files; how many rows there were."""
     spark = rows.sparkSession
+    paths = [paths] if isinstance(paths, str) else paths
     spark.dataSource.register(_source(kind, SOURCES[kind]))
-    fs, name = system(path)
-    if "/" in name:
-        fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
+    for path in paths:
+        fs, name = system(path)
+        if "/" in name:
+            fs.create_dir(name.rsplit("/", 1)[0], recursive=True)
     seen = Observation()
-    w = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(kind).mode("append").option("path", path)
+    w = rows.observe(seen, F.count(F.lit(1)).alias("n")).write.format(kind).mode("append").option("path", "\n".join(paths))
     for k, v in options.items():
         w = w.option(k, v)
     w.save()

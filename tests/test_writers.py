@@ -76,7 +76,7 @@ def test_tasks_that_fail_and_are_run_again(tmp_path):
     folder.mkdir()
     for name, text in (("lost", "9.000000\n"), ("one", "1.000000\n"), ("two", "2.000000\n")):
         (folder / name).write_text(text)
-    w.commit([writers.Parts([(1, "", str(folder / "two"), 1)]), None, writers.Parts([(0, "", str(folder / "one"), 1)])])
+    w.commit([writers.Parts([(0, 1, "", str(folder / "two"), 1)]), None, writers.Parts([(0, 0, "", str(folder / "one"), 1)])])
     assert (tmp_path / "p.ply").read_text().splitlines()[-2:] == ["1.000000", "2.000000"] and "element vertex 2" in (tmp_path / "p.ply").read_text()
     other = writers.PlyWriter({"path": str(tmp_path / "p.ply"), "columns": "x"})
     Path(writers.system(other.folder)[1]).mkdir()
@@ -97,3 +97,15 @@ def test_frames(spark, tmp_path):
 def test_head_of_images():
     head, tail = codecs.vti_frame((2, 3, 4), "<f4", Geometry())
     assert head.endswith(b"_" + struct.pack("<Q", 96)) and tail.strip().endswith(b"</VTKFile>")
+
+
+def test_many_files_in_one_write(spark, tmp_path):
+    df = points(spark, 100).withColumn("volume_id", F.when(F.col("k") % 3 == 0, "a").when(F.col("k") % 3 == 1, "b")).withColumn("tf_name", F.lit(None).cast("string"))
+    files = [("a", None, str(tmp_path / "one" / "p.ply")), (None, None, str(tmp_path / "two" / "p.ply")), ("c", None, str(tmp_path / "none.ply"))]
+    rows, paths = sinks.numbered(df, files, ("volume_id", "tf_name"))
+    assert sinks.write_ply(rows.drop("volume_id", "tf_name"), paths, F.col("_file")) == 34 + 33
+    count = lambda p: int(next(x for x in open(p) if x.startswith("element")).split()[-1])
+    assert [count(p) for p in paths] == [34, 33, 0] and not left_over(tmp_path)
+    sinks.write_npz(rows.drop("volume_id", "tf_name"), [p.replace(".ply", ".npz") for p in paths], F.col("_file"))
+    with np.load(tmp_path / "two" / "p.npz") as z:
+        assert np.array_equal(np.sort(z["k"]), np.arange(2, 100, 3)) and "_file" not in z.files
