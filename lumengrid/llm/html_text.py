@@ -50,10 +50,8 @@ MARKS = frozenset(
     "header masthead topbar toolbar footer comment comments disqus respond replies share sharing social related recommended complementary contentinfo search".split()
 )
 _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
-#: A tag's attributes end at the next tag, if it isn't in quotes; what is in quotes is bounded, so that broken markup is read in linear time.
-_TOKEN = re.compile(
-    r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/><]*)((?:"[^"]{0,4000}"|'[^']{0,4000}'|[^'"<>]){0,8000}+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>""", re.S
-)
+_NAME = re.compile(r"(/?)([a-zA-Z][^\s/><]*)")
+_STOP, _END = re.compile(r"[\"'<>]"), re.compile(r"[<>]")
 _ATTR = re.compile(r"""(?:^|[\s"'/])(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'>]+)|(?=[\s/]|$))""", re.I)
 _WORD = re.compile(r"[^a-z0-9]+")
 _HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden")
@@ -69,6 +67,34 @@ def _marked(attrs: str) -> bool:
     return False
 
 
+def next_tag(html: str, at: int, last: dict[str, int]) -> tuple[int, int, str, str, str] | None:
+    """(start, end, "/" or "", name, attributes) of the next tag, comment or declaration (these without a name).
+
+    A tag ends at the first > outside of quotes, however long what is in quotes is. Where a quote is not closed (`last`: the last place of
+    each kind of quote) or another tag begins before, it ends at the first >, if no < comes before; else its < is text."""
+    while (p := html.find("<", at)) >= 0:
+        if html.startswith("<!--", p):
+            end = html.find("-->", p + 4)
+            return p, end + 3 if end >= 0 else len(html), "", "", ""
+        if html[p + 1 : p + 2] in ("!", "?"):
+            end = html.find(">", p)
+            return p, end + 1 if end >= 0 else len(html), "", "", ""
+        if m := _NAME.match(html, p + 1):
+            i, end = m.end(), -1
+            while s := _STOP.search(html, i):
+                if s[0] == ">":
+                    end = s.start()
+                if s[0] in "<>" or s.start() >= last[s[0]]:
+                    break
+                i = html.find(s[0], s.end()) + 1
+            if end < 0 and (s := _END.search(html, m.end())) and s[0] == ">":
+                end = s.start()
+            if end >= 0:
+                return p, end + 1, m[1], m[2], html[m.end() : end]
+        at = p + 1
+    return None
+
+
 #: What a line is: the article's, of no known part, of a part that is not the article, of an article inside such a part (only
 #: while a page is read), or the article's and the page's title.
 ARTICLE, LOOSE, OTHER, NESTED, TITLE = range(5)
@@ -105,18 +131,18 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             scopes.pop()
 
     at, n = 0, len(html)
+    last = {q: html.rfind(q) for q in "\"'"}
     while at < n:
-        m = _TOKEN.search(html, at)
-        if not m:
+        tag = next_tag(html, at, last)
+        if not tag:
             text.append(html[at:])
             break
-        if m.start() > at:
-            text.append(html[at : m.start()])
-        at = m.end()
-        name = (m[2] or m[5] or "").lower()
+        start, end, closing, name, attrs = tag
+        if start > at:
+            text.append(html[at:start])
+        at, name = end, name.lower()
         if not name:
             continue
-        closing, attrs = (m[1], m[3]) if m[2] else (m[4], m[6])
         if name in BLOCK:
             end_line()
         if closing:

@@ -274,3 +274,88 @@ def test_pipeline_stages_on_awkward_rows(spark):
     masked = sorted(((r["doc_id"], r["text"]) for r in cp.mask_secrets(spark, docs, DATA).collect()), key=str)
     assert masked == sorted([*rows[:-1], (6, f"{cp.MASK} and 😀 more")], key=str)
     assert cp.encode(spark, docs, DATA).count() == len(rows)
+
+
+# Language models with large alphabets.
+
+
+def test_moves_are_a_table():
+    from lumengrid.llm import language
+
+    rng = np.random.default_rng(6)
+    keys = np.unique(rng.integers(0, 1 << 40, 5000))
+    values = rng.integers(1, 1 << 30, len(keys)).astype(np.int32)
+    moved, there = language.Moves(keys, values), dict(zip(keys.tolist(), values.tolist()))
+    asked = np.concatenate([keys, rng.integers(0, 1 << 40, 5000), keys[:100] + 1])
+    assert moved(asked).tolist() == [there.get(k, 0) for k in asked.tolist()]
+    assert language.Moves(np.zeros(0, np.int64), np.zeros(0, np.int64))(asked[:5]).tolist() == [0] * 5
+
+
+def test_many_languages_of_many_letters():
+    import pickle
+
+    from lumengrid.llm import language
+
+    rng = np.random.default_rng(7)
+    texts = {f"l{k:02d}": ["".join(map(chr, rng.integers(0x4E00 + 400 * k, 0x4E00 + 400 * k + 900, 600))) for _ in range(20)] for k in range(50)}
+    model = language.fit_texts(texts)
+    assert model.width > 19_000 and len(pickle.dumps(model)) < 100 << 20  # a fifth of the fit's rows
+    asked = [texts[lang][3][100:300] for lang in model.langs]
+    n = language.phrases(model, [language.normal(language.code_points(x)) for x in asked])
+    assert n.argmin(axis=1).tolist() == list(range(50))
+
+
+# Long attributes, and many rows without ids.
+
+
+def test_long_attributes():
+    from lumengrid.llm import html_text
+
+    for n in (2_000, 6_000, 100_000):
+        data = '{"a": 1 > 0, <b class=x>} ' * (n // 26)
+        page = f"<html><body><nav data-x='{data}'>menu</nav><article data-y='{data}' class=\"text\"><p title='{data}'>One <i data-z='{data}'>line</i>.</p></article></body></html>"
+        assert [x for x, k in html_text.page_lines(page) if k == html_text.ARTICLE] == ["One line."], n
+        assert not any("a" in x and "{" in x for x, _ in html_text.page_lines(page))
+
+
+@pytest.mark.parametrize("piece", ["<a '", '<a "', "<a \"' ", "<a b='\"<x\"' ", "<", "<a ", "< a", "<!", "<!--", "<a href=\"x' >t</a>", "</", "<p title='it\"s>"])
+def test_broken_markup_takes_linear_time(piece):
+    from lumengrid.llm import html_text
+
+    took = []
+    for n in (5_000, 40_000):
+        page = piece * n
+        began = time.perf_counter()
+        html_text.page_lines(page)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 24 * took[0] + 0.5
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.sampled_from(["<p>", "</p>", "<a href='x'>", '<a t="1>2">', "text ", "<", ">", '"', "'", "<!-- c -->", "<!d>", "<b", "/>", "<br/>", "&amp;", "<i x=y>"]), max_size=25))
+def test_tags_as_a_pattern_finds_them(parts):
+    """The scanner against the regular expression of what it reads."""
+    from lumengrid.llm import html_text
+
+    token = re.compile(r"""<!--.*?(?:-->|$)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/><]*)((?:"[^"]*"|'[^']*'|[^'"<>])*+)>|<(/?)([a-zA-Z][^\s/><]*)([^<>]*)>""", re.S)
+    html = "".join(parts)
+    last, at, got = {q: html.rfind(q) for q in "\"'"}, 0, []
+    while t := html_text.next_tag(html, at, last):
+        got.append(t)
+        at = t[1]
+    want = [(m.start(), m.end(), m[1] or m[4] or "", m[2] or m[5] or "", m[3] or m[6] or "") for m in token.finditer(html)]
+    assert got == want
+
+
+def test_many_rows_without_ids(spark):
+    from lumengrid.llm import fingerprints
+
+    texts = [f"text number {i} of those without an id, {i * i} and more" for i in range(2000)]
+    docs = spark.createDataFrame([(i if i % 2 else None, x) for i, x in enumerate(texts)], "doc_id long, text string").repartition(4)
+    got = fingerprints.compare_with_edits(docs)
+    dealt = fingerprints._with_next(docs, 16, 4).where("not halo").groupBy(F.spark_partition_id()).count().collect()
+    assert max(r[1] for r in dealt) < 2 * sorted(r[1] for r in dealt)[len(dealt) // 2]
+    hashed = {r[0]: r[1] for r in docs.select("text", F.xxhash64("text")).collect()}
+    order = sorted((i for i in range(2000) if i % 2), reverse=True) + sorted((i for i in range(2000) if not i % 2), key=lambda i: hashed[texts[i]])
+    want = sorted((str(i if i % 2 else None), hashlib.sha256(fingerprints.edited_text(texts[i], texts[j]).encode()).hexdigest()) for i, j in zip(order, [*order[1:], order[0]]))
+    assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got.collect()) == want
