@@ -138,8 +138,11 @@ def _with_next(docs: DataFrame, buckets: int, parts: int) -> DataFrame:
     """Rows (bucket, halo, doc_id, text), dealt by ranges of doc_id and sorted within each by descending doc_id; each
     bucket ends with a halo row: the first row of the bucket that follows it, so that every row's successor is at hand."""
     bounds = _bounds(docs, buckets)
-    rows = docs.select(F.when(F.col("doc_id").isNull(), F.lit(-1)).otherwise(_bucket(F.col("doc_id"), bounds)).alias("bucket"), "doc_id", "text")
-    # One row for each bucket: the number of buckets is set above.
+    # Rows without an id follow all others by the hash of their text, of which equal ranges are buckets too, counted down from -1.
+    part = F.shiftright(F.xxhash64(F.coalesce("text", F.lit(""))), 40) + (1 << 23)
+    none = -1 - F.shiftright(part * max(1, buckets), 24).cast("int")
+    rows = docs.select(F.when(F.col("doc_id").isNull(), none).otherwise(_bucket(F.col("doc_id"), bounds)).alias("bucket"), "doc_id", "text")
+    # One row for each bucket: there are twice as many as asked for at most.
     tops = sorted(((r[0], r[1]) for r in rows.groupBy("bucket").agg(F.max("doc_id")).collect()), reverse=True)
     before = {b: tops[i - 1][0] for i, (b, _) in enumerate(tops)}
     ids = [x for _, x in tops if x is not None]
