@@ -25,7 +25,10 @@ def main(argv: list[str] | None = None) -> int:
     i.add_argument("--reader", default="vti")
     s = sub.add_parser("test-seg")
     s.add_argument("frames")
-    s.add_argument("--model", required=True, help="module:function, from image to probabilities")
+    s.add_argument("--model", required=True, help="module:function, from images to probabilities; with --checkpoint from the file's bytes to such a function")
+    s.add_argument("--checkpoint", help="the model's file, which is sent to the workers")
+    s.add_argument("--sha256", help="what its digest must be")
+    s.add_argument("--channels", type=int, default=3)
     s.add_argument("--threshold", type=float, default=0.5)
     s.add_argument("--output")
     a = p.parse_args(argv)
@@ -55,8 +58,14 @@ def main(argv: list[str] | None = None) -> int:
         print(json.dumps(header | normalize.inspect(readers.read_volumes(spark, a.path, a.reader)).first().asDict(), indent=2, default=str))
     else:
         module, name = a.model.split(":")
-        probs = render.segment(readers.read_pixels(spark, a.frames), getattr(importlib.import_module(module), name))
-        rows = [r.asDict() for r in qc.segmentation_verdict(qc.segmentation_frames(probs, a.threshold)).collect()]
+        model = getattr(importlib.import_module(module), name)
+        if a.checkpoint:
+            images = readers.read_images(spark, a.frames)
+            found = render.segment_images(images, render.ModelFile(a.checkpoint, model, a.sha256), a.channels, threshold=a.threshold)
+            frames = qc.detected(found.select(*readers.frame_of("path"), "ratio", "confidence"))
+        else:
+            frames = qc.segmentation_frames(render.segment(readers.read_pixels(spark, a.frames), model, a.channels), a.threshold)
+        rows = [r.asDict() for r in qc.segmentation_verdict(frames).collect()]
         text = json.dumps(rows, indent=2)
         print(text)
         if a.output:

@@ -45,7 +45,12 @@ def segmentation_frames(probs: DataFrame, threshold: float = 0.5, least_ratio: f
     """Per frame of (tf_name, split, frame, row, col, p): share of foreground, mean p there (0 without any), detected."""
     fg = F.col("p") >= threshold
     out = probs.groupBy(*FRAME).agg(F.avg(F.when(fg, 1.0).otherwise(0.0)).alias("ratio"), F.coalesce(F.avg(F.when(fg, F.col("p"))), F.lit(0.0)).alias("confidence"))
-    return out.withColumn("detected", (F.col("ratio") >= least_ratio) & (F.col("confidence") >= least_confidence))
+    return detected(out, least_ratio, least_confidence)
+
+
+def detected(frames: DataFrame, least_ratio: float = 0.001, least_confidence: float = 0.5) -> DataFrame:
+    """Frames (ratio, confidence) with whether something was found in them; not in those without figures."""
+    return frames.withColumn("detected", F.coalesce((F.col("ratio") >= least_ratio) & (F.col("confidence") >= least_confidence), F.lit(False)))
 
 
 def segmentation_verdict(frames: DataFrame, min_frames: int = 1, min_ratio: float = 0.1) -> DataFrame:

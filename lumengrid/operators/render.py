@@ -1,14 +1,21 @@
-"""Axis-aligned ray compositing as an ordered window, and a pluggable segmentation model for frames."""
+"""Axis-aligned ray compositing as an ordered window, and segmentation models for frames: of pixel rows, or of image files with a model that is sent to the workers."""
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Callable
+from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+import pyarrow as pa
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ..functions import text
+from ..sources import codecs
+
 
 def composite(rgba: DataFrame, axis: str = "z", unit: float = 1.0) -> DataFrame:
     """(volume_id, tf_name, row, col, r, g, b, a): straight colours seen along an axis, front to back.
@@ -36,6 +43,78 @@ def opacity_unit(spacing: tuple[float, ...], shape: tuple[int, ...], given: floa
     return diagonal / n if diagonal > 0 and n > 0 else 1.0
 
 
+@dataclass(frozen=True)
+class ModelFile:
+    """A model stored in a file that every executor gets: load makes of the file's bytes a function from images (n x channels x height x
+    width, float32) to probabilities (n x height x width). sha256: what the bytes must be, in either case; None: anything."""
+
+    path: str
+    load: Callable[[bytes], Callable[[np.ndarray], np.ndarray]]
+    sha256: str | None = None
+
+    def send(self, spark: SparkSession) -> Callable[[], Callable]:
+        """Sends the file; what comes back gives a worker the model, which it loads once."""
+        spark.sparkContext.addFile(self.path)
+        name, load, digest = self.path.rstrip("/").rsplit("/", 1)[-1], self.load, self.sha256
+
+        def model():
+            with open(SparkFiles.get(name), "rb") as f:
+                body = f.read()
+            if not text.has_sha256(body, digest):
+                raise ValueError(f"{name}: not the file with digest {digest}")
+            key = hashlib.sha256(body).hexdigest(), name
+            if key not in _models:
+                _models.clear()
+                _models[key] = load(body)
+            return _models[key]
+
+        return model
+
+
+#: The model that a worker has loaded, by digest and name of its file.
+_models: dict[tuple[str, str], Callable] = {}
+
+
+def prepared(rgba: np.ndarray, channels: int, mean=None, std=None, size=None) -> np.ndarray:
+    """An image (rows x columns x RGBA) as a model gets it: channels x height x width."""
+    if size:
+        rgba = resize(rgba, *((int(size),) * 2 if np.isscalar(size) else map(int, size)))
+    planes = np.moveaxis(rgba, -1, 0)
+    image = planes[:3].mean(axis=0)[None] if channels == 1 else planes[:channels]
+    each = lambda v: np.asarray(v, float).reshape(-1, 1, 1)
+    if mean is not None and std is not None:
+        image = (image - each(mean)) / np.maximum(each(std), 1e-6)
+    return image.astype(np.float32)
+
+
+def segment_images(images: DataFrame, model: ModelFile, channels: int = 3, mean=None, std=None, size=None, threshold: float = 0.5, batch: int = 16) -> DataFrame:
+    """(path, ratio, confidence, error) of PNG images (path, content): the share of pixels whose probability reaches the threshold, and their mean
+    probability (0 without any). An image is a row and stays where it is read; a worker loads the model once and gives it up to `batch` images of one
+    size at a time. An image that can't be decoded has an error and no figures."""
+    get = model.send(images.sparkSession)
+
+    def run(batches):
+        net = get()
+        for b in batches:
+            paths, shapes, failed = b.column(0).to_pylist(), {}, {}
+            for i, body in enumerate(b.column(1)):
+                try:
+                    x = prepared(codecs.unit_scale(codecs.decode_png(body.as_py() or b"")), channels, mean, std, size)
+                    shapes.setdefault(x.shape, []).append((i, x))
+                except Exception as e:
+                    failed[i] = f"{type(e).__name__}: {e}"
+            ratio, confidence = [None] * len(paths), [None] * len(paths)
+            for own in shapes.values():
+                for k in range(0, len(own), batch):
+                    some = own[k : k + batch]
+                    for (i, _), p in zip(some, np.asarray(net(np.stack([x for _, x in some])), float), strict=True):
+                        found = p >= threshold
+                        ratio[i], confidence[i] = float(found.mean()), float(p[found].mean()) if found.any() else 0.0
+            yield pa.RecordBatch.from_arrays([pa.array(paths, pa.string()), pa.array(ratio, pa.float64()), pa.array(confidence, pa.float64()), pa.array([failed.get(i) for i in range(len(paths))], pa.string())], names=["path", "ratio", "confidence", "error"])
+
+    return images.select("path", "content").mapInArrow(run, "path string, ratio double, confidence double, error string")
+
+
 def segment(frames: DataFrame, model: Callable[[np.ndarray], np.ndarray], channels: int = 3, mean=None, std=None, size=None) -> DataFrame:
     """Probabilities (tf_name, split, frame, row, col, p) of a model (channels x height x width -> height x width) over pixel rows.
 
@@ -50,11 +129,7 @@ def segment(frames: DataFrame, model: Callable[[np.ndarray], np.ndarray], channe
         if size:
             h, w = (int(size),) * 2 if np.isscalar(size) else map(int, size)
             rgba = list(np.moveaxis(resize(np.stack(rgba, -1), h, w), -1, 0))
-        image = np.stack([sum(rgba[:3]) / 3] if channels == 1 else rgba[:channels])
-        each = lambda v: np.asarray(v, float).reshape(-1, 1, 1)
-        if mean is not None and std is not None:
-            image = (image - each(mean)) / np.maximum(each(std), 1e-6)
-        p = np.asarray(model(image.astype(np.float32)), float)
+        p = np.asarray(model(prepared(np.stack(rgba, -1), channels, mean, std)), float)
         row, col = np.divmod(np.arange(h * w, dtype=np.int32), w)
         return pd.DataFrame({"tf_name": key[0], "split": key[1], "frame": key[2], "row": row, "col": col, "p": p.ravel()})
 

@@ -7,7 +7,7 @@ import json
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.geometry import Geometry
@@ -52,8 +52,18 @@ def read_pixels(spark: SparkSession, path: str, glob: str = "*.png") -> DataFram
                 yield pd.DataFrame({"path": name, "row": row, "col": col, **{c: px[..., i].ravel().astype(np.float64) for i, c in enumerate("rgba")}})
 
     out = _files(spark, path, glob).mapInPandas(run, "path string, row int, col int, r double, g double, b double, a double")
-    part = lambda i: F.element_at(F.split("path", "/"), i)
-    return out.select("path", part(-3).alias("tf_name"), part(-2).alias("split"), F.regexp_replace(part(-1), r"\.[^.]*$", "").alias("frame"), "row", "col", "r", "g", "b", "a")
+    return out.select("path", *frame_of("path"), "row", "col", "r", "g", "b", "a")
+
+
+def read_images(spark: SparkSession, path: str, glob: str = "*.png") -> DataFrame:
+    """(path, content, tf_name, split, frame) of image files at .../<tf>/<split>/<name>.png, a row each."""
+    return _files(spark, path, glob).select("path", "content", *frame_of("path"))
+
+
+def frame_of(path: str) -> list[Column]:
+    """tf_name, split and frame from a column of paths."""
+    part = lambda i: F.element_at(F.split(path, "/"), i)
+    return [part(-3).alias("tf_name"), part(-2).alias("split"), F.regexp_replace(part(-1), r"\.[^.]*$", "").alias("frame")]
 
 
 def read_tf_json(spark: SparkSession, path: str, glob: str = "tf_config.json") -> DataFrame:
