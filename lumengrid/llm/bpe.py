@@ -43,7 +43,7 @@ def load_ranks(path: str) -> dict[bytes, int]:
 
 
 #: States of a transducer and bytes of known pieces that a worker keeps; the second pair where other stages need the memory.
-STATES, PIECES = 150_000, 160 << 20
+STATES, PIECES = 150_000, 200 << 20
 FEW_STATES, FEW_PIECES = 15_000, 16 << 20
 
 
