@@ -90,7 +90,12 @@ def at_ranks(rows: DataFrame, wanted: DataFrame, by: list[str], sizes: DataFrame
 def quantiles(rows: DataFrame, fractions: list[float], by: list[str], between: bool = True) -> DataFrame:
     """(by, q0, q1, ...): the quantiles of each group of rows (by, v). between: linear interpolation of the values around (n - 1) *
     fraction; else the first value that has at least the fraction of all up to it."""
-    sizes = store.saved(rows.where("v is not null").groupBy(*by).agg(F.count("*").alias("n")))
+    rows = rows.where("v is not null")
+    sizes = rows.groupBy(*by).agg(F.count("*").alias("n"))
+    if (sizes.agg(F.max("n")).first()[0] or 0) <= SMALL:
+        one = lambda q: F.percentile("v", F.lit(float(q))) if between else F.expr(f"percentile_disc({float(q)!r}) within group (order by v)")
+        return rows.groupBy(*by).agg(*[one(q).alias(f"q{i}") for i, q in enumerate(fractions)])
+    sizes = store.saved(sizes)
     last = F.col("n") - 1
     place = [F.lit(float(q)) * last for q in fractions]
     low = [F.floor(p) if between else F.greatest(F.ceil(F.lit(float(q)) * F.col("n")) - 1, F.lit(0)) for p, q in zip(place, fractions, strict=True)]
