@@ -72,28 +72,34 @@ def pattern(path: str) -> str:
     return f"{path[:-1]}[{path[-1]}]" if path[-1].isalnum() else path
 
 
-def take_new(spark: SparkSession, source: str, target: str, max_files: int) -> dict:
+def take_new(spark: SparkSession, source: str, target: str, max_files: int) -> None:
     """Counts of the files that no earlier run has read, a partition for each micro-batch."""
 
     def write(df: DataFrame, batch_id: int) -> None:
         count(df).write.mode("overwrite").parquet(f"{target}/counts/batch_id={batch_id}")
 
     files = spark.readStream.schema(DOCUMENTS).option("maxFilesPerTrigger", max_files).parquet(pattern(source))
-    stream = files.writeStream.foreachBatch(write).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start()
-    stream.awaitTermination()
-    done = [p for p in stream.recentProgress if p["numInputRows"]]
-    return {"batches": len(done), "documents": sum(p["numInputRows"] for p in done)}
+    files.writeStream.foreachBatch(write).option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start().awaitTermination()
 
 
-def counted(spark: SparkSession, target: str) -> DataFrame:
-    """The counts of all batches so far, as voxels (volume_id, z, y, x, n)."""
+def batches(spark: SparkSession, target: str) -> DataFrame:
+    """The counts of all batches so far."""
     try:
-        parts = spark.read.schema(COUNTS).parquet(f"{target}/counts")
+        return spark.read.schema(COUNTS).parquet(f"{target}/counts")
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":  # nothing has arrived yet
             raise
-        parts = spark.createDataFrame([], COUNTS)
-    return parts.groupBy("volume_id", "z", "y", "x").agg(F.sum("n").alias("n"))
+        return spark.createDataFrame([], COUNTS)
+
+
+def seen(spark: SparkSession, target: str) -> tuple[int, int]:
+    """Documents and batches that have been counted."""
+    return tuple(batches(spark, target).agg(F.coalesce(F.sum("n"), F.lit(0)), F.count_distinct("batch_id")).first())
+
+
+def counted(spark: SparkSession, target: str) -> DataFrame:
+    """The counts as voxels (volume_id, z, y, x, n)."""
+    return batches(spark, target).groupBy("volume_id", "z", "y", "x").agg(F.sum("n").alias("n"))
 
 
 def build(cells: DataFrame, config: dict) -> tuple[DataFrame, DataFrame]:
@@ -113,7 +119,9 @@ def build(cells: DataFrame, config: dict) -> tuple[DataFrame, DataFrame]:
 
 def run(spark: SparkSession, source: str, target: str, config: dict) -> dict:
     """Take what is new and bring the volumes up to date; what was read and written."""
-    new = take_new(spark, source, target, config["max_files"])
+    before = seen(spark, target)
+    take_new(spark, source, target, config["max_files"])
+    new = dict(zip(("documents", "batches"), (a - b for a, b in zip(seen(spark, target), before, strict=True)), strict=True))
     log.info("read %s: %d documents in %d batches", source, new["documents"], new["batches"])
     cells = counted(spark, target)
     volumes, edges = build(cells, config)
