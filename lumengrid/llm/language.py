@@ -99,14 +99,68 @@ def code_points(text: str) -> np.ndarray:
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
 
 
+class Moves:
+    """The transitions of an automaton, laid over each other: that of state s by symbol c is in slot base[s] + c, if the slot says that it is the state's
+    (`of`), else there is none. Some ten bytes a transition whatever the alphabet, and few enough for a processor's cache."""
+
+    #: Places that are tried for a state before it goes to the end.
+    TRIES = 40
+
+    def __init__(self, auto: list[dict[int, int]], width: int):
+        rows = [[c for c in on if c] for on in auto]  # symbol 0 leads nowhere
+        used = bytearray(width)
+        base = np.zeros(max(len(auto), 1), np.int64)
+        first = 0
+        for s in sorted((s for s, cs in enumerate(rows) if len(cs) > 1), key=lambda s: -len(rows[s])):
+            cs, low = rows[s], min(rows[s])
+            p = first
+            for k in range(self.TRIES):
+                if k == self.TRIES // 2:  # the front is full by and large: elsewhere
+                    p = s * 0x9E3779B1 % len(used)
+                p = used.find(0, p)
+                if p < 0:
+                    break
+                if p >= low and not any(used[p - low + c] for c in cs if p - low + c < len(used)):
+                    break
+                p += 1
+            else:
+                p = -1
+            if k >= self.TRIES // 2:
+                first = max(0, used.find(0, first + 1))
+            at = (p if p >= 0 else len(used)) - low
+            top = at + max(cs)
+            if top >= len(used):
+                used.extend(bytes(top + 1 - len(used)))
+            for c in cs:
+                used[at + c] = 1
+            base[s] = at
+        single = np.array([s for s, cs in enumerate(rows) if len(cs) == 1], np.int64)
+        symbol = np.array([rows[s][0] for s in single.tolist()], np.int64)
+        free = np.flatnonzero(np.frombuffer(bytes(used), np.uint8) == 0)
+        free = free[free >= width][: len(single)]
+        slots = np.concatenate([free, np.arange(len(used), len(used) + len(single) - len(free))])
+        base[single] = slots - symbol
+        size = max(len(used), int(slots.max(initial=-1)) + 1) + width
+        self.base, self.of, self.to = base, np.full(size, -1, np.int32), np.zeros(size, np.int32)
+        each = np.array([(s, c, auto[s][c]) for s, cs in enumerate(rows) for c in cs], np.int64).reshape(-1, 3)
+        at = base[each[:, 0]] + each[:, 1]
+        self.of[at], self.to[at] = each[:, 0], each[:, 2]
+        self.root = self(np.zeros(width, np.int64), np.arange(width))
+
+    def __call__(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The next states, 0 if there are none."""
+        at = self.base[state] + c
+        return self.to[at] * (self.of[at] == state)
+
+
 @dataclass
 class Model:
-    """langs: in sorted order; symbol: class to column (0: never seen); tables: for each language next[state * width + column], 0 if none, flat."""
+    """langs: in sorted order; symbol: class to number (0: never seen), below width; moves: for each language its automaton."""
 
     langs: list[str]
     symbol: np.ndarray
     width: int
-    tables: list[np.ndarray]
+    moves: list[Moves]
 
 
 def fit_texts(texts: dict[str, list[str]]) -> Model:
@@ -125,17 +179,11 @@ def fit_texts(texts: dict[str, list[str]]) -> Model:
     symbol = np.zeros(1 << 16, np.int32)
     symbol[used] = np.arange(1, len(used) + 1)
     width = len(used) + 1
-    tables = []
+    moves = []
     for lang in langs:
-        # Column 0 stands for separators here and for unseen characters in parsing; its transitions are dropped.
-        auto = suffix_automaton(symbol[joined[lang]].tolist())
-        t = np.zeros((len(auto), width), np.int32)
-        for s, moves in enumerate(auto):
-            for c, to in moves.items():
-                if c:
-                    t[s, c] = to
-        tables.append(t.ravel())
-    return Model(langs, symbol, width, tables)
+        # Number 0 stands for separators here and for unseen characters in parsing; its transitions are dropped.
+        moves.append(Moves(suffix_automaton(symbol[joined[lang]].tolist()), width))
+    return Model(langs, symbol, width, moves)
 
 
 def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
@@ -155,22 +203,22 @@ def phrases(model: Model, texts: list[np.ndarray]) -> np.ndarray:
     order = np.argsort(-length, kind="stable")
     cols = np.ascontiguousarray(rows[order].T)
     alive = np.searchsorted(-length[order], -np.arange(SEGMENT), side="left")  # segments longer than the step
-    for k, table in enumerate(model.tables):
-        state = np.zeros(len(owner), np.int32)
+    for k, moved in enumerate(model.moves):
+        state = np.zeros(len(owner), np.int64)
         made = np.ones(len(owner), np.int64)  # the first phrase of a segment
         for step in range(SEGMENT):
             n = int(alive[step])
             if not n:
                 break
             c = cols[step, :n]
-            s = table[state[:n] * model.width + c]
+            s = moved(state[:n], c)
             # No way on: a new phrase starts with this character. A character that the language does not have at all is
             # a phrase of its own (state 0 after it), so what follows starts another one.
             stuck = np.flatnonzero(s == 0)
             if step:
                 made[:n] += (s == 0) | (state[:n] == 0)
             if len(stuck):
-                s[stuck] = table[c[stuck]]
+                s[stuck] = moved.root[c[stuck]]
             state[:n] = s
         np.add.at(out[:, k], owner[order], made)
     return out
@@ -203,7 +251,8 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
     """Per row: doc_id, text, the columns of keep (as keep_<name>, so that none clashes), lang_pred, score. The score is 1 for the certain, and near 0 where the
     two best languages need equally many phrases: 1 - (fewest phrases / second fewest), scaled by 4 and cut at 1."""
     spark = docs.sparkSession
-    held = spark.sparkContext.broadcast(model)  # size bounded by the number of languages times ROWS and WINDOW
+    # For each language three moves at most for each character of ROWS windows, and a slot of 8 bytes for each and some more.
+    held = spark.sparkContext.broadcast(model)
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"), *[F.col(f"`{c}`").alias(f"keep_{c}") for c in keep])
 
     def run(batches):
@@ -219,6 +268,7 @@ def predict(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str
                 score = np.where(ok, np.clip(4 * (1 - two[:, 0] / np.maximum(second, 1)), 0, 1), 0.0)
                 lang = [m.langs[b] if o else UNKNOWN for b, o in zip(best.tolist(), ok.tolist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=[*part.schema.names, "lang_pred", "score"])
+        common.release()
 
     schema = T.StructType([*rows.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
     return rows.mapInArrow(run, schema)

@@ -279,16 +279,21 @@ def test_pipeline_stages_on_awkward_rows(spark):
 # Language models with large alphabets.
 
 
-def test_moves_are_a_table():
+def test_moves_are_the_automaton():
     from lumengrid.llm import language
 
     rng = np.random.default_rng(6)
-    keys = np.unique(rng.integers(0, 1 << 40, 5000))
-    values = rng.integers(1, 1 << 30, len(keys)).astype(np.int32)
-    moved, there = language.Moves(keys, values), dict(zip(keys.tolist(), values.tolist()))
-    asked = np.concatenate([keys, rng.integers(0, 1 << 40, 5000), keys[:100] + 1])
-    assert moved(asked).tolist() == [there.get(k, 0) for k in asked.tolist()]
-    assert language.Moves(np.zeros(0, np.int64), np.zeros(0, np.int64))(asked[:5]).tolist() == [0] * 5
+    for width, n in ((5, 300), (60, 4000), (3000, 4000)):
+        auto = language.suffix_automaton(rng.integers(0, width, n).tolist())
+        moved = language.Moves(auto, width)
+        state, c = rng.integers(0, len(auto), 20_000), rng.integers(0, width, 20_000)
+        known = np.array([(s, x) for s, on in enumerate(auto) for x in on])
+        state, c = np.concatenate([state, known[:, 0]]), np.concatenate([c, known[:, 1]])
+        assert moved(state, c).tolist() == [auto[s].get(x, 0) if x else 0 for s, x in zip(state.tolist(), c.tolist())]
+        assert moved.root.tolist() == [auto[0].get(x, 0) if x else 0 for x in range(width)]
+        assert len(moved.of) < 6 * len(known) + 4 * width
+    none = language.Moves([{}], 1)
+    assert none(np.zeros(2, np.int64), np.zeros(2, np.int64)).tolist() == [0, 0]
 
 
 def test_many_languages_of_many_letters():
@@ -359,3 +364,37 @@ def test_many_rows_without_ids(spark):
     order = sorted((i for i in range(2000) if i % 2), reverse=True) + sorted((i for i in range(2000) if not i % 2), key=lambda i: hashed[texts[i]])
     want = sorted((str(i if i % 2 else None), hashlib.sha256(fingerprints.edited_text(texts[i], texts[j]).encode()).hexdigest()) for i, j in zip(order, [*order[1:], order[0]]))
     assert sorted((str(r["doc_id"]), r["edited_sha256"]) for r in got.collect()) == want
+
+
+# Texts of megabytes.
+
+
+def test_texts_of_megabytes(spark, tmp_path):
+    """One text of 3 MB among others: benchmark items, languages, token counts, fingerprints of its edited text."""
+    import public_tokenizers as P
+    import sentencepiece
+
+    from lumengrid.llm import common, decontam, fingerprints, language, token_counts
+
+    rng = np.random.default_rng(11)
+    lexicon = {lang: ["".join(rng.choice(list(letters), rng.integers(2, 9))) for _ in range(900)] for lang, letters in (("en", "etaoinshrdlu"), ("fr", "éèàçuesaitnr"))}
+    prose = lambda lang, n, seed: " ".join(np.random.default_rng(seed).choice(lexicon[lang], n))
+    item = "a benchmark passage of exactly ten words is hidden here"
+    long = prose("en", 300_000, 1) + f" {item} " + prose("en", 250_000, 2)
+    assert len(long) > 3_000_000
+    rows = [(0, long, None), *[(4 * k + 1, prose(lang, 250, 100 + k), lang) for k, lang in enumerate(["en", "fr"] * 20)], (500, prose("fr", 120, 9), None)]
+    docs = spark.createDataFrame([(i, x, g, "clash") for i, x, g in rows], "doc_id long, text string, lang string, score string").repartition(3)
+    assert [(r["doc_id"], r["item_id"]) for r in decontam.search(docs, spark.createDataFrame([(7, item)], "item_id long, text string")).collect()] == [(0, 7)]
+    told = {r["doc_id"]: r["lang_pred"] for r in language.identify(docs).collect()}
+    assert told[0] == "en" and told[500] == "fr"
+    sp = sentencepiece.SentencePieceProcessor(model_file=P.path("piece_bpe_32k.model"))
+    counts = {r["doc_id"]: (r["n_tokens"], r["n_bytes"], r["over_limit"]) for r in token_counts.token_counts(docs, P.path("piece_bpe_32k.model"), f"file://{tmp_path}/cache").collect()}
+    assert counts[0] == (len(sp.encode(long)), len(long.encode()), True)
+    got = {r["doc_id"]: r for r in fingerprints.compare_with_edits(docs).collect()}
+    order = sorted((r[0] for r in rows), reverse=True)
+    texts = {r[0]: r[1] for r in rows}
+    edited = fingerprints.edited_text(texts[0], texts[order[0]])
+    assert got[0]["n_chars"] == len(long) and got[0]["edited_sha256"] == hashlib.sha256(edited.encode()).hexdigest()
+    one, two = (common.shingle_sets(__import__("pyarrow").array([x])) for x in (long, edited))
+    exact = len(np.intersect1d(one[0], two[0])) / len(np.union1d(one[0], two[0]))
+    assert abs(got[0]["near_edited"] - exact) < 0.15
