@@ -6,7 +6,6 @@ are written in one job. So the number of jobs follows the kinds of cases, not th
 from __future__ import annotations
 
 import json
-import re
 from dataclasses import dataclass, field
 from pathlib import Path
 
@@ -386,10 +385,6 @@ def _alike(doc: dict) -> str:
     return json.dumps(d, sort_keys=True)
 
 
-def _local(path: str) -> str:
-    return re.sub(r"^file:/+", "/", path)
-
-
 def _groups(spark: SparkSession, docs: dict[str, dict], errors: dict[str, str]) -> list[tuple[str, list[str], dict]]:
     """Cases that share a plan: (reader's kind or "", cases, header by case). Headers that can't be read become errors."""
     alike: dict[str, list[str]] = {}
@@ -405,11 +400,11 @@ def _groups(spark: SparkSession, docs: dict[str, dict], errors: dict[str, str])
         if cfg.reader.name not in TOGETHER:
             out += [("", [case], {}) for case in own]
             continue
-        of = {_local(docs[case]["io"]["path"]): case for case in own}
+        of = {listing.plain(docs[case]["io"]["path"]): case for case in own}
         heads: dict[tuple, dict] = {}
         read = readers.read_headers(spark, [docs[case]["io"]["path"] for case in own], TOGETHER[cfg.reader.name], strict=False, **cfg.reader.params)
         for h in read.collect():  # a row for each case
-            case = of[_local(h["volume_id"])]
+            case = of[listing.plain(h["volume_id"])]
             if h["error"]:
                 errors[case] = h["error"]
             else:
@@ -438,7 +433,7 @@ def run_batch(spark: SparkSession, doc: dict, root: str, reader: str | None = No
     """All cases under root, each with the document's templates filled in; those of one size and document in one plan. Errors are kept per case: a file that
     can't be read is found by its header; should a plan fail, its cases are tried one by one."""
     reader = reader or doc.get("io", {}).get("reader")
-    found = {c["case_id"]: c for c in listing.cases(root, reader, pattern, filename)}
+    found = {c["case_id"]: c for c in listing.cases(spark, root, reader, pattern, filename)}
     rows, docs = [], {}
     for index, batch_id, place, case_id in batches.assign_list(sorted(found), size, shuffle, seed):
         one = C.fill(doc, {**found[case_id], "batch_index": index, "batch_id": batch_id, "batch_case_index": place})

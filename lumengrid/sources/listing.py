@@ -1,9 +1,12 @@
-"""What is in a folder: transfer-function files, frames and cases. Local or mounted folders; listings are small."""
+"""What is in a folder: transfer-function files and frames (local or mounted folders, small listings), and cases (any file system that Spark knows)."""
 
 from __future__ import annotations
 
+import re
 from pathlib import Path
 
+from pyspark.sql import SparkSession
+
 #: File patterns of each reader.
 PATTERNS = {"nii": ("*.nii.gz", "*.nii"), "vti": ("*.vti",), "raw": ("*.raw",)}
 PATTERNS["nii.gz"] = PATTERNS["nifti"] = PATTERNS["nii"]
@@ -29,20 +32,28 @@ def frames(tf_dir: str) -> list[str]:
     return [str(p) for s in ("train", "test", "val") for p in sorted((Path(tf_dir) / s).glob("*.png"))]
 
 
-def choose_input(case_dir: str, reader: str, filename: str | None = None) -> str | None:
-    """The named file, or of the matches of the reader's patterns, by path, the first with a preferred name, else the first."""
-    if filename:
-        p = Path(case_dir) / filename
-        return str(p) if p.is_file() else None
-    found = sorted({str(p) for pattern in PATTERNS.get(str(reader).lower(), ("*",)) for p in Path(case_dir).glob(pattern) if p.is_file()})
-    return next((p for p in found if Path(p).name in PREFERRED), found[0] if found else None)
+def plain(path: str) -> str:
+    """A path as Spark lists it, without the scheme if that is of local files."""
+    return re.sub(r"^file:/+", "/", path)
+
+
+def matches(spark: SparkSession, pattern: str) -> list[str]:
+    """Files that a pattern matches, in any file system that Spark knows."""
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(at)
+    return [plain(f.getPath().toString()) for f in found or [] if f.isFile()]
 
 
-def cases(root: str, reader: str, pattern: str = "s*", filename: str | None = None) -> list[dict]:
-    """Case folders, sorted; those without an input are left out."""
+def cases(spark: SparkSession, root: str, reader: str, pattern: str = "s*", filename: str | None = None) -> list[dict]:
+    """Case folders below root, sorted, with their input: the named file, or of the matches of the reader's patterns, by path, the first with a preferred
+    name, else the first. Folders without an input are left out."""
+    inputs: dict[str, list[str]] = {}
+    for g in [filename] if filename else PATTERNS.get(str(reader).lower(), ("*",)):
+        for path in matches(spark, f"{root.rstrip('/')}/{pattern}/{g}"):
+            inputs.setdefault(path.rsplit("/", 1)[0], []).append(path)
     out = []
-    for d in sorted(p for p in Path(root).glob(pattern) if p.is_dir()):
-        if path := choose_input(str(d), reader, filename):
-            name = Path(path).name
-            out.append({"case_id": d.name, "case_dir": str(d), "input_path": path, "input_name": name, "input_stem": stem(name)})
+    for folder, own in sorted(inputs.items()):
+        path = min(set(own), key=lambda p: (p.rsplit("/", 1)[1] not in PREFERRED, p))
+        name = path.rsplit("/", 1)[1]
+        out.append({"case_id": folder.rsplit("/", 1)[1], "case_dir": folder, "input_path": path, "input_name": name, "input_stem": stem(name)})
     return out

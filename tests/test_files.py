@@ -72,14 +72,22 @@ def test_points_files(spark, tmp_path):
         assert z["xyz"].shape == (1, 3) and z["rgb"].shape == (1, 2) and "name" not in z
 
 
-def test_cases(tmp_path):
+def test_cases(spark, tmp_path):
     for name in ("s0001", "s0002", "s0003"):
         (tmp_path / name).mkdir()
     (tmp_path / "s0001" / "ct.nii.gz").write_bytes(b"")
     (tmp_path / "s0002" / "other.nii.gz").write_bytes(b"")
     (tmp_path / "s0002" / "ct.nii").write_bytes(b"")
-    got = listing.cases(str(tmp_path), "nii")
+    got = listing.cases(spark, str(tmp_path), "nii")
     assert [(c["case_id"], c["input_name"], c["input_stem"]) for c in got] == [("s0001", "ct.nii.gz", "ct"), ("s0002", "ct.nii", "ct")]
+    assert got[0]["input_path"] == str(tmp_path / "s0001" / "ct.nii.gz") and got[0]["case_dir"] == str(tmp_path / "s0001")
+    (tmp_path / "s0003" / "b.nii").write_bytes(b"")
+    (tmp_path / "s0003" / "a.nii").write_bytes(b"")
+    assert [c["input_name"] for c in listing.cases(spark, str(tmp_path), "nii", "s0003")] == ["a.nii"]
+    assert [c["case_id"] for c in listing.cases(spark, str(tmp_path), "nii", filename="other.nii.gz")] == ["s0002"]
+    assert listing.cases(spark, str(tmp_path), "vti") == [] and listing.cases(spark, str(tmp_path), "nii", "t*") == []
+    spark.sparkContext._jsc.hadoopConfiguration().set("fs.viewfs.mounttable.cases.link./in", f"file://{tmp_path}")
+    assert [c["input_path"] for c in listing.cases(spark, "viewfs://cases/in", "nii", "s0001")] == ["viewfs://cases/in/s0001/ct.nii.gz"]
 
 
 def test_config(tmp_path):
