@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from ..functions import columns as C
 from ..functions import fields
 from ..operators import batch, camera, geometry, grid, histogram, normalize, qc, render, sampling, transfer, wavelet
-from ..sources import readers
+from ..sources import readers, store
 from ..streaming import cases as events
 from . import config, pipeline
 
@@ -401,6 +402,15 @@ def stream_windows(spark, d):
     return e.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
+@query("stream_closed_windows", """with w as (select time_bucket(interval 60 minutes, ts) as start, event_type, count(*) as n, round(sum(value), 4) as total from events group by all), m as (select max(ts) as last from events)
+select w.* from w, m where start + interval 60 minutes <= date_trunc('millisecond', last) - interval 2 hours""")
+def stream_closed(spark, d):
+    """The event stream to its end: the windows that its watermark has closed."""
+    target = f"{store.shared_folder(spark)}/streams/windows-{uuid.uuid4().hex}"
+    e = events.closed_windows(spark, f"{d}/events.parque[t]", target)  # a pattern, as the table may be one file
+    return e.select(F.col("start").cast("timestamp_ntz").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
+
+
 def U(seed: int, key: str) -> str:
     return f"((('0x' || substr(md5('{seed}:' || {key}), 1, 13))::bigint + 0.5) / {float(1 << 52)}::double)"
 

@@ -37,6 +37,15 @@ def event_windows(events: DataFrame, minutes: int = 60, late: str = "2 hours") -
     return timed.groupBy(w, "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select(F.col("window.start").alias("start"), "event_type", "n", "total")
 
 
+def closed_windows(spark: SparkSession, source: str, target: str, minutes: int = 60, late: str = "2 hours") -> DataFrame:
+    """The windows of new event files that the watermark has closed, appended to Parquet at target as they close; all that is there so far. Windows that are
+    still open stay in the stream's state, which its checkpoint (below the target) keeps for the next run; events later than the watermark are left out."""
+    events = spark.readStream.schema("ts timestamp_ntz, event_type string, value double").parquet(source)
+    done = event_windows(events, minutes, late)
+    done.writeStream.outputMode("append").option("checkpointLocation", f"{target}/checkpoint").trigger(availableNow=True).start(f"{target}/windows", format="parquet").awaitTermination()
+    return spark.read.schema(done.schema).parquet(f"{target}/windows")
+
+
 def per_batch(voxels: DataFrame, plan: Callable[[DataFrame], DataFrame], sink: str, checkpoint: str):
     """Runs a batch plan on each micro-batch and appends its result to Parquet at sink; a batch that is run again replaces itself."""
 
