@@ -8,8 +8,8 @@ training has not seen the path's next context, the deepest node that it has seen
 text is coded from a context of zero bytes and ends with the byte FF, which UTF-8 never has, so that texts' probabilities
 sum to 1.
 
-Everything is learned from all training rows, and all nodes count. No table of nodes is broadcast, and no task holds more
-than a chunk of texts or a bucket of distinct grams:
+Everything is learned from all training rows, and all nodes count. Of the nodes only those of the upper levels are broadcast, and no task holds
+more than a chunk of texts or a bucket of distinct grams:
 1. Each chunk of texts lists its distinct (context, byte) grams and words with their training counts, in packed rows, one for each bucket.
    Buckets go by a hash of the last TOP bytes of the context, so a bucket has whole subtrees below depth TOP - 1.
 2. A bucket sums its rows, works out its subtrees and stores for each gram what they predict for its eight bits. The nodes
@@ -377,7 +377,8 @@ def _scored(buckets: int, log_denominator: float, n_docs: int):
         score = np.zeros(n)
         for code, times, who in parts:
             score += np.bincount(who, weights=np.repeat(value[np.searchsorted(keys, code)], times), minlength=n)
-        return pa.RecordBatch.from_arrays([ids, learn, pa.array(size + 1), pa.array(known), pa.array(base), pa.array(score)], names=["doc_id", "learn", "n_tokens", "n_known", "base_score", "score"])
+        bits = -score / math.log10(2) / (np.diff(off) + 1)  # the end is coded too
+        return pa.RecordBatch.from_arrays([ids, learn, pa.array(size + 1), pa.array(known), pa.array(base), pa.array(score), pa.array(bits)], names=["doc_id", "learn", "n_tokens", "n_known", "base_score", "score", "bits_per_byte"])
 
     def run(batches):
         place, answers, docs = None, {WORD: [], GRAM: []}, []
@@ -401,8 +402,8 @@ def _scored(buckets: int, log_denominator: float, n_docs: int):
 
 
 def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score; training: a Column of doc_id, true
-    for the rows to learn from."""
+    """Per row: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte (code length of the text and its end by their
+    bytes); training: a Column of doc_id, true for the rows to learn from."""
     spark = docs.sparkSession
     rows = common.pick(docs, doc_id=id_col, text=text_col).withColumn("learn", F.coalesce(training, F.lit(True)))
     kind = rows.schema["doc_id"].dataType.simpleString()
@@ -434,9 +435,9 @@ def score(docs: DataFrame, training, id_col: str = "doc_id", text_col: str = "te
         both = both.union(listed.where(F.col("kind") == DOC).select("chunk", "kind", "doc_id", "learn", "text", F.lit(None).cast("binary"), "slot"))
         log_denominator = math.log10(total + 0.5 * (distinct + 1))
         done = both.repartition(parts, "chunk").sortWithinPartitions("chunk", "kind", "slot").drop("slot")
-        out = common.written(done.mapInArrow(_scored(buckets, log_denominator, n_docs), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, base_score double, score double"), "ctw-scores")
+        out = common.written(done.mapInArrow(_scored(buckets, log_denominator, n_docs), f"doc_id {kind}, learn boolean, n_tokens long, n_known long, base_score double, score double, bits_per_byte double"), "ctw-scores")
         keep(out)
-    return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score")
+    return out.select("doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", F.lit(int(total)).cast("long").alias("train_tokens"), "base_score", "score", "bits_per_byte")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

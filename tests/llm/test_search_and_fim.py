@@ -398,3 +398,13 @@ def test_texts_of_megabytes(spark, tmp_path):
     one, two = (common.shingle_sets(__import__("pyarrow").array([x])) for x in (long, edited))
     exact = len(np.intersect1d(one[0], two[0])) / len(np.union1d(one[0], two[0]))
     assert abs(got[0]["near_edited"] - exact) < 0.15
+
+
+def test_bits_per_byte(spark):
+    from lumengrid.llm import ctw
+
+    texts = ["aaaa aaaa aaaa aaaa", "é", "", None, "zq!xv"]
+    docs = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "doc_id long, text string")
+    for r in ctw.score(docs, F.col("doc_id") < 3).collect():
+        n = len((texts[r["doc_id"]] or "").encode()) + 1
+        assert math.isclose(r["bits_per_byte"], -r["score"] / math.log10(2) / n, rel_tol=1e-9) and r["bits_per_byte"] > 0
