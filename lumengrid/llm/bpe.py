@@ -55,9 +55,12 @@ class Transducer:
         self.name = {r: b for b, r in ranks.items()}
         #: Every prefix of a token: (its rank or -1, whether a longer token has it as a prefix).
         self.prefix: dict[bytes, tuple[int, bool]] = {}
+        only = (-1, True)  # one for all that are no tokens
         for t in ranks:
             for i in range(1, len(t)):
-                self.prefix[t[:i]] = (ranks.get(t[:i], -1), True)
+                part = t[:i]
+                if (at := self.prefix.get(part)) is None or not at[1]:
+                    self.prefix[part] = only if (r := ranks.get(part)) is None else (r, True)
             self.prefix.setdefault(t, (ranks[t], False))
         self.follows: dict[tuple[int, int], bool] = {}
         self.edges: dict[int, tuple[list, list]] = {}
@@ -270,26 +273,31 @@ class StreamDecoder:
     def __init__(self, names: list[bytes]):
         self.names = names
         self.after: dict[tuple[int, bytes], tuple[int, int, int]] = {}
-        self.closed = np.array([self._run(0, x)[0] == 0 and self._run(0, x)[2] == 0 for x in names])
+        self.closed = np.array([self._walk(0, x)[::2] == (0, 0) for x in names])
         self.clear()
 
     def clear(self) -> None:
         self.state, self.held, self.invalid = 0, b"", 0
 
-    def _run(self, state: int, token: bytes) -> tuple[int, int, int]:
+    @staticmethod
+    def _walk(state: int, token: bytes) -> tuple[int, int, int]:
         """State after the token, bytes of it that belong to an unfinished character, bytes that are invalid."""
+        s, open_, bad = state, 0, 0
+        for b in token:
+            n = Utf8Machine.step(s, b)
+            if n < 0:
+                bad += 1
+                n, open_ = max(0, Utf8Machine.step(0, b)), 0
+                open_ = 1 if n else 0
+            else:
+                open_ = 0 if n == 0 else open_ + 1
+            s = n
+        return s, open_, bad
+
+    def _run(self, state: int, token: bytes) -> tuple[int, int, int]:
+        """The same, kept."""
         if (got := self.after.get((state, token))) is None:
-            s, open_, bad = state, 0, 0
-            for b in token:
-                n = Utf8Machine.step(s, b)
-                if n < 0:
-                    bad += 1
-                    n, open_ = max(0, Utf8Machine.step(0, b)), 0
-                    open_ = 1 if n else 0
-                else:
-                    open_ = 0 if n == 0 else open_ + 1
-                s = n
-            got = self.after[state, token] = (s, open_, bad)
+            got = self.after[state, token] = self._walk(state, token)
         return got
 
     def feed(self, ids: np.ndarray) -> bytes:
@@ -398,7 +406,7 @@ def encode(docs: DataFrame, path: str, pattern: str, id_col: str = "doc_id", tex
     def run(batches):
         c = codec(path, pattern) if keep else codec(path, pattern, FEW_STATES, FEW_PIECES)
         for batch in batches:
-            for part in common.slices(batch, most=1 << 20 if keep else 1 << 19):
+            for part in common.slices(batch, most=1 << 20 if keep else 1 << 18):
                 got = c.encode_all([x or "" for x in part.column(1).to_pylist()])
                 size = np.array([len(x) for x in got], np.int64)
                 flat = np.concatenate([*got, np.zeros(0, "<u4")]).astype(np.int32)
