@@ -7,6 +7,11 @@ import random
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..sources import store
+
+#: Hexadecimal digits of a case's hash that name its part: 4096 parts.
+DIGITS = 3
+
 
 def _width(batches: int) -> int:
     return max(4, len(str(max(batches, 1))))
@@ -16,15 +21,19 @@ def assign(cases: DataFrame, size: int = 100, shuffle: bool = True, seed: int =
     """cases (case_id) with batch_index, batch_id and batch_case_index (both from 1), batch_size, batch_shuffle and batch_seed:
     chunks of `size` in a hashed order (or by id).
 
-    Places come from a range-partitioned sort and the partitions' sizes, so no task sees all cases.
+    Places come from a sort within parts and the parts' sizes, so no task sees all cases. A case's part hangs on the case alone, as sizes and
+    places are worked out by two runs of the plan: it is the beginning of its hash. Ranges of ids are drawn anew by every run, so in the order of
+    ids they are written once and read by both.
     """
     if size < 1:
         raise ValueError("batch size must be positive")
     spark = cases.sparkSession
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("case_id").cast("string"))) if shuffle else F.lit("")
-    ordered = cases.withColumn("_key", key).repartitionByRange("_key", "case_id").sortWithinPartitions("_key", "case_id")
-    placed = ordered.withColumn("_part", F.spark_partition_id())
-    sizes = {r[0]: r[1] for r in placed.groupBy("_part").count().collect()}  # one row for each partition
+    if shuffle:
+        key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("case_id").cast("string")))
+        placed = cases.withColumn("_key", key).withColumn("_part", F.conv(F.substring("_key", 1, DIGITS), 16, 10).cast("int"))
+    else:
+        placed = store.saved(cases.repartitionByRange("case_id").withColumn("_part", F.spark_partition_id())).withColumn("_key", F.lit(""))
+    sizes = {r[0]: r[1] for r in placed.groupBy("_part").count().collect()}  # one row for each part
     first, at = {}, 0
     for p in sorted(sizes):
         first[p] = at

@@ -1,3 +1,4 @@
+import hashlib
 import math
 
 import numpy as np
@@ -235,6 +236,21 @@ def test_batches(spark):
     assert sorted(r["count"] for r in rows) == [5, 100, 100]
 
 
+@pytest.mark.parametrize("shuffle", [True, False])
+def test_batches_of_more_cases_than_are_sampled(spark, shuffle):
+    """Every place is taken once and in order, whatever ranges another run of the plan would draw."""
+    ids = [(i * 7919) % 30_011 for i in range(30_000)]
+    cases = spark.createDataFrame([(i,) for i in ids], "case_id long").repartition(7)
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(whole, "false")  # small parts would become one
+    try:
+        got = sorted((r.batch_index, r.batch_case_index, r.case_id) for r in batch.assign(cases, 100, shuffle, 7).collect())
+    finally:
+        spark.conf.unset(whole)
+    want = sorted(ids, key=lambda i: (hashlib.md5(f"7:{i}".encode()).hexdigest(), i) if shuffle else i)
+    assert got == [(i // 100 + 1, i % 100 + 1, c) for i, c in enumerate(want)]
+
+
 def test_small_parsers():
     from lumengrid.functions import text
 
