@@ -1,5 +1,6 @@
 """The jobs: against SQL, on awkward rows, run again, broken off, and over input that grows."""
 
+import hashlib
 import json
 import math
 import shutil
@@ -74,6 +75,21 @@ def test_point_clouds_of_awkward_rows(spark, tmp_path):
         pc.run(spark, volumes(spark, tmp_path / "in4", [(1, ramp, ""), (2, [1.0], "")]), str(tmp_path / "out4"), cfg)
 
 
+def test_batches_of_many_volumes(spark, tmp_path):
+    """Each volume is in the batch of its place in the hashed order, also where ids lie in several parts that are sampled."""
+    ids = [(i * 7919) % 4001 for i in range(4000)]
+    source, target = volumes(spark, tmp_path / "in", [(i, [0.0, float(i + 1)] * 4, "") for i in ids]), str(tmp_path / "out")
+    whole = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(whole, "false")  # small parts would become one
+    try:
+        pc.run(spark, source, target, {**PC, "n_points": 1})
+    finally:
+        spark.conf.unset(whole)
+    order = sorted(ids, key=lambda i: (hashlib.md5(f"{PC['seed']}:{i}".encode()).hexdigest(), i))
+    want = {(v, f"batch_{i // PC['batch_size'] + 1:04d}") for i, v in enumerate(order)}
+    assert {tuple(r) for r in pc.output(spark, target).select("volume_id", "batch_id").collect()} == want
+
+
 def cell(text):
     ws = [w for w in text.translate({c: " " for c in (9, 10, 11, 12, 13)}).split(" ") if w]
     n = len(ws)
