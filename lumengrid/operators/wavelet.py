@@ -2,7 +2,8 @@
 
 The periodic Haar wavelet (odd sides wrap) groups 2 x 2 x 2 cells and forms eight signed sums in one aggregate a level. Other wavelets and
 modes are filter banks, applied axis by axis: a voxel meets the taps that read it (a table as long as the axis, times the filter), and
-sums by cell give both halves at once. Bands are named by axis (z, y, x), a for the sum and d for the difference. The approximation has
+sums by cell give both halves at once. Voxels go once to the blocks of results that read them, so that the sums of all three axes are made
+where they lie: only voxels are shuffled, never the wider sums. Bands are named by axis (z, y, x), a for the sum and d for the difference. The approximation has
 j = 0, details of the coarsest level j = levels. inverse() gives the voxels back.
 """
 
@@ -14,7 +15,7 @@ from functools import lru_cache
 from itertools import product
 
 import numpy as np
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import grid, sampling, selection
@@ -99,16 +100,47 @@ def taps(n: int, wavelet: str, mode: str) -> list[tuple[int, int, float, float]]
     return [(src, i, a, d) for (src, i), (a, d) in out.items()]
 
 
+#: Results along an axis of a block, whose sums are made in one task.
+BLOCK = 32
+
+
+def _blocked(cells: DataFrame, tables: dict[str, list[tuple]]) -> tuple[DataFrame, dict[str, DataFrame], list[str]]:
+    """The cells dealt by volume and block of results, a cell to every block that reads it; for each axis its taps (from, to, ...) as a table
+    _src, _dst, _low, _high, and the block of the result where an axis has several; and the names of the blocks' columns.
+
+    Partitions are given by number: put together by their bytes they would hold too many sums, as a cell becomes many of these."""
+    spark, taps, blocks = cells.sparkSession, {}, []
+    for axis, table in tables.items():
+        several, name = max((dst for _, dst, *_ in table), default=0) >= BLOCK, f"_b{axis}"
+        taps[axis] = spark.createDataFrame([(*t, t[1] // BLOCK) for t in table], f"_src int, _dst int, _low double, _high double, {name} int")
+        if several:
+            read = spark.createDataFrame(sorted({(src, dst // BLOCK) for src, dst, *_ in table}), f"_src int, {name} int")
+            cells = cells.join(F.broadcast(read), F.col(axis) == F.col("_src")).drop("_src")
+            blocks.append(name)
+        else:
+            taps[axis] = taps[axis].drop(name)
+    return cells.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "volume_id", *blocks), taps, blocks
+
+
+def _along(cells: DataFrame, axis: str, taps: DataFrame, blocks: list[str], sums: list[Column]) -> DataFrame:
+    """The sums of the taps along one axis, for each cell of the others. Grouping by volume and block first needs no shuffle after _blocked()."""
+    name = f"_b{axis}"
+    on = F.col(axis) == F.col("_src")
+    if name in blocks:
+        taps = taps.withColumnRenamed(name, "_to")
+        on = on & (F.col(name) == F.col("_to"))
+    both = cells.join(F.broadcast(taps), on)  # as many rows as the axis has cells, times half a filter
+    return both.groupBy("volume_id", *blocks, *[c for c in "zyx" if c != axis], F.col("_dst").alias(axis)).agg(*sums)
+
+
 def bank(voxels: DataFrame, shape: tuple[int, int, int], wavelet: str, mode: str = "periodic", values: tuple[str, ...] = ("v",)) -> tuple[DataFrame, tuple[int, ...]]:
     """One level of a filter bank: as level()."""
-    now = voxels.select("volume_id", "z", "y", "x", *[F.col(c).alias(f"_{c}") for c in values])
+    now, tables, blocks = _blocked(
+        voxels.select("volume_id", "z", "y", "x", *[F.col(c).alias(f"_{c}") for c in values]), {axis: taps(n, wavelet, mode) for axis, n in zip("zyx", shape, strict=True)}
+    )
     names = {f"_{c}": c for c in values}
-    for axis, n in zip("zyx", shape, strict=True):
-        table = voxels.sparkSession.createDataFrame(taps(n, wavelet, mode), "_src int, _dst int, _low double, _high double")
-        both = now.join(F.broadcast(table), F.col(axis) == F.col("_src"))  # as many rows as the axis has cells, times half a filter
-        others = [c for c in ("z", "y", "x") if c != axis]
-        sums = [F.sum(F.col(c) * F.col(w)).alias(f"{c}{b}") for c in names for b, w in (("a", "_low"), ("d", "_high"))]
-        now = both.groupBy("volume_id", *others, F.col("_dst").alias(axis)).agg(*sums)
+    for axis in "zyx":
+        now = _along(now, axis, tables[axis], blocks, [F.sum(F.col(c) * F.col(w)).alias(f"{c}{b}") for c in names for b, w in (("a", "_low"), ("d", "_high"))])
         names = {f"{c}{b}": v for c, v in names.items() for b in "ad"}
     wide = [F.col(c).alias(c[-3:] if values == ("v",) else f"{c[-3:]}_{v}") for c, v in names.items()]
     size = len(filters(wavelet)[0])
@@ -134,16 +166,16 @@ def inverse(coeffs: DataFrame, shape: tuple[int, int, int], levels: int = 1, wav
     now = coeffs.where("j = 0").select("volume_id", "z", "y", "x", F.col("c").alias("aaa"))
     for j in range(levels, 0, -1):
         wide = coeffs.where((F.col("j") == j)).select("volume_id", "z", "y", "x", *[F.when(F.col("band") == b, F.col("c")).alias(b) for b in BANDS[1:]])
+        back = {}
+        for axis, n in zip("zyx", sizes[j - 1], strict=True):
+            m = (n + size - 1) // 2
+            back[axis] = [(i, o, low[2 * i + 1 - o], high[2 * i + 1 - o]) for i in range(m) for o in range(n) if 0 <= 2 * i + 1 - o < size]
         cells = wide.unionByName(now, allowMissingColumns=True).groupBy("volume_id", "z", "y", "x").agg(*[F.coalesce(F.sum(b), F.lit(0.0)).alias(b) for b in BANDS])
+        cells, tables, blocks = _blocked(cells, back)
         names = list(BANDS)
-        for axis, n in zip("xyz", reversed(sizes[j - 1]), strict=True):  # the last axis of a name first
-            m = (n + size - 1) // 2
-            back = [(i, o, low[2 * i + 1 - o], high[2 * i + 1 - o]) for i in range(m) for o in range(n) if 0 <= 2 * i + 1 - o < size]
-            table = coeffs.sparkSession.createDataFrame(back, "_src int, _dst int, _low double, _high double")
-            both = cells.join(F.broadcast(table), F.col(axis) == F.col("_src"))
-            others = [c for c in ("z", "y", "x") if c != axis]
+        for axis in "xyz":  # the last axis of a name first
             short = sorted({b[:-1] for b in names})
-            cells = both.groupBy("volume_id", *others, F.col("_dst").alias(axis)).agg(*[F.sum(F.col(f"{b}a") * F.col("_low") + F.col(f"{b}d") * F.col("_high")).alias(b or "v") for b in short])
+            cells = _along(cells, axis, tables[axis], blocks, [F.sum(F.col(f"{b}a") * F.col("_low") + F.col(f"{b}d") * F.col("_high")).alias(b or "v") for b in short])
             names = short
         now = cells.select("volume_id", "z", "y", "x", F.col("v").alias("aaa"))
     return now.withColumnRenamed("aaa", "v")
@@ -152,16 +184,15 @@ def inverse(coeffs: DataFrame, shape: tuple[int, int, int], levels: int = 1, wav
 def transform(voxels: DataFrame, shape: tuple[int, int, int], levels: int = 1, wavelet: str = "haar", mode: str = "periodic") -> DataFrame:
     """(volume_id, j, band, z, y, x, c): all coefficients of a multilevel transform. Cells outside the grid are as those of the other end
     ("periodic"), 0 ("zero"), or mirrored with the last cell twice ("symmetric") or once ("reflect")."""
-    parts, now = [], voxels.select("volume_id", "z", "y", "x", "v")
+    out, now = None, voxels.select("volume_id", "z", "y", "x", "v")
     for j in range(1, levels + 1):
         wide, shape = _level(now, shape, wavelet, mode)
-        each = F.explode(F.array(*[F.struct(F.lit(b).alias("band"), F.col(b).alias("c")) for b in BANDS[1:]])).alias("e")
-        parts.append(wide.select("volume_id", F.lit(j).alias("j"), "z", "y", "x", each).select("volume_id", "j", "e.band", "z", "y", "x", "e.c"))
+        bands = BANDS[1:] if j < levels else BANDS
+        each = F.explode(F.array(*[F.struct(F.lit(0 if b == "aaa" else j).alias("j"), F.lit(b).alias("band"), F.col(b).alias("c")) for b in bands])).alias("e")
+        one = wide.select("volume_id", "z", "y", "x", each).select("volume_id", "e.j", "e.band", "z", "y", "x", "e.c")
+        out = one if out is None else out.unionByName(one)
         now = wide.select("volume_id", "z", "y", "x", F.col("aaa").alias("v"))
-    out = now.select("volume_id", F.lit(0).alias("j"), F.lit("aaa").alias("band"), "z", "y", "x", F.col("v").alias("c"))
-    for p in parts:
-        out = out.unionByName(p)
-    return out
+    return out if out is not None else now.select("volume_id", F.lit(0).alias("j"), F.lit("aaa").alias("band"), "z", "y", "x", F.col("v").alias("c"))
 
 
 def transform_rgba(rgba: DataFrame, shape: tuple[int, int, int], levels: int = 1, wavelet: str = "haar", mode: str = "periodic") -> DataFrame:

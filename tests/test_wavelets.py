@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 
 import numpy as np
 import pytest
@@ -82,6 +83,34 @@ def test_reconstruction(spark, name, mode, shape, levels):
     assert np.abs(back - x).max() < 1e-9
 
 
+@pytest.mark.parametrize("name,mode,shape", [("db2", "periodic", (9, 4, 7)), ("db4", "symmetric", (10, 11, 3)), ("db3", "reflect", (4, 9, 8)), ("sym4", "zero", (8, 3, 12))])
+def test_blocks_give_the_same(spark, monkeypatch, name, mode, shape):
+    monkeypatch.setattr(wavelet, "BLOCK", 3)  # several along two axes at least, and taps that reach over their ends
+    x = np.random.default_rng(7).normal(size=shape)
+    coeffs = wavelet.transform(table(spark, x), shape, 1, name, mode)
+    got, want = coeffs.collect(), brute(x, name, mode)
+    assert len(got) == sum(v.size for v in want.values()) == len({tuple(r)[:6] for r in got})
+    for _, _, band, z, y, x_, c in got:
+        assert abs(want[band][z, y, x_] - c) < 1e-12
+    back = {tuple(c): v for _, *c, v in wavelet.inverse(coeffs, shape, 1, name).collect()}
+    assert len(back) == x.size and all(abs(x[c] - v) < 1e-9 for c, v in back.items())
+
+
+def exchanges(df):
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in plan.split("\n") if re.search(r"[-+:] Exchange ", line)]
+
+
+def test_only_voxels_are_shuffled(spark):
+    """Sums of the axes are made where the voxels were dealt to: one shuffle a level, of the voxels; the inverse brings bands together and deals them."""
+    v = table(spark, np.random.default_rng(8).normal(size=(4, 4, 4)))
+    coeffs = wavelet.transform(v, (4, 4, 4), 1, "db4", "symmetric")
+    assert len(exchanges(coeffs)) == len(exchanges(v)) + 1
+    rows = spark.createDataFrame([], coeffs.schema)
+    stored = spark.createDataFrame(rows.rdd, rows.schema)
+    assert len(exchanges(wavelet.inverse(stored, (4, 4, 4), 1, "db4"))) <= 2
+
+
 def test_sampler_with_other_wavelets(spark):
     x = np.random.default_rng(3).normal(size=(6, 6, 6))
     v = table(spark, x)
