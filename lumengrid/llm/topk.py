@@ -9,8 +9,9 @@ rules out the others, or its rows are in. Rows that are alike in all slices are
 ordered by id, the first of them are taken. Blocks' results meet by query, where the k best are kept.
 
 Nothing is estimated, so results are exact. Building the index shuffles nothing; blocks and packs of queries are written to the
-shared folder. Packs are dealt into chunks of some CHUNK bytes, measured, each of which is broadcast to the blocks if it is no larger
-than twice that, and else joined by a shuffle: the work of the query set against all rows goes block by block.
+shared folder. Packs are dealt into chunks of some CHUNK bytes, measured, each of which is broadcast to the workers: the work of the
+query set against all rows goes block by block. No join puts a block beside its packs, as a row of the join would be a copy of the
+block and Spark holds all rows that one block makes; a worker gets a block once for each of its shares and chunks, and one at a time.
 
 Edge cases: vectors that are null, or hold a null or non-finite component, take no part. Vectors meet those of their own length
 only. Quantised components and scores saturate at the range of a long (sums are exact before that). A row with a null id is a
@@ -24,6 +25,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -244,23 +246,34 @@ def build(vectors: DataFrame, is_query: Column | None, scale: float, queries: Da
     return common.written(got, "bit-slices")
 
 
-def _found(k: int):
+def _copies(split: int):
+    """Each block once for each of its shares, one after the other, so that nothing holds them all."""
+
+    def run(batches):
+        for batch in batches:
+            for i in range(batch.num_rows):
+                for share in range(split):
+                    yield pa.RecordBatch.from_arrays([*batch.slice(i, 1).columns, pa.array([share], pa.int32())], names=[*batch.schema.names, "share"])
+
+    return run
+
+
+def _found(k: int, asked: Broadcast):
+    """asked: packs by share and components."""
+
     def run(batches):
-        held: tuple = (None, None)
         for batch in batches:
-            out: list = []
             for r in batch.to_pylist():
-                if r["block"] != held[0]:
-                    body = np.frombuffer(r["body"], U).reshape(-1, -(-r["n"] // 64)) if r["dims"] else np.zeros((0, -(-r["n"] // 64)), U)
-                    null = np.unpackbits(np.frombuffer(r["at"], np.uint8), bitorder="little")
-                    held = r["block"], {"block": r["block"], "n": r["n"], "slices": body, "bits": np.frombuffer(r["bits"], np.int32), "least": np.frombuffer(r["least"], np.int64), "ids": np.frombuffer(r["ids"], np.int64), "null": null}
-                block = held[1]
-                pack = {"block": r["q_block"], "q": np.frombuffer(r["q_body"], np.int64).reshape(-1, r["dims"]) if r["dims"] else np.zeros((r["q_n"], 0), np.int64), "at": np.frombuffer(r["q_at"], np.int32)}
-                name = np.frombuffer(r["q_ids"], np.int64)
-                for i, row, score in search(block, pack, k):
-                    out.append((r["q_block"], r["q_pack"] * PACK + i, int(name[i]), None if block["null"][row] else int(block["ids"][row]), score))
-            if out:
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)], names=["q_block", "q_at", "query_id", "vec_id", "score"])
+                words, dims = -(-r["n"] // 64), r["dims"]
+                body = np.frombuffer(r["body"], U).reshape(-1, words)
+                block = {"block": r["block"], "n": r["n"], "slices": body, "bits": np.frombuffer(r["bits"], np.int32), "least": np.frombuffer(r["least"], np.int64)}
+                ids, null = np.frombuffer(r["ids"], np.int64), np.unpackbits(np.frombuffer(r["at"], np.uint8), bitorder="little")
+                for q_block, q_pack, n, names, at, q in asked.value.get((r["share"], dims), ()):
+                    pack = {"block": q_block, "q": np.frombuffer(q, np.int64).reshape(n, dims), "at": np.frombuffer(at, np.int32)}
+                    name = np.frombuffer(names, np.int64)
+                    out = [(q_block, q_pack * PACK + i, int(name[i]), None if null[row] else int(ids[row]), score) for i, row, score in search(block, pack, k)]
+                    if out:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int32(), *[pa.int64()] * 3), strict=True)], names=["q_block", "q_at", "query_id", "vec_id", "score"])
 
     return run
 
@@ -279,21 +292,23 @@ def top_k(
         n_blocks, chunks = sum(r["rows"] for r in total if r["is_block"]), max(1, sum(-(-r["bytes"] // CHUNK) for r in total if not r["is_block"]))
         # Few blocks are split over the cores by their queries.
         split = max(1, -(-2 * spark.sparkContext.defaultParallelism // max(1, n_blocks)))
-        dealt = F.xxhash64("block", "pack")
-        packs = index.where("pack >= 0").select(
-            F.pmod(dealt, F.lit(chunks)).alias("chunk"), F.pmod(F.xxhash64(dealt), F.lit(split)).cast("int").alias("share"), F.col("dims").alias("dims"),
-            F.col("block").alias("q_block"), F.col("pack").alias("q_pack"), F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("at").alias("q_at"), F.col("body").alias("q_body"),
-        )
-        weight = {r["chunk"]: r["bytes"] for r in packs.groupBy("chunk").agg(F.sum(F.length("q_body") + F.length("q_ids") + F.length("q_at")).alias("bytes")).collect()}
+        chunk, share = F.pmod(F.xxhash64("block", "pack"), F.lit(chunks)), F.pmod(F.pmod(F.xxhash64("block"), F.lit(split)) + F.col("pack"), F.lit(split))
+        packs = index.where("pack >= 0").withColumns({"chunk": chunk, "share": share.cast("int")})
+        theirs = blocks.withColumn("share", F.lit(0))
+        if n_blocks and split > 1:
+            # By ranges each copy has a task of its own, those of the largest blocks first.
+            theirs = blocks.mapInArrow(_copies(split), f"{PARTS}, share int").repartitionByRange(n_blocks * split, F.desc("n"), "block", "share")
         parts = []
-        for c, size in sorted(weight.items()):
-            mine = packs.where(F.col("chunk") == c)
-            mine = F.broadcast(mine) if size <= 2 * CHUNK else mine
-            theirs = blocks.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(split - 1))))
-            theirs = theirs.repartition(n_blocks * split) if split > 1 else theirs
-            both = theirs.join(mine, ["share", "dims"]).drop("share", "chunk", "pack")
-            # Rows are megabytes: a worker gets few at a time.
-            parts.append(common.written(both.mapInArrow(_found(k), FOUND), "found", rows=8))
+        for c in range(chunks):
+            mine: dict[tuple[int, int], list[tuple]] = {}
+            for r in packs.where(F.col("chunk") == c).select("share", "dims", "block", "pack", "n", "ids", "at", "body").collect():
+                mine.setdefault((r["share"], r["dims"]), []).append((r["block"], r["pack"], r["n"], bytes(r["ids"]), bytes(r["at"]), bytes(r["body"])))
+            if not mine or not n_blocks:
+                continue
+            asked = spark.sparkContext.broadcast(mine)
+            # Rows are megabytes: a worker gets one at a time.
+            parts.append(common.written(theirs.mapInArrow(_found(k, asked), FOUND), "found", rows=1))
+            asked.destroy()
         if not parts:
             parts = [common.written(spark.createDataFrame([], FOUND), "found")]
         keep(*parts)

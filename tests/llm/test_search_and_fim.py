@@ -4,9 +4,11 @@ import hashlib
 import math
 import re
 import time
+import uuid
 
 import duckdb
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -77,6 +79,53 @@ def test_top_k_of_other_queries(spark, monkeypatch):
     assert order(got) == order(want)
 
 
+def test_blocks_are_not_repeated_by_queries(spark, monkeypatch, tmp_path):
+    """What the search is given doesn't grow with the number of queries, nor do copies of a block meet in a batch."""
+    found = topk._found
+
+    def counted(*args):
+        run = found(*args)
+
+        def count(batches):
+            def through():
+                for b in batches:
+                    (tmp_path / uuid.uuid4().hex).write_text(f"{b.num_rows} {b.nbytes}")
+                    yield b
+
+            return run(through())
+
+        return count
+
+    monkeypatch.setattr(topk, "_found", counted)
+    monkeypatch.setattr(topk, "PACK", 1)  # many packs
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(0, 0.2, 8).tolist()) for i in range(600)]
+    df, got = spark.createDataFrame(rows, "vec_id long, embedding array<double>"), {}
+    for every in (100, 2):
+        assert order(tuple(r) for r in topk.top_k(df, 3, F.col("vec_id") % every == 0).collect()) == order(brute(rows, 3, every))
+        got[every] = [tuple(map(int, f.read_text().split())) for f in tmp_path.iterdir()]
+        for f in tmp_path.iterdir():
+            f.unlink()
+    assert max(n for n, _ in got[2]) == 1
+    assert sum(b for _, b in got[2]) <= 2 * sum(b for _, b in got[100])
+
+
+def test_top_k_without_candidates(spark):
+    schema = "vec_id long, embedding array<double>"
+    none, ask = spark.createDataFrame([], schema), spark.createDataFrame([(1, [1.0]), (2, None)], schema)
+    assert topk.top_k(none, 3, queries=ask).collect() == []
+
+
+def test_copies_come_one_by_one():
+    run = topk._copies(1000)
+    batch = pa.RecordBatch.from_pydict({"block": [7, 8], "body": [b"x", b"y"]})
+    read = []
+    out = run(read.append(b) or b for b in (batch, batch))
+    assert next(out).to_pylist() == [{"block": 7, "body": b"x", "share": 0}] and len(read) == 1
+    got = [r for b in out for r in b.to_pylist()]
+    assert len(got) == 3999 and {(r["block"], r["share"]) for r in got} == {(b, s) for b in (7, 8) for s in range(1000)} and len(read) == 2
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.integers(1, 150), st.integers(1, 5), st.integers(0, 62), st.data())
 def test_bit_slices(n, dims, bits, data):
