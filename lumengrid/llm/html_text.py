@@ -67,11 +67,28 @@ def _marked(attrs: str) -> bool:
     return False
 
 
-def next_tag(html: str, at: int, last: dict[str, int]) -> tuple[int, int, str, str, str] | None:
+def _closed(html: str, i: int, last: dict[str, int], dead: set[int]) -> int:
+    """Where the first > outside of quotes is, read from i on; -1 where a < or a quote that isn't closed comes before. dead: quotes
+    from which this is so, which are not read again."""
+    read = []
+    while (s := _STOP.search(html, i)) and s.start() not in dead:
+        if s[0] == ">":
+            return s.start()
+        if s[0] == "<" or s.start() >= last[s[0]]:
+            break
+        read.append(s.start())
+        i = html.find(s[0], s.end()) + 1
+    dead.update(read)
+    return -1
+
+
+def next_tag(html: str, at: int, last: dict[str, int], dead: set[int] | None = None) -> tuple[int, int, str, str, str] | None:
     """(start, end, "/" or "", name, attributes) of the next tag, comment or declaration (these without a name).
 
     A tag ends at the first > outside of quotes, however long what is in quotes is. Where a quote is not closed (`last`: the last place of
-    each kind of quote) or another tag begins before, it ends at the first >, if no < comes before; else its < is text."""
+    each kind of quote) or another tag begins before, its name ends before the last quote in it from which on there is such a >; without
+    one, it ends at the first >, if no < comes before; else its < is text. dead: see _closed, kept from tag to tag."""
+    dead = set() if dead is None else dead
     while (p := html.find("<", at)) >= 0:
         if html.startswith("<!--", p):
             end = html.find("-->", p + 4)
@@ -80,17 +97,17 @@ def next_tag(html: str, at: int, last: dict[str, int]) -> tuple[int, int, str, s
             end = html.find(">", p)
             return p, end + 1 if end >= 0 else len(html), "", "", ""
         if m := _NAME.match(html, p + 1):
-            i, end = m.end(), -1
-            while s := _STOP.search(html, i):
-                if s[0] == ">":
-                    end = s.start()
-                if s[0] in "<>" or s.start() >= last[s[0]]:
-                    break
-                i = html.find(s[0], s.end()) + 1
-            if end < 0 and (s := _END.search(html, m.end())) and s[0] == ">":
+            i = m.end()
+            end = _closed(html, i, last, dead)
+            if end < 0:
+                for q in [m.start(2) + j for j, c in enumerate(m[2]) if c in last][::-1]:
+                    if q not in dead and (end := _closed(html, q, last, dead)) >= 0:
+                        i = q
+                        break
+            if end < 0 and (s := _END.search(html, i)) and s[0] == ">":
                 end = s.start()
             if end >= 0:
-                return p, end + 1, m[1], m[2], html[m.end() : end]
+                return p, end + 1, m[1], html[m.start(2) : i], html[i:end]
         at = p + 1
     return None
 
@@ -131,9 +148,9 @@ def page_lines(html: str) -> list[tuple[str, int]]:
             scopes.pop()
 
     at, n = 0, len(html)
-    last = {q: html.rfind(q) for q in "\"'"}
+    last, dead = {q: html.rfind(q) for q in "\"'"}, set()
     while at < n:
-        tag = next_tag(html, at, last)
+        tag = next_tag(html, at, last, dead)
         if not tag:
             text.append(html[at:])
             break

@@ -457,3 +457,24 @@ def test_bits_per_byte(spark):
     for r in ctw.score(docs, F.col("doc_id") < 3).collect():
         n = len((texts[r["doc_id"]] or "").encode()) + 1
         assert math.isclose(r["bits_per_byte"], -r["score"] / math.log10(2) / n, rel_tol=1e-9) and r["bits_per_byte"] > 0
+
+
+def test_quotes_in_names_of_tags():
+    from lumengrid.llm import html_text
+
+    tags = {'<b"<a t="1>2">': ("b", '"<a t="1'), "<b'\"<i>'>": ("b", "'\"<i>'"), "<b'\"<i>\">": ("b'", '"<i>"'), '<b"c>': ('b"c', ""), '<b"c"d e="1>2">': ('b"c"d', ' e="1>2"')}
+    for html, want in tags.items():
+        assert html_text.next_tag(html, 0, {q: html.rfind(q) for q in "\"'"})[3:] == want
+
+
+@pytest.mark.parametrize("piece", ['<a" "', "<a\"' \"", "\"'", '<a"', "<a\"'\"'<"])
+def test_quotes_in_names_take_linear_time(piece):
+    from lumengrid.llm import html_text
+
+    took = []
+    for n in (5_000, 40_000):
+        page = "<a" + piece * n
+        began = time.perf_counter()
+        html_text.page_lines(page)
+        took.append(time.perf_counter() - began)
+    assert took[1] < 24 * took[0] + 0.5
